@@ -364,8 +364,9 @@ def fit_hbos(df: DataFrame, cols: list[str], n_bins: int = 10, alpha: float = 0.
 
 def _bin_expr(model: HBOSModel, c: str) -> Column:
     x = F.col(c).cast("double")
-    return F.least(F.lit(model.n_bins - 1),
-                   F.floor((x - F.lit(model.lo[c])) / F.lit(model.width[c])).cast("int"))
+    # least() skips NULL arguments: keep a missing value out of every bin
+    return F.when(x.isNotNull(), F.least(F.lit(model.n_bins - 1),
+                  F.floor((x - F.lit(model.lo[c])) / F.lit(model.width[c])).cast("int")))
 
 
 def hbos_score(model: HBOSModel) -> Column:
