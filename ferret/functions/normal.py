@@ -91,6 +91,23 @@ def norm_ppf_sql(p: str, refine: bool = True) -> str:
     return f"(CASE WHEN {p} > 0.0e0 AND {p} < 1.0e0 THEN {x} ELSE NULL END)"
 
 
+def with_norm_ppf(df, p_col: str, out_col: str):
+    """Add ``out_col`` = Phi^-1(p_col) in three projections.
+
+    The refined quantile references the first approximation several times;
+    staging it as columns keeps each expression small enough for whole-stage
+    codegen (Catalyst does not inline a non-trivial expression used twice).
+    """
+    p = f"`{p_col}`"
+    df = df.withColumn("__ppf_x0", F.expr(_acklam_sql(p)))
+    df = df.withColumn("__ppf_e", F.expr(f"({norm_cdf_sql('`__ppf_x0`')} - {p})"))
+    x0, e = "`__ppf_x0`", "`__ppf_e`"
+    u = f"({e} * {_lit(math.sqrt(2 * math.pi))} * exp({x0} * {x0} / 2.0e0))"
+    x = f"({x0} - {u} / (1.0e0 + {x0} * {u} / 2.0e0))"
+    df = df.withColumn(out_col, F.expr(f"(CASE WHEN {p} > 0.0e0 AND {p} < 1.0e0 THEN {x} ELSE NULL END)"))
+    return df.drop("__ppf_x0", "__ppf_e")
+
+
 def norm_cdf(col: str | Column) -> Column:
     return _apply(norm_cdf_sql, col)
 
