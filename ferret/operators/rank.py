@@ -46,12 +46,12 @@ def _numbered(df: DataFrame, order: list[Column], num_partitions: int | None) ->
 
 def _offsets(tagged: DataFrame, value_cols: list[str]) -> DataFrame:
     """One row per partition: exclusive prefix of row counts / sums."""
-    aggs = [F.count(F.lit(1)).alias("_n")] + [F.sum(c).alias(f"_s_{c}") for c in value_cols]
+    aggs = [F.count(F.lit(1)).alias("__cnt")] + [F.sum(c).alias(f"__s_{c}") for c in value_cols]
     per_part = tagged.groupBy("_pid").agg(*aggs)
     # one row per partition (bounded by the partition count, not by the data)
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    cols = [F.col("_pid"), F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off_n")]
-    cols += [F.coalesce(F.sum(f"_s_{c}").over(w), F.lit(0)).alias(f"_off_{c}") for c in value_cols]
+    cols = [F.col("_pid"), F.coalesce(F.sum("__cnt").over(w), F.lit(0)).alias("__offcnt")]
+    cols += [F.coalesce(F.sum(f"__s_{c}").over(w), F.lit(0)).alias(f"__off_{c}") for c in value_cols]
     return F.broadcast(per_part.select(*cols))
 
 
@@ -65,8 +65,8 @@ def global_rank(df: DataFrame, order: list[Column | str], key: list[str],
     tagged = _numbered(df, order_cols, num_partitions)
     offs = _offsets(tagged, [])
     out = tagged.join(offs, "_pid").withColumn(
-        rank_col, F.col("_off_n") + F.col("_local") + F.lit(1))
-    return out.drop("_mid", "_pid", "_local", "_off_n")
+        rank_col, F.col("__offcnt") + F.col("_local") + F.lit(1))
+    return out.drop("_mid", "_pid", "_local", "__offcnt")
 
 
 def running_totals(df: DataFrame, order: list[Column | str], value_cols: list[str],
@@ -80,15 +80,15 @@ def running_totals(df: DataFrame, order: list[Column | str], value_cols: list[st
     tagged = _numbered(df, order_cols, num_partitions)
     w = (Window.partitionBy("_pid").orderBy("_local")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = tagged.select("*", *[F.sum(c).over(w).alias(f"_loc_{c}") for c in value_cols],
-                          F.count(F.lit(1)).over(w).alias("_loc_n"))
+    local = tagged.select("*", *[F.sum(c).over(w).alias(f"__loc_{c}") for c in value_cols],
+                          F.count(F.lit(1)).over(w).alias("__loccnt"))
     offs = _offsets(tagged, value_cols)
     out = local.join(offs, "_pid")
     for c in value_cols:
-        out = out.withColumn(prefix + c, F.col(f"_loc_{c}") + F.col(f"_off_{c}"))
-    out = out.withColumn(prefix + "rows", F.col("_loc_n") + F.col("_off_n"))
-    drop = ["_mid", "_pid", "_local", "_loc_n", "_off_n"]
-    drop += [f"_loc_{c}" for c in value_cols] + [f"_off_{c}" for c in value_cols]
+        out = out.withColumn(prefix + c, F.col(f"__loc_{c}") + F.col(f"__off_{c}"))
+    out = out.withColumn(prefix + "rows", F.col("__loccnt") + F.col("__offcnt"))
+    drop = ["_mid", "_pid", "_local", "__loccnt", "__offcnt"]
+    drop += [f"__loc_{c}" for c in value_cols] + [f"__off_{c}" for c in value_cols]
     return out.drop(*drop)
 
 

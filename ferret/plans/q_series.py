@@ -1 +1,54 @@
-"""Queries."""
+"""Queries: positions in a series, exponential smoothing, per-item map."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ferret.operators import series as T
+from ferret.plans.registry import query
+
+_POS = """WITH s AS (SELECT user_id, ts, event_id, value,
+  row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos,
+  count(*) OVER (PARTITION BY user_id) AS n FROM events)
+"""
+
+_SES = _POS + """, a AS (SELECT 0.2e0 AS alpha UNION ALL SELECT 0.6e0),
+x AS (SELECT s.*, a.alpha, 1 - a.alpha AS beta,
+             CASE WHEN pos = 1 THEN value ELSE a.alpha * value END AS xv FROM s CROSS JOIN a),
+l AS (SELECT *, pow(beta, pos) * sum(xv * pow(beta, -pos)) OVER (PARTITION BY user_id, alpha ORDER BY pos) AS level
+      FROM x)
+"""
+
+
+@query("positional_slice", _POS + """SELECT user_id, ts, pos,
+ CASE WHEN pos <= floor(n * 0.75e0) THEN 'train' ELSE 'test' END AS part FROM s""")
+def q_positional_slice(spark, sf):
+    e = _events(spark, sf)
+    return T.positional_slice(e, "user_id", "ts", "event_id", frac=0.75).select("user_id", "ts", "pos", "part")
+
+
+def _events(spark, sf):
+    from ferret.sources.tables import table
+    return table(spark, sf, "events").select("event_id", "user_id", "ts", "value")
+
+
+@query("ses_fixed", _SES + """SELECT user_id, ts, alpha, round(level, 6) AS level,
+ round(CASE WHEN pos = 1 THEN value ELSE (level - alpha * value) / beta END, 6) AS fitted FROM l""")
+def q_ses_fixed(spark, sf):
+    lv = T.ses_fixed(_events(spark, sf), "user_id", "ts", "event_id", "value")
+    return lv.select("user_id", "ts", "alpha", F.round("level", 6).alias("level"),
+                     F.round("fitted", 6).alias("fitted"))
+
+
+@query("ses_fixed_forecast", _SES + """SELECT user_id, alpha, step, round(level, 6) AS forecast
+ FROM l CROSS JOIN (SELECT range AS step FROM range(1, 4)) h WHERE pos = n""")
+def q_ses_fixed_forecast(spark, sf):
+    lv = T.ses_fixed(_events(spark, sf), "user_id", "ts", "event_id", "value")
+    fc = T.ses_forecast(lv, "user_id", 3)
+    return fc.select("user_id", "alpha", F.col("step").cast("bigint").alias("step"),
+                     F.round("forecast", 6).alias("forecast"))
+
+
+@query("ses_optimised")
+def q_ses_optimised(spark, sf):
+    return T.ses_optimised(_events(spark, sf), "user_id", "ts", "event_id", "value")
