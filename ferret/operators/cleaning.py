@@ -124,31 +124,56 @@ class PowerFit:
     std: float | None = None
 
 
-def _grid_llf(df: DataFrame, cols: list[str], grids: dict[str, list[float]], method: str) -> dict:
-    """One aggregate: log-likelihood of every (column, lambda) pair."""
+def _lam_sql(lam) -> str:
+    return lam if isinstance(lam, str) else _num(lam)
+
+
+def yeo_johnson_var_sql(x: str, lam: str) -> str:
+    """Yeo-Johnson with a lambda that is itself a SQL expression (one per grid row)."""
+    pos = (f"CASE WHEN abs({lam}) < 1.0e-12 THEN ln({x} + 1.0e0) "
+           f"ELSE (power({x} + 1.0e0, {lam}) - 1.0e0) / {lam} END")
+    neg = (f"CASE WHEN abs({lam} - 2.0e0) < 1.0e-12 THEN -ln(1.0e0 - {x}) "
+           f"ELSE -(power(1.0e0 - {x}, 2.0e0 - {lam}) - 1.0e0) / (2.0e0 - {lam}) END")
+    return f"(CASE WHEN {x} IS NULL THEN NULL WHEN {x} >= 0 THEN {pos} ELSE {neg} END)"
+
+
+def boxcox_var_sql(x: str, lam: str) -> str:
+    body = f"CASE WHEN abs({lam}) < 1.0e-12 THEN ln({x}) ELSE (power({x}, {lam}) - 1.0e0) / {lam} END"
+    return f"(CASE WHEN {x} > 0 THEN {body} ELSE NULL END)"
+
+
+def _grid_llf(df: DataFrame, cols: list[str], centres: dict[str, float], step: float, half: int,
+              method: str) -> dict:
+    """Log-likelihood of every (column, lambda) pair in ONE aggregate.
+
+    The grid is rows, not expressions: every input row is exploded over the grid
+    index k and grouped by k, with lambda_c = centre_c + step * (k - half).  The
+    plan holds one variance per column whatever the grid size, and the partial
+    aggregation leaves one row per grid point per task to shuffle.
+    """
+    k = F.explode(F.sequence(F.lit(0), F.lit(2 * half))).alias("_k")
+    base = df.select(*[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(cols)], k)
+    fn = yeo_johnson_var_sql if method == "yeo-johnson" else boxcox_var_sql
     aggs = []
     for i, c in enumerate(cols):
-        x = _q(c)
-        aggs.append(F.count(F.col(c)).alias(f"n{i}"))
+        x = f"`_x{i}`"
+        lam = f"({_num(centres[c])} + {_num(step)} * (`_k` - {half}))"
+        aggs.append(F.count(f"_x{i}").alias(f"n{i}"))
         if method == "yeo-johnson":
             aggs.append(F.expr(f"sum(CASE WHEN {x} >= 0 THEN ln(1.0e0 + {x}) ELSE -ln(1.0e0 - {x}) END)")
                         .alias(f"s{i}"))
         else:
             aggs.append(F.expr(f"sum(CASE WHEN {x} > 0 THEN ln({x}) END)").alias(f"s{i}"))
-        for j, lam in enumerate(grids[c]):
-            t = yeo_johnson_sql(x, lam) if method == "yeo-johnson" else boxcox_sql(x, lam)
-            aggs.append(F.expr(f"var_pop({t})").alias(f"v{i}_{j}"))
-    r = df.agg(*aggs).collect()[0]
-    out = {}
-    for i, c in enumerate(cols):
-        n, s = r[f"n{i}"], r[f"s{i}"] or 0.0
-        vals = []
-        for j, lam in enumerate(grids[c]):
-            v = r[f"v{i}_{j}"]
+        aggs.append(F.expr(f"var_pop({fn(x, lam)})").alias(f"v{i}"))
+    rows = base.groupBy("_k").agg(*aggs).collect()
+    out = {c: [] for c in cols}
+    for r in rows:
+        for i, c in enumerate(cols):
+            lam = centres[c] + step * (r["_k"] - half)
+            n, s, v = r[f"n{i}"], r[f"s{i}"] or 0.0, r[f"v{i}"]
             llf = -math.inf if (not n or v is None or not v > 0 or math.isinf(v)) else \
                 -n / 2.0 * math.log(v) + (lam - 1.0) * s
-            vals.append((llf, lam))
-        out[c] = vals
+            out[c].append((llf, lam))
     return out
 
 
@@ -162,17 +187,35 @@ def fit_power(df: DataFrame, cols: list[str], method: str = "yeo-johnson",
     """
     if not cols:
         return {}
-    grids = {c: [lo + (hi - lo) * k / (steps - 1) for k in range(steps)] for c in cols}
+    half = (steps - 1) // 2
     step = (hi - lo) / (steps - 1)
+    centres = {c: (lo + hi) / 2.0 for c in cols}
     best: dict[str, tuple[float, float]] = {}
     for _ in range(rounds):
-        res = _grid_llf(df, cols, grids, method)
+        res = _grid_llf(df, cols, centres, step, half, method)
         for c in cols:
             cand = max(res[c], key=lambda t: (t[0], -abs(t[1] - 1.0)))
             if c not in best or cand[0] >= best[c][0]:
                 best[c] = cand
+        last = res
+        centres = {c: best[c][1] for c in cols}
         step /= 10.0
-        grids = {c: [best[c][1] + step * k for k in range(-10, 11)] for c in cols}
+        half = 10
+    # parabola through the best grid point and its two neighbours; keep its vertex if better
+    verts = {}
+    for c in cols:
+        pts = sorted(last[c], key=lambda t: t[1])
+        j = max(range(len(pts)), key=lambda i: pts[i][0])
+        if 0 < j < len(pts) - 1 and all(math.isfinite(pts[i][0]) for i in (j - 1, j, j + 1)):
+            (fa, a), (fb, b), (fc, cc) = pts[j - 1], pts[j], pts[j + 1]
+            den = (b - a) * (fb - fc) - (b - cc) * (fb - fa)
+            if den != 0:
+                verts[c] = b - 0.5 * ((b - a) ** 2 * (fb - fc) - (b - cc) ** 2 * (fb - fa)) / den
+    if verts:
+        res = _grid_llf(df, list(verts), verts, 0.0, 0, method)
+        for c, ((llf, lam),) in res.items():
+            if llf > best[c][0]:
+                best[c] = (llf, lam)
     fits = {c: PowerFit(lam=(best[c][1] if math.isfinite(best[c][0]) else 1.0), llf=best[c][0]) for c in cols}
     if standardize:
         fit_standardize(df, cols, fits, method)
@@ -202,7 +245,7 @@ def power_transform(col: str, fit: PowerFit, method: str = "yeo-johnson",
 
 
 def log_likelihood(df: DataFrame, col: str, lam: float, method: str = "yeo-johnson") -> float:
-    return _grid_llf(df, [col], {col: [lam]}, method)[col][0][0]
+    return _grid_llf(df, [col], {col: lam}, 0.0, 0, method)[col][0][0]
 
 
 # ----------------------------------------------------------------------------

@@ -26,7 +26,8 @@ from ferret.operators.columns import is_missing, kinds
 NAN_SHARE = 0.25
 NUMERIC_MIN_RATIO = 0.01
 CATEGORIC_MAX_RATIO = 0.10
-NEAR_CUT = 0.05  # relative window around a cut where the exact count is taken
+APPROX_RSD = 0.05  # sketch error; 16x smaller buffers than 0.01 and the exact recount keeps roles exact
+NEAR_CUT = 5 * APPROX_RSD  # relative window around a cut where the exact count is taken
 CATEGORIES = ("NaN", "problematic", "undefined", "numeric", "categoric")
 
 
@@ -63,7 +64,7 @@ def column_stats(df: DataFrame, cols: list[str] | None = None,
     aggs = [F.count(F.lit(1)).alias("__n")]
     for i, c in enumerate(cols):
         aggs.append(F.count_if(is_missing(df, c)).alias(f"m{i}"))
-        aggs.append(F.approx_count_distinct(c, 0.01).alias(f"d{i}"))
+        aggs.append(F.approx_count_distinct(c, APPROX_RSD).alias(f"d{i}"))
     r = df.agg(*aggs).collect()[0]
     n = r["__n"]
     out = {c: ColumnStats(c, kd[c], n, r[f"m{i}"], r[f"d{i}"]) for i, c in enumerate(cols)}

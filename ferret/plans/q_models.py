@@ -1 +1,177 @@
-"""Queries."""
+"""Queries: model registry, dummy / baseline models, the estimator zoo, importances."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ferret.operators import metrics as M
+from ferret.operators import models as Mo
+from ferret.operators.split import hash32, hash32_sql
+from ferret.plans.registry import query
+from ferret.sources.runs import RunStore
+from ferret.sources.tables import table
+
+CUT = int(0.75 * (1 << 32))
+FEATS = ["price_k", "acctbal_k", "nationkey"]
+
+MODEL_INPUTS_SQL = f"""WITH f AS (
+SELECT o.o_orderkey AS row_id, o.o_totalprice / 1000 AS price_k, c.c_acctbal / 1000 AS acctbal_k,
+       c.c_nationkey AS nationkey,
+       CASE WHEN o.o_totalprice + 20 * c.c_acctbal > 300000 THEN 1 ELSE 0 END AS sep,
+       3 * o.o_totalprice / 1000 + 2 * c.c_acctbal / 1000 + c.c_nationkey AS y,
+       {hash32_sql('o.o_orderkey', 42)} < {CUT} AS is_train
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
+tr AS (SELECT * FROM f WHERE is_train), va AS (SELECT * FROM f WHERE NOT is_train)
+"""
+
+
+def model_inputs(spark, sf):
+    """Un-nulled features of orders x customer, a separable class and an exact linear target."""
+    o = table(spark, sf, "orders")
+    c = table(spark, sf, "customer").select("c_custkey", "c_acctbal", "c_nationkey")
+    j = o.join(c, o.o_custkey == c.c_custkey)
+    return j.select(
+        F.col("o_orderkey").alias("row_id"), (F.col("o_totalprice") / 1000).alias("price_k"),
+        (F.col("c_acctbal") / 1000).alias("acctbal_k"), F.col("c_nationkey").alias("nationkey"),
+        F.when(F.col("o_totalprice") + 20 * F.col("c_acctbal") > 300000, 1).otherwise(0).alias("sep"),
+        (3 * F.col("o_totalprice") / 1000 + 2 * F.col("c_acctbal") / 1000 + F.col("c_nationkey")).alias("y"),
+        (hash32("o_orderkey", 42) < F.lit(CUT)).alias("is_train"))
+
+
+def _split(spark, sf):
+    d = model_inputs(spark, sf)
+    return d.where("is_train"), d.where("NOT is_train")
+
+
+@query("model_registry")
+def q_model_registry(spark, sf):
+    tr, _ = _split(spark, sf)
+    n = tr.count()
+    specs = Mo.default_specs("classification", n) + Mo.default_specs("regression", n)
+    return Mo.registry_table(spark, specs).select("identifier", "problem", "model_type",
+                                                  F.to_json("params").alias("params"))
+
+
+@query("list_models")
+def q_list_models(spark, sf):
+    tr, _ = _split(spark, sf)
+    store = RunStore(spark)
+    store.create_run_tables()
+    specs = Mo.default_specs("regression", tr.count())
+    store.upsert_model(Mo.registry_table(spark, specs).select("identifier", "model_type", "params"))
+    return store.models().select("identifier")
+
+
+@query("dummy_regressor", MODEL_INPUTS_SQL + """SELECT row_id, 'median' AS strategy,
+ (SELECT median(y) FROM tr) AS prediction FROM va
+ UNION ALL SELECT row_id, 'mean', (SELECT avg(y) FROM tr) FROM va""")
+def q_dummy_regressor(spark, sf):
+    tr, va = _split(spark, sf)
+    out = None
+    for strat in ("median", "mean"):
+        fm = Mo.fit_model(Mo.ModelSpec(f"dummy_{strat}", "regression"), tr, FEATS, "y")
+        p = Mo.predict(fm, va).select("row_id", F.lit(strat).alias("strategy"), "prediction")
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
+_U = f"CAST({hash32_sql('row_id', 43)} AS DOUBLE) / {float(1 << 32)}"
+
+
+@query("dummy_classifier", MODEL_INPUTS_SQL + f""", pr AS (SELECT avg(CASE WHEN sep = 0 THEN 1.0e0 ELSE 0.0e0 END) AS p0,
+ CASE WHEN sum(sep) > count(*) - sum(sep) THEN 1.0e0 ELSE 0.0e0 END AS mf FROM tr)
+SELECT row_id, 'most_frequent' AS strategy, mf AS prediction FROM va, pr
+UNION ALL SELECT row_id, 'stratified', CASE WHEN {_U} < p0 THEN 0.0e0 ELSE 1.0e0 END FROM va, pr""")
+def q_dummy_classifier(spark, sf):
+    tr, va = _split(spark, sf)
+    out = None
+    for strat in ("most_frequent", "stratified"):
+        fm = Mo.fit_model(Mo.ModelSpec(f"dummy_{strat}", "classification", {"seed": 42}), tr, FEATS, "sep")
+        p = Mo.predict(fm, va).select("row_id", F.lit(strat).alias("strategy"), "prediction")
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
+@query("baseline_regression", MODEL_INPUTS_SQL + "SELECT row_id, (SELECT avg(y) FROM va) AS prediction FROM va")
+def q_baseline_regression(spark, sf):
+    _, va = _split(spark, sf)
+    m = va.agg(F.avg("y")).collect()[0][0]
+    return va.select("row_id", F.lit(m).alias("prediction"))
+
+
+def _estimator_query(name: str, problem: str):
+    label = "sep" if problem == "classification" else "y"
+
+    def run(spark, sf):
+        tr, va = _split(spark, sf)
+        n = tr.count()
+        spec = next(s for s in Mo.default_specs(problem, n, use_dummy_models=False) if s.name == name)
+        fm = Mo.fit_model(spec, tr, FEATS, label)
+        return Mo.predict(fm, va)
+    return run
+
+
+for _name in Mo.CLASSIFIERS:
+    query(_name)(_estimator_query(_name, "classification"))
+for _name in ["linear_regression", "ridge", "elastic_net"]:
+    query(_name)(_estimator_query(_name, "regression"))
+for _name in ["decision_tree", "random_forest", "gradient_boosting"]:
+    query(_name + "_regressor")(_estimator_query(_name, "regression"))
+
+
+@query("fit_model")
+def q_fit_model(spark, sf):
+    """Fit, store under the run folder, load back: coefficients of the stored OLS model."""
+    tr, _ = _split(spark, sf)
+    spec = Mo.ModelSpec("linear_regression", "regression", {"regParam": 0.0})
+    fm = Mo.fit_model(spec, tr, FEATS, "y")
+    store = RunStore(spark)
+    Mo.save_model(fm, store.path("fit_models/" + "linear_regression"))
+    back = Mo.load_model(spec, store.path("fit_models/linear_regression"), FEATS, "y")
+    return Mo.coefficients(back).select("feature", F.round("coefficient", 6).alias("coefficient"))
+
+
+@query("predict_model")
+def q_predict_model(spark, sf):
+    tr, va = _split(spark, sf)
+    spec = Mo.ModelSpec("logistic_regression", "classification", {"regParam": 1.0 / tr.count()})
+    fm = Mo.fit_model(spec, tr, FEATS, "sep")
+    store = RunStore(spark)
+    Mo.save_model(fm, store.path("fit_models/logistic_regression"))
+    back = Mo.load_model(spec, store.path("fit_models/logistic_regression"), FEATS, "sep")
+    return Mo.predict(back, va)
+
+
+@query("fit_many")
+def q_fit_many(spark, sf):
+    tr, va = _split(spark, sf)
+    specs = [s for s in Mo.default_specs("regression", tr.count())
+             if s.name in ("linear_regression", "ridge", "elastic_net", "dummy_mean", "dummy_median")]
+    _, preds = Mo.fit_many(specs, tr, va, FEATS, "y")
+    truth = va.select("row_id", "y")
+    return M.leaderboard(preds.join(truth, "row_id"), "y", "prediction", "regression")
+
+
+@query("fit_and_report")
+def q_fit_and_report(spark, sf):
+    """One call: fit, predict valid, classification report of the predictions."""
+    tr, va = _split(spark, sf)
+    spec = Mo.ModelSpec("logistic_regression", "classification", {"regParam": 1.0 / tr.count()})
+    fm = Mo.fit_model(spec, tr, FEATS, "sep")
+    pred = Mo.predict(fm, va).join(va.select("row_id", "sep"), "row_id")
+    return M.classification_report(pred, "sep", "prediction")
+
+
+@query("feature_importances")
+def q_feature_importances(spark, sf):
+    tr, _ = _split(spark, sf)
+    spec = Mo.ModelSpec("random_forest", "classification", {"numTrees": 20, "maxDepth": 5, "seed": 42})
+    return Mo.feature_importances(Mo.fit_model(spec, tr, FEATS, "sep"))
+
+
+@query("top_coefficients")
+def q_top_coefficients(spark, sf):
+    tr, _ = _split(spark, sf)
+    spec = Mo.ModelSpec("linear_regression", "regression", {"regParam": 0.0})
+    return Mo.top_coefficients(Mo.fit_model(spec, tr, FEATS, "y"), 15).select(
+        "feature", F.round("coefficient", 6).alias("coefficient"))

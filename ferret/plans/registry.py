@@ -22,4 +22,4 @@ def query(name: str, sql: str | None = None):
 def load_all() -> None:
     # importing the modules registers their queries
     from ferret.plans import (q_cleaning, q_metrics, q_models, q_nullity,  # noqa: F401
-                              q_profile, q_relational, q_roles, q_series)
+                              q_profile, q_projection, q_relational, q_roles, q_series)
