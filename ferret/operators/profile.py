@@ -231,6 +231,59 @@ def category_target_rate(df: DataFrame, cols: list[str], target: str, z: float =
                     F.round(F.col("mean") + half, 6).alias("ci_high"))
 
 
+# fixed values: cumulative Poisson(1) probabilities, k = 0..7 (inverse-CDF sampling of weights)
+POISSON1_CDF = [0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462,
+                0.9963401531726563, 0.9994058151824183, 0.9999167588507719, 0.9999897508033216]
+
+
+def poisson1_weight(key: Column, draw: Column) -> Column:
+    """Poisson(1) weight of a row in bootstrap draw ``draw``, from a hash (no state, no shuffle)."""
+    u = F.conv(F.substring(F.md5(F.concat_ws(":", key.cast("string"), draw.cast("string"))), 1, 8),
+               16, 10).cast("double") / F.lit(float(1 << 32))
+    w = F.lit(len(POISSON1_CDF))
+    for k in range(len(POISSON1_CDF) - 1, -1, -1):
+        w = F.when(u < F.lit(POISSON1_CDF[k]), F.lit(k)).otherwise(w)
+    return w
+
+
+def category_target_rate_bootstrap(df: DataFrame, cols: list[str], target: str, key: str,
+                                   draws: int = 100, level: float = 0.95) -> DataFrame:
+    """Target mean per label with a Poisson-bootstrap percentile interval.
+
+    Each row is exploded over the draws with a hashed Poisson(1) weight; weighted
+    sums per (label, draw) are one partial+final aggregate; the interval is an
+    exact percentile over the ``draws`` means of each label (bounded group).
+    """
+    long = unpivot_values(df.select(key, *cols, target), cols, ids=[key, target], cast="string")
+    ex = long.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws))))
+    ex = ex.withColumn("w", poisson1_weight(F.col(key), F.col("draw"))).where("w > 0")
+    per = ex.groupBy("feature", "value", "draw").agg(
+        (F.sum(F.col("w") * F.col(target)) / F.sum("w")).alias("m"))
+    lo, hi = (1 - level) / 2, 1 - (1 - level) / 2
+    ci = per.groupBy("feature", "value").agg(F.percentile("m", lo).alias("ci_low"),
+                                             F.percentile("m", hi).alias("ci_high"))
+    base = long.groupBy("feature", "value").agg(F.count(F.col(target)).alias("n"), F.avg(target).alias("mean"))
+    return base.join(ci, ["feature", "value"], "left").select(
+        "feature", "value", "n", F.round("mean", 6).alias("mean"),
+        F.round("ci_low", 6).alias("ci_low"), F.round("ci_high", 6).alias("ci_high"))
+
+
+def column_summary(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(feature, n, min, max, mean, median, mode): one aggregate, exact medians, distributed modes."""
+    from ferret.operators.cleaning import fit_modes
+    r = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)],
+               *[F.min(F.col(c).cast("double")).alias(f"a{i}") for i, c in enumerate(cols)],
+               *[F.max(F.col(c).cast("double")).alias(f"b{i}") for i, c in enumerate(cols)],
+               *[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).collect()[0]
+    med = exact_quantiles(df, cols, [0.5])
+    mode = fit_modes(df, cols)
+    rows = [(c, r[f"n{i}"], r[f"a{i}"], r[f"b{i}"], r[f"m{i}"], med[(c, 0.5)],
+             None if mode[c] is None else float(mode[c])) for i, c in enumerate(cols)]
+    out = df.sparkSession.createDataFrame(
+        rows, "feature string, n bigint, min double, max double, mean double, median double, mode double")
+    return out.select("feature", "n", *[F.round(c, 6).alias(c) for c in ("min", "max", "mean", "median", "mode")])
+
+
 def target_distribution(df: DataFrame, target: str, problem: str) -> DataFrame:
     """Classification: (value, count) per class.  Regression: histogram of the target."""
     if problem == "regression":

@@ -147,3 +147,36 @@ def q_target_distribution(spark, sf):
     _hist_sql("y", "f").replace("SELECT 'y' AS feature, bin", "SELECT bin"), "model"))
 def q_target_distribution_regression(spark, sf):
     return P.target_distribution(frames.model_frame(spark, sf), "y", "regression")
+
+
+SUMMARY = ["price", "acctbal", "bucket", "nationkey"]
+
+
+@query("column_summary", with_frame("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS feature, count({c}) AS n, round(min(CAST({c} AS DOUBLE)), 6) AS min, "
+    f"round(max(CAST({c} AS DOUBLE)), 6) AS max, round(avg(CAST({c} AS DOUBLE)), 6) AS mean, "
+    f"round(median(CAST({c} AS DOUBLE)), 6) AS median, "
+    f"round(CAST((SELECT {c} FROM f WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1) AS DOUBLE), 6) AS mode "
+    f"FROM f" for c in SUMMARY)))
+def q_column_summary(spark, sf):
+    return P.column_summary(frames.orders_frame(spark, sf), SUMMARY)
+
+
+@query("category_target_rate_bootstrap")
+def q_category_target_rate_bootstrap(spark, sf):
+    return P.category_target_rate_bootstrap(frames.orders_frame(spark, sf), ["priority", "nationkey"],
+                                            "label", "row_id", draws=50)
+
+
+@query("correlation_matrix_stages")
+def q_correlation_matrix_stages(spark, sf):
+    """Pearson matrices of the untransformed, imputed and transformed numerics of one run."""
+    from ferret.plans.cleaning_plan import CleaningPlan
+    f = frames.orders_frame(spark, sf)
+    plan = CleaningPlan("label", "classification", fit_hbos=False)
+    sp = plan.split(f)
+    m = plan.fit(f, sp)
+    num = m.numeric
+    out = P.correlation_matrix(sp, num, "untransformed")
+    out = out.unionByName(P.correlation_matrix(m.imputed(sp), num, "imputed"))
+    return out.unionByName(P.correlation_matrix(m.transformed(sp, with_hbos=False), num, "transformed"))
