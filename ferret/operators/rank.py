@@ -127,19 +127,41 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
     if not plan:
         return out
 
-    # pass 2: verify the brackets hold the target ranks; widen the rare miss
-    chk = []
-    for k, (i, j, n, h, r1, r2, lo, hi) in enumerate(plan):
-        x = F.col(cols[i]).cast("double")
-        chk += [F.count_if(x < F.lit(lo)).alias(f"lt{k}"), F.count_if(x <= F.lit(hi)).alias(f"le{k}")]
-    crow = df.agg(*chk).collect()[0]
-    for k, item in enumerate(plan):
-        lt, le = crow[f"lt{k}"], crow[f"le{k}"]
-        if not (lt < item[4]):
-            item[6] = float("-inf"); lt = 0
-        if not (le >= item[5]):
-            item[7] = float("inf")
-        item.append(lt)
+    # pass 2: verify the brackets hold the target ranks; a rare miss is re-bracketed with a
+    # tenfold slack (twice), and only then opened to the full range
+    pending = list(range(len(plan)))
+    for attempt in range(3):
+        chk = []
+        for k in pending:
+            i, j, n, h, r1, r2, lo, hi = plan[k][:8]
+            x = F.col(cols[i]).cast("double")
+            chk += [F.count_if(x < F.lit(lo)).alias(f"lt{k}"), F.count_if(x <= F.lit(hi)).alias(f"le{k}")]
+        crow = df.agg(*chk).collect()[0]
+        missed = []
+        for k in pending:
+            lt, le = crow[f"lt{k}"], crow[f"le{k}"]
+            if lt < plan[k][4] and le >= plan[k][5]:
+                plan[k] = plan[k][:8] + [lt]
+            else:
+                missed.append(k)
+        if not missed:
+            break
+        if attempt == 2:
+            for k in missed:
+                plan[k][6], plan[k][7] = float("-inf"), float("inf")
+                plan[k] = plan[k][:8] + [0]
+            break
+        wide = slack * 10 ** (attempt + 1)
+        aggs = []
+        for k in missed:
+            i, j = plan[k][0], plan[k][1]
+            p = probs[j]
+            aggs.append(F.percentile_approx(F.col(cols[i]).cast("double"),
+                                            [max(0.0, p - wide), min(1.0, p + wide)], accuracy).alias(f"w{k}"))
+        wrow = df.agg(*aggs).collect()[0]
+        for k in missed:
+            plan[k][6], plan[k][7] = wrow[f"w{k}"][0], wrow[f"w{k}"][1]
+        pending = missed
 
     # pass 3: distinct values inside each bracket, counted in a distributed group-by
     structs = []
