@@ -167,6 +167,7 @@ def _grid_llf(df: DataFrame, cols: list[str], centres: dict[str, float], step: f
         aggs.append(F.expr(f"var_pop({fn(x, lam)})").alias(f"v{i}"))
     rows = base.groupBy("_k").agg(*aggs).collect()
     out = {c: [] for c in cols}
+    counts = {c: (rows[0][f"n{i}"], rows[0][f"s{i}"] or 0.0) for i, c in enumerate(cols)} if rows else {}
     for r in rows:
         for i, c in enumerate(cols):
             lam = centres[c] + step * (r["_k"] - half)
@@ -174,7 +175,7 @@ def _grid_llf(df: DataFrame, cols: list[str], centres: dict[str, float], step: f
             llf = -math.inf if (not n or v is None or not v > 0 or math.isinf(v)) else \
                 -n / 2.0 * math.log(v) + (lam - 1.0) * s
             out[c].append((llf, lam))
-    return out
+    return out, counts
 
 
 def fit_power(df: DataFrame, cols: list[str], method: str = "yeo-johnson",
@@ -192,7 +193,7 @@ def fit_power(df: DataFrame, cols: list[str], method: str = "yeo-johnson",
     centres = {c: (lo + hi) / 2.0 for c in cols}
     best: dict[str, tuple[float, float]] = {}
     for _ in range(rounds):
-        res = _grid_llf(df, cols, centres, step, half, method)
+        res, counts = _grid_llf(df, cols, centres, step, half, method)
         for c in cols:
             cand = max(res[c], key=lambda t: (t[0], -abs(t[1] - 1.0)))
             if c not in best or cand[0] >= best[c][0]:
@@ -211,14 +212,29 @@ def fit_power(df: DataFrame, cols: list[str], method: str = "yeo-johnson",
             den = (b - a) * (fb - fc) - (b - cc) * (fb - fa)
             if den != 0:
                 verts[c] = b - 0.5 * ((b - a) ** 2 * (fb - fc) - (b - cc) ** 2 * (fb - fa)) / den
-    if verts:
-        res = _grid_llf(df, list(verts), verts, 0.0, 0, method)
-        for c, ((llf, lam),) in res.items():
-            if llf > best[c][0]:
-                best[c] = (llf, lam)
     fits = {c: PowerFit(lam=(best[c][1] if math.isfinite(best[c][0]) else 1.0), llf=best[c][0]) for c in cols}
-    if standardize:
-        fit_standardize(df, cols, fits, method)
+    # one last pass: likelihood at the vertex, and mean / std at both candidates
+    cands = {c: [fits[c].lam] + ([verts[c]] if c in verts else []) for c in cols}
+    fn = yeo_johnson_sql if method == "yeo-johnson" else boxcox_sql
+    aggs = []
+    for i, c in enumerate(cols):
+        for j, lam in enumerate(cands[c]):
+            t = fn(_q(c), lam)
+            aggs += [F.expr(f"var_pop({t})").alias(f"v{i}_{j}"), F.expr(f"avg({t})").alias(f"m{i}_{j}"),
+                     F.expr(f"stddev_pop({t})").alias(f"s{i}_{j}")]
+    r = df.agg(*aggs).collect()[0]
+    for i, c in enumerate(cols):
+        chosen = 0
+        if len(cands[c]) == 2 and math.isfinite(best[c][0]):
+            n, ssum = counts.get(c, (None, None))
+            v = r[f"v{i}_1"]
+            if n and v and v > 0:
+                llf = -n / 2.0 * math.log(v) + (cands[c][1] - 1.0) * ssum
+                if llf > fits[c].llf:
+                    fits[c] = PowerFit(cands[c][1], llf)
+                    chosen = 1
+        if standardize:
+            fits[c].mean, fits[c].std = r[f"m{i}_{chosen}"], r[f"s{i}_{chosen}"]
     return fits
 
 
@@ -245,7 +261,7 @@ def power_transform(col: str, fit: PowerFit, method: str = "yeo-johnson",
 
 
 def log_likelihood(df: DataFrame, col: str, lam: float, method: str = "yeo-johnson") -> float:
-    return _grid_llf(df, [col], {col: lam}, 0.0, 0, method)[col][0][0]
+    return _grid_llf(df, [col], {col: lam}, 0.0, 0, method)[0][col][0][0]
 
 
 # ----------------------------------------------------------------------------

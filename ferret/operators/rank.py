@@ -96,13 +96,18 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
                     accuracy: int = 1_000_000) -> dict[tuple[str, float], float | None]:
     """Exact quantiles (linear interpolation, as ``quantile_cont``) of each column.
 
-    Three passes over ``df``: (1) count + approximate bracket per quantile,
-    (2) exact counts below/inside each bracket, (3) distinct values inside the
-    brackets counted by a distributed group-by, and one window per bracket whose
-    size the sketch bounds (about 6 n / accuracy distinct values).
+    Two passes over ``df``: (1) count + an approximate bracket [lo, hi] around
+    each target rank; (2) for every bracket, rows below ``lo`` collapse to one
+    NULL-valued row per task (partial aggregation) and rows inside it are
+    counted per distinct value by a distributed group-by; one window per
+    bracket (bounded by the sketch: about 6 n / accuracy distinct values, a hot
+    value being one row) finds the values at the target ranks.  A bracket that
+    misses its rank (the sketch's guarantee makes this rare) is re-bracketed
+    with a tenfold slack, then opened to the full range.
     """
     if not cols or not probs:
         return {}
+    out: dict[tuple[str, float], float | None] = {(c, p): None for c in cols for p in probs}
     slack = 3.0 / accuracy
     pcts = []
     for p in probs:
@@ -110,78 +115,65 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"n{i}"),
-                 F.percentile_approx(x, pcts, accuracy).alias(f"b{i}")]
+        aggs += [F.count(x).alias(f"n{i}"), F.percentile_approx(x, pcts, accuracy).alias(f"b{i}")]
     row = df.agg(*aggs).collect()[0]
-
-    plan = []  # (ci, qi, n, h, r1, r2, lo, hi)
+    plan = {}  # k -> [col index, prob index, n, h, r1, r2, lo, hi]
     for i, c in enumerate(cols):
-        n = row[f"n{i}"]
-        b = row[f"b{i}"]
+        n, b = row[f"n{i}"], row[f"b{i}"]
+        if not n:
+            continue
         for j, p in enumerate(probs):
-            if not n:
-                continue
             h = (n - 1) * p
-            plan.append([i, j, n, h, math.floor(h) + 1, math.ceil(h) + 1, b[2 * j], b[2 * j + 1]])
-    out: dict[tuple[str, float], float | None] = {(c, p): None for c in cols for p in probs}
-    if not plan:
-        return out
-
-    # pass 2: verify the brackets hold the target ranks; a rare miss is re-bracketed with a
-    # tenfold slack (twice), and only then opened to the full range
-    pending = list(range(len(plan)))
-    for attempt in range(3):
-        chk = []
-        for k in pending:
-            i, j, n, h, r1, r2, lo, hi = plan[k][:8]
-            x = F.col(cols[i]).cast("double")
-            chk += [F.count_if(x < F.lit(lo)).alias(f"lt{k}"), F.count_if(x <= F.lit(hi)).alias(f"le{k}")]
-        crow = df.agg(*chk).collect()[0]
+            plan[len(plan)] = [i, j, n, h, math.floor(h) + 1, math.ceil(h) + 1, b[2 * j], b[2 * j + 1]]
+    pending = sorted(plan)
+    for attempt in range(4):
+        if not pending:
+            break
+        got = _select_in_brackets(df, cols, {k: plan[k] for k in pending})
         missed = []
         for k in pending:
-            lt, le = crow[f"lt{k}"], crow[f"le{k}"]
-            if lt < plan[k][4] and le >= plan[k][5]:
-                plan[k] = plan[k][:8] + [lt]
+            i, j, n, h, r1, r2 = plan[k][:6]
+            lt, total, v1, v2 = got.get(k, (0, 0, None, None))
+            if lt < r1 and total >= r2 and v1 is not None and v2 is not None:
+                frac = h - math.floor(h)
+                out[(cols[i], probs[j])] = v1 if frac == 0 else v1 + frac * (v2 - v1)
             else:
                 missed.append(k)
         if not missed:
             break
-        if attempt == 2:
+        if attempt == 2:  # last resort: the whole range
             for k in missed:
                 plan[k][6], plan[k][7] = float("-inf"), float("inf")
-                plan[k] = plan[k][:8] + [0]
-            break
-        wide = slack * 10 ** (attempt + 1)
-        aggs = []
-        for k in missed:
-            i, j = plan[k][0], plan[k][1]
-            p = probs[j]
-            aggs.append(F.percentile_approx(F.col(cols[i]).cast("double"),
-                                            [max(0.0, p - wide), min(1.0, p + wide)], accuracy).alias(f"w{k}"))
-        wrow = df.agg(*aggs).collect()[0]
-        for k in missed:
-            plan[k][6], plan[k][7] = wrow[f"w{k}"][0], wrow[f"w{k}"][1]
+        else:
+            wide = slack * 10 ** (attempt + 1)
+            waggs = [F.percentile_approx(F.col(cols[plan[k][0]]).cast("double"),
+                                         [max(0.0, probs[plan[k][1]] - wide), min(1.0, probs[plan[k][1]] + wide)],
+                                         accuracy).alias(f"w{k}") for k in missed]
+            wrow = df.agg(*waggs).collect()[0]
+            for k in missed:
+                plan[k][6], plan[k][7] = wrow[f"w{k}"][0], wrow[f"w{k}"][1]
         pending = missed
+    return out
 
-    # pass 3: distinct values inside each bracket, counted in a distributed group-by
+
+def _select_in_brackets(df: DataFrame, cols: list[str], items: dict) -> dict:
+    """One pass: per bracket k, (rows below lo, rows <= hi, value at rank r1, value at rank r2)."""
     structs = []
-    for k, (i, j, n, h, r1, r2, lo, hi, lt) in enumerate(plan):
+    for k, (i, j, n, h, r1, r2, lo, hi) in items.items():
         x = F.col(cols[i]).cast("double")
-        structs.append(F.when((x >= F.lit(lo)) & (x <= F.lit(hi)),
-                              F.struct(F.lit(k).alias("k"), x.alias("v"))))
+        structs.append(F.when(x < F.lit(lo), F.struct(F.lit(k).alias("k"), F.lit(None).cast("double").alias("v")))
+                       .when(x <= F.lit(hi), F.struct(F.lit(k).alias("k"), x.alias("v"))))
     picked = (df.select(F.explode(F.filter(F.array(*structs), lambda s: s.isNotNull())).alias("s"))
               .select("s.k", "s.v").groupBy("k", "v").agg(F.count(F.lit(1)).alias("c")))
-    base = F.element_at(F.array(*[F.lit(item[8]) for item in plan]), F.col("k") + 1)
-    r1c = F.element_at(F.array(*[F.lit(item[4]) for item in plan]), F.col("k") + 1)
-    r2c = F.element_at(F.array(*[F.lit(item[5]) for item in plan]), F.col("k") + 1)
-    w = Window.partitionBy("k").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    res = (picked.withColumn("cum", F.sum("c").over(w) + base)
-           .groupBy("k").agg(F.min(F.when(F.col("cum") >= r1c, F.col("v"))).alias("v1"),
-                             F.min(F.when(F.col("cum") >= r2c, F.col("v"))).alias("v2"))
+    keys = sorted(items)
+    r1c = F.element_at(F.create_map(*[x for k in keys for x in (F.lit(k), F.lit(items[k][4]))]), F.col("k"))
+    r2c = F.element_at(F.create_map(*[x for k in keys for x in (F.lit(k), F.lit(items[k][5]))]), F.col("k"))
+    # NULL (= below the bracket) sorts first, so the running count starts at the rows below
+    w = Window.partitionBy("k").orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    res = (picked.withColumn("cum", F.sum("c").over(w))
+           .groupBy("k").agg(F.coalesce(F.max(F.when(F.col("v").isNull(), F.col("cum"))), F.lit(0)).alias("lt"),
+                             F.max("cum").alias("total"),
+                             F.min(F.when(F.col("v").isNotNull() & (F.col("cum") >= r1c), F.col("v"))).alias("v1"),
+                             F.min(F.when(F.col("v").isNotNull() & (F.col("cum") >= r2c), F.col("v"))).alias("v2"))
            .collect())
-    got = {r["k"]: (r["v1"], r["v2"]) for r in res}
-    for k, (i, j, n, h, r1, r2, lo, hi, lt) in enumerate(plan):
-        v1, v2 = got[k]
-        frac = h - math.floor(h)
-        out[(cols[i], probs[j])] = v1 if frac == 0 else v1 + frac * (v2 - v1)
-    return out
+    return {r["k"]: (r["lt"], r["total"], r["v1"], r["v2"]) for r in res}

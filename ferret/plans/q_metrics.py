@@ -204,9 +204,32 @@ def q_normality_test(spark, sf):
     return N.normality_test(f, ["price", "acctbal", "bucket"], "row_id")
 
 
-@query("normality_test_events")
+def _poly_sql(coefs, x):
+    return " + ".join(f"({c!r}e0) * pow({x}, {i})" for i, c in enumerate(coefs))
+
+
+_SW_SQL = f"""WITH k AS (SELECT value AS x, row_number() OVER (ORDER BY value, event_id) AS i,
+  count(*) OVER () AS n FROM events WHERE value IS NOT NULL),
+m AS (SELECT x, i, n, {norm_ppf_sql('((i - 0.375e0) / (n + 0.25e0))')} AS m FROM k),
+s AS (SELECT max(n) AS n, sum(m * m) AS ssm, var_pop(x) * count(x) AS ss,
+  max({norm_ppf_sql('((n - 0.375e0) / (n + 0.25e0))')}) AS mn,
+  max({norm_ppf_sql('((n - 1 - 0.375e0) / (n + 0.25e0))')}) AS mn1 FROM m),
+c AS (SELECT *, mn / sqrt(ssm) + {_poly_sql(N.SW_C1, '1.0e0 / sqrt(n)')} AS an,
+  mn1 / sqrt(ssm) + {_poly_sql(N.SW_C2, '1.0e0 / sqrt(n)')} AS an1 FROM s),
+e AS (SELECT *, (ssm - 2 * mn * mn - 2 * mn1 * mn1) / (1 - 2 * an * an - 2 * an1 * an1) AS eps FROM c),
+w AS (SELECT e.n, e.ss, least(1.0e0, pow(sum(CASE WHEN m.i = e.n THEN e.an WHEN m.i = 1 THEN -e.an
+  WHEN m.i = e.n - 1 THEN e.an1 WHEN m.i = 2 THEN -e.an1 ELSE m.m / sqrt(e.eps) END * m.x), 2) / e.ss) AS w
+  FROM m CROSS JOIN e GROUP BY e.n, e.ss),
+z AS (SELECT n, w, (ln(1 - w) - ({_poly_sql(N.SW_LARGE_MU, 'ln(n)')})) / exp({_poly_sql(N.SW_LARGE_SIGMA, 'ln(n)')}) AS zz FROM w)
+SELECT 'value' AS feature, n, round(w, 6) AS w, round(1 - {norm_cdf_sql('zz')}, 6) AS p_value,
+  1 - {norm_cdf_sql('zz')} > 0.05 AS normal, n <= 5000 AS p_exact FROM z"""
+
+
+@query("normality_test_events", _SW_SQL)
 def q_normality_test_events(spark, sf):
-    return N.normality_test(frames.skewed(spark, sf), ["value"], "event_id")
+    r = N.normality_test(frames.skewed(spark, sf), ["value"], "event_id")
+    return r.select("feature", "n", F.round("w", 6).alias("w"), F.round("p_value", 6).alias("p_value"),
+                    "normal", "p_exact")
 
 
 @query("classification_viz")
