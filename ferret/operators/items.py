@@ -17,8 +17,14 @@ from pyspark.sql import DataFrame
 
 def map_items(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str,
               num_workers: int | None = None) -> DataFrame:
-    """Run ``fn`` on batches of rows; ``num_workers`` tasks share the items."""
-    src = df.repartition(num_workers) if num_workers else df
+    """Run ``fn`` on batches of rows; at least ``num_workers`` tasks share the items.
+
+    The worker count only ever raises parallelism: a large table keeps its own
+    (larger) partitioning instead of being squeezed into ``num_workers`` tasks.
+    """
+    src = df
+    if num_workers and num_workers > df.rdd.getNumPartitions():
+        src = df.repartition(num_workers)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

@@ -69,15 +69,48 @@ def nullity_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
             .groupBy("pattern", "flags").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
+WIDE = 64  # above this many columns: per-partition flag Gramians instead of k^2 pair sums
+
+
 def _flag_pairs(df: DataFrame, cols: list[str]):
-    """One aggregate: null counts and pairwise co-missing counts of the flags."""
-    flags = {c: is_missing(df, c).cast("int") for c in cols}
-    aggs = [F.count(F.lit(1)).alias("__n")]
-    aggs += [F.sum(flags[c]).alias(f"s{i}") for i, c in enumerate(cols)]
-    for i in range(len(cols)):
-        for j in range(i + 1, len(cols)):
-            aggs.append(F.sum(flags[cols[i]] * flags[cols[j]]).alias(f"p{i}_{j}"))
-    return df.agg(*aggs).collect()[0]
+    """Null counts and pairwise co-missing counts of the flags, as a dict-like row.
+
+    Narrow: one aggregate of k(k-1)/2 pair sums.  Wide: each partition computes
+    F^T F of its 0/1 flag matrix (numpy on Arrow batches); a group-by on the
+    cell sums them, so the plan does not grow with k^2.
+    """
+    if len(cols) <= WIDE:
+        flags = {c: is_missing(df, c).cast("int") for c in cols}
+        aggs = [F.count(F.lit(1)).alias("__n")]
+        aggs += [F.sum(flags[c]).alias(f"s{i}") for i, c in enumerate(cols)]
+        for i in range(len(cols)):
+            for j in range(i + 1, len(cols)):
+                aggs.append(F.sum(flags[cols[i]] * flags[cols[j]]).alias(f"p{i}_{j}"))
+        return df.agg(*aggs).collect()[0]
+    import numpy as np
+    import pandas as pd
+    k = len(cols)
+    flag_df = df.select(*[is_missing(df, c).cast("double").alias(f"f{i}") for i, c in enumerate(cols)])
+
+    def partial(batches):
+        g, n = np.zeros((k, k)), 0
+        for pdf in batches:
+            x = pdf.to_numpy(dtype=np.float64)
+            g += x.T @ x
+            n += len(x)
+        yield pd.DataFrame({"cell": np.arange(k * k + 1), "v": np.append(g.ravel(), float(n))})
+
+    tot = flag_df.mapInPandas(partial, "cell long, v double").groupBy("cell").agg(F.sum("v").alias("v")).collect()
+    vec = np.zeros(k * k + 1)
+    for r in tot:
+        vec[r["cell"]] = r["v"]
+    g = vec[:-1].reshape(k, k)
+    out = {"__n": int(vec[-1])}
+    for i in range(k):
+        out[f"s{i}"] = int(g[i, i])
+        for j in range(i + 1, k):
+            out[f"p{i}_{j}"] = int(g[i, j])
+    return out
 
 
 def nullity_correlation(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

@@ -51,9 +51,20 @@ def pearson(x: str, y: str) -> Column:
     return F.when(den > 0, F.try_divide(F.covar_pop(cx, cy), den))
 
 
-def correlation_matrix(df: DataFrame, cols: list[str], dataset: str | None = None) -> DataFrame:
-    """Long (feature_x, feature_y, corr) for every ordered pair, from ONE aggregate over the
-    k(k+1)/2 unordered pairs."""
+WIDE = 64  # above this many columns the pair aggregates give way to masked Gramians
+
+
+def correlation_matrix(df: DataFrame, cols: list[str], dataset: str | None = None,
+                       method: str = "auto") -> DataFrame:
+    """Long (feature_x, feature_y, corr) for every ordered pair (pairwise-complete Pearson).
+
+    Narrow tables: ONE aggregate over the k(k+1)/2 pairs with Spark's stable
+    moment aggregates.  Wide tables (``method='gramian'`` or more than ``WIDE``
+    columns): per-partition masked Gramians (numpy on Arrow batches) summed by a
+    group-by on the cell, so the plan does not grow with k^2.
+    """
+    if method == "gramian" or (method == "auto" and len(cols) > WIDE):
+        return _correlation_gramian(df, cols, dataset)
     pairs = _pairs(cols, diagonal=True)
     wide = df.agg(*[pearson(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
     structs = []
@@ -70,6 +81,52 @@ def correlation_matrix(df: DataFrame, cols: list[str], dataset: str | None = Non
     return out
 
 
+def _correlation_gramian(df: DataFrame, cols: list[str], dataset: str | None) -> DataFrame:
+    import numpy as np
+    import pandas as pd
+    k = len(cols)
+
+    def partial(batches):
+        acc = np.zeros((5, k, k))
+        seen = False
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            seen = True
+            x = pdf[cols].to_numpy(dtype=np.float64, na_value=np.nan)
+            m = (~np.isnan(x)).astype(np.float64)
+            x0 = np.where(m > 0, x, 0.0)
+            acc[0] += m.T @ m              # n_ij: rows where both are present
+            acc[1] += x0.T @ m             # sum x_i over rows where j is present
+            acc[2] += (x0 * x0).T @ m      # sum x_i^2 over rows where j is present
+            acc[3] += x0.T @ x0            # sum x_i x_j
+        if seen:
+            yield pd.DataFrame({"cell": np.arange(4 * k * k), "v": acc[:4].ravel()})
+
+    src = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    tot = src.mapInPandas(partial, "cell long, v double").groupBy("cell").agg(F.sum("v").alias("v")).collect()
+    vec = np.zeros(4 * k * k)
+    for r in tot:
+        vec[r["cell"]] = r["v"]
+    n, sx, sxx, sxy = vec.reshape(4, k, k)
+    rows = []
+    for i in range(k):
+        for j in range(k):
+            nij = n[i, j]
+            corr = None
+            if nij > 0:
+                mi, mj = sx[i, j] / nij, sx[j, i] / nij
+                vi, vj = sxx[i, j] / nij - mi * mi, sxx[j, i] / nij - mj * mj
+                cov = sxy[i, j] / nij - mi * mj
+                if vi > 0 and vj > 0:
+                    corr = round(float(cov / math.sqrt(vi * vj)), 6)
+            rows.append((cols[i], cols[j], corr))
+    out = df.sparkSession.createDataFrame(rows, "feature_x string, feature_y string, corr double")
+    if dataset is not None:
+        out = out.select(F.lit(dataset).alias("dataset"), "*")
+    return out
+
+
 def high_correlation(df: DataFrame, cols: list[str], threshold: float = 0.95) -> DataFrame:
     """Upper-triangle pairs (x before y in column order) with corr above ``threshold``."""
     pairs = _pairs(cols)

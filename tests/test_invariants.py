@@ -198,3 +198,26 @@ def test_repartition_does_not_change_reports(spark):
     q1 = exact_quantiles(f, ["price"], [0.5])
     q2 = exact_quantiles(f.repartition(5), ["price"], [0.5])
     assert q1 == q2 and not math.isnan(q1[("price", 0.5)])
+
+
+def test_wide_correlation_path_matches_pair_aggregates(spark):
+    from ferret.operators import profile as Pr
+    f = frames.orders_frame(spark, SF_SMALL)
+    cols = ["price", "acctbal", "bucket", "nationkey", "const_col"]
+    a = {(r[0], r[1]): r[2] for r in Pr.correlation_matrix(f, cols).collect()}
+    b = {(r[0], r[1]): r[2] for r in Pr.correlation_matrix(f, cols, method="gramian").collect()}
+    assert a.keys() == b.keys()
+    for key, v in a.items():
+        if v is None:
+            assert b[key] is None or abs(b[key]) < 1e-6
+        else:
+            assert b[key] == pytest.approx(v, abs=2e-6)
+
+
+def test_wide_nullity_path_matches(spark, monkeypatch):
+    from ferret.operators import nullity as Nu
+    f = frames.orders_frame(spark, SF_SMALL)
+    a = sorted(tuple(r) for r in Nu.nullity_distance(f).collect())
+    monkeypatch.setattr(Nu, "WIDE", 2)
+    b = sorted(tuple(r) for r in Nu.nullity_distance(f).collect())
+    assert a == b
