@@ -320,9 +320,10 @@ def category_target_rate_bootstrap(df: DataFrame, cols: list[str], target: str,
     ci = per.groupBy("feature", "value").agg(F.percentile("m", lo).alias("ci_low"),
                                              F.percentile("m", hi).alias("ci_high"))
     base = long.groupBy("feature", "value").agg(F.count(F.col(target)).alias("n"), F.avg(target).alias("mean"))
-    return base.join(ci, ["feature", "value"], "left").select(
-        "feature", "value", "n", F.round("mean", 6).alias("mean"),
-        F.round("ci_low", 6).alias("ci_low"), F.round("ci_high", 6).alias("ci_high"))
+    # the missing label is a label too: match it null-safely
+    j = base.join(ci, (base["feature"] == ci["feature"]) & base["value"].eqNullSafe(ci["value"]), "left")
+    return j.select(base["feature"], base["value"], "n", F.round("mean", 6).alias("mean"),
+                    F.round("ci_low", 6).alias("ci_low"), F.round("ci_high", 6).alias("ci_high"))
 
 
 def column_summary(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -198,18 +198,14 @@ def q_probability_plot_fit(spark, sf):
     return fit
 
 
-@query("normality_test")
-def q_normality_test(spark, sf):
-    f = frames.orders_frame(spark, sf)
-    return N.normality_test(f, ["price", "acctbal", "bucket"], "row_id")
-
-
 def _poly_sql(coefs, x):
     return " + ".join(f"({c!r}e0) * pow({x}, {i})" for i, c in enumerate(coefs))
 
 
-_SW_SQL = f"""WITH k AS (SELECT value AS x, row_number() OVER (ORDER BY value, event_id) AS i,
-  count(*) OVER () AS n FROM events WHERE value IS NOT NULL),
+def sw_sql(src: str, col: str, key: str, feature: str) -> str:
+    """Shapiro-Wilk W and p of one column, as DuckDB SQL (same formulas as the operator)."""
+    return f"""SELECT * FROM (WITH k AS (SELECT CAST({col} AS DOUBLE) AS x, row_number() OVER (ORDER BY {col}, {key}) AS i,
+  count(*) OVER () AS n FROM {src} WHERE {col} IS NOT NULL),
 m AS (SELECT x, i, n, {norm_ppf_sql('((i - 0.375e0) / (n + 0.25e0))')} AS m FROM k),
 s AS (SELECT max(n) AS n, sum(m * m) AS ssm, var_pop(x) * count(x) AS ss,
   max({norm_ppf_sql('((n - 0.375e0) / (n + 0.25e0))')}) AS mn,
@@ -221,15 +217,21 @@ w AS (SELECT e.n, e.ss, least(1.0e0, pow(sum(CASE WHEN m.i = e.n THEN e.an WHEN
   WHEN m.i = e.n - 1 THEN e.an1 WHEN m.i = 2 THEN -e.an1 ELSE m.m / sqrt(e.eps) END * m.x), 2) / e.ss) AS w
   FROM m CROSS JOIN e GROUP BY e.n, e.ss),
 z AS (SELECT n, w, (ln(1 - w) - ({_poly_sql(N.SW_LARGE_MU, 'ln(n)')})) / exp({_poly_sql(N.SW_LARGE_SIGMA, 'ln(n)')}) AS zz FROM w)
-SELECT 'value' AS feature, n, round(w, 6) AS w, round(1 - {norm_cdf_sql('zz')}, 6) AS p_value,
-  1 - {norm_cdf_sql('zz')} > 0.05 AS normal, n <= 5000 AS p_exact FROM z"""
+SELECT '{feature}' AS feature, n, round(w, 6) AS w, round(1 - {norm_cdf_sql('zz')}, 6) AS p_value,
+  1 - {norm_cdf_sql('zz')} > 0.05 AS normal, n <= 5000 AS p_exact FROM z) t"""
+
+
+_SW_SQL = sw_sql("events", "value", "event_id", "value")
+
+
+def _sw_round(df):
+    return df.select("feature", "n", F.round("w", 6).alias("w"), F.round("p_value", 6).alias("p_value"),
+                     "normal", "p_exact")
 
 
 @query("normality_test_events", _SW_SQL)
 def q_normality_test_events(spark, sf):
-    r = N.normality_test(frames.skewed(spark, sf), ["value"], "event_id")
-    return r.select("feature", "n", F.round("w", 6).alias("w"), F.round("p_value", 6).alias("p_value"),
-                    "normal", "p_exact")
+    return _sw_round(N.normality_test(frames.skewed(spark, sf), ["value"], "event_id"))
 
 
 @query("classification_viz")
@@ -245,3 +247,10 @@ def q_regression_viz(spark, sf):
     from ferret.plans.bundles import regression_viz
     b = regression_viz(frames.regression_pairs(spark, sf), "y_true", "y_pred", "row_id")
     return b["metrics"]
+
+
+@query("normality_test", with_frame("", "orders").rstrip() + "\n" + "\nUNION ALL\n".join(
+    sw_sql("f", c, "row_id", c) for c in ("price", "acctbal", "bucket")))
+def q_normality_test(spark, sf):
+    f = frames.orders_frame(spark, sf)
+    return _sw_round(N.normality_test(f, ["price", "acctbal", "bucket"], "row_id"))

@@ -162,7 +162,23 @@ def q_column_summary(spark, sf):
     return P.column_summary(frames.orders_frame(spark, sf), SUMMARY)
 
 
-@query("category_target_rate_bootstrap")
+def _boot_sql(cols, draws=50):
+    cdf = " ".join(f"WHEN u < {c!r}e0 THEN {k}" for k, c in enumerate(P.POISSON1_CDF))
+    long = " UNION ALL ".join(f"SELECT row_id, label, '{c}' AS feature, CAST({c} AS VARCHAR) AS value FROM f"
+                              for c in cols)
+    return with_frame("").rstrip() + f""",
+l AS ({long}),
+d AS (SELECT l.*, g.draw, CAST(('0x' || substr(md5(CAST(row_id AS VARCHAR) || ':' || CAST(g.draw AS VARCHAR)), 1, 8))
+        AS BIGINT) / {float(1 << 32)} AS u FROM l CROSS JOIN (SELECT range AS draw FROM range(1, {draws + 1})) g),
+wt AS (SELECT *, CASE {cdf} ELSE {len(P.POISSON1_CDF)} END AS w FROM d),
+per AS (SELECT feature, value, draw, sum(w * label) / sum(w) AS m FROM wt WHERE w > 0 GROUP BY 1, 2, 3),
+ci AS (SELECT feature, value, quantile_cont(m, 0.025) AS lo, quantile_cont(m, 0.975) AS hi FROM per GROUP BY 1, 2),
+base AS (SELECT feature, value, count(label) AS n, avg(label) AS mean FROM l GROUP BY 1, 2)
+SELECT b.feature, b.value, b.n, round(b.mean, 6) AS mean, round(ci.lo, 6) AS ci_low, round(ci.hi, 6) AS ci_high
+FROM base b LEFT JOIN ci ON b.feature = ci.feature AND b.value IS NOT DISTINCT FROM ci.value"""
+
+
+@query("category_target_rate_bootstrap", _boot_sql(["priority", "nationkey"]))
 def q_category_target_rate_bootstrap(spark, sf):
     return P.category_target_rate_bootstrap(frames.orders_frame(spark, sf), ["priority", "nationkey"],
                                             "label", "row_id", draws=50)
