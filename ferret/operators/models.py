@@ -217,8 +217,11 @@ def fit_many(specs: list[ModelSpec], train: DataFrame, valid: DataFrame, feature
     def one(spec):
         return spec.identifier, fit_model(spec, train, feature_cols, label)
 
-    with ThreadPoolExecutor(max_workers=threads) as ex:
-        fitted = dict(ex.map(one, specs))
+    try:
+        with ThreadPoolExecutor(max_workers=threads) as ex:
+            fitted = dict(ex.map(one, specs))
+    finally:
+        train.unpersist()  # fitted models hold their parameters; the cached rows are done
     preds = None
     for ident, fm in fitted.items():
         p = predict(fm, valid, key).select(F.lit(ident).alias("identifier"), key, "prediction", "probability")
