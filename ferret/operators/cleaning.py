@@ -179,12 +179,15 @@ def _grid_llf(df: DataFrame, cols: list[str], centres: dict[str, float], step: f
 
 
 def fit_power(df: DataFrame, cols: list[str], method: str = "yeo-johnson",
-              lo: float = -4.0, hi: float = 4.0, steps: int = 41, rounds: int = 3,
+              lo: float = -4.0, hi: float = 4.0, steps: int = 17, rounds: int = 4,
               standardize: bool = True) -> dict[str, PowerFit]:
     """Maximum-likelihood lambda per column by a grid refined ``rounds`` times.
 
-    Each round is ONE aggregate evaluating every column x lambda pair; the grid
-    step shrinks tenfold per round (0.2 -> 0.02 -> 0.002 by default).
+    Each round is ONE aggregate evaluating every column x lambda pair.  The
+    coarse grid has step 0.5 on [-4, 4]; each later round spans +-5 steps of a
+    finer grid around the best point (0.1, 0.01, 0.001), which covers the
+    previous round's half-step uncertainty; a parabolic step through the best
+    point and its neighbours finishes.
     """
     if not cols:
         return {}
@@ -200,8 +203,8 @@ def fit_power(df: DataFrame, cols: list[str], method: str = "yeo-johnson",
                 best[c] = cand
         last = res
         centres = {c: best[c][1] for c in cols}
-        step /= 10.0
-        half = 10
+        step /= 5.0 if step > 0.25 else 10.0
+        half = 5
     # parabola through the best grid point and its two neighbours; keep its vertex if better
     verts = {}
     for c in cols:

@@ -21,6 +21,11 @@ from ferret.operators import cleaning as C
 from ferret.operators.roles import Roles, infer_roles
 from ferret.operators.split import split_random, split_stratified
 
+# The exact stratified split ranks every row (a range shuffle and a checkpoint of
+# key, class and hash); above this size the md5-threshold split (stratified in
+# expectation, no shuffle at all) is used unless exact_split=True is asked for.
+EXACT_SPLIT_MAX_ROWS = 10_000_000
+
 PROBLEMS = {"classification": "classification", "binary classification": "classification",
             "regression": "regression"}
 
@@ -122,7 +127,7 @@ class CleaningPlan:
     key: str = "row_id"
     seed: int = 42
     train_frac: float = 0.75
-    exact_split: bool = True
+    exact_split: bool | str = "auto"   # exact up to EXACT_SPLIT_MAX_ROWS rows, hash threshold above
     method: str = "yeo-johnson"
     fixed_lambda: float | None = None
     min_samples_leaf: int = 1
@@ -133,11 +138,14 @@ class CleaningPlan:
     contamination: float = 0.1
     fit_hbos: bool = True
 
-    def split(self, df: DataFrame) -> DataFrame:
+    def split(self, df: DataFrame, n_rows: int | None = None) -> DataFrame:
         kind = problem_kind(self.problem)
         if kind == "classification":
-            return split_stratified(df, self.key, self.target, self.train_frac, self.seed,
-                                    exact=self.exact_split)
+            exact = self.exact_split
+            if exact == "auto":
+                n = n_rows if n_rows is not None else df.count()
+                exact = n <= EXACT_SPLIT_MAX_ROWS
+            return split_stratified(df, self.key, self.target, self.train_frac, self.seed, exact=bool(exact))
         return split_random(df, self.key, self.train_frac, self.seed)
 
     def fit(self, df: DataFrame, split_df: DataFrame | None = None) -> CleaningModel:
