@@ -316,9 +316,18 @@ def category_target_rate_bootstrap(df: DataFrame, cols: list[str], target: str,
     ex = ex.withColumn("w", poisson1_weight(F.col(key), F.col("draw"))).where("w > 0")
     per = ex.groupBy("feature", "value", "draw").agg(
         (F.sum(F.col("w") * F.col(target)) / F.sum("w")).alias("m"))
-    lo, hi = (1 - level) / 2, 1 - (1 - level) / 2
-    ci = per.groupBy("feature", "value").agg(F.percentile("m", lo).alias("ci_low"),
-                                             F.percentile("m", hi).alias("ci_high"))
+    lo, hi = round((1 - level) / 2, 12), round(1 - (1 - level) / 2, 12)
+    # each label has exactly `draws` means (a bounded group): sort them and interpolate
+    # linearly at (draws - 1) * q, the quantile_cont definition
+    ms = per.groupBy("feature", "value").agg(F.array_sort(F.collect_list("m")).alias("ms"))
+
+    def at(q: float) -> Column:
+        pos = (F.size("ms") - 1).cast("double") * F.lit(q)
+        i0, i1 = F.floor(pos).cast("int"), F.ceil(pos).cast("int")
+        v0, v1 = F.element_at("ms", i0 + 1), F.element_at("ms", i1 + 1)
+        return v0 + (v1 - v0) * (pos - i0)
+
+    ci = ms.select("feature", "value", at(lo).alias("ci_low"), at(hi).alias("ci_high"))
     base = long.groupBy("feature", "value").agg(F.count(F.col(target)).alias("n"), F.avg(target).alias("mean"))
     # the missing label is a label too: match it null-safely
     j = base.join(ci, (base["feature"] == ci["feature"]) & base["value"].eqNullSafe(ci["value"]), "left")
