@@ -53,11 +53,13 @@ pf AS (SELECT label, precision, recall, CASE WHEN precision + recall > 0
               THEN 2 * precision * recall / (precision + recall) ELSE 0.0e0 END AS f1_score, support FROM pr)
 SELECT label, round(precision, 2) AS precision, round(recall, 2) AS recall, round(f1_score, 2) AS f1_score,
        CAST(support AS BIGINT) AS support FROM pf
-UNION ALL SELECT 'accuracy', NULL, NULL, round(sum(CASE WHEN t = p THEN n ELSE 0 END) / sum(n), 2), sum(n) FROM c
-UNION ALL SELECT 'macro avg', round(avg(precision), 2), round(avg(recall), 2), round(avg(f1_score), 2), sum(support) FROM pf
+UNION ALL SELECT 'accuracy', NULL, NULL, round(sum(CASE WHEN t = p THEN n ELSE 0 END) / sum(n), 2),
+       CAST(sum(n) AS BIGINT) FROM c
+UNION ALL SELECT 'macro avg', round(avg(precision), 2), round(avg(recall), 2), round(avg(f1_score), 2),
+       CAST(sum(support) AS BIGINT) FROM pf
 UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 2),
        round(sum(recall * support) / sum(support), 2), round(sum(f1_score * support) / sum(support), 2),
-       sum(support) FROM pf"""
+       CAST(sum(support) AS BIGINT) FROM pf"""
 
 
 @query("classification_report", _REPORT_SQL)

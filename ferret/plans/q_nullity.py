@@ -35,7 +35,7 @@ def q_nan_split(spark, sf):
     return nullity.nan_split(frames.orders_frame(spark, sf))
 
 
-@query("null_sum", _sql("SELECT sum(null_count) AS null_cells FROM nc"))
+@query("null_sum", _sql("SELECT CAST(sum(null_count) AS BIGINT) AS null_cells FROM nc"))
 def q_null_sum(spark, sf):
     return nullity.null_sum(frames.orders_frame(spark, sf))
 
@@ -83,7 +83,7 @@ def q_nullity_correlation(spark, sf):
     "SELECT feature_x, feature_y, mismatches, round(sqrt(mismatches), 6) AS distance FROM (\n"
     + "\nUNION ALL\n".join(
         f"SELECT '{a}' AS feature_x, '{b}' AS feature_y, "
-        f"count_if(({a} IS NULL) <> ({b} IS NULL)) AS mismatches FROM f"
+        f"CAST(count_if(({a} IS NULL) <> ({b} IS NULL)) AS BIGINT) AS mismatches FROM f"
         for a, b in _pairs(ORDERS_COLS)) + "\n) t"))
 def q_nullity_linkage(spark, sf):
     # the data-dependent part: the column distance table
