@@ -49,6 +49,29 @@ def q_ses_fixed_forecast(spark, sf):
                      F.round("forecast", 6).alias("forecast"))
 
 
-@query("ses_optimised")
+def _sse_sql(grid_cte: str, name: str) -> str:
+    return f"""{name}_x AS (SELECT s.user_id, s.pos, s.value, g.alpha, 1 - g.alpha AS beta,
+    CASE WHEN s.pos = 1 THEN s.value ELSE g.alpha * s.value END AS xv FROM s JOIN {grid_cte} g ON {'g.user_id = s.user_id' if 'fine' in name else 'TRUE'}),
+{name}_l AS (SELECT *, pow(beta, pos) * sum(xv * pow(beta, -pos)) OVER (PARTITION BY user_id, alpha ORDER BY pos) AS level
+    FROM {name}_x),
+{name} AS (SELECT user_id, alpha, sum(pow(value - CASE WHEN pos = 1 THEN value ELSE (level - alpha * value) / beta END, 2))
+    AS sse FROM {name}_l GROUP BY 1, 2)"""
+
+
+_COARSE = ", ".join(f"{round(0.05 * (i + 1), 10)}e0" for i in range(19))
+SES_OPT_SQL = _POS + f""", cg AS (SELECT unnest([{_COARSE}]) AS alpha),
+{_sse_sql('cg', 'coarse')},
+b0 AS (SELECT user_id, alpha AS a0 FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY sse, alpha) AS r
+    FROM coarse) t WHERE r = 1),
+fg AS (SELECT user_id, round(a0 + k * 0.005e0, 10) AS alpha FROM b0 CROSS JOIN (SELECT range AS k FROM range(-10, 11)) r
+    WHERE round(a0 + k * 0.005e0, 10) > 0 AND round(a0 + k * 0.005e0, 10) < 1),
+{_sse_sql('fg', 'fine')},
+al AS (SELECT * FROM coarse UNION ALL SELECT * FROM fine)
+SELECT user_id, round(alpha, 6) AS alpha, round(sse, 4) AS sse FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY sse, alpha) AS r FROM al) t WHERE r = 1"""
+
+
+@query("ses_optimised", SES_OPT_SQL)
 def q_ses_optimised(spark, sf):
-    return T.ses_optimised(_events(spark, sf), "user_id", "ts", "event_id", "value")
+    r = T.ses_optimised(_events(spark, sf), "user_id", "ts", "event_id", "value")
+    return r.select("user_id", F.round("alpha", 6).alias("alpha"), F.round("sse", 4).alias("sse"))
