@@ -21,8 +21,18 @@ from ferret.operators.rank import exact_quantiles, global_rank
 # ----------------------------------------------------------------------------
 
 
-def fit_medians(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
-    """Exact medians (midpoint of the two middle values for even counts)."""
+def fit_medians(df: DataFrame, cols: list[str], approximate: bool = False,
+                accuracy: int = 10_000) -> dict[str, float | None]:
+    """Exact medians (midpoint of the two middle values for even counts).
+
+    ``approximate=True`` trades exactness for one pass (``percentile_approx``).
+    """
+    if approximate:
+        if not cols:
+            return {}
+        r = df.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy).alias(f"m{i}")
+                     for i, c in enumerate(cols)]).collect()[0]
+        return {c: r[f"m{i}"] for i, c in enumerate(cols)}
     q = exact_quantiles(df, cols, [0.5])
     return {c: q[(c, 0.5)] for c in cols}
 
@@ -325,21 +335,25 @@ class TargetEncoding:
 
 def fit_target_encoding(df: DataFrame, cols: list[str], target: str, min_samples_leaf: int = 1,
                         smoothing: float = 1.0, single_to_prior: bool = True,
-                        max_literal: int = 10_000) -> TargetEncoding:
+                        max_literal: int = 10_000, method: str = "sigmoid") -> TargetEncoding:
     """Smoothed per-category target mean.
 
-    weight = 1 / (1 + exp(-(count - min_samples_leaf) / smoothing));
-    encoding = prior * (1 - weight) + mean * weight; a category seen once gets
-    the prior when ``single_to_prior``.  Unseen categories get the prior.
+    ``method='sigmoid'`` (default): weight = 1 / (1 + exp(-(count - min_samples_leaf) / smoothing)),
+    and a category seen once gets the prior when ``single_to_prior``.
+    ``method='additive'``: weight = count / (count + smoothing) (Spark's own encoder).
+    encoding = prior * (1 - weight) + mean * weight.  Unseen categories get the prior.
     """
     prior = df.agg(F.avg(target).alias("p")).collect()[0]["p"]
     long = unpivot_values(df.select(*cols, target), cols, ids=[target], cast="string") \
         .where(F.col("value").isNotNull())
     stats = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"),
                                                  F.avg(target).alias("mean"))
-    w = 1.0 / (1.0 + F.exp(-(F.col("n") - F.lit(min_samples_leaf)) / F.lit(smoothing)))
+    if method == "additive":
+        w = F.col("n") / (F.col("n") + F.lit(smoothing))
+    else:
+        w = 1.0 / (1.0 + F.exp(-(F.col("n") - F.lit(min_samples_leaf)) / F.lit(smoothing)))
     enc = F.lit(prior) * (1.0 - w) + F.col("mean") * w
-    if single_to_prior:
+    if single_to_prior and method != "additive":
         enc = F.when(F.col("n") == 1, F.lit(prior)).otherwise(enc)
     table = stats.select("feature", "value", "n", enc.alias("encoding")).cache()
     sizes = {r["feature"]: r["c"] for r in table.groupBy("feature").agg(F.count(F.lit(1)).alias("c")).collect()}

@@ -37,12 +37,37 @@ class ModelSpec:
     name: str
     problem: str
     params: dict = field(default_factory=dict)
+    custom: object | None = None      # a user-supplied pyspark.ml Estimator
 
     @property
     def identifier(self) -> str:
         inner = ",".join(f"{k}={v}" for k, v in sorted(self.params.items()))
         return f"{self.name}({inner})"
 
+    @classmethod
+    def from_estimator(cls, est, problem: str) -> "ModelSpec":
+        """Spec for any Estimator; identifier = class name + its explicitly set params."""
+        params = {p.name: v for p, v in est.extractParamMap().items()
+                  if est.isSet(p) and p.name not in ("featuresCol", "labelCol")}
+        return cls(type(est).__name__, problem, params, custom=est)
+
+
+class ModelRegistry:
+    """The model set of a run: defaults, dummies and user estimators (``add_model``)."""
+
+    def __init__(self, problem: str, n_train: int, use_default_models: bool = True,
+                 use_dummy_models: bool = True, seed: int = 42):
+        self.problem = problem
+        self.specs = default_specs(problem, n_train, use_default_models, use_dummy_models, seed)
+
+    def add_model(self, estimator) -> ModelSpec:
+        spec = ModelSpec.from_estimator(estimator, self.problem)
+        self.specs = [s for s in self.specs if s.identifier != spec.identifier] + [spec]
+        return spec
+
+    def table(self, spark) -> DataFrame:
+        return registry_table(spark, self.specs)
+
     def row(self):
         return (self.identifier, self.problem, self.name, {k: str(v) for k, v in self.params.items()})
 
@@ -95,6 +120,8 @@ def estimator(spec: ModelSpec, label: str):
     """The Spark estimator for a spec (dummy models are handled without an estimator)."""
     p, cls = dict(spec.params), spec.problem == "classification"
     common = {"featuresCol": FEATURES, "labelCol": label}
+    if spec.custom is not None:
+        return spec.custom.copy({spec.custom.featuresCol: FEATURES, spec.custom.labelCol: label})
     if spec.name == "decision_tree":
         e = C.DecisionTreeClassifier if cls else R.DecisionTreeRegressor
         return e(maxDepth=p.get("maxDepth", 30), seed=p.get("seed", 42), **common)

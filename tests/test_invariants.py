@@ -221,3 +221,30 @@ def test_wide_nullity_path_matches(spark, monkeypatch):
     monkeypatch.setattr(Nu, "WIDE", 2)
     b = sorted(tuple(r) for r in Nu.nullity_distance(f).collect())
     assert a == b
+
+
+def test_registry_add_model_custom_estimator(spark):
+    from pyspark.ml.regression import GeneralizedLinearRegression
+    from ferret.plans.q_models import FEATS, _split
+    tr, va = _split(spark, SF_SMALL)
+    reg = Mo.ModelRegistry("regression", tr.count(), use_default_models=False)
+    spec = reg.add_model(GeneralizedLinearRegression(family="gaussian", regParam=0.0))
+    assert spec.identifier.startswith("GeneralizedLinearRegression(")
+    assert {s.name for s in reg.specs} == {"dummy_median", "dummy_mean", "GeneralizedLinearRegression"}
+    fm = Mo.fit_model(spec, tr, FEATS, "y")
+    pred = Mo.predict(fm, va).join(va.select("row_id", "y"), "row_id")
+    err = pred.agg(F.max(F.abs(F.col("prediction") - F.col("y")))).collect()[0][0]
+    assert err < 1e-6
+
+
+def test_additive_target_encoding(spark):
+    train = spark.createDataFrame([("a", 1), ("a", 0), ("b", 1)], "c string, y int")
+    te = C.fit_target_encoding(train, ["c"], "y", smoothing=1.0, method="additive")
+    prior = 2 / 3
+    assert te.small["c"]["a"] == pytest.approx(prior * (1 - 2 / 3) + 0.5 * 2 / 3)
+    assert te.small["c"]["b"] == pytest.approx(prior * 0.5 + 1.0 * 0.5)
+
+
+def test_approximate_median_option(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(1001)], "x double")
+    assert C.fit_medians(df, ["x"], approximate=True)["x"] == pytest.approx(500, abs=1)
