@@ -51,6 +51,9 @@ class ModelSpec:
                   if est.isSet(p) and p.name not in ("featuresCol", "labelCol")}
         return cls(type(est).__name__, problem, params, custom=est)
 
+    def row(self):
+        return (self.identifier, self.problem, self.name, {k: str(v) for k, v in self.params.items()})
+
 
 class ModelRegistry:
     """The model set of a run: defaults, dummies and user estimators (``add_model``)."""
@@ -68,9 +71,6 @@ class ModelRegistry:
     def table(self, spark) -> DataFrame:
         return registry_table(spark, self.specs)
 
-    def row(self):
-        return (self.identifier, self.problem, self.name, {k: str(v) for k, v in self.params.items()})
-
 
 def default_specs(problem: str, n_train: int, use_default_models: bool = True,
                   use_dummy_models: bool = True, seed: int = 42) -> list[ModelSpec]:

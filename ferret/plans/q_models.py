@@ -175,3 +175,22 @@ def q_top_coefficients(spark, sf):
     spec = Mo.ModelSpec("linear_regression", "regression", {"regParam": 0.0})
     return Mo.top_coefficients(Mo.fit_model(spec, tr, FEATS, "y"), 15).select(
         "feature", F.round("coefficient", 6).alias("coefficient"))
+
+
+@query("model_comparison")
+def q_model_comparison(spark, sf):
+    """The whole flow on the orders frame: clean, fit every default and dummy classifier, rank."""
+    from ferret.plans import frames
+    from ferret.plans.model_run import run_flow
+    out = run_flow(frames.orders_frame(spark, sf), "classification", "label", "row_id", RunStore(spark))
+    return out["leaderboard"]
+
+
+@query("model_comparison_regression")
+def q_model_comparison_regression(spark, sf):
+    """Regression flow on the model frame (target y, log1p-transformed by the cleaning run)."""
+    from ferret.plans import frames
+    from ferret.plans.model_run import run_flow
+    f = frames.model_frame(spark, sf).drop("label", "sep")
+    out = run_flow(f, "regression", "y", "row_id", RunStore(spark))
+    return out["leaderboard"]

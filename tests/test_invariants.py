@@ -248,3 +248,19 @@ def test_additive_target_encoding(spark):
 def test_approximate_median_option(spark):
     df = spark.createDataFrame([(float(i),) for i in range(1001)], "x double")
     assert C.fit_medians(df, ["x"], approximate=True)["x"] == pytest.approx(500, abs=1)
+
+
+def test_flow_regression_end_to_end(spark):
+    """The reference's flow test, made strict: every stage table has rows, stored tables are filled."""
+    from ferret.plans.model_run import run_flow
+    from ferret.sources.runs import RunStore
+    f = frames.model_frame(spark, SF_SMALL).drop("label", "sep")
+    store = RunStore(spark)
+    out = run_flow(f, "regression", "y", "row_id", store, threads=4)
+    for name in ("untransformed", "imputed", "transformed", "train_target", "valid_target"):
+        assert out["tables"][name].limit(1).count() == 1
+    for name in ("predictions", "scores", "models", "fit_models", "features"):
+        assert store.table(name).limit(1).count() == 1
+    board = out["leaderboard"].collect()
+    assert board[0]["score"] > 0.8 and board[-1]["identifier"].startswith("dummy_")
+    assert isinstance(out["features"], list) and "y" not in out["features"]
