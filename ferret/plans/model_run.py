@@ -9,6 +9,8 @@ way the reference's command line does.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,7 +47,7 @@ def compare_models(transformed: DataFrame, target: str, problem: str, key: str =
         store.append_row("scores", scores.select("identifier", F.lit("valid").alias("dataset"), "score"))
         for ident, fm in fitted.items():
             if fm.model is not None:
-                path = store.path("fit_models/" + str(abs(hash(ident))))
+                path = store.path("saved_models/" + hashlib.md5(ident.encode()).hexdigest())
                 Mo.save_model(fm, path)
                 store.append_row("fit_models", store.spark.createDataFrame(
                     [(ident, "train", path)], "identifier string, dataset string, path string"))

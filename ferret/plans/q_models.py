@@ -126,8 +126,8 @@ def q_fit_model(spark, sf):
     spec = Mo.ModelSpec("linear_regression", "regression", {"regParam": 0.0})
     fm = Mo.fit_model(spec, tr, FEATS, "y")
     store = RunStore(spark)
-    Mo.save_model(fm, store.path("fit_models/" + "linear_regression"))
-    back = Mo.load_model(spec, store.path("fit_models/linear_regression"), FEATS, "y")
+    Mo.save_model(fm, store.path("saved_models/linear_regression"))
+    back = Mo.load_model(spec, store.path("saved_models/linear_regression"), FEATS, "y")
     return Mo.coefficients(back).select("feature", F.round("coefficient", 6).alias("coefficient"))
 
 
@@ -137,8 +137,8 @@ def q_predict_model(spark, sf):
     spec = Mo.ModelSpec("logistic_regression", "classification", {"regParam": 1.0 / tr.count()})
     fm = Mo.fit_model(spec, tr, FEATS, "sep")
     store = RunStore(spark)
-    Mo.save_model(fm, store.path("fit_models/logistic_regression"))
-    back = Mo.load_model(spec, store.path("fit_models/logistic_regression"), FEATS, "sep")
+    Mo.save_model(fm, store.path("saved_models/logistic_regression"))
+    back = Mo.load_model(spec, store.path("saved_models/logistic_regression"), FEATS, "sep")
     return Mo.predict(back, va)
 
 

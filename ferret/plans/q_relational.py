@@ -203,26 +203,35 @@ def q_drop_table(spark, sf):
     return store.table("data_tables")
 
 
-_UPSERT_SQL = with_frame("", "scored_many").rstrip() + """
-SELECT identifier, 'score' AS model_type,
-       CAST(round(avg(CASE WHEN y_pred = y_true THEN 1.0e0 ELSE 0.0e0 END), 6) AS VARCHAR) AS accuracy,
-       CAST(CASE WHEN identifier = 'm3' THEN 1 ELSE 2 END AS BIGINT) AS version
-FROM f WHERE identifier = 'm3' AND doc_id % 2 = 0 OR identifier <> 'm3'
-GROUP BY identifier"""
+_UPSERT_SQL = with_frame("", "scored_many").rstrip() + """,
+acc AS (SELECT identifier, 'accuracy' AS metric,
+        round(avg(CASE WHEN y_pred = y_true THEN 1.0e0 ELSE 0.0e0 END), 6) AS v FROM f GROUP BY 1),
+prec AS (SELECT identifier, 'precision' AS metric,
+        round(sum(CASE WHEN y_pred = 1 AND y_true = 1 THEN 1.0e0 ELSE 0.0e0 END)
+              / sum(CASE WHEN y_pred = 1 THEN 1.0e0 ELSE 0.0e0 END), 6) AS v
+        FROM f WHERE identifier <> 'm3' GROUP BY 1)
+SELECT identifier, 'score' AS model_type, metric, CAST(v AS VARCHAR) AS value, CAST(2 AS BIGINT) AS version FROM prec
+UNION ALL
+SELECT identifier, 'score', metric, CAST(v AS VARCHAR), CAST(1 AS BIGINT) FROM acc WHERE identifier = 'm3'"""
 
 
 @query("upsert_model", _UPSERT_SQL)
 def q_upsert_model(spark, sf):
+    """REPLACE INTO models keyed by identifier: v1 stores every model's accuracy, v2 replaces
+    the specs of m1 and m2 with their precision; the latest version of each identifier wins."""
     store = RunStore(spark)
     store.create_run_tables()
     sm = frames.scored_many(spark, sf)
+    hit = F.when(F.col("y_pred") == F.col("y_true"), 1.0).otherwise(0.0)
+    tp = F.when((F.col("y_pred") == 1) & (F.col("y_true") == 1), 1.0).otherwise(0.0)
+    pp = F.when(F.col("y_pred") == 1, 1.0).otherwise(0.0)
 
-    def specs(df):
-        acc = F.round(F.avg(F.when(F.col("y_pred") == F.col("y_true"), 1.0).otherwise(0.0)), 6)
-        return df.groupBy("identifier").agg(acc.cast("string").alias("acc")).select(
+    def specs(df, metric, value):
+        return df.groupBy("identifier").agg(F.round(value, 6).cast("string").alias("v")).select(
             "identifier", F.lit("score").alias("model_type"),
-            F.create_map(F.lit("accuracy"), F.col("acc")).alias("params"))
+            F.create_map(F.lit("metric"), F.lit(metric), F.lit("value"), F.col("v")).alias("params"))
 
-    store.upsert_model(specs(sm.where(F.col("doc_id") % 2 == 0)))
-    out = store.upsert_model(specs(sm.where(F.col("identifier") != "m3")))
-    return out.select("identifier", "model_type", F.col("params")["accuracy"].alias("accuracy"), "version")
+    store.upsert_model(specs(sm, "accuracy", F.avg(hit)))
+    out = store.upsert_model(specs(sm.where(F.col("identifier") != "m3"), "precision", F.sum(tp) / F.sum(pp)))
+    return out.select("identifier", "model_type", F.col("params")["metric"].alias("metric"),
+                      F.col("params")["value"].alias("value"), "version")
