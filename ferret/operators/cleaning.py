@@ -445,8 +445,13 @@ def _bin_expr(model: HBOSModel, c: str) -> Column:
                   F.floor((x - F.lit(model.lo[c])) / F.lit(model.width[c])).cast("int")))
 
 
+HBOS_UNROLL_MAX = 16  # up to this many features the score is unrolled (codegen); above, one HOF
+
+
 def hbos_score(model: HBOSModel) -> Column:
     """Outlier score = -sum over features of log2(density(bin) + alpha)."""
+    if len(model.cols) > HBOS_UNROLL_MAX:
+        return _hbos_score_hof(model)
     total = None
     for c in model.cols:
         x = F.col(c).cast("double")
@@ -464,6 +469,30 @@ def hbos_score(model: HBOSModel) -> Column:
     return (-total).alias("hbos_score")
 
 
+def _hbos_score_hof(model: HBOSModel) -> Column:
+    """Same score as one ``aggregate`` over the feature index: the expression size does not
+    grow with the number of features (per-feature parameters are literal arrays)."""
+    cols, nb, tol = model.cols, model.n_bins, model.tol
+    xs = F.array(*[F.col(c).cast("double") for c in cols])
+    los = F.array(*[F.lit(model.lo[c]) for c in cols])
+    ws = F.array(*[F.lit(model.width[c]) for c in cols])
+    lds = F.array(*[F.array(*[F.lit(v) for v in model.log_density[c]]) for c in cols])
+    worst = F.array(*[F.lit(min(model.log_density[c])) for c in cols])
+
+    def term(acc, i):
+        x, lo, w, ld, bad = F.get(xs, i), F.get(los, i), F.get(ws, i), F.get(lds, i), F.get(worst, i)
+        hi = lo + w * F.lit(float(nb))
+        b = F.least(F.lit(nb - 1), F.floor((x - lo) / w).cast("int"))
+        t = (F.when(x.isNull(), bad)
+             .when(x < lo, F.when(lo - x <= w * F.lit(tol), F.get(ld, F.lit(0))).otherwise(bad))
+             .when(x > hi, F.when(x - hi <= w * F.lit(tol), F.get(ld, F.lit(nb - 1))).otherwise(bad))
+             .otherwise(F.get(ld, b)))
+        return acc + t
+
+    total = F.aggregate(F.sequence(F.lit(0), F.lit(len(cols) - 1)), F.lit(0.0), term)
+    return (-total).alias("hbos_score")
+
+
 def fit_hbos_threshold(scored_train: DataFrame, contamination: float = 0.1,
                        score_col: str = "hbos_score") -> float:
     q = 1.0 - contamination

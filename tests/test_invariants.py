@@ -264,3 +264,15 @@ def test_flow_regression_end_to_end(spark):
     board = out["leaderboard"].collect()
     assert board[0]["score"] > 0.8 and board[-1]["identifier"].startswith("dummy_")
     assert isinstance(out["features"], list) and "y" not in out["features"]
+
+
+def test_hbos_wide_path_matches_unrolled(spark, monkeypatch):
+    f = frames.orders_frame(spark, SF_SMALL).select("row_id", "price", "acctbal", "bucket", "nationkey")
+    cols = ["price", "acctbal", "bucket", "nationkey"]
+    hb = C.fit_hbos(f.na.drop(), cols)
+    a = {r["row_id"]: r["hbos_score"] for r in f.select("row_id", C.hbos_score(hb)).collect()}
+    monkeypatch.setattr(C, "HBOS_UNROLL_MAX", 1)
+    b = {r["row_id"]: r["hbos_score"] for r in f.select("row_id", C.hbos_score(hb)).collect()}
+    assert a.keys() == b.keys()
+    for k, v in a.items():
+        assert b[k] == pytest.approx(v, abs=1e-12)
