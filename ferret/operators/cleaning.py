@@ -80,12 +80,20 @@ def fill_null_zero(df: DataFrame) -> DataFrame:
 # ----------------------------------------------------------------------------
 
 
-def fit_missing_flags(df: DataFrame, cols: list[str]) -> list[str]:
-    """Columns (in order) with at least one missing value in ``df``."""
-    if not cols:
-        return []
-    r = df.agg(*[F.max(is_missing(df, c).cast("int")).alias(f"m{i}") for i, c in enumerate(cols)]).collect()[0]
-    return [c for i, c in enumerate(cols) if r[f"m{i}"]]
+def fit_missing_flags(df: DataFrame, cols: list[str], extra: list[Column] | None = None):
+    """Columns (in order) with at least one missing value in ``df``.
+
+    ``extra`` aggregates ride along in the same pass; then (flags, their values) is returned.
+    """
+    extra = extra or []
+    if not cols and not extra:
+        return ([], []) if extra else []
+    r = df.agg(*[F.max(is_missing(df, c).cast("int")).alias(f"m{i}") for i, c in enumerate(cols)],
+               *[e.alias(f"x{j}") for j, e in enumerate(extra)]).collect()[0]
+    flags = [c for i, c in enumerate(cols) if r[f"m{i}"]]
+    if extra:
+        return flags, [r[f"x{j}"] for j in range(len(extra))]
+    return flags
 
 
 def missing_flags(df: DataFrame, cols: list[str], prefix: str = "missing_") -> list[Column]:
@@ -335,7 +343,8 @@ class TargetEncoding:
 
 def fit_target_encoding(df: DataFrame, cols: list[str], target: str, min_samples_leaf: int = 1,
                         smoothing: float = 1.0, single_to_prior: bool = True,
-                        max_literal: int = 10_000, method: str = "sigmoid") -> TargetEncoding:
+                        max_literal: int = 10_000, method: str = "sigmoid",
+                        prior: float | None = None) -> TargetEncoding:
     """Smoothed per-category target mean.
 
     ``method='sigmoid'`` (default): weight = 1 / (1 + exp(-(count - min_samples_leaf) / smoothing)),
@@ -343,7 +352,8 @@ def fit_target_encoding(df: DataFrame, cols: list[str], target: str, min_samples
     ``method='additive'``: weight = count / (count + smoothing) (Spark's own encoder).
     encoding = prior * (1 - weight) + mean * weight.  Unseen categories get the prior.
     """
-    prior = df.agg(F.avg(target).alias("p")).collect()[0]["p"]
+    if prior is None:
+        prior = df.agg(F.avg(target).alias("p")).collect()[0]["p"]
     long = unpivot_values(df.select(*cols, target), cols, ids=[target], cast="string") \
         .where(F.col("value").isNotNull())
     stats = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"),

@@ -156,7 +156,8 @@ class CleaningPlan:
         train = sp.where(F.col("split") == "train").persist(StorageLevel.MEMORY_AND_DISK)
         numeric, categoric = roles["numeric"], roles["categoric"]
         feats = list(dict.fromkeys(numeric + categoric))
-        flags = C.fit_missing_flags(train, feats)
+        # one pass: which features have a train null, and the target prior for the encoder
+        flags, (prior,) = C.fit_missing_flags(train, feats, [F.avg(C.log1p_target(self.target, kind))])
         medians = C.fit_medians(train, numeric)
         modes = C.fit_modes(train, categoric)
         imp = train.select(*[C.impute(c, medians[c]).alias(c) for c in numeric],
@@ -168,7 +169,7 @@ class CleaningPlan:
             power = {c: C.PowerFit(self.fixed_lambda, float("nan")) for c in numeric}
             C.fit_standardize(imp, numeric, power, self.method)
         te = C.fit_target_encoding(imp, ["__cat_" + c for c in categoric], "__y",
-                                   self.min_samples_leaf, self.smoothing)
+                                   self.min_samples_leaf, self.smoothing, prior=prior)
         te = C.TargetEncoding(te.prior, te.table.withColumn("feature", F.regexp_replace("feature", "^__cat_", "")),
                               {k[len("__cat_"):]: v for k, v in te.small.items()})
         model = CleaningModel(self.target, kind, self.key, roles, numeric, categoric, flags,
