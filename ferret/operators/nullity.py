@@ -57,14 +57,15 @@ def nullity_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     Also returns the pattern as a readable string of 0/1 in column order.
     """
     cols = list(cols or df.columns)
-    if len(cols) > 62:
-        raise ValueError("nullity_matrix: at most 62 columns per pattern")
+    flags = F.concat(*[F.when(is_missing(df, c), "1").otherwise("0") for c in cols])
+    if len(cols) > 62:  # wider than a bigint mask: the flag string alone is the pattern
+        return (df.select(F.lit(None).cast("bigint").alias("pattern"), flags.alias("flags"))
+                .groupBy("pattern", "flags").agg(F.count(F.lit(1)).alias("n_rows")))
     bits = [F.when(is_missing(df, c), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint")
             for i, c in enumerate(cols)]
     mask = bits[0]
     for b in bits[1:]:
         mask = mask + b
-    flags = F.concat(*[F.when(is_missing(df, c), "1").otherwise("0") for c in cols])
     return (df.select(mask.alias("pattern"), flags.alias("flags"))
             .groupBy("pattern", "flags").agg(F.count(F.lit(1)).alias("n_rows")))
 

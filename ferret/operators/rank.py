@@ -92,8 +92,23 @@ def running_totals(df: DataFrame, order: list[Column | str], value_cols: list[st
     return out.drop(*drop)
 
 
+SKETCH_COLS_PER_PASS = 8  # each accuracy-1e6 sketch may hold ~1e6 entries per task: bound the sum
+
+
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
                     accuracy: int = 1_000_000) -> dict[tuple[str, float], float | None]:
+    """Exact quantiles of each column; columns are processed ``SKETCH_COLS_PER_PASS`` at a time
+    so the sketches held by one task stay bounded however wide the table is."""
+    out: dict[tuple[str, float], float | None] = {}
+    for i in range(0, len(cols), SKETCH_COLS_PER_PASS):
+        out.update(_exact_quantiles(df, cols[i:i + SKETCH_COLS_PER_PASS], probs, accuracy))
+    if not cols:
+        return {}
+    return out
+
+
+def _exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
+                     accuracy: int = 1_000_000) -> dict[tuple[str, float], float | None]:
     """Exact quantiles (linear interpolation, as ``quantile_cont``) of each column.
 
     Two passes over ``df``: (1) count + an approximate bracket [lo, hi] around
