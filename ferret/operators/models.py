@@ -241,8 +241,15 @@ def fit_many(specs: list[ModelSpec], train: DataFrame, valid: DataFrame, feature
     """Fit every spec (concurrent Spark jobs) and return (fitted by identifier, long predictions)."""
     train = train.select(key, label, *feature_cols).cache()
 
+    sc = train.sparkSession.sparkContext
+
     def one(spec):
-        return spec.identifier, fit_model(spec, train, feature_cols, label)
+        # one scheduler pool per model so FAIR mode interleaves the fits
+        sc.setLocalProperty("spark.scheduler.pool", spec.name)
+        try:
+            return spec.identifier, fit_model(spec, train, feature_cols, label)
+        finally:
+            sc.setLocalProperty("spark.scheduler.pool", None)
 
     try:
         with ThreadPoolExecutor(max_workers=threads) as ex:
@@ -256,6 +263,16 @@ def fit_many(specs: list[ModelSpec], train: DataFrame, valid: DataFrame, feature
     return fitted, preds
 
 
+def gaussian_nb_params(fm: FittedModel) -> DataFrame:
+    """(class, feature, mean, variance) of a fitted Gaussian naive Bayes model."""
+    m = fm.model.stages[-1]
+    theta, sigma = m.theta.toArray(), m.sigma.toArray()
+    labels = [float(x) for x in range(theta.shape[0])]
+    rows = [(labels[i], f, float(theta[i, j]), float(sigma[i, j]))
+            for i in range(theta.shape[0]) for j, f in enumerate(fm.feature_cols)]
+    return _spark().createDataFrame(rows, "class double, feature string, mean double, variance double")
+
+
 def feature_importances(fm: FittedModel) -> DataFrame:
     """(feature, importance) descending, for tree models."""
     m = fm.model.stages[-1]

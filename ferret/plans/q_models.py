@@ -81,11 +81,12 @@ _U = f"CAST({hash32_sql('row_id', 43)} AS DOUBLE) / {float(1 << 32)}"
 @query("dummy_classifier", MODEL_INPUTS_SQL + f""", pr AS (SELECT avg(CASE WHEN sep = 0 THEN 1.0e0 ELSE 0.0e0 END) AS p0,
  CASE WHEN sum(sep) > count(*) - sum(sep) THEN 1.0e0 ELSE 0.0e0 END AS mf FROM tr)
 SELECT row_id, 'most_frequent' AS strategy, mf AS prediction FROM va, pr
-UNION ALL SELECT row_id, 'stratified', CASE WHEN {_U} < p0 THEN 0.0e0 ELSE 1.0e0 END FROM va, pr""")
+UNION ALL SELECT row_id, 'stratified', CASE WHEN {_U} < p0 THEN 0.0e0 ELSE 1.0e0 END FROM va, pr
+UNION ALL SELECT row_id, 'uniform', CASE WHEN floor({_U} * 2) = 0 THEN 0.0e0 ELSE 1.0e0 END FROM va""")
 def q_dummy_classifier(spark, sf):
     tr, va = _split(spark, sf)
     out = None
-    for strat in ("most_frequent", "stratified"):
+    for strat in ("most_frequent", "stratified", "uniform"):
         fm = Mo.fit_model(Mo.ModelSpec(f"dummy_{strat}", "classification", {"seed": 42}), tr, FEATS, "sep")
         p = Mo.predict(fm, va).select("row_id", F.lit(strat).alias("strategy"), "prediction")
         out = p if out is None else out.unionByName(p)
@@ -194,3 +195,21 @@ def q_model_comparison_regression(spark, sf):
     f = frames.model_frame(spark, sf).drop("label", "sep")
     out = run_flow(f, "regression", "y", "row_id", RunStore(spark))
     return out["leaderboard"]
+
+
+@query("gaussian_nb_params", MODEL_INPUTS_SQL + """, v AS (SELECT max(v) AS mx FROM (
+   SELECT var_pop(price_k) AS v FROM tr UNION ALL SELECT var_pop(acctbal_k) FROM tr
+   UNION ALL SELECT var_pop(nationkey) FROM tr) t)
+SELECT CAST(sep AS DOUBLE) AS class, 'price_k' AS feature, round(avg(price_k), 6) AS mean,
+       round(var_pop(price_k) + 1.0e-9 * max(mx), 4) AS variance FROM tr, v GROUP BY sep
+UNION ALL SELECT CAST(sep AS DOUBLE), 'acctbal_k', round(avg(acctbal_k), 6), round(var_pop(acctbal_k) + 1.0e-9 * max(mx), 4)
+  FROM tr, v GROUP BY sep
+UNION ALL SELECT CAST(sep AS DOUBLE), 'nationkey', round(avg(nationkey), 6), round(var_pop(nationkey) + 1.0e-9 * max(mx), 4)
+  FROM tr, v GROUP BY sep""")
+def q_gaussian_nb_params(spark, sf):
+    """Per-class means and variances of the fitted Gaussian naive Bayes model (variance
+    smoothed by 1e-9 x the largest feature variance)."""
+    tr, _ = _split(spark, sf)
+    fm = Mo.fit_model(Mo.ModelSpec("gaussian_nb", "classification"), tr, FEATS, "sep")
+    return Mo.gaussian_nb_params(fm).select("class", "feature", F.round("mean", 6).alias("mean"),
+                                            F.round("variance", 4).alias("variance"))

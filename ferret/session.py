@@ -17,6 +17,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # concurrent model fits (driver threads) share the executors instead of queueing
+    "spark.scheduler.mode": "FAIR",
     # rank / running-total checkpoints are dropped once their DataFrame is unreachable
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
