@@ -114,13 +114,30 @@ def _estimator_query(name: str, problem: str):
 
 for _name in Mo.CLASSIFIERS:
     query(_name)(_estimator_query(_name, "classification"))
-for _name in ["linear_regression", "ridge", "elastic_net"]:
+for _name in ["ridge", "elastic_net"]:
     query(_name)(_estimator_query(_name, "regression"))
 for _name in ["decision_tree", "random_forest", "gradient_boosting"]:
     query(_name + "_regressor")(_estimator_query(_name, "regression"))
 
 
-@query("fit_model")
+OLS_SQL = MODEL_INPUTS_SQL + """, c AS (SELECT
+  var_pop(price_k) AS c11, covar_pop(price_k, acctbal_k) AS c12, covar_pop(price_k, nationkey) AS c13,
+  var_pop(acctbal_k) AS c22, covar_pop(acctbal_k, nationkey) AS c23, var_pop(nationkey) AS c33,
+  covar_pop(price_k, y) AS b1, covar_pop(acctbal_k, y) AS b2, covar_pop(nationkey, y) AS b3,
+  avg(price_k) AS m1, avg(acctbal_k) AS m2, avg(nationkey) AS m3, avg(y) AS my FROM tr),
+d AS (SELECT *, c11 * (c22 * c33 - c23 * c23) - c12 * (c12 * c33 - c23 * c13) + c13 * (c12 * c23 - c22 * c13) AS det
+      FROM c),
+beta AS (SELECT *,
+  (b1 * (c22 * c33 - c23 * c23) - c12 * (b2 * c33 - c23 * b3) + c13 * (b2 * c23 - c22 * b3)) / det AS w1,
+  (c11 * (b2 * c33 - b3 * c23) - b1 * (c12 * c33 - c23 * c13) + c13 * (c12 * b3 - b2 * c13)) / det AS w2,
+  (c11 * (c22 * b3 - c23 * b2) - c12 * (c12 * b3 - b2 * c13) + b1 * (c12 * c23 - c22 * c13)) / det AS w3 FROM d),
+coef AS (SELECT 'price_k' AS feature, w1 AS coefficient FROM beta
+  UNION ALL SELECT 'acctbal_k', w2 FROM beta UNION ALL SELECT 'nationkey', w3 FROM beta
+  UNION ALL SELECT 'intercept', my - w1 * m1 - w2 * m2 - w3 * m3 FROM beta)
+"""
+
+
+@query("fit_model", OLS_SQL + "SELECT feature, round(coefficient, 6) AS coefficient FROM coef")
 def q_fit_model(spark, sf):
     """Fit, store under the run folder, load back: coefficients of the stored OLS model."""
     tr, _ = _split(spark, sf)
@@ -170,7 +187,8 @@ def q_feature_importances(spark, sf):
     return Mo.feature_importances(Mo.fit_model(spec, tr, FEATS, "sep"))
 
 
-@query("top_coefficients")
+@query("top_coefficients", OLS_SQL + """SELECT feature, round(coefficient, 6) AS coefficient FROM coef
+ WHERE feature <> 'intercept' ORDER BY abs(coefficient) DESC, feature LIMIT 15""")
 def q_top_coefficients(spark, sf):
     tr, _ = _split(spark, sf)
     spec = Mo.ModelSpec("linear_regression", "regression", {"regParam": 0.0})
@@ -213,3 +231,15 @@ def q_gaussian_nb_params(spark, sf):
     fm = Mo.fit_model(Mo.ModelSpec("gaussian_nb", "classification"), tr, FEATS, "sep")
     return Mo.gaussian_nb_params(fm).select("class", "feature", F.round("mean", 6).alias("mean"),
                                             F.round("variance", 4).alias("variance"))
+
+
+@query("linear_regression", OLS_SQL + """SELECT va.row_id,
+ round((SELECT coefficient FROM coef WHERE feature = 'intercept')
+       + price_k * (SELECT coefficient FROM coef WHERE feature = 'price_k')
+       + acctbal_k * (SELECT coefficient FROM coef WHERE feature = 'acctbal_k')
+       + nationkey * (SELECT coefficient FROM coef WHERE feature = 'nationkey'), 6) AS prediction,
+ CAST(NULL AS DOUBLE) AS probability FROM va""")
+def q_linear_regression(spark, sf):
+    """Ordinary least squares (normal equations) on the exact linear target; valid predictions."""
+    out = _estimator_query("linear_regression", "regression")(spark, sf)
+    return out.select("row_id", F.round("prediction", 6).alias("prediction"), "probability")
