@@ -120,9 +120,12 @@ def _curve_base(df: DataFrame, y_true: str, score: str, group: str | None, pos_l
     return cum
 
 
-def roc_curve(df: DataFrame, y_true: str, score: str, group: str | None = None, pos_label=1) -> DataFrame:
-    """(fpr, tpr, threshold) at every distinct score, plus the (0, 0, +inf) start."""
-    base = _curve_base(df, y_true, score, group, pos_label)
+def curve_base(df: DataFrame, y_true: str, score: str, group: str | None = None, pos_label=1) -> DataFrame:
+    """The shared input of every curve metric (compute once, derive several reports)."""
+    return _curve_base(df, y_true, score, group, pos_label)
+
+
+def roc_from(base: DataFrame, group: str | None = None) -> DataFrame:
     pts = base.select(*_g(group), F.try_divide(F.col("cum_neg"), F.col("N")).alias("fpr"),
                       F.try_divide(F.col("cum_pos"), F.col("P")).alias("tpr"), "threshold")
     start = base.groupBy(*_g(group)).agg(F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"),
@@ -131,10 +134,7 @@ def roc_curve(df: DataFrame, y_true: str, score: str, group: str | None = None,
                                          "threshold")
 
 
-def pr_curve(df: DataFrame, y_true: str, score: str, group: str | None = None, pos_label=1) -> DataFrame:
-    """(precision, recall, threshold) from the highest score down to the first full-recall
-    threshold, plus the (1, 0, NULL) end point."""
-    base = _curve_base(df, y_true, score, group, pos_label)
+def pr_from(base: DataFrame, group: str | None = None) -> DataFrame:
     kept = base.where(F.col("cum_pos") - F.col("pos") < F.col("P"))
     pts = kept.select(*_g(group), (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("precision"),
                       F.try_divide(F.col("cum_pos"), F.col("P")).alias("recall"), "threshold")
@@ -144,25 +144,42 @@ def pr_curve(df: DataFrame, y_true: str, score: str, group: str | None = None, p
                                        "threshold")
 
 
-def roc_auc(df: DataFrame, y_true: str, score: str, group: str | None = None, pos_label=1) -> DataFrame:
-    """Exact area under ROC (rank-sum with average ranks for ties); also as % rounded to 2."""
-    base = _curve_base(df, y_true, score, group, pos_label)
+def auc_from(base: DataFrame, group: str | None = None) -> DataFrame:
     term = F.col("pos") * (F.col("N") - F.col("cum_neg") + 0.5 * F.col("neg"))
     auc = base.groupBy(*_g(group)).agg(F.try_divide(F.sum(term), F.first("P") * F.first("N")).alias("auc"))
     return auc.select(*_g(group), F.round("auc", 6).alias("roc_auc"),
                       F.round(F.col("auc") * 100, 2).alias("roc_auc_pct"))
 
 
-def average_precision(df: DataFrame, y_true: str, score: str, group: str | None = None,
-                      pos_label=1) -> DataFrame:
-    """AP = sum over thresholds of (R_n - R_{n-1}) * P_n; also as % rounded to 2."""
-    base = _curve_base(df, y_true, score, group, pos_label)
+def ap_from(base: DataFrame, group: str | None = None) -> DataFrame:
     term = F.col("pos") * F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))
     ap = base.groupBy(*_g(group)).agg(F.try_divide(F.sum(term), F.first("P")).alias("ap"))
     return ap.select(*_g(group), F.round("ap", 6).alias("average_precision"),
                      F.round(F.col("ap") * 100, 2).alias("average_precision_pct"))
 
 
+def roc_curve(df: DataFrame, y_true: str, score: str, group: str | None = None, pos_label=1) -> DataFrame:
+    """(fpr, tpr, threshold) at every distinct score, plus the (0, 0, +inf) start."""
+    return roc_from(_curve_base(df, y_true, score, group, pos_label), group)
+
+
+def pr_curve(df: DataFrame, y_true: str, score: str, group: str | None = None, pos_label=1) -> DataFrame:
+    """(precision, recall, threshold) from the highest score down to the first full-recall
+    threshold, plus the (1, 0, NULL) end point."""
+    return pr_from(_curve_base(df, y_true, score, group, pos_label), group)
+
+
+def roc_auc(df: DataFrame, y_true: str, score: str, group: str | None = None, pos_label=1) -> DataFrame:
+    """Exact area under ROC (rank-sum with average ranks for ties); also as % rounded to 2."""
+    return auc_from(_curve_base(df, y_true, score, group, pos_label), group)
+
+
+def average_precision(df: DataFrame, y_true: str, score: str, group: str | None = None,
+                      pos_label=1) -> DataFrame:
+    """AP = sum over thresholds of (R_n - R_{n-1}) * P_n; also as % rounded to 2."""
+    return ap_from(_curve_base(df, y_true, score, group, pos_label), group)
+
+
 # ----------------------------------------------------------------------------
 # regression
 # ----------------------------------------------------------------------------

@@ -12,16 +12,16 @@ def classification_viz(df: DataFrame, y_true: str, y_pred: str, score: str | Non
                        labels: list | None = None) -> dict[str, DataFrame]:
     """Report, confusion matrix, ROC and PR curves (on ``score`` when given, else on the
     hard predictions) and the two headline scores, computed on the hard predictions."""
-    curve_on = score or y_pred
-    auc = M.roc_auc(df, y_true, y_pred).select(F.lit("ROC AUC Score").alias("metric"),
-                                               F.col("roc_auc_pct").alias("value"))
-    ap = M.average_precision(df, y_true, y_pred).select(F.lit("Average Precision Score").alias("metric"),
-                                                        F.col("average_precision_pct").alias("value"))
+    hard = M.curve_base(df, y_true, y_pred)          # one running-total pass per score column
+    soft = M.curve_base(df, y_true, score) if score else hard
+    auc = M.auc_from(hard).select(F.lit("ROC AUC Score").alias("metric"), F.col("roc_auc_pct").alias("value"))
+    ap = M.ap_from(hard).select(F.lit("Average Precision Score").alias("metric"),
+                                F.col("average_precision_pct").alias("value"))
     return {
         "report": M.classification_report(df, y_true, y_pred),
         "confusion": M.confusion_matrix(df, y_true, y_pred, labels),
-        "roc": M.roc_curve(df, y_true, curve_on),
-        "pr": M.pr_curve(df, y_true, curve_on),
+        "roc": M.roc_from(soft),
+        "pr": M.pr_from(soft),
         "scores": ap.unionByName(auc),
     }
 

@@ -236,7 +236,14 @@ def q_normality_test_events(spark, sf):
     return _sw_round(N.normality_test(frames.skewed(spark, sf), ["value"], "event_id"))
 
 
-@query("classification_viz")
+_VIZ_SQL = _curve(S, score="y_pred") + """
+SELECT 'Average Precision Score' AS metric, round(sum(pos * cum_pos / (cum_pos + cum_neg)) / max(P) * 100, 2) AS value
+FROM cu
+UNION ALL
+SELECT 'ROC AUC Score', round(sum(pos * (N - cum_neg + 0.5e0 * neg)) / (max(P) * max(N)) * 100, 2) FROM cu"""
+
+
+@query("classification_viz", _VIZ_SQL)
 def q_classification_viz(spark, sf):
     """Bundle: the headline scores of the classification report (hard labels), long form."""
     from ferret.plans.bundles import classification_viz
@@ -244,7 +251,10 @@ def q_classification_viz(spark, sf):
     return b["scores"]
 
 
-@query("regression_viz")
+@query("regression_viz", with_frame("""
+SELECT round(1 - var_pop(y_pred - y_true) / var_pop(y_true), 2) AS explained_variance,
+       round(1 - avg((y_true - y_pred) * (y_true - y_pred)) / var_pop(y_true), 2) AS r2,
+       round(avg((y_true - y_pred) * (y_true - y_pred)), 2) AS mse FROM f""", RP))
 def q_regression_viz(spark, sf):
     from ferret.plans.bundles import regression_viz
     b = regression_viz(frames.regression_pairs(spark, sf), "y_true", "y_pred", "row_id")
