@@ -116,9 +116,17 @@ def params_json(specs: list[ModelSpec]) -> list[tuple[str, str]]:
     return [(s.identifier, json.dumps(s.params, sort_keys=True)) for s in specs]
 
 
-def estimator(spec: ModelSpec, label: str):
+# Spark's LinearRegression standardises the label and applies regParam / std(label)
+# (the glmnet convention); these models are specified by the unscaled objective, so the
+# fit multiplies regParam by the training label's population std.
+LABEL_SCALED = ("ridge", "elastic_net", "ridge_classifier")
+
+
+def estimator(spec: ModelSpec, label: str, label_std: float = 1.0):
     """The Spark estimator for a spec (dummy models are handled without an estimator)."""
     p, cls = dict(spec.params), spec.problem == "classification"
+    if spec.name in LABEL_SCALED and "regParam" in p:
+        p["regParam"] = p["regParam"] * label_std
     common = {"featuresCol": FEATURES, "labelCol": label}
     if spec.custom is not None:
         return spec.custom.copy({spec.custom.featuresCol: FEATURES, spec.custom.labelCol: label})
@@ -173,8 +181,12 @@ def fit_model(spec: ModelSpec, train: DataFrame, feature_cols: list[str], label:
     data = train
     if spec.name == "ridge_classifier":
         data = train.withColumn("_pm1", F.when(F.col(label) > 0, 1.0).otherwise(-1.0))
+    label_std = 1.0
+    if spec.custom is None and spec.name in LABEL_SCALED:
+        lab = "_pm1" if spec.name == "ridge_classifier" else label
+        label_std = data.agg(F.stddev_pop(F.col(lab).cast("double"))).collect()[0][0] or 1.0
     pipe = Pipeline(stages=[VectorAssembler(inputCols=feature_cols, outputCol=FEATURES, handleInvalid="keep"),
-                            estimator(spec, label)])
+                            estimator(spec, label, label_std)])
     fm.model = pipe.fit(data)
     return fm
 

@@ -114,15 +114,17 @@ def _estimator_query(name: str, problem: str):
 
 for _name in Mo.CLASSIFIERS:
     query(_name)(_estimator_query(_name, "classification"))
-for _name in ["ridge", "elastic_net"]:
-    query(_name)(_estimator_query(_name, "regression"))
+query("elastic_net")(_estimator_query("elastic_net", "regression"))
 for _name in ["decision_tree", "random_forest", "gradient_boosting"]:
     query(_name + "_regressor")(_estimator_query(_name, "regression"))
 
 
-OLS_SQL = MODEL_INPUTS_SQL + """, c AS (SELECT
-  var_pop(price_k) AS c11, covar_pop(price_k, acctbal_k) AS c12, covar_pop(price_k, nationkey) AS c13,
-  var_pop(acctbal_k) AS c22, covar_pop(acctbal_k, nationkey) AS c23, var_pop(nationkey) AS c33,
+def normal_eq_sql(lam: str) -> str:
+    """Least squares with an L2 penalty ``lam`` on the centred, population-scaled normal
+    equations (Sxx + lam I) w = Sxy, solved by Cramer's rule; CTE ``coef`` holds the result."""
+    return MODEL_INPUTS_SQL + f""", c AS (SELECT
+  var_pop(price_k) + {lam} AS c11, covar_pop(price_k, acctbal_k) AS c12, covar_pop(price_k, nationkey) AS c13,
+  var_pop(acctbal_k) + {lam} AS c22, covar_pop(acctbal_k, nationkey) AS c23, var_pop(nationkey) + {lam} AS c33,
   covar_pop(price_k, y) AS b1, covar_pop(acctbal_k, y) AS b2, covar_pop(nationkey, y) AS b3,
   avg(price_k) AS m1, avg(acctbal_k) AS m2, avg(nationkey) AS m3, avg(y) AS my FROM tr),
 d AS (SELECT *, c11 * (c22 * c33 - c23 * c23) - c12 * (c12 * c33 - c23 * c13) + c13 * (c12 * c23 - c22 * c13) AS det
@@ -137,6 +139,17 @@ coef AS (SELECT 'price_k' AS feature, w1 AS coefficient FROM beta
 """
 
 
+OLS_SQL = normal_eq_sql("0.0e0")
+# ridge with alpha = 1 on the summed squared error = 1/n on the averaged one
+RIDGE_SQL = normal_eq_sql("1.0e0 / (SELECT count(*) FROM tr)")
+PREDICT_SQL = """SELECT va.row_id,
+ round((SELECT coefficient FROM coef WHERE feature = 'intercept')
+       + price_k * (SELECT coefficient FROM coef WHERE feature = 'price_k')
+       + acctbal_k * (SELECT coefficient FROM coef WHERE feature = 'acctbal_k')
+       + nationkey * (SELECT coefficient FROM coef WHERE feature = 'nationkey'), 6) AS prediction,
+ CAST(NULL AS DOUBLE) AS probability FROM va"""
+
+
 @query("fit_model", OLS_SQL + "SELECT feature, round(coefficient, 6) AS coefficient FROM coef")
 def q_fit_model(spark, sf):
     """Fit, store under the run folder, load back: coefficients of the stored OLS model."""
@@ -233,13 +246,15 @@ def q_gaussian_nb_params(spark, sf):
                                             F.round("variance", 4).alias("variance"))
 
 
-@query("linear_regression", OLS_SQL + """SELECT va.row_id,
- round((SELECT coefficient FROM coef WHERE feature = 'intercept')
-       + price_k * (SELECT coefficient FROM coef WHERE feature = 'price_k')
-       + acctbal_k * (SELECT coefficient FROM coef WHERE feature = 'acctbal_k')
-       + nationkey * (SELECT coefficient FROM coef WHERE feature = 'nationkey'), 6) AS prediction,
- CAST(NULL AS DOUBLE) AS probability FROM va""")
+@query("linear_regression", OLS_SQL + PREDICT_SQL)
 def q_linear_regression(spark, sf):
     """Ordinary least squares (normal equations) on the exact linear target; valid predictions."""
     out = _estimator_query("linear_regression", "regression")(spark, sf)
     return out.select("row_id", F.round("prediction", 6).alias("prediction"), "probability")
+
+
+@query("ridge", RIDGE_SQL + PREDICT_SQL)
+def q_ridge(spark, sf):
+    """Ridge (alpha = 1 on the summed squared error) predictions for the valid rows."""
+    out = _estimator_query("ridge", "regression")(spark, sf)
+    return out.select("row_id", F.round("prediction", 6).alias("prediction"), "probability")
