@@ -116,17 +116,26 @@ def params_json(specs: list[ModelSpec]) -> list[tuple[str, str]]:
     return [(s.identifier, json.dumps(s.params, sort_keys=True)) for s in specs]
 
 
-# Spark's LinearRegression standardises the label and applies regParam / std(label)
-# (the glmnet convention); these models are specified by the unscaled objective, so the
-# fit multiplies regParam by the training label's population std.
+# Spark's LinearRegression standardises the label: in original units its L2 penalty is
+# regParam * (1 - elasticNetParam) / std(label) while the L1 penalty is regParam *
+# elasticNetParam.  These models are specified by the unscaled objective
+# (1/2n)||y - Xw||^2 + a1 ||w||_1 + (a2 / 2) ||w||^2, so the fit solves for Spark's pair:
+# regParam = a1 + a2 * std, elasticNetParam = a1 / regParam (KKT-checked in the tests).
 LABEL_SCALED = ("ridge", "elastic_net", "ridge_classifier")
 
 
+def spark_penalty(reg: float, enet: float, label_std: float) -> tuple[float, float]:
+    a1, a2 = reg * enet, reg * (1.0 - enet)
+    rp = a1 + a2 * label_std
+    return rp, (a1 / rp if rp > 0 else 0.0)
+
+
 def estimator(spec: ModelSpec, label: str, label_std: float = 1.0):
     """The Spark estimator for a spec (dummy models are handled without an estimator)."""
     p, cls = dict(spec.params), spec.problem == "classification"
     if spec.name in LABEL_SCALED and "regParam" in p:
-        p["regParam"] = p["regParam"] * label_std
+        p["regParam"], p["elasticNetParam"] = spark_penalty(p["regParam"], p.get("elasticNetParam", 0.0),
+                                                            label_std)
     common = {"featuresCol": FEATURES, "labelCol": label}
     if spec.custom is not None:
         return spec.custom.copy({spec.custom.featuresCol: FEATURES, spec.custom.labelCol: label})

@@ -276,3 +276,21 @@ def test_hbos_wide_path_matches_unrolled(spark, monkeypatch):
     assert a.keys() == b.keys()
     for k, v in a.items():
         assert b[k] == pytest.approx(v, abs=1e-12)
+
+
+def test_elastic_net_solves_the_stated_objective(spark):
+    """KKT conditions of (1/2n)||y - Xw - b||^2 + a*l1*|w|_1 + a*(1-l1)/2*||w||^2 hold for the fit."""
+    from ferret.plans.q_models import FEATS, _split
+    tr, _ = _split(spark, SF_SMALL)
+    spec = Mo.ModelSpec("elastic_net", "regression", {"regParam": 1.0, "elasticNetParam": 0.5})
+    fm = Mo.fit_model(spec, tr, FEATS, "y")
+    m = fm.model.stages[-1]
+    pdf = tr.select(*FEATS, "y").toPandas()
+    x, y = pdf[FEATS].to_numpy(float), pdf["y"].to_numpy(float)
+    w, b = m.coefficients.toArray(), m.intercept
+    g = -(x.T @ (y - x @ w - b)) / len(y) + 0.5 * w
+    for j in range(len(w)):
+        if abs(w[j]) > 1e-9:
+            assert abs(g[j] + 0.5 * np.sign(w[j])) < 1e-3
+        else:
+            assert abs(g[j]) <= 0.5 + 1e-3
