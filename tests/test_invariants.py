@@ -294,3 +294,20 @@ def test_elastic_net_solves_the_stated_objective(spark):
             assert abs(g[j] + 0.5 * np.sign(w[j])) < 1e-3
         else:
             assert abs(g[j]) <= 0.5 + 1e-3
+
+
+def test_logistic_regression_solves_the_stated_objective(spark):
+    """C = 1 on the summed log-loss: X^T (p - y) + w = 0 at the optimum (intercept unpenalised)."""
+    from ferret.plans.q_models import FEATS, _split
+    tr, _ = _split(spark, SF_SMALL)
+    n = tr.count()
+    fm = Mo.fit_model(Mo.ModelSpec("logistic_regression", "classification", {"regParam": 1.0 / n}),
+                      tr, ["price_k", "acctbal_k"], "sep")
+    m = fm.model.stages[-1]
+    pdf = tr.select("price_k", "acctbal_k", "sep").toPandas()
+    x, y = pdf[["price_k", "acctbal_k"]].to_numpy(float), pdf["sep"].to_numpy(float)
+    w, b = m.coefficients.toArray(), m.intercept
+    p = 1 / (1 + np.exp(-(x @ w + b)))
+    grad = x.T @ (p - y) + w
+    assert np.all(np.abs(grad) < 1e-2)      # the n-unscaled penalty would leave |grad| ~ 1e2
+    assert abs((p - y).sum()) < 1e-3
