@@ -59,14 +59,19 @@ def _chunk_size(beta_min: float) -> int:
 
 
 def exp_scan(df: DataFrame, keys: list[str], pos: str, x: str, beta: str, out: str,
-             chunk: int | None = None) -> DataFrame:
+             chunk: int | None = None, max_pos: int | None = None,
+             beta_min: float | None = None) -> DataFrame:
     """``out_t = sum_{j <= t} beta^(t - j) * x_j`` within each key group (pos dense from 1).
 
-    ``beta`` is a column (constant within a group), in (0, 1].
+    ``beta`` is a column (constant within a group), in (0, 1].  Callers that know the
+    smallest decay and the longest group pass ``beta_min`` / ``max_pos`` and the scan
+    runs no extra action; otherwise each is one small aggregate.
     """
+    if beta_min is None:
+        beta_min = df.agg(F.min(beta)).collect()[0][0]
+        beta_min = 1.0 if beta_min is None else beta_min
     if chunk is None:
-        bmin = df.agg(F.min(beta)).collect()[0][0]
-        chunk = _chunk_size(bmin if bmin is not None else 1.0)
+        chunk = _chunk_size(beta_min)
     C = chunk
     b, p = F.col(beta), F.col(pos) - 1
     d = (df.withColumn("_c", F.floor(p / C).cast("long"))
@@ -75,7 +80,8 @@ def exp_scan(df: DataFrame, keys: list[str], pos: str, x: str, beta: str, out: s
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     d = d.withColumn("_loc", F.pow(b, F.col("_o").cast("double"))
                      * F.sum(F.pow(b, -F.col("_o").cast("double")) * F.col(x)).over(w))
-    max_pos = df.agg(F.max(pos)).collect()[0][0] or 0
+    if max_pos is None:
+        max_pos = df.agg(F.max(pos)).collect()[0][0] or 0
     if max_pos <= C:
         return d.withColumn(out, F.col("_loc")).drop("_c", "_o", "_loc")
     # one row per chunk: T_c = level at the chunk end without carry-in
@@ -85,28 +91,29 @@ def exp_scan(df: DataFrame, keys: list[str], pos: str, x: str, beta: str, out: s
     summ = summ.select(*keys, (F.col("_c") + 1).alias("_cpos"), "_T",
                        F.pow(F.col("_b"), F.lit(float(C))).alias("_bC"))
     # E_c = level at the end of chunk c (full chunks before the last): same scan one level up
-    ends = exp_scan(summ, keys, "_cpos", "_T", "_bC", "_E", chunk=_chunk_size_col(summ, "_bC"))
-    carry = ends.select(*keys, F.col("_cpos").alias("_cnext"), "_E")  # carry into chunk _cpos (0-based)
-    d = d.join(carry, [*[d[k] == carry[k] for k in keys], d["_c"] == carry["_cnext"]], "left")
-    for k in keys:
-        d = d.drop(carry[k])
+    bmin_c = beta_min ** C  # smallest decay one level up, known without looking at the data
+    chunk_c = MAX_CHUNK if bmin_c <= 0.0 else _chunk_size(bmin_c)
+    ends = exp_scan(summ, keys, "_cpos", "_T", "_bC", "_E", chunk=chunk_c,
+                    max_pos=-(-max_pos // C), beta_min=bmin_c)
+    # carry into chunk _cpos (0-based); the carry table derives from d itself, so its key
+    # columns get fresh names - comparing d[k] with carry[k] would be an ambiguous self-join
+    ck = [f"_ck{i}" for i in range(len(keys))]
+    carry = ends.select(*[F.col(k).alias(c) for k, c in zip(keys, ck)],
+                        F.col("_cpos").alias("_cnext"), "_E")
+    d = d.join(carry, [*[F.col(k) == F.col(c) for k, c in zip(keys, ck)], F.col("_c") == F.col("_cnext")],
+               "left").drop(*ck)
     level = F.col("_loc") + F.coalesce(F.pow(b, (F.col("_o") + 1).cast("double")) * F.col("_E"), F.lit(0.0))
     return d.withColumn(out, level).drop("_c", "_o", "_loc", "_cnext", "_E")
 
 
-def _chunk_size_col(df: DataFrame, beta: str) -> int:
-    bmin = df.agg(F.min(beta)).collect()[0][0]
-    if bmin is None or bmin <= 0.0:
-        return MAX_CHUNK  # beta^C underflowed: no carry survives, any size works
-    return _chunk_size(bmin)
-
-
-def ses_levels(df: DataFrame, keys: list[str], pos: str, y: str, alpha: str) -> DataFrame:
+def ses_levels(df: DataFrame, keys: list[str], pos: str, y: str, alpha: str,
+               alpha_max: float | None = None, max_len: int | None = None) -> DataFrame:
     """Add ``level`` and one-step-ahead ``fitted`` (fitted_1 = y_1, fitted_t = level_{t-1})."""
     a = F.col(alpha)
     d = df.withColumn("_x", F.when(F.col(pos) == 1, F.col(y)).otherwise(a * F.col(y))) \
           .withColumn("_beta", F.lit(1.0) - a)
-    d = exp_scan(d, keys, pos, "_x", "_beta", "level")
+    d = exp_scan(d, keys, pos, "_x", "_beta", "level", max_pos=max_len,
+                 beta_min=None if alpha_max is None else 1.0 - alpha_max)
     fitted = F.when(F.col(pos) == 1, F.col(y)).otherwise((F.col("level") - a * F.col(y)) / F.col("_beta"))
     return d.withColumn("fitted", fitted).drop("_x", "_beta")
 
@@ -117,8 +124,14 @@ def ses_fixed(df: DataFrame, key: str, order: str, tiebreak: str, y: str,
     if any(not 0.0 < a < 1.0 for a in alphas):
         raise ValueError("alpha must lie in (0, 1)")
     p = series_positions(df, key, order, tiebreak)
+    longest = _longest(df, key)
     p = p.withColumn("alpha", F.explode(F.array(*[F.lit(float(a)) for a in alphas])))
-    return ses_levels(p, [key, "alpha"], "pos", y, "alpha")
+    return ses_levels(p, [key, "alpha"], "pos", y, "alpha", max(alphas), longest)
+
+
+def _longest(df: DataFrame, key: str) -> int:
+    """Length of the longest series: one partial+final aggregate over per-series counts."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).collect()[0][0] or 0
 
 
 def ses_forecast(levels: DataFrame, key: str, horizon: int = 3) -> DataFrame:
@@ -133,10 +146,12 @@ def ses_optimised(df: DataFrame, key: str, order: str, tiebreak: str, y: str,
     """Per series, the alpha minimising the one-step squared error: a coarse grid, then a
     finer grid around the best; every grid point is a key of one distributed scan."""
     p = series_positions(df, key, order, tiebreak).cache()
+    longest = _longest(df, key)
+    top = 1.0 - fine  # the largest alpha either grid can hold (grid points stay below 1)
 
     def sse(base: DataFrame, grid_col: Column) -> DataFrame:
         g = base.withColumn("alpha", grid_col).where((F.col("alpha") > 0) & (F.col("alpha") < 1))
-        lv = ses_levels(g, [key, "alpha"], "pos", y, "alpha")
+        lv = ses_levels(g, [key, "alpha"], "pos", y, "alpha", top, longest)
         e = F.col(y) - F.col("fitted")
         return lv.groupBy(key, "alpha").agg(F.sum(e * e).alias("sse"))
 

@@ -311,3 +311,28 @@ def test_logistic_regression_solves_the_stated_objective(spark):
     grad = x.T @ (p - y) + w
     assert np.all(np.abs(grad) < 1e-2)      # the n-unscaled penalty would leave |grad| ~ 1e2
     assert abs((p - y).sum()) < 1e-3
+
+
+def test_exp_scan_recursion_many_groups_after_join(spark):
+    """Several series x several alphas, input built by a join, chunk 8: every level exact."""
+    rng = np.random.default_rng(5)
+    lengths = {1: 300, 2: 77, 3: 9}
+    rows = [(k, i + 1, float(rng.normal(5, 2))) for k, n in lengths.items() for i in range(n)]
+    df = spark.createDataFrame(rows, "k int, pos long, y double")
+    alphas = spark.createDataFrame([(k, a) for k in lengths for a in (0.2, 0.7)], "k int, a double")
+    d = df.join(alphas, "k")
+    x = d.withColumn("_x", F.when(F.col("pos") == 1, F.col("y")).otherwise(F.col("a") * F.col("y"))) \
+        .withColumn("_b", 1 - F.col("a"))
+    got = {(r["k"], r["a"], r["pos"]): r["lv"]
+           for r in T.exp_scan(x, ["k", "a"], "pos", "_x", "_b", "lv", chunk=8).collect()}
+    assert len(got) == 2 * sum(lengths.values())
+    ys = {}
+    for k, p, y in rows:
+        ys.setdefault(k, []).append(y)
+    for k, series in ys.items():
+        for a in (0.2, 0.7):
+            level = series[0]
+            for i, y in enumerate(series):
+                if i:
+                    level = a * y + (1 - a) * level
+                assert got[(k, a, i + 1)] == pytest.approx(level, rel=1e-9)
