@@ -93,17 +93,18 @@ def exp_scan(df: DataFrame, keys: list[str], pos: str, x: str, beta: str, out: s
     # E_c = level at the end of chunk c (full chunks before the last): same scan one level up
     bmin_c = beta_min ** C  # smallest decay one level up, known without looking at the data
     chunk_c = MAX_CHUNK if bmin_c <= 0.0 else _chunk_size(bmin_c)
-    ends = exp_scan(summ, keys, "_cpos", "_T", "_bC", "_E", chunk=chunk_c,
+    carry_col = "_carry" + out  # unique per level: a deeper level's carry never meets this one
+    ends = exp_scan(summ, keys, "_cpos", "_T", "_bC", carry_col, chunk=chunk_c,
                     max_pos=-(-max_pos // C), beta_min=bmin_c)
     # carry into chunk _cpos (0-based); the carry table derives from d itself, so its key
     # columns get fresh names - comparing d[k] with carry[k] would be an ambiguous self-join
     ck = [f"_ck{i}" for i in range(len(keys))]
     carry = ends.select(*[F.col(k).alias(c) for k, c in zip(keys, ck)],
-                        F.col("_cpos").alias("_cnext"), "_E")
+                        F.col("_cpos").alias("_cnext"), carry_col)
     d = d.join(carry, [*[F.col(k) == F.col(c) for k, c in zip(keys, ck)], F.col("_c") == F.col("_cnext")],
                "left").drop(*ck)
-    level = F.col("_loc") + F.coalesce(F.pow(b, (F.col("_o") + 1).cast("double")) * F.col("_E"), F.lit(0.0))
-    return d.withColumn(out, level).drop("_c", "_o", "_loc", "_cnext", "_E")
+    level = F.col("_loc") + F.coalesce(F.pow(b, (F.col("_o") + 1).cast("double")) * F.col(carry_col), F.lit(0.0))
+    return d.withColumn(out, level).drop("_c", "_o", "_loc", "_cnext", carry_col)
 
 
 def ses_levels(df: DataFrame, keys: list[str], pos: str, y: str, alpha: str,
