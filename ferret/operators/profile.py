@@ -329,9 +329,11 @@ def category_target_rate_bootstrap(df: DataFrame, cols: list[str], target: str,
 
     ci = ms.select("feature", "value", at(lo).alias("ci_low"), at(hi).alias("ci_high"))
     base = long.groupBy("feature", "value").agg(F.count(F.col(target)).alias("n"), F.avg(target).alias("mean"))
-    # the missing label is a label too: match it null-safely
-    j = base.join(ci, (base["feature"] == ci["feature"]) & base["value"].eqNullSafe(ci["value"]), "left")
-    return j.select(base["feature"], base["value"], "n", F.round("mean", 6).alias("mean"),
+    # the missing label is a label too: match it null-safely; both sides come from the same
+    # source, so the right side's keys are renamed (no ambiguous self-join)
+    ci = ci.select(F.col("feature").alias("_f"), F.col("value").alias("_v"), "ci_low", "ci_high")
+    j = base.join(ci, (F.col("feature") == F.col("_f")) & F.col("value").eqNullSafe(F.col("_v")), "left")
+    return j.select("feature", "value", "n", F.round("mean", 6).alias("mean"),
                     F.round("ci_low", 6).alias("ci_low"), F.round("ci_high", 6).alias("ci_high"))
 
 
