@@ -118,3 +118,13 @@ def test_global_rank_hot_value(spark):
     got = {r["k"]: r["rank"] for r in global_rank(df, ["v"], ["k"], num_partitions=7).collect()}
     want = {k: i + 1 for i, (k, _) in enumerate(sorted(rows, key=lambda t: (t[1], t[0])))}
     assert got == want
+
+
+def test_map_items_never_lowers_parallelism(spark):
+    from ferret.operators.items import map_items
+    import pandas as pd
+    df = spark.range(0, 1000, numPartitions=6).withColumnRenamed("id", "k")
+    fn = lambda pdf: pd.DataFrame({"k": pdf["k"] * 2})
+    assert map_items(df, fn, "k long", num_workers=2).rdd.getNumPartitions() == 6
+    assert map_items(df, fn, "k long", num_workers=12).rdd.getNumPartitions() == 12
+    assert map_items(df, fn, "k long").count() == 1000
