@@ -52,7 +52,14 @@ def q_model_registry(spark, sf):
                                                   F.to_json("params").alias("params"))
 
 
-@query("list_models")
+@query("list_models", MODEL_INPUTS_SQL + """, nn AS (SELECT count(*) AS n FROM tr)
+SELECT 'linear_regression(regParam=0.0)' AS identifier
+UNION ALL SELECT 'ridge(regParam=' || CAST(1.0e0 / n AS VARCHAR) || ')' FROM nn
+UNION ALL SELECT 'elastic_net(elasticNetParam=0.5,regParam=1.0)'
+UNION ALL SELECT 'decision_tree(maxDepth=30,seed=42)'
+UNION ALL SELECT 'random_forest(maxDepth=10,numTrees=100,seed=42)'
+UNION ALL SELECT 'gradient_boosting(maxDepth=3,maxIter=100,seed=42,stepSize=0.1)'
+UNION ALL SELECT 'dummy_median()' UNION ALL SELECT 'dummy_mean()'""")
 def q_list_models(spark, sf):
     tr, _ = _split(spark, sf)
     store = RunStore(spark)
