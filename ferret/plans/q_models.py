@@ -43,13 +43,32 @@ def _split(spark, sf):
     return d.where("is_train"), d.where("NOT is_train")
 
 
-@query("model_registry")
+def _registry_sql() -> str:
+    """The registry rows as SQL text: fixed parameters literally, 1/n from the train count."""
+    sentinel = 7  # 1/7 appears in no fixed parameter, so it marks where 1/n goes
+    mark = repr(1.0 / sentinel)
+    parts = []
+    for problem in ("classification", "regression"):
+        for sp in Mo.default_specs(problem, sentinel):
+            ident, _, mtype, params = sp.row()
+            js = "{" + ",".join(f'"{k}":"{v}"' for k, v in sorted(params.items())) + "}"
+
+            def lit(text):
+                return "'" + text.replace(mark, "' || CAST(1.0e0 / n AS VARCHAR) || '") + "'"
+            parts.append(f"SELECT {lit(ident)} AS identifier, '{problem}' AS problem, '{mtype}' AS model_type, "
+                         f"{lit(js)} AS params FROM nn")
+    return MODEL_INPUTS_SQL + ", nn AS (SELECT count(*) AS n FROM tr)\n" + "\nUNION ALL ".join(parts)
+
+
+@query("model_registry", _registry_sql())
 def q_model_registry(spark, sf):
     tr, _ = _split(spark, sf)
     n = tr.count()
     specs = Mo.default_specs("classification", n) + Mo.default_specs("regression", n)
+    # map order is not insertion order: serialise with the keys sorted, so the text is stable
+    ordered = F.map_from_entries(F.array_sort(F.map_entries("params")))
     return Mo.registry_table(spark, specs).select("identifier", "problem", "model_type",
-                                                  F.to_json("params").alias("params"))
+                                                  F.to_json(ordered).alias("params"))
 
 
 @query("list_models", MODEL_INPUTS_SQL + """, nn AS (SELECT count(*) AS n FROM tr)
