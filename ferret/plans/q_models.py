@@ -139,20 +139,21 @@ def _estimator_query(name: str, problem: str):
 
 
 for _name in Mo.CLASSIFIERS:
-    query(_name)(_estimator_query(_name, "classification"))
+    if _name != "ridge_classifier":
+        query(_name)(_estimator_query(_name, "classification"))
 query("elastic_net")(_estimator_query("elastic_net", "regression"))
 for _name in ["decision_tree", "random_forest", "gradient_boosting"]:
     query(_name + "_regressor")(_estimator_query(_name, "regression"))
 
 
-def normal_eq_sql(lam: str) -> str:
+def normal_eq_sql(lam: str, target: str = "y") -> str:
     """Least squares with an L2 penalty ``lam`` on the centred, population-scaled normal
     equations (Sxx + lam I) w = Sxy, solved by Cramer's rule; CTE ``coef`` holds the result."""
     return MODEL_INPUTS_SQL + f""", c AS (SELECT
   var_pop(price_k) + {lam} AS c11, covar_pop(price_k, acctbal_k) AS c12, covar_pop(price_k, nationkey) AS c13,
   var_pop(acctbal_k) + {lam} AS c22, covar_pop(acctbal_k, nationkey) AS c23, var_pop(nationkey) + {lam} AS c33,
-  covar_pop(price_k, y) AS b1, covar_pop(acctbal_k, y) AS b2, covar_pop(nationkey, y) AS b3,
-  avg(price_k) AS m1, avg(acctbal_k) AS m2, avg(nationkey) AS m3, avg(y) AS my FROM tr),
+  covar_pop(price_k, {target}) AS b1, covar_pop(acctbal_k, {target}) AS b2, covar_pop(nationkey, {target}) AS b3,
+  avg(price_k) AS m1, avg(acctbal_k) AS m2, avg(nationkey) AS m3, avg({target}) AS my FROM tr),
 d AS (SELECT *, c11 * (c22 * c33 - c23 * c23) - c12 * (c12 * c33 - c23 * c13) + c13 * (c12 * c23 - c22 * c13) AS det
       FROM c),
 beta AS (SELECT *,
@@ -284,3 +285,17 @@ def q_ridge(spark, sf):
     """Ridge (alpha = 1 on the summed squared error) predictions for the valid rows."""
     out = _estimator_query("ridge", "regression")(spark, sf)
     return out.select("row_id", F.round("prediction", 6).alias("prediction"), "probability")
+
+
+# ridge classifier: ridge (alpha = 1) on labels mapped to -1 / +1, class 1 where the score is positive
+RIDGE_CLS_SQL = normal_eq_sql("1.0e0 / (SELECT count(*) FROM tr)", "(2.0e0 * sep - 1.0e0)")
+
+
+@query("ridge_classifier", RIDGE_CLS_SQL + """SELECT va.row_id,
+ CASE WHEN (SELECT coefficient FROM coef WHERE feature = 'intercept')
+       + price_k * (SELECT coefficient FROM coef WHERE feature = 'price_k')
+       + acctbal_k * (SELECT coefficient FROM coef WHERE feature = 'acctbal_k')
+       + nationkey * (SELECT coefficient FROM coef WHERE feature = 'nationkey') > 0 THEN 1.0e0 ELSE 0.0e0 END
+   AS prediction, CAST(NULL AS DOUBLE) AS probability FROM va""")
+def q_ridge_classifier(spark, sf):
+    return _estimator_query("ridge_classifier", "classification")(spark, sf)
