@@ -139,7 +139,7 @@ def _estimator_query(name: str, problem: str):
 
 
 for _name in Mo.CLASSIFIERS:
-    if _name != "ridge_classifier":
+    if _name not in ("ridge_classifier", "gaussian_nb"):
         query(_name)(_estimator_query(_name, "classification"))
 query("elastic_net")(_estimator_query("elastic_net", "regression"))
 for _name in ["decision_tree", "random_forest", "gradient_boosting"]:
@@ -299,3 +299,27 @@ RIDGE_CLS_SQL = normal_eq_sql("1.0e0 / (SELECT count(*) FROM tr)", "(2.0e0 * sep
    AS prediction, CAST(NULL AS DOUBLE) AS probability FROM va""")
 def q_ridge_classifier(spark, sf):
     return _estimator_query("ridge_classifier", "classification")(spark, sf)
+
+
+_NB_SQL = MODEL_INPUTS_SQL + """, mv AS (SELECT max(v) AS mx FROM (
+   SELECT var_pop(price_k) AS v FROM tr UNION ALL SELECT var_pop(acctbal_k) FROM tr
+   UNION ALL SELECT var_pop(nationkey) FROM tr) t),
+pc AS (SELECT sep AS cls, ln(count(*) / (SELECT count(*) FROM tr)) AS pi,
+   avg(price_k) AS m1, var_pop(price_k) + 1.0e-9 * max(mx) AS v1,
+   avg(acctbal_k) AS m2, var_pop(acctbal_k) + 1.0e-9 * max(mx) AS v2,
+   avg(nationkey) AS m3, var_pop(nationkey) + 1.0e-9 * max(mx) AS v3 FROM tr, mv GROUP BY sep),
+ll AS (SELECT va.row_id, pc.cls, pc.pi
+   - 0.5e0 * (ln(2 * pi() * v1) + ln(2 * pi() * v2) + ln(2 * pi() * v3))
+   - pow(price_k - m1, 2) / (2 * v1) - pow(acctbal_k - m2, 2) / (2 * v2) - pow(nationkey - m3, 2) / (2 * v3) AS s
+   FROM va CROSS JOIN pc),
+w AS (SELECT row_id, max(CASE WHEN cls = 0 THEN s END) AS s0, max(CASE WHEN cls = 1 THEN s END) AS s1
+   FROM ll GROUP BY row_id)
+SELECT row_id, CASE WHEN s1 > s0 THEN 1.0e0 ELSE 0.0e0 END AS prediction,
+   round(1.0e0 / (1.0e0 + exp(s0 - s1)), 6) AS probability FROM w"""
+
+
+@query("gaussian_nb", _NB_SQL)
+def q_gaussian_nb(spark, sf):
+    """Gaussian naive Bayes: class log-prior plus per-feature normal log-densities."""
+    out = _estimator_query("gaussian_nb", "classification")(spark, sf)
+    return out.select("row_id", "prediction", F.round("probability", 6).alias("probability"))
