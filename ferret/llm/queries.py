@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import functions as F
 
-from ferret.llm import id_store, packing, quality_rules, secret_scan
+from ferret.llm import id_store, packing, quality_rules, secret_scan, warc
 from ferret.sources.tables import table
 
 QUERIES: dict = {}
@@ -67,3 +66,19 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     AND n_left >= {quality_rules.LEAST_WORDS} AND n_left >= {quality_rules.LEAST_KEPT} * n_words AS kept
 FROM m
 """
+
+
+@query
+def op4_warc_segments(spark, sf_dir):
+    return warc.write_and_read(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "problem")
+
+
+ORACLE["op4_warc_segments"] = f"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages),
+q AS (SELECT *, max(page_id) OVER (PARTITION BY d) AS f FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
+  CASE WHEN n >= {warc.REVISIT_BYTES} AND page_id < f THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= {warc.REVISIT_BYTES} AND page_id < f THEN f END AS refers_to, CAST(NULL AS VARCHAR) AS problem
+FROM q
+"""
