@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from ferret.llm import id_store, packing, quality_rules, secret_scan, warc
+from pyspark.sql import functions as F
+
+from ferret.llm import decontaminate, id_store, line_alignment, packing, quality_rules, secret_scan, warc
 from ferret.sources.tables import table
 
 QUERIES: dict = {}
@@ -82,3 +84,14 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
   CASE WHEN n >= {warc.REVISIT_BYTES} AND page_id < f THEN f END AS refers_to, CAST(NULL AS VARCHAR) AS problem
 FROM q
 """
+
+
+@query
+def op3_decontaminate(spark, sf_dir):
+    return decontaminate.overlapping_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op6_line_alignment(spark, sf_dir):
+    out = line_alignment.delete_blocks(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "line_report.*", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
