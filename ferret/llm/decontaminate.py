@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ferret.llm.bits import build_filter, passing
 from ferret.llm.common import stored, text_of
 from ferret.llm.words import KNOWN, combined
 
@@ -36,8 +37,6 @@ from ferret.llm.words import KNOWN, combined
 MASKS = ("111111111111", "110110110111", "101011101101", "111001011011", "110101001111")
 LEAST_MATCHED = 12
 LEAST_RATIO = 0.8
-FILTER_BITS = 24
-PROBES = (0, 20, 40)  # which bits of a seed choose its bits in the filter
 
 FIND = re.compile(r"[^\W_]+").findall
 
@@ -52,10 +51,6 @@ def seeds_of(hashes: np.ndarray) -> list[np.ndarray]:
             else np.zeros(0, np.uint64) for seed, m in enumerate(MASKS)]
 
 
-def _probe(seeds: np.ndarray, shift: int) -> np.ndarray:
-    return (seeds >> np.uint64(shift)) & np.uint64((1 << FILTER_BITS) - 1)
-
-
 def best_overlap(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     """Equal words and length of the best-scoring stretch of two aligned word sequences."""
     same = (a == b).astype(np.int64)
@@ -85,36 +80,17 @@ def benchmark_seeds(benchmark: DataFrame) -> DataFrame:
     return items.mapInArrow(make, "item_id long, item_words binary, seed long, item_pos int")
 
 
-def seed_filter(seeds: DataFrame) -> np.ndarray:
-    """The benchmark's filter: 2 ** FILTER_BITS flags, packed into 64-bit words; at most 262,144 rows arrive here."""
-    at = F.explode(F.array(*[F.shiftrightunsigned("seed", s).bitwiseAND((1 << FILTER_BITS) - 1) for s in PROBES]))
-    words = (seeds.select(at.alias("bit")).select(F.shiftright("bit", 6).alias("word"),
-                                                  F.expr("shiftleft(1L, cast(bit & 63 as int))").alias("flag"))
-             .groupBy("word").agg(F.bit_or("flag").alias("flags")).collect())
-    out = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
-    if words:
-        out[np.array([r["word"] for r in words])] = np.array([r["flags"] for r in words], np.int64).view(np.uint64)
-    return out
-
-
 def candidates(docs: DataFrame, flags: np.ndarray) -> DataFrame:
     """Documents with a seed that passes the filter: id, text key, word hashes, and the passing seeds."""
     shared = docs.sparkSession.sparkContext.broadcast(flags)
 
-    def passing(seeds):
-        ok = np.ones(len(seeds), bool)
-        for shift in PROBES:
-            bit = _probe(seeds, shift)
-            ok &= ((shared.value[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1)).astype(bool)
-        return np.flatnonzero(ok)
-
     def scan(rows):
         for batch in rows:
             cols = ([], [], [], [])
             for doc, key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 hashes = word_hashes(text)
                 hits = [{"pos": int(p), "seed": int(s)} for seeds in seeds_of(hashes)
-                        for p in passing(seeds) for s in seeds[p:p + 1].view(np.int64)]
+                        for p in np.flatnonzero(passing(shared.value, seeds)) for s in seeds[p:p + 1].view(np.int64)]
                 if hits:
                     for col, v in zip(cols, (doc, key, hashes.tobytes(), hits), strict=True):
                         col.append(v)
@@ -132,7 +108,7 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, *, least_matched: int =
                   least_ratio: float = LEAST_RATIO) -> DataFrame:
     """One row per document and benchmark item that overlap: doc_id, text_key, item_id, n_matched, n_span, item_words, doc_pos."""
     seeds = stored(benchmark_seeds(benchmark), "benchmark-seeds")
-    found = stored(candidates(docs, seed_filter(seeds)), "seed-hits")
+    found = stored(candidates(docs, build_filter(seeds, "seed")), "seed-hits")
     hits = found.select("doc_id", "text_key", F.explode(F.array_distinct("hits")).alias("hit")).select("doc_id", "text_key", "hit.*")
     where = (hits.join(seeds.select("seed", "item_id", "item_pos"), "seed")
              .groupBy("doc_id", "text_key", "item_id", (F.col("pos") - F.col("item_pos")).alias("diagonal")).agg(F.count("*").alias("n_seeds")))

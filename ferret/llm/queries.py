@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from ferret.llm import decontaminate, id_store, line_alignment, packing, quality_rules, secret_scan, warc
+from ferret.llm import decontaminate, id_store, jaccard_join, line_alignment, packing, quality_rules, secret_scan, warc
 from ferret.sources.tables import table
 
 QUERIES: dict = {}
@@ -95,3 +95,8 @@ def op3_decontaminate(spark, sf_dir):
 def op6_line_alignment(spark, sf_dir):
     out = line_alignment.delete_blocks(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "line_report.*", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query
+def op9_jaccard_join(spark, sf_dir):
+    return jaccard_join.join_components(table(spark, sf_dir, "documents"))
