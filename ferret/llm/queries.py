@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from ferret.llm import decontaminate, id_store, jaccard_join, line_alignment, packing, quality_rules, secret_scan, warc
+from ferret.llm import decontaminate, id_store, jaccard_join, line_alignment, packing, pii, quality_rules, secret_scan, warc
 from ferret.sources.tables import table
 
 QUERIES: dict = {}
@@ -100,3 +100,10 @@ def op6_line_alignment(spark, sf_dir):
 @query
 def op9_jaccard_join(spark, sf_dir):
     return jaccard_join.join_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_feistel_pseudonyms(spark, sf_dir):
+    key = spark.conf.get("ferret.pii.key", "key of this corpus")
+    out = pii.pseudonymise(table(spark, sf_dir, "documents"), key=key)
+    return out.select("doc_id", "text", *[F.col("pii_counts")[k].alias(f"n_{k}") for k in pii.KINDS])
