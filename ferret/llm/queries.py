@@ -6,7 +6,8 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from ferret.llm import decontaminate, id_store, jaccard_join, line_alignment, packing, pii, quality_rules, secret_scan, warc
+from ferret.llm import (decontaminate, id_store, jaccard_join, line_alignment, packing, pii, quality_rules,
+                        secret_scan, suffix_dedup, warc)
 from ferret.sources.tables import table
 
 QUERIES: dict = {}
@@ -107,3 +108,9 @@ def op5_feistel_pseudonyms(spark, sf_dir):
     key = spark.conf.get("ferret.pii.key", "key of this corpus")
     out = pii.pseudonymise(table(spark, sf_dir, "documents"), key=key)
     return out.select("doc_id", "text", *[F.col("pii_counts")[k].alias(f"n_{k}") for k in pii.KINDS])
+
+
+@query
+def op2_suffix_dedup(spark, sf_dir):
+    out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), with_bytes=False)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
