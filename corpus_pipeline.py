@@ -2,18 +2,28 @@
 
 ``STAGES`` are (name, function) pairs; each function takes (spark, docs, sf_dir)
 and returns a DataFrame, which is written as Parquet and reread as the next
-one's documents.  All but the last return the columns of ``documents``.
+one's documents.  All but the last return the columns of ``documents``:
+
+1. quality rules: rejected documents go; lines above the limits go from the others.
+2. line dedup: common blocks go from the later of two documents.  A text that is
+   a whole copy becomes empty; its row stays.
+3. n-gram Jaccard join: one document of each component stays.
+4. benchmark decontamination: documents that overlap an item go.
+5. best-fit packing: one row per piece, with its sequence and place.
+
+Cases: what the operators say of nulls, empty and repeated rows holds stage by
+stage; extra columns pass through all stages but the last.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
 
-from ferret.llm import packing, quality_rules
+from ferret.llm import decontaminate, jaccard_join, line_alignment, packing, quality_rules
 from ferret.llm.common import stored
 from ferret.sources.tables import table
 
-# the packing of token ids and the alignment of lines have no SQL form
+# the alignment of lines and the packing of token ids have no SQL form
 ORACLE_SQL = None
 
 
@@ -21,11 +31,29 @@ def quality(spark, docs, sf_dir):
     return quality_rules.apply_rules(docs)
 
 
+def line_dedup(spark, docs, sf_dir):
+    return line_alignment.delete_blocks(docs).select(*docs.columns)
+
+
+def near_duplicates(spark, docs, sf_dir):
+    return jaccard_join.keep_one_each(docs)
+
+
+def decontamination(spark, docs, sf_dir):
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def pack(spark, docs, sf_dir):
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("quality_rules", quality), ("best_fit_packing", pack)]
+STAGES = [
+    ("quality_rules", quality),
+    ("line_dedup", line_dedup),
+    ("ngram_jaccard_join", near_duplicates),
+    ("benchmark_decontamination", decontamination),
+    ("best_fit_packing", pack),
+]
 
 
 def run(spark, sf_dir):
