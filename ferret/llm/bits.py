@@ -23,9 +23,9 @@ def build_filter(hashes: DataFrame, column: str) -> np.ndarray:
 
 
 def passing(flags: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Which of the unsigned 64-bit ``hashes`` may be members."""
-    ok = np.ones(len(hashes), bool)
+    """Where the unsigned 64-bit ``hashes`` are that may be members."""
+    left = np.arange(len(hashes))
     for shift in PROBES:
-        bit = (hashes >> np.uint64(shift)) & np.uint64((1 << FILTER_BITS) - 1)
-        ok &= ((flags[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1)).astype(bool)
-    return ok
+        bit = (hashes[left] >> np.uint64(shift)) & np.uint64((1 << FILTER_BITS) - 1)
+        left = left[((flags[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1)).astype(bool)]
+    return left

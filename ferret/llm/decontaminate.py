@@ -23,6 +23,7 @@ empty result.
 from __future__ import annotations
 
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 
 from ferret.llm.bits import build_filter, passing
 from ferret.llm.common import stored, text_of
+from ferret.llm.encoder import batches
 from ferret.llm.words import KNOWN, combined
 
 # 1: the word counts, 0: it is ignored
@@ -42,13 +44,37 @@ FIND = re.compile(r"[^\W_]+").findall
 
 
 def word_hashes(text: str) -> np.ndarray:
-    return KNOWN.of(FIND(text.lower()))
-
-
-def seeds_of(hashes: np.ndarray) -> list[np.ndarray]:
-    """Per mask, the seed at each start."""
-    return [combined(hashes, [k for k, c in enumerate(m) if c == "1"], seed) if len(hashes) >= len(m)
-            else np.zeros(0, np.uint64) for seed, m in enumerate(MASKS)]
+    words = FIND(text.lower())
+    return KNOWN.of(words, len(words))
+
+
+def seeds_of(hashes: np.ndarray):
+    """Per mask, its span and the seed at each start."""
+    for seed, m in enumerate(MASKS):
+        yield len(m), combined(hashes, [k for k, c in enumerate(m) if c == "1"], seed)[:max(0, len(hashes) - len(m) + 1)]
+
+
+def seed_hits(texts: list[str], flags: np.ndarray):
+    """Yields (number of the text, its word hashes, passing seeds and where they start) for texts that have any.
+
+    The texts' words stand in one array, so the arithmetic is done for all at once.
+    """
+    words = [FIND(t.lower()) for t in texts]
+    sizes = np.array([len(w) for w in words])
+    end = np.cumsum(sizes)
+    hashes = KNOWN.of(chain.from_iterable(words), int(end[-1]) if len(end) else 0)
+    at, of, seeds = [], [], []
+    for span, found in seeds_of(hashes):
+        hit = passing(flags, found)
+        text = np.searchsorted(end, hit, "right")
+        inside = hit + span <= end[text]
+        at.append(hit[inside])
+        of.append(text[inside])
+        seeds.append(found[hit[inside]])
+    at, of, seeds = np.concatenate(at), np.concatenate(of), np.concatenate(seeds).view(np.int64)
+    for k in np.unique(of).tolist():
+        mine, begin = of == k, int(end[k] - sizes[k])
+        yield k, hashes[begin:int(end[k])], seeds[mine].tolist(), (at[mine] - begin).tolist()
 
 
 def best_overlap(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
@@ -68,7 +94,7 @@ def benchmark_seeds(benchmark: DataFrame) -> DataFrame:
             cols = ([], [], [], [])
             for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 hashes = word_hashes(text)
-                for seeds in seeds_of(hashes):
+                for _, seeds in seeds_of(hashes):
                     for pos, s in enumerate(seeds.view(np.int64).tolist()):
                         for col, v in zip(cols, (item, hashes.tobytes(), s, pos), strict=True):
                             col.append(v)
@@ -85,18 +111,16 @@ def candidates(docs: DataFrame, flags: np.ndarray) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(flags)
 
     def scan(rows):
+        types = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.struct([("pos", pa.int32()), ("seed", pa.int64())])))
         for batch in rows:
-            cols = ([], [], [], [])
-            for doc, key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                hashes = word_hashes(text)
-                hits = [{"pos": int(p), "seed": int(s)} for seeds in seeds_of(hashes)
-                        for p in np.flatnonzero(passing(shared.value, seeds)) for s in seeds[p:p + 1].view(np.int64)]
-                if hits:
-                    for col, v in zip(cols, (doc, key, hashes.tobytes(), hits), strict=True):
-                        col.append(v)
-            types = (pa.int64(), pa.int64(), pa.binary(),
-                     pa.list_(pa.struct([("pos", pa.int32()), ("seed", pa.int64())])))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)],
+            docs_, keys, texts = (c.to_pylist() for c in batch.columns)
+            out, first = [], 0
+            for part in batches(texts):
+                for k, hashes, seeds, at in seed_hits(part, shared.value):
+                    hits = [{"pos": p, "seed": s} for p, s in zip(at, seeds, strict=True)]
+                    out.append((docs_[first + k], keys[first + k], hashes.tobytes(), hits))
+                first += len(part)
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], t) for c, t in enumerate(types)],
                                              ["doc_id", "text_key", "words", "hits"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("text_key"),
@@ -132,6 +156,7 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, *, least_matched: int =
             out.append(best_overlap(np.frombuffer(x, np.uint64, n), np.frombuffer(y, np.uint64, n)))
         return pd.DataFrame(out, columns=["n_matched", "n_span"])
 
+    verify = verify.asNondeterministic()  # else a filter on its result would run it twice
     checked = lined.select("doc_id", "text_key", "item_id", "n_item", "doc_pos", verify("a", "b").alias("v"))
     checked = checked.select("doc_id", "text_key", "item_id", "n_item", "doc_pos", "v.*")
     ok = (F.col("n_matched") >= least_matched) & (F.col("n_matched") >= least_ratio * F.col("n_span"))

@@ -61,7 +61,8 @@ KNOWN = ByteHashes()
 def shingle_set(text: str, size: int = SHINGLE) -> np.ndarray:
     """Sorted distinct shingle hashes (unsigned 64-bit)."""
     # bytes.lower() changes A-Z only, and bytes.split() cuts at exactly the six ASCII space characters
-    words = KNOWN.of(text.encode("utf-8", "surrogatepass").lower().split())
+    words = text.encode("utf-8", "surrogatepass").lower().split()
+    words = KNOWN.of(words, len(words))
     if not len(words):
         return np.zeros(0, np.uint64)
     n = min(size, len(words))
@@ -231,7 +232,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int,
 
     def make(rows):
         for batch in rows:
-            keep = np.flatnonzero(passing(flags.value, batch.column(1).to_numpy().view(np.uint64)))
+            keep = passing(flags.value, batch.column(1).to_numpy().view(np.uint64))
             cols = ([], [], [])
             part = batch.take(pa.array(keep))
             for doc, text in zip(part.column(0).to_pylist(), part.column(2).to_pylist(), strict=True):

@@ -160,7 +160,9 @@ def _concerned(rows: DataFrame, keys: DataFrame):
 
     @F.pandas_udf("boolean")
     def may_be(k):
-        return pd.Series(passing(flags.value, k.to_numpy().view(np.uint64)))
+        out = np.zeros(len(k), bool)
+        out[passing(flags.value, k.to_numpy().view(np.uint64))] = True
+        return pd.Series(out)
 
     return may_be("row_key")
 

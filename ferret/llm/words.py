@@ -17,8 +17,8 @@ class WordHashes(dict):
         h = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
         return h
 
-    def of(self, words: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+    def of(self, words, count: int) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.uint64, count)
 
 
 KNOWN = WordHashes()  # lives as long as the worker process
@@ -35,6 +35,6 @@ def combined(hashes: np.ndarray, offsets: list[int], seed: int = 0) -> np.ndarra
     """For each start, one hash of the words at ``offsets`` from it, in order."""
     n = max(0, len(hashes) - max(offsets))
     out = np.full(n, (0x9E3779B97F4A7C15 * (seed + 1)) % (1 << 64), np.uint64)
-    for k in offsets:
-        out = mixed(out * np.uint64(0xD6E8FEB86659FD93) + hashes[k:k + n])
-    return out
+    for j, k in enumerate(offsets):  # another odd factor for each place
+        out += hashes[k:k + n] * np.uint64((0xD6E8FEB86659FD93 * (2 * j + 1)) % (1 << 64))
+    return mixed(out)
