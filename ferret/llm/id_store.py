@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ferret.llm.common import scratch, stored, text_of
-from ferret.llm.encoder import BYTE_LEVEL_CUTS, batches, encoder
+from ferret.llm.encoder import batches, encoder
 
 NO_KEY = -(1 << 63)  # stands for a null key in a directory
 SHARD_TEXT_BYTES = 32 << 20
@@ -42,15 +42,15 @@ DIRECTORY = "shard int, ordinal int, key long, at long, n long, ids_crc32 long"
 ENTRY = "shard int, ordinal int, n_docs int, at long, n long"
 
 
-def write_ids(docs: DataFrame, path: str, tokenizer: str, *, cuts: str | None = BYTE_LEVEL_CUTS,
+def write_ids(docs: DataFrame, path: str, tokenizer: str, *, rule: str | None = "byte_level",
               shard_text_bytes: int = SHARD_TEXT_BYTES) -> None:
     """Encode every document and write the shards; range-partitioned by key, sorted within."""
     total = docs.agg(F.sum(F.octet_length(text_of()))).first()[0] or 0
     shards = max(1, math.ceil(total / shard_text_bytes))
-    width = 2 if encoder(tokenizer, cuts).vocabulary() <= 1 << 16 else 4
+    width = 2 if encoder(tokenizer, rule).vocabulary() <= 1 << 16 else 4
 
     def encode(rows):
-        enc, keys, counts, any_row = encoder(tokenizer, cuts), [], [], False
+        enc, keys, counts, any_row = encoder(tokenizer, rule), [], [], False
         narrow = f"<u{width}"
 
         def row(raw):
@@ -236,12 +236,12 @@ def fetch(keys: DataFrame, index: DataFrame, path: str) -> DataFrame:
     return files.join(where, "shard").select("content", "want").mapInArrow(cut, "key long, ids binary")
 
 
-def store_and_read(docs: DataFrame, tokenizer: str, *, cuts: str | None = BYTE_LEVEL_CUTS,
+def store_and_read(docs: DataFrame, tokenizer: str, *, rule: str | None = "byte_level",
                    shard_text_bytes: int = SHARD_TEXT_BYTES, keys_per_bucket: int = KEYS_PER_BUCKET) -> DataFrame:
     """Write the store of ``docs``, look every key up in its index and digest what the shards hold there."""
     spark = docs.sparkSession
     path, index_path = scratch(spark, "ids"), scratch(spark, "id-index")
-    write_ids(docs, path, tokenizer, cuts=cuts, shard_text_bytes=shard_text_bytes)
+    write_ids(docs, path, tokenizer, rule=rule, shard_text_bytes=shard_text_bytes)
     directory = stored(read_directory(spark, path), "id-directory")
     build_index(directory, index_path, keys_per_bucket=keys_per_bucket)
     found = look_up(docs.select(F.col("doc_id").cast("long").alias("key")), spark.read.parquet(index_path))

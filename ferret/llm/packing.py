@@ -34,19 +34,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ferret.llm.common import stored, text_of
-from ferret.llm.encoder import SPACE_DROPPING_CUTS, batches, encoder
+from ferret.llm.encoder import batches, encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 def encode_pieces(docs: DataFrame, tokenizer: str, *, capacity: int = 4096, end_id: int = 1,
-                  cuts: str | None = SPACE_DROPPING_CUTS, with_ids: bool = False) -> DataFrame:
+                  rule: str | None = "word_ends", with_ids: bool = False) -> DataFrame:
     """One row per piece of every document; ``ids`` (packed 32-bit) only when asked for."""
     end = end_id.to_bytes(4, "little")
     schema = PIECES + (", ids binary" if with_ids else "")
 
     def encode(rows):
-        enc = encoder(tokenizer, cuts)
+        enc = encoder(tokenizer, rule)
         for batch in rows:
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             cols = ([], [], [], [], [], [])
@@ -153,9 +153,9 @@ def assign_sequences(pieces: DataFrame, *, capacity: int = 4096) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, *, capacity: int = 4096, end_id: int = 1,
-                   cuts: str | None = SPACE_DROPPING_CUTS, with_ids: bool = False) -> DataFrame:
+                   rule: str | None = "word_ends", with_ids: bool = False) -> DataFrame:
     """Every piece of every document with its sequence and its place there."""
-    pieces = encode_pieces(docs, tokenizer, capacity=capacity, end_id=end_id, cuts=cuts, with_ids=with_ids)
+    pieces = encode_pieces(docs, tokenizer, capacity=capacity, end_id=end_id, rule=rule, with_ids=with_ids)
     return assign_sequences(stored(pieces, "pieces"), capacity=capacity)
 
 
