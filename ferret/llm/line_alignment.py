@@ -135,6 +135,7 @@ def removed_lines(docs: DataFrame, *, rare_share: float = RARE_SHARE, rare_least
         return pd.Series([common_blocks(listed(a), listed(b), list(w), least_words)
                           for a, b, w in zip(own, keys, words, strict=True)])
 
+    align = align.asNondeterministic()  # else a filter on its result would run it twice
     text = lambda c: F.transform(c, lambda k: k.cast("string"))
     aligned = lined.select("doc_id", "text_key", align(text("own_keys"), text("keys"), "words").alias("gone"))
     whole = (rows.where("doc_id > first").select("doc_id", "text_key", F.transform(

@@ -134,7 +134,9 @@ def judge(docs: DataFrame, *, line_share: float = LINE_SHARE, least_docs: int =
 
 def apply_rules(docs: DataFrame, **limits) -> DataFrame:
     """The kept documents with all their columns; removed lines are gone from ``text`` (and from ``n_chars``)."""
-    kept = judge(docs, **limits).where("kept").select("row", "lost_lines")
+    # a column that isn't deterministic, and is used, keeps the planner from copying the whole verdict into the scan's filter
+    judged = judge(docs, **limits).withColumn("at", F.monotonically_increasing_id())
+    kept = judged.where(F.col("kept") & (F.col("at") >= 0)).select("row", "lost_lines")
     line_gone = lambda x: x.rlike(_HAS_WORD) & F.array_contains("lost_lines", F.xxhash64(_normalised(x)))
     text = F.col("row")["text"]
     cleaned = F.when(F.col("lost_lines").isNull(), text).otherwise(
