@@ -108,6 +108,23 @@ def with_norm_ppf(df, p_col: str, out_col: str):
     return df.drop("__ppf_x0", "__ppf_e")
 
 
+def norm_ppf_steps_sql(source: str, p_cols: dict[str, str], name: str) -> str:
+    """CTEs that add Phi^-1 of columns to ``source``: {p column: out column}, the last CTE called ``name``.
+
+    The refined quantile needs its first approximation several times; as
+    columns of their own the steps stay small (the SQL form of :func:`with_norm_ppf`).
+    """
+    first = ", ".join(f"{_acklam_sql(p)} AS x0_{p}" for p in p_cols)
+    error = ", ".join(f"({norm_cdf_sql(f'x0_{p}')} - {p}) AS e_{p}" for p in p_cols)
+
+    def last(p):
+        u = f"(e_{p} * {_lit(math.sqrt(2 * math.pi))} * exp(x0_{p} * x0_{p} / 2.0e0))"
+        return f"(CASE WHEN {p} > 0.0e0 AND {p} < 1.0e0 THEN x0_{p} - {u} / (1.0e0 + x0_{p} * {u} / 2.0e0) ELSE NULL END) AS {p_cols[p]}"
+
+    return (f"{name}_0 AS MATERIALIZED (SELECT *, {first} FROM {source}),\n{name}_1 AS MATERIALIZED (SELECT *, {error} FROM {name}_0),\n"
+            f"{name} AS MATERIALIZED (SELECT *, {', '.join(map(last, p_cols))} FROM {name}_1)")
+
+
 def norm_cdf(col: str | Column) -> Column:
     return _apply(norm_cdf_sql, col)
 

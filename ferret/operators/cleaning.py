@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferret.operators.columns import is_missing, kinds, unpivot_values
+from ferret.operators.columns import is_missing, kinds, unpivot_values, nan_to_null
 from ferret.operators.rank import exact_quantiles, global_rank
 
 # ----------------------------------------------------------------------------
@@ -54,6 +54,8 @@ def fit_modes(df: DataFrame, cols: list[str]) -> dict[str, object]:
         if not gcols:
             continue
         long = unpivot_values(df, gcols, cast=cast).where(F.col("value").isNotNull())
+        if kind_name == "fractional":
+            long = long.where(~F.isnan("value"))
         cnt = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
         best = cnt.groupBy("feature").agg(
             F.min_by("value", F.struct((-F.col("n")).alias("k"), F.col("value").alias("v"))).alias("mode"))
@@ -427,13 +429,15 @@ class HBOSModel:
 def fit_hbos(df: DataFrame, cols: list[str], n_bins: int = 10, alpha: float = 0.1,
              tol: float = 0.5) -> HBOSModel:
     """Equal-width histograms per feature: one min/max aggregate + one count per (feature, bin)."""
+    df = nan_to_null(df)
     r = df.agg(F.count(F.lit(1)).alias("__n"),
                *[F.min(c).alias(f"a{i}") for i, c in enumerate(cols)],
                *[F.max(c).alias(f"b{i}") for i, c in enumerate(cols)]).collect()[0]
-    n = r["__n"]
+    n = max(1, r["__n"])
     lo, width = {}, {}
     for i, c in enumerate(cols):
-        a, b = float(r[f"a{i}"]), float(r[f"b{i}"])
+        # a column without any value gets an empty histogram: every value is equally unusual there
+        a, b = (0.0, 0.0) if r[f"a{i}"] is None else (float(r[f"a{i}"]), float(r[f"b{i}"]))
         if a == b:
             a, b = a - 0.5, b + 0.5
         lo[c], width[c] = a, (b - a) / n_bins
@@ -448,8 +452,13 @@ def fit_hbos(df: DataFrame, cols: list[str], n_bins: int = 10, alpha: float = 0.
     return model
 
 
+def _number(c: str) -> Column:
+    """As double, with NaN as NULL: one notion of missing."""
+    return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+
+
 def _bin_expr(model: HBOSModel, c: str) -> Column:
-    x = F.col(c).cast("double")
+    x = _number(c)
     # least() skips NULL arguments: keep a missing value out of every bin
     return F.when(x.isNotNull(), F.least(F.lit(model.n_bins - 1),
                   F.floor((x - F.lit(model.lo[c])) / F.lit(model.width[c])).cast("int")))
@@ -464,7 +473,7 @@ def hbos_score(model: HBOSModel) -> Column:
         return _hbos_score_hof(model)
     total = None
     for c in model.cols:
-        x = F.col(c).cast("double")
+        x = _number(c)
         lo, w, nb = model.lo[c], model.width[c], model.n_bins
         hi = lo + w * nb
         ld = model.log_density[c]
@@ -483,7 +492,7 @@ def _hbos_score_hof(model: HBOSModel) -> Column:
     """Same score as one ``aggregate`` over the feature index: the expression size does not
     grow with the number of features (per-feature parameters are literal arrays)."""
     cols, nb, tol = model.cols, model.n_bins, model.tol
-    xs = F.array(*[F.col(c).cast("double") for c in cols])
+    xs = F.array(*[_number(c) for c in cols])
     los = F.array(*[F.lit(model.lo[c]) for c in cols])
     ws = F.array(*[F.lit(model.width[c]) for c in cols])
     lds = F.array(*[F.array(*[F.lit(v) for v in model.log_density[c]]) for c in cols])

@@ -10,13 +10,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ferret.functions.normal import norm_cdf, with_norm_ppf
 from ferret.operators.rank import global_rank, running_totals
-from ferret.plans.sizing import collect_bounded
-
-MAX_LABELS = 1_000  # k x k confusion cells
-MAX_GROUPS = 100_000
 
 
 def _g(group: str | None) -> list[str]:
@@ -28,34 +25,75 @@ def _g(group: str | None) -> list[str]:
 # ----------------------------------------------------------------------------
 
 
+def _comparable(df: DataFrame, y_true: str, y_pred: str) -> tuple[Column, Column]:
+    """Both columns in one type: their own when they agree, double when both are numbers, else string.
+
+    A model predicts doubles for integer labels, so 1 and 1.0 must be one label.
+    """
+    types = [df.schema[c].dataType for c in (y_true, y_pred)]
+    if types[0] == types[1]:
+        to = types[0]
+    elif all(isinstance(t, (T.NumericType, T.BooleanType)) for t in types):
+        to = T.DoubleType()
+    else:
+        to = T.StringType()
+
+    def cast(c, t):
+        x = F.col(c).cast("int") if isinstance(t, T.BooleanType) and to != t else F.col(c)
+        x = x.cast(to)
+        return F.nanvl(x, F.lit(None).cast(to)) if isinstance(to, (T.FloatType, T.DoubleType)) else x
+
+    return cast(y_true, types[0]), cast(y_pred, types[1])
+
+
+def _label_text(x: Column, dtype: str) -> Column:
+    """Labels as text; a whole double prints as the integer it equals."""
+    if dtype in ("double", "float"):
+        whole = (x == F.floor(x)) & (F.abs(x) < F.lit(1e15))
+        return F.when(whole, x.cast("bigint").cast("string")).otherwise(x.cast("string"))
+    return x.cast("string")
+
+
 def confusion_matrix(df: DataFrame, y_true: str, y_pred: str, labels: list | None = None) -> DataFrame:
     """(actual, predicted, count) for every pair of labels, zero-filled.
 
-    Counts are one distributed group-by; the label list (union of both columns)
-    is bounded and checked, so the k x k frame is built from it without a join
-    against the data.
+    Counts are one distributed group-by; the k x k frame is made from the k
+    labels that occur (or are given).  A missing label or prediction is a cell of
+    its own, with NULL on that side, when it occurs.
     """
-    counts = df.groupBy(F.col(y_true).alias("actual"), F.col(y_pred).alias("predicted")).agg(
-        F.count(F.lit(1)).alias("count"))
-    if labels is None:
-        lab = (df.select(F.col(y_true).alias("l")).union(df.select(F.col(y_pred).alias("l")))
-               .where(F.col("l").isNotNull()).distinct())
-        labels = sorted(r["l"] for r in collect_bounded(lab, MAX_LABELS, "confusion_matrix labels"))
+    a, p = _comparable(df, y_true, y_pred)
+    pairs = df.select(a.alias("actual"), p.alias("predicted"))
+    counts = pairs.groupBy("actual", "predicted").agg(F.count(F.lit(1)).alias("count"))
     dtype = dict(counts.dtypes)["actual"]
-    grid = df.sparkSession.createDataFrame([(a, p) for a in labels for p in labels],
-                                           f"actual {dtype}, predicted {dtype}")
-    return (F.broadcast(grid).join(counts, ["actual", "predicted"], "left")
-            .select("actual", "predicted", F.coalesce("count", F.lit(0)).cast("bigint").alias("count")))
+    if labels is None:
+        # the result has k * k rows, so the k labels themselves are the small part
+        found = counts.select(F.explode(F.array("actual", "predicted")).alias("l")).where(F.col("l").isNotNull())
+        labels = [r["l"] for r in found.distinct().collect()]
+    if dtype in ("double", "float"):
+        labels = [float(x) for x in labels]
+    each = df.sparkSession.createDataFrame([(x,) for x in labels], f"a {dtype}")
+    grid = each.select("a", F.explode(F.array(*[F.lit(x).cast(dtype) for x in labels]).cast(f"array<{dtype}>")).alias("p"))
+    known = (grid.join(counts, (F.col("a") == F.col("actual")) & (F.col("p") == F.col("predicted")), "left")
+             .select(F.col("a").alias("actual"), F.col("p").alias("predicted"),
+                     F.coalesce("count", F.lit(0)).cast("bigint").alias("count")))
+    missing = counts.where(F.col("actual").isNull() | F.col("predicted").isNull())
+    return known.unionByName(missing.select("actual", "predicted", F.col("count").cast("bigint")))
 
 
 def classification_report(df: DataFrame, y_true: str, y_pred: str, digits: int = 2) -> DataFrame:
     """(label, precision, recall, f1_score, support) per class, then rows 'accuracy',
-    'macro avg' and 'weighted avg' (accuracy in f1_score, as the text report prints it)."""
-    c = df.groupBy(F.col(y_true).cast("string").alias("t"), F.col(y_pred).cast("string").alias("p")).agg(
-        F.count(F.lit(1)).alias("n")).cache()
+    'macro avg' and 'weighted avg' (accuracy in f1_score, as the text report prints it).
+
+    Rows without a label are left out; a missing prediction of a labelled row counts as wrong.
+    """
+    a, b = _comparable(df, y_true, y_pred)
+    both = df.select(a.alias("t"), b.alias("p")).where(F.col("t").isNotNull())
+    dtype = dict(both.dtypes)["t"]
+    c = both.select(_label_text(F.col("t"), dtype).alias("t"), _label_text(F.col("p"), dtype).alias("p")).groupBy("t", "p").agg(
+        F.count(F.lit(1)).alias("n"))
     tp = c.where("t = p").groupBy(F.col("t").alias("label")).agg(F.sum("n").alias("tp"))
     sup = c.groupBy(F.col("t").alias("label")).agg(F.sum("n").alias("support"))
-    pred = c.groupBy(F.col("p").alias("label")).agg(F.sum("n").alias("pred"))
+    pred = c.where(F.col("p").isNotNull()).groupBy(F.col("p").alias("label")).agg(F.sum("n").alias("pred"))
     per = (sup.join(pred, "label", "full").join(tp, "label", "left")
            .select("label", *[F.coalesce(x, F.lit(0)).alias(x) for x in ("tp", "support", "pred")]))
     prec = F.when(F.col("pred") > 0, F.col("tp") / F.col("pred")).otherwise(0.0)
@@ -63,7 +101,7 @@ def classification_report(df: DataFrame, y_true: str, y_pred: str, digits: int =
     per = per.select("label", prec.alias("precision"), rec.alias("recall"), "support")
     f1 = F.when(F.col("precision") + F.col("recall") > 0,
                 2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall"))).otherwise(0.0)
-    per = per.select("label", "precision", "recall", f1.alias("f1_score"), "support").cache()
+    per = per.select("label", "precision", "recall", f1.alias("f1_score"), "support")
     acc = c.agg((F.sum(F.when(F.col("t") == F.col("p"), F.col("n")).otherwise(0)) / F.sum("n")).alias("a"),
                 F.sum("n").alias("n"))
     macro = per.agg(F.lit("macro avg").alias("label"), F.avg("precision").alias("precision"),
@@ -103,18 +141,12 @@ def _curve_base(df: DataFrame, y_true: str, score: str, group: str | None, pos_l
         gname = group
     sc = _score_counts(df, y_true, score, gname, pos_label)
     cum = running_totals(sc, [F.col(gname), F.col("threshold").desc()], ["pos", "neg"])
-    # running totals are global over (group, score): subtract each group's start.
-    # One row per group (models), bounded and checked before it is broadcast.
+    # running totals are global over (group, score): subtract each group's start,
+    # itself a running total over one row per group
     totals = sc.groupBy(gname).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    rows = collect_bounded(totals.orderBy(gname), MAX_GROUPS, "curve groups")
-    start, sp, sn = [], 0, 0
-    for r in rows:
-        start.append((r[gname], sp, sn, r["P"], r["N"]))
-        sp += r["P"]
-        sn += r["N"]
-    dtype = dict(sc.dtypes)[gname]
-    st = df.sparkSession.createDataFrame(start, f"{gname} {dtype}, _sp long, _sn long, P long, N long")
-    cum = cum.join(F.broadcast(st), gname).select(
+    st = running_totals(totals, [F.col(gname)], ["P", "N"]).select(
+        gname, (F.col("cum_P") - F.col("P")).alias("_sp"), (F.col("cum_N") - F.col("N")).alias("_sn"), "P", "N")
+    cum = cum.join(st, gname).select(
         *_g(group), "threshold", "pos", "neg", (F.col("cum_pos") - F.col("_sp")).alias("cum_pos"),
         (F.col("cum_neg") - F.col("_sn")).alias("cum_neg"), "P", "N")
     return cum

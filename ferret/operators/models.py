@@ -28,6 +28,8 @@ CLASSIFIERS = ["decision_tree", "random_forest", "gradient_boosting", "logistic_
                "linear_svc", "ridge_classifier", "gaussian_nb"]
 REGRESSORS = ["linear_regression", "ridge", "elastic_net", "decision_tree", "random_forest",
               "gradient_boosting"]
+TWO_CLASS = ("gradient_boosting", "linear_svc", "ridge_classifier")  # one-vs-rest above two classes
+MAX_TREE_DEPTH = 30  # the deepest tree that Spark grows
 DUMMY_CLASSIFIERS = ["dummy_most_frequent", "dummy_uniform", "dummy_stratified"]
 DUMMY_REGRESSORS = ["dummy_median", "dummy_mean"]
 
@@ -73,15 +75,18 @@ class ModelRegistry:
 
 
 def default_specs(problem: str, n_train: int, use_default_models: bool = True,
-                  use_dummy_models: bool = True, seed: int = 42) -> list[ModelSpec]:
-    """Default model set with parameters translated for a training table of ``n_train`` rows."""
+                  use_dummy_models: bool = True, seed: int = 42, tree_depth: int = MAX_TREE_DEPTH) -> list[ModelSpec]:
+    """Default model set with parameters translated for a training table of ``n_train`` rows.
+
+    ``tree_depth`` bounds single trees and forests; the default is the deepest that Spark grows.
+    """
     n = max(1, n_train)
     specs: list[ModelSpec] = []
     if problem == "classification":
         if use_default_models:
             specs += [
-                ModelSpec("decision_tree", problem, {"maxDepth": 30, "seed": seed}),
-                ModelSpec("random_forest", problem, {"numTrees": 100, "maxDepth": 10, "seed": seed}),
+                ModelSpec("decision_tree", problem, {"maxDepth": tree_depth, "seed": seed}),
+                ModelSpec("random_forest", problem, {"numTrees": 100, "maxDepth": tree_depth, "seed": seed}),
                 ModelSpec("gradient_boosting", problem, {"maxIter": 100, "maxDepth": 3, "stepSize": 0.1,
                                                          "seed": seed}),
                 ModelSpec("logistic_regression", problem, {"regParam": 1.0 / n}),
@@ -97,8 +102,8 @@ def default_specs(problem: str, n_train: int, use_default_models: bool = True,
                 ModelSpec("linear_regression", problem, {"regParam": 0.0}),
                 ModelSpec("ridge", problem, {"regParam": 1.0 / n}),
                 ModelSpec("elastic_net", problem, {"regParam": 1.0, "elasticNetParam": 0.5}),
-                ModelSpec("decision_tree", problem, {"maxDepth": 30, "seed": seed}),
-                ModelSpec("random_forest", problem, {"numTrees": 100, "maxDepth": 10, "seed": seed}),
+                ModelSpec("decision_tree", problem, {"maxDepth": tree_depth, "seed": seed}),
+                ModelSpec("random_forest", problem, {"numTrees": 100, "maxDepth": tree_depth, "seed": seed}),
                 ModelSpec("gradient_boosting", problem, {"maxIter": 100, "maxDepth": 3, "stepSize": 0.1,
                                                          "seed": seed}),
             ]
@@ -141,10 +146,10 @@ def estimator(spec: ModelSpec, label: str, label_std: float = 1.0):
         return spec.custom.copy({spec.custom.featuresCol: FEATURES, spec.custom.labelCol: label})
     if spec.name == "decision_tree":
         e = C.DecisionTreeClassifier if cls else R.DecisionTreeRegressor
-        return e(maxDepth=p.get("maxDepth", 30), seed=p.get("seed", 42), **common)
+        return e(maxDepth=p.get("maxDepth", MAX_TREE_DEPTH), seed=p.get("seed", 42), **common)
     if spec.name == "random_forest":
         e = C.RandomForestClassifier if cls else R.RandomForestRegressor
-        return e(numTrees=p.get("numTrees", 100), maxDepth=p.get("maxDepth", 10), seed=p.get("seed", 42), **common)
+        return e(numTrees=p.get("numTrees", 100), maxDepth=p.get("maxDepth", MAX_TREE_DEPTH), seed=p.get("seed", 42), **common)
     if spec.name == "gradient_boosting":
         e = C.GBTClassifier if cls else R.GBTRegressor
         return e(maxIter=p.get("maxIter", 100), maxDepth=p.get("maxDepth", 3), stepSize=p.get("stepSize", 0.1),
@@ -188,18 +193,37 @@ def fit_model(spec: ModelSpec, train: DataFrame, feature_cols: list[str], label:
     if spec.name.startswith("dummy_"):
         return _fit_dummy(fm, train)
     data = train
+    classes = 2
+    if spec.custom is None and spec.problem == "classification" and spec.name in TWO_CLASS:
+        classes = int(train.agg(F.max(F.col(label).cast("double"))).collect()[0][0] or 0) + 1
+    if spec.name == "ridge_classifier" and classes > 2:
+        return _fit_ridge_per_class(fm, train, classes)
     if spec.name == "ridge_classifier":
         data = train.withColumn("_pm1", F.when(F.col(label) > 0, 1.0).otherwise(-1.0))
     label_std = 1.0
     if spec.custom is None and spec.name in LABEL_SCALED:
         lab = "_pm1" if spec.name == "ridge_classifier" else label
         label_std = data.agg(F.stddev_pop(F.col(lab).cast("double"))).collect()[0][0] or 1.0
-    pipe = Pipeline(stages=[VectorAssembler(inputCols=feature_cols, outputCol=FEATURES, handleInvalid="keep"),
-                            estimator(spec, label, label_std)])
+    est = estimator(spec, label, label_std)
+    if classes > 2:
+        est = C.OneVsRest(classifier=est, featuresCol=FEATURES, labelCol=label)
+    pipe = Pipeline(stages=[VectorAssembler(inputCols=feature_cols, outputCol=FEATURES, handleInvalid="keep"), est])
     fm.model = pipe.fit(data)
     return fm
 
 
+def _fit_ridge_per_class(fm: FittedModel, train: DataFrame, classes: int) -> FittedModel:
+    """One ridge regression per class on -1 / +1 labels; the class of the largest score wins."""
+    data = train.select("*", *[F.when(F.col(fm.label) == k, 1.0).otherwise(-1.0).alias(f"_pm{k}") for k in range(classes)])
+    std = data.agg(*[F.stddev_pop(f"_pm{k}") for k in range(classes)]).collect()[0]
+    stages = [VectorAssembler(inputCols=fm.feature_cols, outputCol=FEATURES, handleInvalid="keep")]
+    for k in range(classes):
+        e = estimator(fm.spec, fm.label, std[k] or 1.0)
+        stages.append(e.setLabelCol(f"_pm{k}").setPredictionCol(f"_score{k}"))
+    fm.model = Pipeline(stages=stages).fit(data)
+    return fm
+
+
 def _fit_dummy(fm: FittedModel, train: DataFrame) -> FittedModel:
     y = F.col(fm.label).cast("double")
     if fm.spec.name == "dummy_mean":
@@ -222,6 +246,11 @@ def predict(fm: FittedModel, df: DataFrame, key: str = "row_id") -> DataFrame:
     if name.startswith("dummy_"):
         return _predict_dummy(fm, df, key)
     out = fm.model.transform(df)
+    scores = len(fm.model.stages) - 1
+    if name == "ridge_classifier" and scores > 1:
+        each = F.array(*[F.col(f"_score{k}") for k in range(scores)])
+        pred = (F.array_position(each, F.array_max(each)) - 1).cast("double")
+        return out.select(key, pred.alias("prediction"), F.lit(None).cast("double").alias("probability"))
     pred = F.col("prediction").cast("double")
     if name == "ridge_classifier":
         pred = F.when(F.col("prediction") > 0, 1.0).otherwise(0.0)

@@ -22,9 +22,7 @@ from pyspark.sql import functions as F
 
 from ferret.functions.normal import with_norm_ppf
 from ferret.operators.columns import unpivot_values
-from ferret.operators.profile import pearson
-from ferret.operators.rank import global_rank
-from ferret.plans.sizing import collect_bounded
+from ferret.operators.rank import global_rank, running_totals
 
 # Fixed values (Royston 1995, AS R94): polynomial coefficients.
 SW_C1 = [0.0, 0.221157, -0.147981, -2.07119, 4.434685, -2.706056]
@@ -45,16 +43,12 @@ def _poly(c: list[float], x: float) -> float:
 def ranked_long(df: DataFrame, cols: list[str], key: str) -> DataFrame:
     """(feature, key, value, i, n): value ranks 1..n within each feature (nulls dropped)."""
     long = unpivot_values(df.select(key, *cols), cols, ids=[key], cast="double").where(
-        F.col("value").isNotNull())
+        F.col("value").isNotNull() & ~F.isnan("value"))
     ranked = global_rank(long, [F.col("feature"), F.col("value")], [key], rank_col="_g")
-    counts = collect_bounded(long.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).orderBy("feature"),
-                             100_000, "ranked features")
-    offs, run = [], 0
-    for r in counts:
-        offs.append((r["feature"], run, r["n"]))
-        run += r["n"]
-    off = df.sparkSession.createDataFrame(offs, "feature string, _off long, n long")
-    return ranked.join(F.broadcast(off), "feature").select(
+    # one row per feature: where its ranks start is a running total
+    counts = long.groupBy("feature").agg(F.count(F.lit(1)).alias("n"))
+    off = running_totals(counts, [F.col("feature")], ["n"]).select("feature", (F.col("cum_n") - F.col("n")).alias("_off"), "n")
+    return ranked.join(off, "feature").select(
         "feature", key, "value", (F.col("_g") - F.col("_off")).alias("i"), "n")
 
 
@@ -141,8 +135,9 @@ def probability_plot(df: DataFrame, cols: list[str], key: str) -> tuple[DataFram
     (feature, slope, intercept, r) of ordered values on theoretical quantiles."""
     rk = with_norm_ppf(ranked_long(df, cols, key).withColumn("_v", _filliben()), "_v", "osm")
     pts = rk.select("feature", "i", "osm", F.col("value").alias("osr"))
+    den = F.stddev_pop("osm") * F.stddev_pop("osr")  # both sides are present in every row
     fit = pts.groupBy("feature").agg(
         F.regr_slope("osr", "osm").alias("slope"), F.regr_intercept("osr", "osm").alias("intercept"),
-        pearson("osm", "osr").alias("r"))
+        F.when(den > 0, F.try_divide(F.covar_pop("osm", "osr"), den)).alias("r"))
     return (pts.select("feature", "i", F.round("osm", 6).alias("osm"), F.round("osr", 6).alias("osr")),
             fit.select("feature", *[F.round(c, 6).alias(c) for c in ("slope", "intercept", "r")]))

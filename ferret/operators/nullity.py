@@ -52,42 +52,18 @@ def nullity_bar(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 
 def nullity_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Missingness patterns: (pattern, n_rows) where bit i is set when column i is missing.
-
-    Also returns the pattern as a readable string of 0/1 in column order.
-    """
+    """Missingness patterns: (flags, n_rows), one character per column in column order, 1 where it is missing."""
     cols = list(cols or df.columns)
     flags = F.concat(*[F.when(is_missing(df, c), "1").otherwise("0") for c in cols])
-    if len(cols) > 62:  # wider than a bigint mask: the flag string alone is the pattern
-        return (df.select(F.lit(None).cast("bigint").alias("pattern"), flags.alias("flags"))
-                .groupBy("pattern", "flags").agg(F.count(F.lit(1)).alias("n_rows")))
-    bits = [F.when(is_missing(df, c), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint")
-            for i, c in enumerate(cols)]
-    mask = bits[0]
-    for b in bits[1:]:
-        mask = mask + b
-    return (df.select(mask.alias("pattern"), flags.alias("flags"))
-            .groupBy("pattern", "flags").agg(F.count(F.lit(1)).alias("n_rows")))
-
-
-WIDE = 64  # above this many columns: per-partition flag Gramians instead of k^2 pair sums
+    return df.select(flags.alias("flags")).groupBy("flags").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def _flag_pairs(df: DataFrame, cols: list[str]):
     """Null counts and pairwise co-missing counts of the flags, as a dict-like row.
 
-    Narrow: one aggregate of k(k-1)/2 pair sums.  Wide: each partition computes
-    F^T F of its 0/1 flag matrix (numpy on Arrow batches); a group-by on the
-    cell sums them, so the plan does not grow with k^2.
+    Each partition computes F^T F of its 0/1 flag matrix (numpy on Arrow
+    batches); a group-by on the cell sums them, so the plan does not grow with k^2.
     """
-    if len(cols) <= WIDE:
-        flags = {c: is_missing(df, c).cast("int") for c in cols}
-        aggs = [F.count(F.lit(1)).alias("__n")]
-        aggs += [F.sum(flags[c]).alias(f"s{i}") for i, c in enumerate(cols)]
-        for i in range(len(cols)):
-            for j in range(i + 1, len(cols)):
-                aggs.append(F.sum(flags[cols[i]] * flags[cols[j]]).alias(f"p{i}_{j}"))
-        return df.agg(*aggs).collect()[0]
     import numpy as np
     import pandas as pd
     k = len(cols)
@@ -159,7 +135,7 @@ def nullity_linkage(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     d = {}
     for r in dist_rows:
         d[(r["feature_x"], r["feature_y"])] = d[(r["feature_y"], r["feature_x"])] = float(r["distance"])
-    clusters = {c: [c] for c in cols}
+    clusters = dict.fromkeys(cols, 1)  # label -> number of columns
     steps = []
     step = 0
     while len(clusters) > 1:
@@ -167,14 +143,16 @@ def nullity_linkage(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
         best = None
         for a in range(len(names)):
             for b in range(a + 1, len(names)):
-                ca, cb = clusters[names[a]], clusters[names[b]]
-                avg = sum(d[(x, y)] for x in ca for y in cb) / (len(ca) * len(cb))
+                avg = d[(names[a], names[b])]
                 if best is None or avg < best[0] - 1e-12:
                     best = (avg, names[a], names[b])
         avg, a, b = best
         merged = f"({a},{b})"
-        clusters[merged] = clusters.pop(a) + clusters.pop(b)
-        steps.append((step, a, b, round(avg, 6), len(clusters[merged])))
+        na, nb = clusters.pop(a), clusters.pop(b)
+        for c in clusters:  # the average distance of a union is the weighted mean of its parts'
+            d[(merged, c)] = d[(c, merged)] = (na * d[(a, c)] + nb * d[(b, c)]) / (na + nb)
+        clusters[merged] = na + nb
+        steps.append((step, a, b, round(avg, 6), na + nb))
         step += 1
     return df.sparkSession.createDataFrame(
         steps, "step int, left string, right string, distance double, size int")

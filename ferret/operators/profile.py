@@ -7,13 +7,13 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferret.operators.columns import unpivot_values
+from ferret.operators.columns import nan_to_null, unpivot_values
 from ferret.operators.rank import exact_quantiles
 
 
-def _pairs(cols: list[str], diagonal: bool = False):
-    return [(cols[i], cols[j]) for i in range(len(cols))
-            for j in range(i if diagonal else i + 1, len(cols))]
+def _value(c: str) -> Column:
+    """A column as double, with NaN as NULL: one notion of missing."""
+    return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
 
 
 # ----------------------------------------------------------------------------
@@ -23,7 +23,7 @@ def _pairs(cols: list[str], diagonal: bool = False):
 
 def corrected_skew(col: str) -> Column:
     """Bias-corrected sample skewness G1 = g1 * sqrt(n (n-1)) / (n - 2)."""
-    x = F.col(col).cast("double")
+    x = _value(col)
     n = F.count(x).cast("double")
     return F.try_multiply(F.skewness(x), F.try_divide(F.sqrt(n * (n - 1)), n - 2))
 
@@ -41,86 +41,49 @@ def skew_report(df: DataFrame, cols: list[str], threshold: float = 5.0) -> DataF
 # ----------------------------------------------------------------------------
 
 
-def pearson(x: str, y: str) -> Column:
-    """Pairwise-complete Pearson correlation; NULL (not an error) for a constant column."""
-    cx, cy = F.col(x).cast("double"), F.col(y).cast("double")
-    both = cx.isNotNull() & cy.isNotNull()
-    sx = F.stddev_pop(F.when(both, cx))
-    sy = F.stddev_pop(F.when(both, cy))
-    den = sx * sy
-    return F.when(den > 0, F.try_divide(F.covar_pop(cx, cy), den))
+def _correlations(df: DataFrame, cols: list[str]) -> list[list[float | None]]:
+    """Pairwise-complete Pearson correlations of all pairs; None where a column doesn't vary.
 
-
-WIDE = 64  # above this many columns the pair aggregates give way to masked Gramians
-
-
-def correlation_matrix(df: DataFrame, cols: list[str], dataset: str | None = None,
-                       method: str = "auto") -> DataFrame:
-    """Long (feature_x, feature_y, corr) for every ordered pair (pairwise-complete Pearson).
-
-    Narrow tables: ONE aggregate over the k(k+1)/2 pairs with Spark's stable
-    moment aggregates.  Wide tables (``method='gramian'`` or more than ``WIDE``
-    columns): per-partition masked Gramians (numpy on Arrow batches) summed by a
-    group-by on the cell, so the plan does not grow with k^2.
+    Columns are shifted to their mean first (a constant column to its value),
+    so sums of squares don't cancel; then each partition computes the Gramian of
+    its rows (numpy on Arrow batches) and a group-by sums them cell by cell.
+    One way for every number of columns; the plan doesn't grow with the pairs.
     """
-    if method == "gramian" or (method == "auto" and len(cols) > WIDE):
-        return _correlation_gramian(df, cols, dataset)
-    pairs = _pairs(cols, diagonal=True)
-    wide = df.agg(*[pearson(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
-    structs = []
-    for i, (a, b) in enumerate(pairs):
-        structs.append(F.struct(F.lit(a).alias("feature_x"), F.lit(b).alias("feature_y"),
-                                F.col(f"p{i}").alias("corr")))
-        if a != b:
-            structs.append(F.struct(F.lit(b).alias("feature_x"), F.lit(a).alias("feature_y"),
-                                    F.col(f"p{i}").alias("corr")))
-    out = wide.select(F.explode(F.array(*structs)).alias("s")).select(
-        "s.feature_x", "s.feature_y", F.round("s.corr", 6).alias("corr"))
-    if dataset is not None:
-        out = out.select(F.lit(dataset).alias("dataset"), "*")
-    return out
-
-
-def _correlation_gramian(df: DataFrame, cols: list[str], dataset: str | None) -> DataFrame:
     import numpy as np
     import pandas as pd
     k = len(cols)
+    src = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(f"x{i}") for i, c in enumerate(cols)])
+    r = src.agg(*[f(f"x{i}").alias(f"{n}{i}") for i in range(k) for n, f in (("m", F.avg), ("a", F.min), ("b", F.max))]).collect()[0]
+    shift = np.array([0.0 if r[f"a{i}"] is None else r[f"a{i}"] if r[f"a{i}"] == r[f"b{i}"] else r[f"m{i}"] for i in range(k)])
 
     def partial(batches):
-        acc = np.zeros((5, k, k))
-        seen = False
+        acc, seen = np.zeros((4, k, k)), False
         for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            seen = True
-            x = pdf[cols].to_numpy(dtype=np.float64, na_value=np.nan)
+            seen = seen or len(pdf) > 0
+            x = pdf.to_numpy(dtype=np.float64, na_value=np.nan) - shift
             m = (~np.isnan(x)).astype(np.float64)
             x0 = np.where(m > 0, x, 0.0)
-            acc[0] += m.T @ m              # n_ij: rows where both are present
-            acc[1] += x0.T @ m             # sum x_i over rows where j is present
-            acc[2] += (x0 * x0).T @ m      # sum x_i^2 over rows where j is present
-            acc[3] += x0.T @ x0            # sum x_i x_j
+            acc += [m.T @ m, x0.T @ m, (x0 * x0).T @ m, x0.T @ x0]
         if seen:
-            yield pd.DataFrame({"cell": np.arange(4 * k * k), "v": acc[:4].ravel()})
+            yield pd.DataFrame({"cell": np.arange(4 * k * k), "v": acc.ravel()})
 
-    src = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    tot = src.mapInPandas(partial, "cell long, v double").groupBy("cell").agg(F.sum("v").alias("v")).collect()
+    total = src.mapInPandas(partial, "cell long, v double").groupBy("cell").agg(F.sum("v").alias("v")).collect()
     vec = np.zeros(4 * k * k)
-    for r in tot:
-        vec[r["cell"]] = r["v"]
+    for x in total:
+        vec[x["cell"]] = x["v"]
     n, sx, sxx, sxy = vec.reshape(4, k, k)
-    rows = []
-    for i in range(k):
-        for j in range(k):
-            nij = n[i, j]
-            corr = None
-            if nij > 0:
-                mi, mj = sx[i, j] / nij, sx[j, i] / nij
-                vi, vj = sxx[i, j] / nij - mi * mi, sxx[j, i] / nij - mj * mj
-                cov = sxy[i, j] / nij - mi * mj
-                if vi > 0 and vj > 0:
-                    corr = round(float(cov / math.sqrt(vi * vj)), 6)
-            rows.append((cols[i], cols[j], corr))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        cov = sxy / n - (sx / n) * (sx.T / n)
+        var = sxx / n - (sx / n) ** 2
+        corr = cov / np.sqrt(var * var.T)
+    ok = (n > 0) & (var > 0) & (var.T > 0)
+    return [[float(corr[i, j]) if ok[i, j] else None for j in range(k)] for i in range(k)]
+
+
+def correlation_matrix(df: DataFrame, cols: list[str], dataset: str | None = None) -> DataFrame:
+    """Long (feature_x, feature_y, corr) for every ordered pair (pairwise-complete Pearson, NaN as missing)."""
+    corr = _correlations(df, cols)
+    rows = [(a, b, None if corr[i][j] is None else round(corr[i][j], 6)) for i, a in enumerate(cols) for j, b in enumerate(cols)]
     out = df.sparkSession.createDataFrame(rows, "feature_x string, feature_y string, corr double")
     if dataset is not None:
         out = out.select(F.lit(dataset).alias("dataset"), "*")
@@ -129,13 +92,10 @@ def _correlation_gramian(df: DataFrame, cols: list[str], dataset: str | None) ->
 
 def high_correlation(df: DataFrame, cols: list[str], threshold: float = 0.95) -> DataFrame:
     """Upper-triangle pairs (x before y in column order) with corr above ``threshold``."""
-    pairs = _pairs(cols)
-    wide = df.agg(*[pearson(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
-    structs = [F.struct(F.lit(a).alias("feature_x"), F.lit(b).alias("feature_y"),
-                        F.col(f"p{i}").alias("corr")) for i, (a, b) in enumerate(pairs)]
-    out = wide.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
-    return out.where(F.col("corr") > F.lit(threshold)).select(
-        "feature_x", "feature_y", F.round("corr", 6).alias("corr"))
+    corr = _correlations(df, cols)
+    rows = [(cols[i], cols[j], round(corr[i][j], 6)) for i in range(len(cols)) for j in range(i + 1, len(cols))
+            if corr[i][j] is not None and corr[i][j] > threshold]
+    return df.sparkSession.createDataFrame(rows, "feature_x string, feature_y string, corr double")
 
 
 # ----------------------------------------------------------------------------
@@ -154,9 +114,9 @@ def fd_bins(n: int, q1: float | None, q3: float | None, lo: float | None, hi: fl
 
 
 def _ranges(df: DataFrame, cols: list[str]) -> dict:
-    r = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)],
-               *[F.min(F.col(c).cast("double")).alias(f"a{i}") for i, c in enumerate(cols)],
-               *[F.max(F.col(c).cast("double")).alias(f"b{i}") for i, c in enumerate(cols)]).collect()[0]
+    r = df.agg(*[F.count(_value(c)).alias(f"n{i}") for i, c in enumerate(cols)],
+               *[F.min(_value(c)).alias(f"a{i}") for i, c in enumerate(cols)],
+               *[F.max(_value(c)).alias(f"b{i}") for i, c in enumerate(cols)]).collect()[0]
     return {c: (r[f"n{i}"], r[f"a{i}"], r[f"b{i}"]) for i, c in enumerate(cols)}
 
 
@@ -187,7 +147,7 @@ def histogram(df: DataFrame, cols: list[str], bins: int | dict | None = None,
         if lo is None:
             continue
         meta[c] = (lo, w, nb[c])
-        x = F.col(c).cast("double")
+        x = _value(c)
         exprs.append(F.when(x.isNotNull(), F.least(F.lit(nb[c] - 1), F.floor((x - F.lit(lo)) / F.lit(w)).cast("int")))
                      .alias(c))
     if not meta:
@@ -206,11 +166,12 @@ def density(df: DataFrame, col: str, grid_size: int = 100, cut: float = 3.0,
     """Gaussian kernel density (Scott bandwidth, std * n^(-1/5)) on a grid from
     min - cut*bw to max + cut*bw.
 
-    The data pass is one fine histogram (``fine_bins`` counts); the kernel sums
+    An approximation whose fineness is the parameter ``fine_bins``: every value
+    stands at the centre of its bin.  The data pass is one fine histogram (``fine_bins`` counts); the kernel sums
     run over those bounded bin counts: each bin row is exploded over the grid
     and summed per grid point, so the cost does not grow with the rows.
     """
-    x = F.col(col).cast("double")
+    x = _value(col)
     r = df.agg(F.count(x).alias("n"), F.min(x).alias("a"), F.max(x).alias("b"),
                F.stddev_samp(x).alias("s")).collect()[0]
     n, a, b, s = r["n"], r["a"], r["b"], r["s"]
@@ -246,7 +207,7 @@ def box_stats(df: DataFrame, cols: list[str], whisker: float = 1.5) -> DataFrame
             continue
         lo, hi = q1 - whisker * (q3 - q1), q3 + whisker * (q3 - q1)
         fences[c] = (lo, hi)
-        x = F.col(c).cast("double")
+        x = _value(c)
         aggs += [F.min(F.when(x >= F.lit(lo), x)).alias(f"l{i}"),
                  F.max(F.when(x <= F.lit(hi), x)).alias(f"h{i}"),
                  F.count_if((x < F.lit(lo)) | (x > F.lit(hi))).alias(f"o{i}")]
@@ -340,10 +301,11 @@ def category_target_rate_bootstrap(df: DataFrame, cols: list[str], target: str,
 def column_summary(df: DataFrame, cols: list[str]) -> DataFrame:
     """(feature, n, min, max, mean, median, mode): one aggregate, exact medians, distributed modes."""
     from ferret.operators.cleaning import fit_modes
+    df = nan_to_null(df)
     r = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)],
-               *[F.min(F.col(c).cast("double")).alias(f"a{i}") for i, c in enumerate(cols)],
-               *[F.max(F.col(c).cast("double")).alias(f"b{i}") for i, c in enumerate(cols)],
-               *[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).collect()[0]
+               *[F.min(_value(c)).alias(f"a{i}") for i, c in enumerate(cols)],
+               *[F.max(_value(c)).alias(f"b{i}") for i, c in enumerate(cols)],
+               *[F.avg(_value(c)).alias(f"m{i}") for i, c in enumerate(cols)]).collect()[0]
     med = exact_quantiles(df, cols, [0.5])
     mode = fit_modes(df, cols)
     rows = [(c, r[f"n{i}"], r[f"a{i}"], r[f"b{i}"], r[f"m{i}"], med[(c, 0.5)],

@@ -92,103 +92,94 @@ def running_totals(df: DataFrame, order: list[Column | str], value_cols: list[st
     return out.drop(*drop)
 
 
-SKETCH_COLS_PER_PASS = 8  # each accuracy-1e6 sketch may hold ~1e6 entries per task: bound the sum
+BINS = 1024        # per bracket and pass: what reaches the driver is bounded by brackets * BINS
+FEW_ROWS = 10_000  # a bracket with no more rows is finished by its distinct values
+COLS_PER_PASS = 32
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                    accuracy: int = 1_000_000) -> dict[tuple[str, float], float | None]:
-    """Exact quantiles of each column; columns are processed ``SKETCH_COLS_PER_PASS`` at a time
-    so the sketches held by one task stay bounded however wide the table is."""
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict[tuple[str, float], float | None]:
+    """Exact quantiles (linear interpolation, as ``quantile_cont``) of each column; NaN counts as missing.
+
+    Bisection by histograms: a pass counts the rows of each bracket in equal
+    bins, with the smallest and largest value of each bin (a partial aggregate,
+    so a task sends at most ``BINS`` rows a bracket); the bin that holds the wanted rank is the
+    next bracket.  A bracket of one value, or of few rows, is finished.  All
+    columns and probabilities share the passes; no task holds the values.
+    """
     out: dict[tuple[str, float], float | None] = {}
-    for i in range(0, len(cols), SKETCH_COLS_PER_PASS):
-        out.update(_exact_quantiles(df, cols[i:i + SKETCH_COLS_PER_PASS], probs, accuracy))
-    if not cols:
-        return {}
+    for k in range(0, len(cols), COLS_PER_PASS):
+        out.update(_exact_quantiles(df, cols[k:k + COLS_PER_PASS], probs))
     return out
 
 
-def _exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                     accuracy: int = 1_000_000) -> dict[tuple[str, float], float | None]:
-    """Exact quantiles (linear interpolation, as ``quantile_cont``) of each column.
+def _number(c: str) -> Column:
+    return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
 
-    Two passes over ``df``: (1) count + an approximate bracket [lo, hi] around
-    each target rank; (2) for every bracket, rows below ``lo`` collapse to one
-    NULL-valued row per task (partial aggregation) and rows inside it are
-    counted per distinct value by a distributed group-by; one window per
-    bracket (bounded by the sketch: about 6 n / accuracy distinct values, a hot
-    value being one row) finds the values at the target ranks.  A bracket that
-    misses its rank (the sketch's guarantee makes this rare) is re-bracketed
-    with a tenfold slack, then opened to the full range.
-    """
-    if not cols or not probs:
-        return {}
-    out: dict[tuple[str, float], float | None] = {(c, p): None for c in cols for p in probs}
-    slack = 3.0 / accuracy
-    pcts = []
-    for p in probs:
-        pcts += [max(0.0, p - slack), min(1.0, p + slack)]
+
+def _exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict[tuple[str, float], float | None]:
+    inf = float("inf")
     aggs = []
     for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"n{i}"), F.percentile_approx(x, pcts, accuracy).alias(f"b{i}")]
+        x = _number(c)
+        finite = F.when(F.abs(x) < F.lit(inf), x)
+        aggs += [F.count(x).alias(f"n{i}"), F.count_if(x == F.lit(-inf)).alias(f"m{i}"), F.count(finite).alias(f"f{i}"),
+                 F.min(finite).alias(f"lo{i}"), F.max(finite).alias(f"hi{i}")]
     row = df.agg(*aggs).collect()[0]
-    plan = {}  # k -> [col index, prob index, n, h, r1, r2, lo, hi]
+    value: dict[tuple[int, int], float] = {}                             # (column, rank from 0) -> value
+    bracket: dict[tuple[int, int], tuple[float, float, int, int]] = {}   # -> lowest, highest, rows below, rows inside
+    for i in range(len(cols)):
+        n, low, inside = row[f"n{i}"], row[f"m{i}"], row[f"f{i}"]
+        for p in probs if n else []:
+            for r in {math.floor((n - 1) * p), math.ceil((n - 1) * p)}:
+                if r < low or r >= low + inside:
+                    value[i, r] = -inf if r < low else inf
+                else:
+                    bracket[i, r] = (row[f"lo{i}"], row[f"hi{i}"], low, inside)
+    while bracket:
+        for t in [t for t, (lo, hi, *_) in bracket.items() if lo == hi]:
+            value[t] = bracket.pop(t)[0]
+        few = {t: b for t, b in bracket.items() if b[3] <= FEW_ROWS}
+        wide = {t: b for t, b in bracket.items() if b[3] > FEW_ROWS}
+        for part, binned in ((few, False), (wide, True)):
+            if not part:
+                continue
+            spans = sorted({(t[0], b[0], b[1]) for t, b in part.items()})
+            counts = _bracket_counts(df, cols, spans, binned)
+            for t, (lo, hi, below, _) in part.items():
+                for first, last, n in counts[spans.index((t[0], lo, hi))]:
+                    if t[1] < below + n:
+                        break
+                    below += n
+                bracket[t] = (first, last, below, n)
+    out: dict[tuple[str, float], float | None] = {}
     for i, c in enumerate(cols):
-        n, b = row[f"n{i}"], row[f"b{i}"]
-        if not n:
-            continue
-        for j, p in enumerate(probs):
+        n = row[f"n{i}"]
+        for p in probs:
+            if not n:
+                out[c, p] = None
+                continue
             h = (n - 1) * p
-            plan[len(plan)] = [i, j, n, h, math.floor(h) + 1, math.ceil(h) + 1, b[2 * j], b[2 * j + 1]]
-    pending = sorted(plan)
-    for attempt in range(4):
-        if not pending:
-            break
-        got = _select_in_brackets(df, cols, {k: plan[k] for k in pending})
-        missed = []
-        for k in pending:
-            i, j, n, h, r1, r2 = plan[k][:6]
-            lt, total, v1, v2 = got.get(k, (0, 0, None, None))
-            if lt < r1 and total >= r2 and v1 is not None and v2 is not None:
-                frac = h - math.floor(h)
-                out[(cols[i], probs[j])] = v1 if frac == 0 else v1 + frac * (v2 - v1)
-            else:
-                missed.append(k)
-        if not missed:
-            break
-        if attempt == 2:  # last resort: the whole range
-            for k in missed:
-                plan[k][6], plan[k][7] = float("-inf"), float("inf")
-        else:
-            wide = slack * 10 ** (attempt + 1)
-            waggs = [F.percentile_approx(F.col(cols[plan[k][0]]).cast("double"),
-                                         [max(0.0, probs[plan[k][1]] - wide), min(1.0, probs[plan[k][1]] + wide)],
-                                         accuracy).alias(f"w{k}") for k in missed]
-            wrow = df.agg(*waggs).collect()[0]
-            for k in missed:
-                plan[k][6], plan[k][7] = wrow[f"w{k}"][0], wrow[f"w{k}"][1]
-        pending = missed
+            a, b = value[i, math.floor(h)], value[i, math.ceil(h)]
+            out[c, p] = a if a == b else a + (h - math.floor(h)) * (b - a)
     return out
 
 
-def _select_in_brackets(df: DataFrame, cols: list[str], items: dict) -> dict:
-    """One pass: per bracket k, (rows below lo, rows <= hi, value at rank r1, value at rank r2)."""
+def _bracket_counts(df: DataFrame, cols: list[str], spans: list, binned: bool) -> list[list[tuple[float, float, int]]]:
+    """Per span (column, lowest, highest): (smallest, largest, rows) of its bins (or its distinct values), ascending."""
     structs = []
-    for k, (i, j, n, h, r1, r2, lo, hi) in items.items():
-        x = F.col(cols[i]).cast("double")
-        structs.append(F.when(x < F.lit(lo), F.struct(F.lit(k).alias("k"), F.lit(None).cast("double").alias("v")))
-                       .when(x <= F.lit(hi), F.struct(F.lit(k).alias("k"), x.alias("v"))))
-    picked = (df.select(F.explode(F.filter(F.array(*structs), lambda s: s.isNotNull())).alias("s"))
-              .select("s.k", "s.v").groupBy("k", "v").agg(F.count(F.lit(1)).alias("c")))
-    keys = sorted(items)
-    r1c = F.element_at(F.create_map(*[x for k in keys for x in (F.lit(k), F.lit(items[k][4]))]), F.col("k"))
-    r2c = F.element_at(F.create_map(*[x for k in keys for x in (F.lit(k), F.lit(items[k][5]))]), F.col("k"))
-    # NULL (= below the bracket) sorts first, so the running count starts at the rows below
-    w = Window.partitionBy("k").orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    res = (picked.withColumn("cum", F.sum("c").over(w))
-           .groupBy("k").agg(F.coalesce(F.max(F.when(F.col("v").isNull(), F.col("cum"))), F.lit(0)).alias("lt"),
-                             F.max("cum").alias("total"),
-                             F.min(F.when(F.col("v").isNotNull() & (F.col("cum") >= r1c), F.col("v"))).alias("v1"),
-                             F.min(F.when(F.col("v").isNotNull() & (F.col("cum") >= r2c), F.col("v"))).alias("v2"))
-           .collect())
-    return {r["k"]: (r["lt"], r["total"], r["v1"], r["v2"]) for r in res}
+    for k, (i, lo, hi) in enumerate(spans):
+        x = _number(cols[i])
+        # halves keep the width of a bracket finite
+        at = F.floor((x / 2 - F.lit(lo / 2)) / F.lit(hi / 2 - lo / 2) * BINS) if binned and hi / 2 > lo / 2 else F.lit(0)
+        structs.append(F.when(x.between(F.lit(lo), F.lit(hi)), F.struct(
+            F.lit(k).alias("k"), F.least(at, F.lit(BINS - 1)).cast("int").alias("bin"), x.alias("v"))))
+    rows = df.select(F.explode(F.filter(F.array(*structs), lambda s: s.isNotNull())).alias("s")).select("s.*")
+    if binned and all(hi / 2 > lo / 2 for _, lo, hi in spans):
+        grouped = rows.groupBy("k", "bin")
+    else:  # also where the halves of neighbouring values coincide
+        grouped = rows.groupBy("k", "v")
+    got = grouped.agg(F.min("v").alias("a"), F.max("v").alias("b"), F.count(F.lit(1)).alias("n")).select("k", "a", "b", "n").collect()
+    out: list[list[tuple[float, float, int]]] = [[] for _ in spans]
+    for r in sorted(got, key=lambda r: (r["k"], r["a"])):
+        out[r["k"]].append((r["a"], r["b"], r["n"]))
+    return out

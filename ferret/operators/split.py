@@ -4,26 +4,23 @@ The split of a row is a pure function of its key and a seed (md5 of
 ``"<key>:<seed>"``), so it does not depend on partitioning, row order or
 retries (``randomSplit`` does).
 
-* threshold mode (default, any scale): train when the 32-bit hash falls under
+* threshold mode (``exact=False``): train when the 32-bit hash falls under
   ``train_frac * 2^32``; stratified in expectation, no shuffle at all.
 * exact stratified mode: inside each class the rows ranked by hash; the first
   ``n_c - ceil(test_frac * n_c)`` are train.  The rank comes from
-  ``global_rank`` over (class, hash, key), which range-partitions, so one large
-  class is spread over many tasks rather than held by one.
+  ``global_rank`` over (class, hash, key) alone, which range-partitions, so one
+  large class is spread over many tasks; it yields one cut per class, and the rows are
+  compared with their class's cut.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferret.operators.rank import global_rank
-from ferret.plans.sizing import collect_bounded
+from ferret.operators.rank import global_rank, running_totals
 
 TRAIN, VALID = "train", "valid"
-MAX_CLASSES = 100_000
 
 
 def hash32(key: str, seed: int) -> Column:
@@ -47,21 +44,21 @@ def split_stratified(df: DataFrame, key: str, target: str, train_frac: float = 0
                      seed: int = 42, split_col: str = "split", exact: bool = True) -> DataFrame:
     if not exact:
         return split_random(df, key, train_frac, seed, split_col)
-    counts = collect_bounded(df.groupBy(target).agg(F.count(F.lit(1)).alias("n")).orderBy(target),
-                             MAX_CLASSES, "split_stratified classes")
-    # class start offsets in the (class, hash, key) order; nulls sort first
-    offsets, run = [], 0
     test_frac = 1.0 - train_frac
-    for r in counts:
-        n = r["n"]
-        offsets.append((r[target], run, n - math.ceil(round(test_frac * n, 9))))
-        run += n
-    spark = df.sparkSession
-    dtype = df.schema[target].dataType.simpleString()
-    offs = spark.createDataFrame(offsets, f"{target} {dtype}, _start long, _ntrain long")
-    ranked = global_rank(df.withColumn("_h", hash32(key, seed)), [F.col(target), F.col("_h")], [key],
-                         rank_col="_grank")
-    out = ranked.join(F.broadcast(offs), ranked[target].eqNullSafe(offs[target])).drop(offs[target])
-    out = out.withColumn(split_col, F.when(F.col("_grank") - F.col("_start") <= F.col("_ntrain"), TRAIN)
-                         .otherwise(VALID))
-    return out.drop("_h", "_grank", "_start", "_ntrain")
+    counts = df.groupBy(F.col(target).alias("_class")).agg(F.count(F.lit(1)).alias("_n"))
+    # class starts in the (class, hash, key) order: running totals over one row per class; nulls sort first
+    starts = running_totals(counts, [F.col("_class")], ["_n"]).select(
+        "_class", (F.col("cum__n") - F.col("_n")).alias("_start"),
+        (F.col("_n") - F.ceil(F.round(F.col("_n") * F.lit(test_frac), 9))).alias("_ntrain"))
+    # only key, class and hash are ranked; the last train row of each class is its cut
+    narrow = df.select(F.col(target).alias("_class"), hash32(key, seed).alias("_h"), F.col(key).alias("_key"))
+    ranked = global_rank(narrow, [F.col("_class"), F.col("_h")], ["_key"], rank_col="_grank")
+    cut = (ranked.select(F.col("_class").alias("_c"), "_h", "_key", "_grank")
+           .join(starts, F.col("_c").eqNullSafe(F.col("_class")))
+           .where(F.col("_grank") == F.col("_start") + F.col("_ntrain"))
+           .select("_c", F.col("_h").alias("_cut_h"), F.col("_key").alias("_cut_key")))
+    h = hash32(key, seed)
+    is_train = (h < F.col("_cut_h")) | ((h == F.col("_cut_h")) & (F.col(key) <= F.col("_cut_key")))
+    out = df.join(cut, df[target].eqNullSafe(F.col("_c")), "left")
+    return out.select(*[df[c] for c in df.columns],
+                      F.when(F.coalesce(is_train, F.lit(False)), TRAIN).otherwise(VALID).alias(split_col))

@@ -18,14 +18,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferret.operators import cleaning as C
+from ferret.operators.columns import nan_to_null
 from ferret.operators.roles import Roles, infer_roles
 from ferret.operators.split import split_random, split_stratified
 
-# The exact stratified split ranks every row (a range shuffle and a checkpoint of
-# key, class and hash); above this size the md5-threshold split (stratified in
-# expectation, no shuffle at all) is used unless exact_split=True is asked for.
-EXACT_SPLIT_MAX_ROWS = 10_000_000
-
 PROBLEMS = {"classification": "classification", "binary classification": "classification",
             "regression": "regression"}
 
@@ -70,10 +66,12 @@ class CleaningModel:
         return keep
 
     def imputed(self, df: DataFrame) -> DataFrame:
+        df = nan_to_null(df)
         tgt = [self.target] if self.target in df.columns else []
         return df.select(*self._passthrough(df), *self.imputed_columns(), *tgt)
 
     def transformed(self, df: DataFrame, with_hbos: bool = True) -> DataFrame:
+        df = nan_to_null(df)
         imp = df.select(*self._passthrough(df),
                         *[C.impute(c, self.medians[c]).alias(c) for c in self.numeric],
                         *[C.impute(c, self.modes[c]).alias("__cat_" + c) for c in self.categoric],
@@ -127,7 +125,7 @@ class CleaningPlan:
     key: str = "row_id"
     seed: int = 42
     train_frac: float = 0.75
-    exact_split: bool | str = "auto"   # exact up to EXACT_SPLIT_MAX_ROWS rows, hash threshold above
+    exact_split: bool = True   # False: md5 threshold, stratified in expectation, no shuffle
     method: str = "yeo-johnson"
     fixed_lambda: float | None = None
     min_samples_leaf: int = 1
@@ -138,20 +136,18 @@ class CleaningPlan:
     contamination: float = 0.1
     fit_hbos: bool = True
 
-    def split(self, df: DataFrame, n_rows: int | None = None) -> DataFrame:
+    def split(self, df: DataFrame) -> DataFrame:
         kind = problem_kind(self.problem)
+        df = nan_to_null(df)  # one notion of missing from here on
         if kind == "classification":
-            exact = self.exact_split
-            if exact == "auto":
-                n = n_rows if n_rows is not None else df.count()
-                exact = n <= EXACT_SPLIT_MAX_ROWS
-            return split_stratified(df, self.key, self.target, self.train_frac, self.seed, exact=bool(exact))
+            return split_stratified(df, self.key, self.target, self.train_frac, self.seed, exact=self.exact_split)
         return split_random(df, self.key, self.train_frac, self.seed)
 
     def fit(self, df: DataFrame, split_df: DataFrame | None = None) -> CleaningModel:
         kind = problem_kind(self.problem)
+        df = nan_to_null(df)
         roles = infer_roles(df, self.target, [self.key])
-        sp = split_df if split_df is not None else self.split(df)
+        sp = nan_to_null(split_df) if split_df is not None else self.split(df)
         # the fit reads train a fixed number of times: keep it (spills to disk when large)
         train = sp.where(F.col("split") == "train").persist(StorageLevel.MEMORY_AND_DISK)
         numeric, categoric = roles["numeric"], roles["categoric"]

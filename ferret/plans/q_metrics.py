@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ferret.functions.normal import norm_cdf_sql, norm_ppf_sql
+from ferret.functions.normal import norm_cdf_sql, norm_ppf_sql, norm_ppf_steps_sql
 from ferret.operators import metrics as M
 from ferret.operators import normality as N
 from ferret.plans import frames
@@ -206,12 +206,13 @@ def _poly_sql(coefs, x):
 
 def sw_sql(src: str, col: str, key: str, feature: str) -> str:
     """Shapiro-Wilk W and p of one column, as DuckDB SQL (same formulas as the operator)."""
-    return f"""SELECT * FROM (WITH k AS (SELECT CAST({col} AS DOUBLE) AS x, row_number() OVER (ORDER BY {col}, {key}) AS i,
+    return f"""SELECT * FROM (WITH k AS MATERIALIZED (SELECT CAST({col} AS DOUBLE) AS x, row_number() OVER (ORDER BY {col}, {key}) AS i,
   count(*) OVER () AS n FROM {src} WHERE {col} IS NOT NULL),
-m AS (SELECT x, i, n, {norm_ppf_sql('((i - 0.375e0) / (n + 0.25e0))')} AS m FROM k),
-s AS (SELECT max(n) AS n, sum(m * m) AS ssm, var_pop(x) * count(x) AS ss,
-  max({norm_ppf_sql('((n - 0.375e0) / (n + 0.25e0))')}) AS mn,
-  max({norm_ppf_sql('((n - 1 - 0.375e0) / (n + 0.25e0))')}) AS mn1 FROM m),
+kp AS (SELECT *, (i - 0.375e0) / (n + 0.25e0) AS p FROM k),
+{norm_ppf_steps_sql('kp', {'p': 'm'}, 'm')},
+s0 AS (SELECT max(n) AS n, sum(m * m) AS ssm, var_pop(x) * count(x) AS ss,
+  (max(n) - 0.375e0) / (max(n) + 0.25e0) AS pn, (max(n) - 1 - 0.375e0) / (max(n) + 0.25e0) AS pn1 FROM m),
+{norm_ppf_steps_sql('s0', {'pn': 'mn', 'pn1': 'mn1'}, 's')},
 c AS (SELECT *, mn / sqrt(ssm) + {_poly_sql(N.SW_C1, '1.0e0 / sqrt(n)')} AS an,
   mn1 / sqrt(ssm) + {_poly_sql(N.SW_C2, '1.0e0 / sqrt(n)')} AS an1 FROM s),
 e AS (SELECT *, (ssm - 2 * mn * mn - 2 * mn1 * mn1) / (1 - 2 * an * an - 2 * an1 * an1) AS eps FROM c),
@@ -219,8 +220,8 @@ w AS (SELECT e.n, e.ss, least(1.0e0, pow(sum(CASE WHEN m.i = e.n THEN e.an WHEN
   WHEN m.i = e.n - 1 THEN e.an1 WHEN m.i = 2 THEN -e.an1 ELSE m.m / sqrt(e.eps) END * m.x), 2) / e.ss) AS w
   FROM m CROSS JOIN e GROUP BY e.n, e.ss),
 z AS (SELECT n, w, (ln(1 - w) - ({_poly_sql(N.SW_LARGE_MU, 'ln(n)')})) / exp({_poly_sql(N.SW_LARGE_SIGMA, 'ln(n)')}) AS zz FROM w)
-SELECT '{feature}' AS feature, n, round(w, 6) AS w, round(1 - {norm_cdf_sql('zz')}, 6) AS p_value,
-  1 - {norm_cdf_sql('zz')} > 0.05 AS normal, n <= 5000 AS p_exact FROM z) t"""
+SELECT '{feature}' AS feature, n, round(w, 6) AS w, round(pv, 6) AS p_value,
+  pv > 0.05 AS normal, n <= 5000 AS p_exact FROM (SELECT *, 1 - {norm_cdf_sql('zz')} AS pv FROM z) zp) t"""
 
 
 _SW_SQL = sw_sql("events", "value", "event_id", "value")
@@ -237,10 +238,10 @@ def q_normality_test_events(spark, sf):
 
 
 _VIZ_SQL = _curve(S, score="y_pred") + """
-SELECT 'Average Precision Score' AS metric, round(sum(pos * cum_pos / (cum_pos + cum_neg)) / max(P) * 100, 2) AS value
+SELECT 'average_precision' AS metric, round(sum(pos * cum_pos / (cum_pos + cum_neg)) / max(P) * 100, 2) AS value
 FROM cu
 UNION ALL
-SELECT 'ROC AUC Score', round(sum(pos * (N - cum_neg + 0.5e0 * neg)) / (max(P) * max(N)) * 100, 2) FROM cu"""
+SELECT 'roc_auc', round(sum(pos * (N - cum_neg + 0.5e0 * neg)) / (max(P) * max(N)) * 100, 2) FROM cu"""
 
 
 @query("classification_viz", _VIZ_SQL)

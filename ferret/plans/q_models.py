@@ -203,27 +203,16 @@ def q_predict_model(spark, sf):
 @query("fit_many")
 def q_fit_many(spark, sf):
     tr, va = _split(spark, sf)
-    specs = [s for s in Mo.default_specs("regression", tr.count())
-             if s.name in ("linear_regression", "ridge", "elastic_net", "dummy_mean", "dummy_median")]
+    specs = Mo.default_specs("regression", tr.count())
     _, preds = Mo.fit_many(specs, tr, va, FEATS, "y")
     truth = va.select("row_id", "y")
     return M.leaderboard(preds.join(truth, "row_id"), "y", "prediction", "regression")
 
 
-@query("fit_and_report")
-def q_fit_and_report(spark, sf):
-    """One call: fit, predict valid, classification report of the predictions."""
-    tr, va = _split(spark, sf)
-    spec = Mo.ModelSpec("logistic_regression", "classification", {"regParam": 1.0 / tr.count()})
-    fm = Mo.fit_model(spec, tr, FEATS, "sep")
-    pred = Mo.predict(fm, va).join(va.select("row_id", "sep"), "row_id")
-    return M.classification_report(pred, "sep", "prediction")
-
-
 @query("feature_importances")
 def q_feature_importances(spark, sf):
     tr, _ = _split(spark, sf)
-    spec = Mo.ModelSpec("random_forest", "classification", {"numTrees": 20, "maxDepth": 5, "seed": 42})
+    spec = next(s for s in Mo.default_specs("classification", tr.count()) if s.name == "random_forest")
     return Mo.feature_importances(Mo.fit_model(spec, tr, FEATS, "sep"))
 
 
@@ -301,6 +290,36 @@ def q_ridge_classifier(spark, sf):
     return _estimator_query("ridge_classifier", "classification")(spark, sf)
 
 
+_REPORT_SQL = RIDGE_CLS_SQL.rstrip() + """,
+pr AS (SELECT sep AS t, CASE WHEN (SELECT coefficient FROM coef WHERE feature = 'intercept')
+       + price_k * (SELECT coefficient FROM coef WHERE feature = 'price_k')
+       + acctbal_k * (SELECT coefficient FROM coef WHERE feature = 'acctbal_k')
+       + nationkey * (SELECT coefficient FROM coef WHERE feature = 'nationkey') > 0 THEN 1 ELSE 0 END AS p FROM va),
+cl AS (SELECT DISTINCT t AS l FROM pr UNION SELECT DISTINCT p FROM pr),
+k AS (SELECT l, count(*) FILTER (t = l AND p = l) AS tp, count(*) FILTER (t = l) AS support, count(*) FILTER (p = l) AS n_pred
+      FROM pr, cl GROUP BY l),
+q AS (SELECT CAST(CAST(l AS INT) AS VARCHAR) AS label, CASE WHEN n_pred > 0 THEN tp * 1.0e0 / n_pred ELSE 0.0e0 END AS precision,
+      CASE WHEN support > 0 THEN tp * 1.0e0 / support ELSE 0.0e0 END AS recall, support FROM k),
+fr AS (SELECT label, precision, recall, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall)
+      ELSE 0.0e0 END AS f1_score, support FROM q),
+rep AS (SELECT * FROM fr
+ UNION ALL SELECT 'accuracy', NULL, NULL, avg(CASE WHEN t = p THEN 1.0e0 ELSE 0.0e0 END), count(*) FROM pr
+ UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1_score), sum(support) FROM fr
+ UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+   sum(f1_score * support) / sum(support), sum(support) FROM fr)
+SELECT label, round(precision, 2) AS precision, round(recall, 2) AS recall, round(f1_score, 2) AS f1_score,
+ CAST(support AS BIGINT) AS support FROM rep"""
+
+
+@query("fit_and_report", _REPORT_SQL)
+def q_fit_and_report(spark, sf):
+    """One call: fit a ridge classifier, predict valid, classification report of the predictions."""
+    from ferret.plans.bundles import fit_and_report
+    tr, va = _split(spark, sf)
+    spec = next(s for s in Mo.default_specs("classification", tr.count()) if s.name == "ridge_classifier")
+    return fit_and_report(spec, tr, va, FEATS, "sep")["report"]
+
+
 _NB_SQL = MODEL_INPUTS_SQL + """, mv AS (SELECT max(v) AS mx FROM (
    SELECT var_pop(price_k) AS v FROM tr UNION ALL SELECT var_pop(acctbal_k) FROM tr
    UNION ALL SELECT var_pop(nationkey) FROM tr) t),

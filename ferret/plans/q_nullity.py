@@ -56,8 +56,7 @@ _FLAGS = " || ".join(f"(CASE WHEN {c} IS NULL THEN '1' ELSE '0' END)" for c in O
 
 
 @query("nullity_matrix", with_frame(
-    f"SELECT CAST({_MASK} AS BIGINT) AS pattern, {_FLAGS} AS flags, count(*) AS n_rows "
-    "FROM f GROUP BY 1, 2"))
+    f"SELECT {_FLAGS} AS flags, count(*) AS n_rows FROM f GROUP BY 1"))
 def q_nullity_matrix(spark, sf):
     return nullity.nullity_matrix(frames.orders_frame(spark, sf), ORDERS_COLS)
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ferret.operators import profile as P
 from ferret.plans import frames
+from ferret.plans.frames import ORDERS_FRAME_SQL
 from ferret.plans.oracle import with_frame
 from ferret.plans.registry import query
 
@@ -162,7 +165,7 @@ def q_column_summary(spark, sf):
     return P.column_summary(frames.orders_frame(spark, sf), SUMMARY)
 
 
-def _boot_sql(cols, draws=50):
+def _boot_sql(cols, draws=100):
     cdf = " ".join(f"WHEN u < {c!r}e0 THEN {k}" for k, c in enumerate(P.POISSON1_CDF))
     long = " UNION ALL ".join(f"SELECT row_id, label, '{c}' AS feature, CAST({c} AS VARCHAR) AS value FROM f"
                               for c in cols)
@@ -181,7 +184,7 @@ FROM base b LEFT JOIN ci ON b.feature = ci.feature AND b.value IS NOT DISTINCT F
 @query("category_target_rate_bootstrap", _boot_sql(["priority", "nationkey"]))
 def q_category_target_rate_bootstrap(spark, sf):
     return P.category_target_rate_bootstrap(frames.orders_frame(spark, sf), ["priority", "nationkey"],
-                                            "label", "row_id", draws=50)
+                                            "label", "row_id")
 
 
 @query("correlation_matrix_stages")
@@ -196,3 +199,38 @@ def q_correlation_matrix_stages(spark, sf):
     out = P.correlation_matrix(sp, num, "untransformed")
     out = out.unionByName(P.correlation_matrix(m.imputed(sp), num, "imputed"))
     return out.unionByName(P.correlation_matrix(m.transformed(sp, with_hbos=False), num, "transformed"))
+
+
+# ---- NaN counts as missing: price is NaN in some rows and NULL in others ------
+
+def nan_frame(spark, sf):
+    price = F.when(F.col("row_id") % 7 == 0, F.lit(float("nan"))).when(F.col("row_id") % 11 != 0, F.col("price").cast("double"))
+    return frames.orders_frame(spark, sf).withColumn("price", price)
+
+
+def with_nan_frame(body: str) -> str:
+    return (f"WITH g AS ({ORDERS_FRAME_SQL}),\nf AS (SELECT * REPLACE (CASE WHEN row_id % 7 <> 0 AND row_id % 11 <> 0 "
+            f"THEN CAST(price AS DOUBLE) END AS price) FROM g)\n{body}")
+
+
+@query("skew_report_nan", with_nan_frame("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS feature, round(skewness({c}), 6) AS skew, abs(skewness({c})) > 5 AS high_skew FROM f" for c in NUM)))
+def q_skew_report_nan(spark, sf):
+    return P.skew_report(nan_frame(spark, sf), NUM)
+
+
+@query("correlation_matrix_nan", with_nan_frame(_corr_rows(NUM)))
+def q_correlation_matrix_nan(spark, sf):
+    return P.correlation_matrix(nan_frame(spark, sf), NUM)
+
+
+@query("histogram_nan", with_nan_frame(_hist_sql("price", "f")))
+def q_histogram_nan(spark, sf):
+    return P.histogram(nan_frame(spark, sf), ["price"])
+
+
+@query("impute_median_nan", with_nan_frame("SELECT row_id, coalesce(price, (SELECT median(price) FROM f)) AS price FROM f"))
+def q_impute_median_nan(spark, sf):
+    from ferret.operators import cleaning as C
+    f = nan_frame(spark, sf)
+    return f.select("row_id", C.impute("price", C.fit_medians(f, ["price"])["price"]).alias("price"))

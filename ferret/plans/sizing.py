@@ -19,10 +19,3 @@ def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFr
     n = df.count()
     return F.broadcast(df) if n <= max_rows else df
 
-
-def collect_bounded(df: DataFrame, max_rows: int, what: str) -> list:
-    """Collect a table that is small by construction, failing loudly if it is not."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"{what}: more than {max_rows} rows; refusing to collect")
-    return rows

@@ -71,13 +71,23 @@ class RunStore:
             self._rewrite("data_tables", left)
 
     def _rewrite(self, name: str, df: DataFrame) -> None:
-        # materialise first: the source folder is about to be replaced
-        rows = df.collect()
-        schema = SCHEMAS.get(name) or df.schema
-        self.spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(self.path(name))
+        # the new table is whole before the old one goes; ``table`` picks it up if the swap was cut off
+        after = self.path(name) + ".next"
+        df.write.mode("overwrite").parquet(after)
+        self._swap(name)
+
+    def _swap(self, name: str) -> None:
+        fs, old = self._fs(self.path(name))
+        _, new = self._fs(self.path(name) + ".next")
+        if fs.exists(old):
+            fs.delete(old, True)
+        fs.rename(new, old)
 
     # -- reads ---------------------------------------------------------------
     def table(self, name: str) -> DataFrame:
+        fs, p = self._fs(self.path(name))
+        if not fs.exists(p) and fs.exists(self._fs(self.path(name) + ".next")[1]):
+            self._swap(name)
         return self.spark.read.parquet(self.path(name))
 
     def load_dfs(self, names=("untransformed", "imputed", "transformed", "train_target",

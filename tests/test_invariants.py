@@ -81,7 +81,7 @@ def test_exact_quantiles_match_numpy(spark):
     rng = np.random.default_rng(1)
     vals = np.concatenate([rng.exponential(3, 4000), np.full(2000, 1.5)])  # a hot value
     df = spark.createDataFrame([(float(v),) for v in vals], "x double").repartition(6)
-    q = exact_quantiles(df, ["x"], [0.1, 0.25, 0.5, 0.9], accuracy=100)
+    q = exact_quantiles(df, ["x"], [0.1, 0.25, 0.5, 0.9])
     for p in (0.1, 0.25, 0.5, 0.9):
         assert q[("x", p)] == pytest.approx(float(np.quantile(vals, p)), rel=1e-12)
 
@@ -179,7 +179,7 @@ def test_auc_equals_rank_sum(spark):
 
 def test_normal_functions_accuracy():
     import duckdb
-    from ferret.functions.normal import norm_cdf_sql, norm_ppf_sql
+    from ferret.functions.normal import norm_cdf_sql, with_norm_ppf
     nd = statistics.NormalDist()
     for x in (-8.0, -3.0, -0.5, 0.0, 1.2, 6.0):
         v = duckdb.sql(f"SELECT {norm_cdf_sql('x')} FROM (SELECT {x}::DOUBLE AS x)").fetchall()[0][0]
@@ -200,27 +200,117 @@ def test_repartition_does_not_change_reports(spark):
     assert q1 == q2 and not math.isnan(q1[("price", 0.5)])
 
 
-def test_wide_correlation_path_matches_pair_aggregates(spark):
+def test_correlation_is_exact_for_constant_shifted_and_missing_values(spark):
+    import numpy as np
     from ferret.operators import profile as Pr
-    f = frames.orders_frame(spark, SF_SMALL)
-    cols = ["price", "acctbal", "bucket", "nationkey", "const_col"]
-    a = {(r[0], r[1]): r[2] for r in Pr.correlation_matrix(f, cols).collect()}
-    b = {(r[0], r[1]): r[2] for r in Pr.correlation_matrix(f, cols, method="gramian").collect()}
-    assert a.keys() == b.keys()
-    for key, v in a.items():
-        if v is None:
-            assert b[key] is None or abs(b[key]) < 1e-6
-        else:
-            assert b[key] == pytest.approx(v, abs=2e-6)
-
-
-def test_wide_nullity_path_matches(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    x = 1e9 + rng.normal(size=400)
+    y = 1e9 + 0.3 * (x - 1e9) + rng.normal(size=400)
+    rows = [(float(a), float("nan") if k % 9 == 0 else float(b), 5.1, None if k % 4 else float(k)) for k, (a, b) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(rows, "x double, y double, c double, z double").repartition(3)
+    got = {(r[0], r[1]): r[2] for r in Pr.correlation_matrix(df, ["x", "y", "c", "z"]).collect()}
+    ok = [k for k in range(400) if k % 9]
+    assert got["x", "y"] == pytest.approx(np.corrcoef(x[ok], y[ok])[0, 1], abs=2e-6)
+    assert got["x", "x"] == 1.0 and got["z", "z"] == 1.0
+    assert all(got["c", c] is None and got[c, "c"] is None for c in ("x", "y", "c", "z"))
+    both = [k for k in ok if k % 4 == 0]
+    assert got["y", "z"] == pytest.approx(np.corrcoef(y[both], both)[0, 1], abs=2e-6)
+    wide = df.select("x", "y", *[(df["x"] * k + df["y"]).alias(f"w{k}") for k in range(70)])
+    more = {(r[0], r[1]): r[2] for r in Pr.correlation_matrix(wide, wide.columns).collect()}
+    assert len(more) == 72 * 72 and more["x", "y"] == got["x", "y"]
+
+
+def test_exact_quantiles_equal_numpy(spark):
+    import numpy as np
+    from ferret.operators import rank
+    rng = np.random.default_rng(5)
+    n = 30_000
+    cols = {"ties": rng.integers(0, 5, n).astype(float), "skew": np.exp(rng.normal(size=n) * 9), "const": np.full(n, 3.25),
+            "normal": rng.normal(size=n), "wide": np.where(rng.random(n) < 0.5, -1e308, 1e308) * rng.random(n)}
+    cols["inf"] = np.where(rng.random(n) < 0.3, -np.inf, cols["normal"])
+    import pandas as pd
+    df = spark.createDataFrame(pd.DataFrame(cols)).repartition(4)
+    probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    q = rank.exact_quantiles(df, list(cols), probs)
+    for c, v in cols.items():
+        s = np.sort(v)
+        for p in probs:
+            h = (n - 1) * p
+            a, b = s[int(np.floor(h))], s[int(np.ceil(h))]
+            assert q[c, p] == (a if a == b else a + (h - np.floor(h)) * (b - a)), (c, p)
+    odd = spark.createDataFrame([(1.0, None), (2.0, None), (3.0, None), (float("nan"), None), (None, None)], "a double, b double")
+    assert rank.exact_quantiles(odd, ["a", "b"], [0.5]) == {("a", 0.5): 2.0, ("b", 0.5): None}
+    assert rank.exact_quantiles(odd, [], [0.5]) == {}
+
+
+def test_reports_match_labels_of_different_types(spark):
+    from ferret.operators import metrics as M
+    rows = [(1, 1.0), (1, 0.0), (0, 0.0), (0, 0.0), (2, float("nan")), (None, 1.0)]
+    df = spark.createDataFrame(rows, "y int, p double")
+    cells = {(r[0], r[1]): r[2] for r in M.confusion_matrix(df, "y", "p").collect()}
+    assert cells == {(a, b): {(1, 1): 1, (1, 0): 1, (0, 0): 2}.get((a, b), 0) for a in (0, 1, 2) for b in (0, 1, 2)} | {(2, None): 1, (None, 1): 1}
+    rep = {r["label"]: r for r in M.classification_report(df, "y", "p", 4).collect()}
+    assert set(rep) == {"0", "1", "2", "accuracy", "macro avg", "weighted avg"}
+    assert rep["0"]["precision"] == pytest.approx(2 / 3, abs=1e-4) and rep["1"]["recall"] == 0.5
+    assert rep["accuracy"]["f1_score"] == 0.6 and rep["2"]["support"] == 1
+    many = spark.range(1200).selectExpr("cast(id as int) AS y", "cast(id as double) AS p")
+    assert M.confusion_matrix(many, "y", "p", labels=[0, 5]).count() == 4
+
+
+@pytest.mark.parametrize("name", ["ridge_classifier", "linear_svc", "gradient_boosting"])
+def test_more_than_two_classes(spark, name):
+    import random
+    rng = random.Random(1)
+    rows = [(k, k % 3, 10.0 * (k % 3 == 1) + rng.random(), 10.0 * (k % 3 == 2) + rng.random()) for k in range(120)]
+    df = spark.createDataFrame(rows, "row_id long, y int, a double, b double")
+    spec = next(s for s in Mo.default_specs("classification", 120) if s.name == name)
+    if name == "gradient_boosting":
+        spec.params["maxIter"] = 5
+    pred = Mo.predict(Mo.fit_model(spec, df, ["a", "b"], "y"), df).join(df.select("row_id", "y"), "row_id")
+    assert pred.where("prediction = y").count() == 120
+
+
+def test_hbos_of_a_column_without_values(spark):
+    from ferret.operators import cleaning as C
+    df = spark.createDataFrame([(1.0, None, float("nan")), (2.0, None, 1.0)], "a double, b double, c double")
+    model = C.fit_hbos(df, ["a", "b", "c"])
+    scores = [r[0] for r in df.select(C.hbos_score(model)).collect()]
+    assert all(math.isfinite(s) for s in scores)
+    assert C.fit_hbos(df.limit(0), ["a"]).cols == ["a"]
+
+
+def test_normal_functions_at_known_values(spark):
+    from ferret.functions.normal import norm_cdf_sql, with_norm_ppf
+    # fixed values from published tables of the normal distribution
+    cdf = {0.0: 0.5, 1.0: 0.8413447460685429, -1.96: 0.024997895148220435, 3.0: 0.9986501019683699, -6.0: 9.865876450376981e-10}
+    for x, want in cdf.items():
+        got = spark.sql(f"SELECT {norm_cdf_sql(f'({x}D)')}").first()[0]
+        assert got == pytest.approx(want, rel=1e-10)
+    ppf = {0.5: 0.0, 0.975: 1.959963984540054, 0.01: -2.3263478740408408, 0.999: 3.090232306167813}
+    df = spark.createDataFrame([(p,) for p in ppf], "p double")
+    for r in with_norm_ppf(df, "p", "x").collect():
+        assert r["x"] == pytest.approx(ppf[r["p"]], abs=1e-9)
+
+
+def test_power_transforms_at_known_values(spark):
+    from ferret.operators import cleaning as C
+    df = spark.createDataFrame([(-2.0,), (0.0,), (3.0,)], "x double")
+    # fixed values from the definition: ((x + 1)^l - 1) / l, ln(x + 1); -((1 - x)^(2 - l) - 1) / (2 - l), -ln(1 - x)
+    known = {0.5: [-2.7974349, 0.0, 2.0], 0.0: [-4.0, 0.0, 1.3862944], 2.0: [-1.0986123, 0.0, 7.5], 1.0: [-2.0, 0.0, 3.0]}
+    for lam, want in known.items():
+        got = [r[0] for r in df.select(C.yeo_johnson("x", lam)).collect()]
+        assert got == pytest.approx(want, abs=1e-6)
+
+
+def test_nullity_linkage_averages_over_members(spark):
     from ferret.operators import nullity as Nu
-    f = frames.orders_frame(spark, SF_SMALL)
-    a = sorted(tuple(r) for r in Nu.nullity_distance(f).collect())
-    monkeypatch.setattr(Nu, "WIDE", 2)
-    b = sorted(tuple(r) for r in Nu.nullity_distance(f).collect())
-    assert a == b
+    bits = [(1, 1, 0, 0), (1, 1, 0, 1), (0, 0, 1, 1), (0, 1, 1, 1), (0, 0, 0, 1)]
+    df = spark.createDataFrame([[None if b else 1 for b in r] for r in bits], "a int, b int, c int, d int")
+    d = {("a", "b"): 1, ("a", "c"): 4, ("a", "d"): 4, ("b", "c"): 3, ("b", "d"): 3, ("c", "d"): 2}
+    steps = [tuple(r) for r in Nu.nullity_linkage(df).orderBy("step").collect()]
+    assert steps[0][1:4] == ("a", "b", 1.0) and steps[1][1:4] == ("c", "d", round(math.sqrt(2), 6))
+    last = sum(math.sqrt(d[x, y]) for x in "ab" for y in "cd") / 4
+    assert steps[2][3:] == (pytest.approx(last, abs=1e-5), 4)
 
 
 def test_registry_add_model_custom_estimator(spark):
