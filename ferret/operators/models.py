@@ -30,6 +30,7 @@ REGRESSORS = ["linear_regression", "ridge", "elastic_net", "decision_tree", "ran
               "gradient_boosting"]
 TWO_CLASS = ("gradient_boosting", "linear_svc", "ridge_classifier")  # one-vs-rest above two classes
 MAX_TREE_DEPTH = 30  # the deepest tree that Spark grows
+FOREST_DEPTH = 15
 DUMMY_CLASSIFIERS = ["dummy_most_frequent", "dummy_uniform", "dummy_stratified"]
 DUMMY_REGRESSORS = ["dummy_median", "dummy_mean"]
 
@@ -75,10 +76,13 @@ class ModelRegistry:
 
 
 def default_specs(problem: str, n_train: int, use_default_models: bool = True,
-                  use_dummy_models: bool = True, seed: int = 42, tree_depth: int = MAX_TREE_DEPTH) -> list[ModelSpec]:
+                  use_dummy_models: bool = True, seed: int = 42, tree_depth: int = MAX_TREE_DEPTH,
+                  forest_depth: int = FOREST_DEPTH) -> list[ModelSpec]:
     """Default model set with parameters translated for a training table of ``n_train`` rows.
 
-    ``tree_depth`` bounds single trees and forests; the default is the deepest that Spark grows.
+    ``tree_depth`` bounds single trees (the default is the deepest that Spark
+    grows) and ``forest_depth`` the trees of a forest: each level of a forest is one or more
+    passes over the rows, so its default is lower; up to ``MAX_TREE_DEPTH`` may be asked for.
     """
     n = max(1, n_train)
     specs: list[ModelSpec] = []
@@ -86,7 +90,7 @@ def default_specs(problem: str, n_train: int, use_default_models: bool = True,
         if use_default_models:
             specs += [
                 ModelSpec("decision_tree", problem, {"maxDepth": tree_depth, "seed": seed}),
-                ModelSpec("random_forest", problem, {"numTrees": 100, "maxDepth": tree_depth, "seed": seed}),
+                ModelSpec("random_forest", problem, {"numTrees": 100, "maxDepth": forest_depth, "seed": seed}),
                 ModelSpec("gradient_boosting", problem, {"maxIter": 100, "maxDepth": 3, "stepSize": 0.1,
                                                          "seed": seed}),
                 ModelSpec("logistic_regression", problem, {"regParam": 1.0 / n}),
@@ -103,7 +107,7 @@ def default_specs(problem: str, n_train: int, use_default_models: bool = True,
                 ModelSpec("ridge", problem, {"regParam": 1.0 / n}),
                 ModelSpec("elastic_net", problem, {"regParam": 1.0, "elasticNetParam": 0.5}),
                 ModelSpec("decision_tree", problem, {"maxDepth": tree_depth, "seed": seed}),
-                ModelSpec("random_forest", problem, {"numTrees": 100, "maxDepth": tree_depth, "seed": seed}),
+                ModelSpec("random_forest", problem, {"numTrees": 100, "maxDepth": forest_depth, "seed": seed}),
                 ModelSpec("gradient_boosting", problem, {"maxIter": 100, "maxDepth": 3, "stepSize": 0.1,
                                                          "seed": seed}),
             ]
@@ -149,7 +153,7 @@ def estimator(spec: ModelSpec, label: str, label_std: float = 1.0):
         return e(maxDepth=p.get("maxDepth", MAX_TREE_DEPTH), seed=p.get("seed", 42), **common)
     if spec.name == "random_forest":
         e = C.RandomForestClassifier if cls else R.RandomForestRegressor
-        return e(numTrees=p.get("numTrees", 100), maxDepth=p.get("maxDepth", MAX_TREE_DEPTH), seed=p.get("seed", 42), **common)
+        return e(numTrees=p.get("numTrees", 100), maxDepth=p.get("maxDepth", FOREST_DEPTH), seed=p.get("seed", 42), **common)
     if spec.name == "gradient_boosting":
         e = C.GBTClassifier if cls else R.GBTRegressor
         return e(maxIter=p.get("maxIter", 100), maxDepth=p.get("maxDepth", 3), stepSize=p.get("stepSize", 0.1),
