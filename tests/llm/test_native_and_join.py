@@ -210,13 +210,13 @@ def near_texts(rng, n):
     return texts
 
 
-@pytest.mark.parametrize("block", [3, 2048])
-def test_components_equal_brute_force(spark, block):
+@pytest.mark.parametrize("block,often", [(3, 10 ** 6), (2048, 2)])
+def test_components_equal_brute_force(spark, block, often):
     rng = random.Random(41)
     texts = near_texts(rng, 120)
     ids = rng.sample(range(1000), len(texts))
     docs = documents(spark, texts, ids=ids)
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.join_components(docs, block=block).collect()}
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.join_components(docs, block=block, often=often).collect()}
     want = brute_components(ids, texts)
     assert got == want
     assert len({c for _, c in want.values()}) < len(texts) - 40
@@ -240,20 +240,28 @@ def test_join_edges(spark):
     assert jaccard_join.join_components(docs.limit(0)).count() == 0
 
 
-def test_tree_traversal_loses_no_pair():
+@pytest.mark.parametrize("leaf", [1, 64, 1000])
+def test_tree_traversal_loses_no_pair(monkeypatch, leaf):
     import numpy as np
+    import pyarrow as pa
+    monkeypatch.setattr(jaccard_join, "LEAF", leaf)
     rng = np.random.default_rng(5)
     sets = []
     for _ in range(150):
         s = rng.choice(1 << 62, rng.integers(1, 90), replace=False).astype(np.uint64) if not sets or rng.random() < 0.4 else \
             np.unique(np.concatenate([sets[rng.integers(len(sets))], rng.choice(1 << 62, 2).astype(np.uint64)]))
         sets.append(np.sort(s))
-    classes, sizes = np.arange(150), np.array([len(s) for s in sets])
-    groups = rng.integers(0, 40, 150)
-    pairs = {tuple(sorted(p)) for p in jaccard_join.bucket_pairs(classes, sizes, [jaccard_join.bitmap(s).tobytes() for s in sets], groups, 85).tolist()}
+    sizes, groups = np.array([len(s) for s in sets]), rng.integers(0, 40, 150)
     linked = {(i, j) for i in range(150) for j in range(i + 1, 150) if groups[i] != groups[j]
               and 100 * (o := len(np.intersect1d(sets[i], sets[j]))) >= 85 * (sizes[i] + sizes[j] - o)}
-    assert linked and linked <= pairs and len(pairs) < 150 * 149 // 4
+    for across in (False, True):
+        own = rng.integers(0, 2, 150)
+        table = pa.table({"h": np.zeros(150, np.int64), "block_a": np.zeros(150, np.int32), "block_b": np.full(150, across, np.int32),
+                          "own": own.astype(np.int32), "class": np.arange(150), "component": groups, "n": sizes.astype(np.int32),
+                          "bits": [jaccard_join.bitmap(s).tobytes() for s in sets]})
+        pairs = {tuple(sorted(p)) for p in jaccard_join.bucket_pairs(jaccard_join.Members(table), 85).tolist()}
+        want = {(i, j) for i, j in linked if not across or own[i] != own[j]}
+        assert want and want <= pairs and len(pairs) < 150 * 149 // 4
 
 
 def test_connected_components(spark):
