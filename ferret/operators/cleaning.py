@@ -73,6 +73,24 @@ def impute(col: str, value) -> Column:
                   F.lit(value)).otherwise(x)
 
 
+def impute_by_dtype(df: DataFrame, threshold: float = 0.25, prefix: str = "imputed_") -> list[Column]:
+    """Columns that fill what is missing in at most ``threshold`` of the rows: fractional ones with
+    the median, strings with the mode (columns with more missing values, or none, are left out)."""
+    from ferret.operators.nullity import nan_split
+    todo = [r["feature"] for r in nan_split(df, threshold).where("status = 'impute'").collect()]
+    kd = kinds(df)
+    num = [c for c in todo if kd[c] == "fractional"]
+    obj = [c for c in todo if kd[c] == "string"]
+    fill = {**fit_medians(df, num), **fit_modes(df, obj)}
+    return [impute(c, fill[c]).alias(prefix + c) for c in num + obj]
+
+
+def split_in_outliers(df: DataFrame, model: HBOSModel) -> DataFrame:
+    """``df`` with ``part``: 'outlier' above the model's threshold, else 'inlier' (one scoring of the table)."""
+    flag = hbos_label(hbos_score(model), model.threshold)
+    return df.withColumn("part", F.when(flag == 1, "outlier").otherwise("inlier"))
+
+
 def fill_null_zero(df: DataFrame) -> DataFrame:
     return df.fillna(0)
 

@@ -57,15 +57,8 @@ def q_impute_mode(spark, sf):
        + f"SELECT row_id, coalesce(price, mp) AS imputed_price, coalesce(acctbal, ma) AS imputed_acctbal, "
          f"coalesce(priority, {_mode_sql('priority', 'f')}) AS imputed_priority FROM f, m")
 def q_impute_by_dtype(spark, sf):
-    from ferret.operators.nullity import nan_split
     f = _frame(spark, sf)
-    todo = [r["feature"] for r in nan_split(f).where("status = 'impute'").collect()]
-    kd = dict(f.dtypes)
-    num = [c for c in todo if kd[c] in ("double", "float")]
-    obj = [c for c in todo if kd[c] == "string"]
-    med, mode = C.fit_medians(f, num), C.fit_modes(f, obj)
-    fill = {**med, **mode}
-    return f.select("row_id", *[C.impute(c, fill[c]).alias("imputed_" + c) for c in num + obj])
+    return f.select("row_id", *C.impute_by_dtype(f))
 
 
 @query("fill_null_zero", with_frame(
@@ -219,10 +212,7 @@ def q_hbos_label(spark, sf):
        "FROM sc CROSS JOIN thr")
 def q_split_in_outliers(spark, sf):
     p, model = _hbos(spark, sf)
-    scored = p.select("p_partkey", C.hbos_label(C.hbos_score(model), model.threshold))
-    inl = scored.where("HBOS = 0").select("p_partkey", F.lit("inlier").alias("part"))
-    out = scored.where("HBOS = 1").select("p_partkey", F.lit("outlier").alias("part"))
-    return inl.unionByName(out)
+    return C.split_in_outliers(p, model).select("p_partkey", "part")
 
 
 # --- power transforms ---------------------------------------------------------------

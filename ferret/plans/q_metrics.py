@@ -267,3 +267,28 @@ def q_regression_viz(spark, sf):
 def q_normality_test(spark, sf):
     f = frames.orders_frame(spark, sf)
     return _sw_round(N.normality_test(f, ["price", "acctbal", "bucket"], "row_id"))
+
+
+def _stage_sql(stage: str) -> str:
+    return "\nUNION ALL\n".join(f"SELECT '{stage}' AS stage, * FROM ({sw_sql('f', c, 'row_id', c)}) s_{c}" for c in ("price", "acctbal"))
+
+
+@query("normality_untransformed", with_frame("", "orders").rstrip() + "\n" + _stage_sql("untransformed"))
+def q_normality_untransformed(spark, sf):
+    """Normality of one stage of the report: the columns as they came."""
+    f = frames.orders_frame(spark, sf)
+    return _sw_round(N.normality_test(f, ["price", "acctbal"], "row_id")).select(F.lit("untransformed").alias("stage"), "*")
+
+
+@query("profile_run")
+def q_profile_run(spark, sf):
+    """Every report of a cleaning run, with its number of rows."""
+    from ferret.plans.cleaning_plan import CleaningPlan
+    from ferret.plans.profile_report import profile
+    from ferret.sources.runs import RunStore
+    tables = CleaningPlan(target="label", key="row_id", fixed_lambda=0.5).run(frames.orders_frame(spark, sf), RunStore(spark))
+    counts = [df.agg(F.lit(name).alias("report"), F.count(F.lit(1)).alias("n_rows")) for name, df in profile(tables).items()]
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    return out

@@ -19,3 +19,11 @@ def test_rows_only_query_runs(spark, name):
     rows = df.collect()
     assert len(rows) > 0
     assert len(set(cols)) == len(cols) and all(c for c in cols)
+
+
+def test_profile_run_has_a_row_per_report(spark):
+    rows = {r["report"]: r["n_rows"] for r in entry.queries()["profile_run"](spark, SF_SMALL).collect()}
+    stages = ("untransformed", "imputed", "transformed")
+    assert {f"{r}_{s}" for r in ("correlation", "normality", "probability_fit", "probability_points") for s in stages} <= set(rows)
+    assert {"nan_report", "nullity_matrix", "skew_report", "histogram", "category_target_rate", "target_distribution"} <= set(rows)
+    assert all(n > 0 for r, n in rows.items() if r != "nullity_correlation")
