@@ -19,8 +19,20 @@ WORD_SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+# texts are large rows: Spark's 10,000 a batch would hold too much of them at a time, in the JVM and in Python
+ARROW_ROWS = 1000
+_ARROW_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to ``ARROW_ROWS`` rows, if they are larger."""
+    if not 0 < int(spark.conf.get(_ARROW_KEY)) <= ARROW_ROWS:
+        spark.conf.set(_ARROW_KEY, str(ARROW_ROWS))
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared checkpoint folder (never a machine-local one on a cluster)."""
+    small_batches(spark)
     return f"{checkpoint_dir(spark).rstrip('/')}/ferret-llm/{name}-{uuid.uuid4().hex}"
 
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferret.llm.common import text_of
+from ferret.llm.common import small_batches, text_of
 
 # fixed values: the patterns and least lengths of the base kinds
 ASSIGN = rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -134,6 +134,7 @@ def find_secrets(docs: DataFrame) -> DataFrame:
             arrays = [batch.column(0), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))]
             yield pa.RecordBatch.from_arrays(arrays, [f.split()[0] for f in RESULT.split(", ")])
 
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).mapInArrow(scan, RESULT)
 
 

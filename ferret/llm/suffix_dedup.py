@@ -12,8 +12,9 @@ also starts somewhere else, in any document.
    repeat when the count is above one.
 3. The distinct strings of an anchor are put into one suffix array (linear
    grouping construction, ``suffix_array``).  Neighbours in it that agree in
-   ``length`` bytes mark windows that repeat.  Before that, strings are cut to what they share with
-   any other around the anchor, and those that share less than a window go.
+   a whole window mark windows that repeat.  Before that, strings are cut to what they share with
+   any other around the anchor, those that share less than a window go, and the
+   core that all of them share becomes one symbol.
 4. An anchor with more distinct strings than ``group_limit`` doesn't go to one
    task: its windows are hashed (128 bits) and counted one by one.
 
@@ -29,6 +30,7 @@ table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from itertools import pairwise
 
 import numpy as np
@@ -113,39 +115,73 @@ def covered(starts: list[int], length: int) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
+def _core_symbols(parts: list[bytes], at: list[int], core: tuple[int, int]):
+    """The strings with their common core (``core`` bytes before and after the anchor) as one symbol.
+
+    Returns the symbols (strings, each with a separator of its own, and a last
+    one that is the smallest), the same as bytes, where each string begins, and where its core is.
+    """
+    outer = [(s[:a - core[0]], s[a + core[1]:]) for s, a in zip(parts, at, strict=True)]
+    m = len(parts)
+    pieces = []
+    for k, (x, y) in enumerate(outer, 1):
+        pieces += [np.frombuffer(x, np.uint8).astype(np.int64) + m + 2, np.array([m + 1]), np.frombuffer(y, np.uint8).astype(np.int64) + m + 2, np.array([k])]
+    text = b"".join([x + b"\0" + y + b"\0" for x, y in outer])
+    sizes = np.array([len(x) + len(y) + 2 for x, y in outer])
+    begin = np.cumsum(sizes) - sizes
+    return np.concatenate([*pieces, np.array([0])]), text, begin, sizes, begin + np.array([len(x) for x, _ in outer])
+
+
 def repeated_in_group(strings: list[bytes], anchors: list[int], counts: list[int], length: int) -> list[list[tuple[int, int]]]:
-    """Covered runs of each string that occurs once, from one suffix array over the distinct strings of an anchor."""
+    """Covered runs of each string that occurs once, among the distinct strings of an anchor.
+
+    Strings are cut to what they share with any other around the anchor; equal
+    ones are then one string.  What all of them share around the anchor, the core, is one symbol
+    of the suffix array: a window that holds the core whole repeats when its
+    neighbour there agrees with it, and one that begins (or ends) inside the core repeats when
+    some other string agrees far enough to the right (or left).
+    """
     right = _best([s[p:] for s, p in zip(strings, anchors, strict=True)])
     left = _best([s[:p][::-1] for s, p in zip(strings, anchors, strict=True)])
     out: list[list[tuple[int, int]]] = [[] for _ in strings]
-    used = [k for k in range(len(strings)) if left[k] + right[k] >= length]
-    if not any(counts[k] == 1 for k in used):
+    same: dict[tuple[bytes, int], list[int]] = {}
+    for k, (s, p) in enumerate(zip(strings, anchors, strict=True)):
+        if left[k] + right[k] >= length:
+            same.setdefault((s[p - left[k]:p + right[k]], left[k]), []).append(k)
+    parts, at = [x for x, _ in same], [a for _, a in same]
+    owners = list(same.values())
+    alone = [len(o) == 1 and counts[o[0]] == 1 for o in owners]
+    for o, single, s, a in zip(owners, alone, parts, at, strict=True):
+        for k in o:
+            if not single and counts[k] == 1:
+                out[k] = [(anchors[k] - a, anchors[k] - a + len(s))]
+    if not any(alone):
         return out
-    parts = [strings[k][anchors[k] - left[k]:anchors[k] + right[k]] for k in used]
-    m = len(parts)
-    # separators 1 to m are distinct, the last symbol 0 is the smallest
-    symbols = np.concatenate([x for k, s in enumerate(parts, 1)
-                              for x in (np.frombuffer(s, np.uint8).astype(np.int64) + m + 1, np.array([k]))] + [np.array([0])])
-    text = b"\0".join(parts) + b"\0\0"
-    sizes = np.array([len(s) + 1 for s in parts])
-    begin = np.concatenate([[0], np.cumsum(sizes)])
-    owner = np.repeat(np.arange(m), sizes)
-    order = np.frombuffer(suffix_array(symbols), np.int32)
-    order = order[order < len(owner)]
-    whole = order[begin[owner[order] + 1] - 1 - order >= length].tolist()  # suffixes with a whole window in their string
-    marked = set()
-    for a, b in pairwise(whole):
-        if text[a:a + length] == text[b:b + length]:
-            marked.add(a)
-            marked.add(b)
-    starts: dict[int, list[int]] = {}
-    for s in sorted(marked):
-        starts.setdefault(int(owner[s]), []).append(s)
-    for part, found in starts.items():
-        k = used[part]
-        if counts[k] == 1:
-            shift = anchors[k] - left[k] - int(begin[part])
-            out[k] = covered([s + shift for s in found], length)
+    rights, lefts = [s[a:] for s, a in zip(parts, at, strict=True)], [s[:a][::-1] for s, a in zip(parts, at, strict=True)]
+    core = (shared_prefix(min(lefts), max(lefts)), shared_prefix(min(rights), max(rights)))
+    far_right, far_left = _best(rights), _best(lefts)
+    found: list[set[int]] = [set() for _ in parts]  # window starts, counted from the anchor
+    for k in range(len(parts)):
+        if alone[k]:
+            found[k].update(range(-core[0], min(0, far_right[k] - length) + 1))
+            found[k].update(range(-far_left[k], min(0, core[1] - length) + 1))
+    window = length - sum(core) + 1
+    if window > 1:
+        symbols, text, begin, sizes, middle = _core_symbols(parts, at, core)
+        order = np.frombuffer(suffix_array(symbols), np.int32)
+        order = order[order < len(text)]
+        owner = np.repeat(np.arange(len(parts)), sizes)[order]
+        # suffixes whose window lies in their string and holds the core
+        whole = (order <= middle[owner]) & (order + window > middle[owner]) & (order + window < begin[owner] + sizes[owner])
+        order, owner = order[whole].tolist(), owner[whole].tolist()
+        offset = (middle[owner] - order).tolist() if order else []
+        for (a, b), (x, y), (i, j) in zip(pairwise(order), pairwise(owner), pairwise(offset), strict=True):
+            if i == j and text[a:a + window] == text[b:b + window]:
+                found[x].add(-core[0] - i)
+                found[y].add(-core[0] - j)
+    for o, single, starts in zip(owners, alone, found, strict=True):
+        if single:
+            out[o[0]] = covered([anchors[o[0]] + s for s in sorted(starts)], length)
     return out
 
 
@@ -170,14 +206,16 @@ def _concerned(rows: DataFrame, keys: DataFrame):
 def repeated_spans(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, group_limit: int = GROUP_LIMIT) -> DataFrame:
     """row_key and spans (array of start, end in bytes, unsorted, overlapping) of every document that repeats something."""
     def find(batches):
+        names = [f.split()[0] for f in REGION.split(", ")]
         for batch in batches:
-            cols = ([], [], [], [], [], [])
-            for key, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            cols = [array("q") for _ in names]
+            for key, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                data = data.as_py()
                 for lo, hi, at, anchor in regions(data, length, gram):
                     content = xxhash.xxh3_64_intdigest(data[lo:hi + length])
                     for col, v in zip(cols, (key, lo, hi, at, anchor, content - (content >> 63 << 64)), strict=True):
                         col.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], [f.split()[0] for f in REGION.split(", ")])
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(c, np.int64)) for c in cols], names)
 
     found = stored(_rows(docs).select("row_key", "data").mapInArrow(find, REGION), "regions")
     repeated = found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
@@ -195,24 +233,45 @@ def repeated_spans(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, g
     texts = rows.where(_concerned(rows, wanted.select("row_key"))).dropDuplicates(["row_key"])
 
     def cut(batches):
+        types = (pa.int64(),) * 6 + (pa.binary(),)
+        names = ["anchor", "n", "members", "row_key", "lo", "at", "string"]
         for batch in batches:
-            out = []
-            for key, data, want in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
-                out += [(w["anchor"], w["n"], w["members"], key, w["lo"], w["anchor_at"] - w["lo"], data[w["lo"]:w["hi"] + length]) for w in want]
-            types = (pa.int64(),) * 6 + (pa.binary(),)
-            names = ["anchor", "n", "members", "row_key", "lo", "at", "string"]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(types)], names)
+            for first in range(0, batch.num_rows, 200):  # small pieces: a string is cut out of a text several times over
+                out = []
+                for r in batch.slice(first, 200).to_pylist():
+                    out += [(w["anchor"], w["n"], w["members"], r["row_key"], w["lo"], w["anchor_at"] - w["lo"],
+                             r["data"][w["lo"]:w["hi"] + length]) for w in r["want"]]
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(types)], names)
 
     members = texts.join(wanted, "row_key").select("row_key", "data", "want").mapInArrow(
         cut, "anchor long, n long, members long, row_key long, lo long, at long, string binary")
     members = stored(members, "group-strings")
 
-    def compare(pdf):
-        runs = repeated_in_group(list(pdf["string"]), pdf["at"].tolist(), pdf["n"].tolist(), length)
-        out = [(k, lo + a, lo + b) for k, lo, found in zip(pdf["row_key"], pdf["lo"], runs, strict=True) for a, b in found]
-        return pd.DataFrame(out, columns=["row_key", "start", "end"], dtype=np.int64)
+    def compare(batches):
+        """Anchor by anchor over rows sorted by anchor; one may go on in the next batch."""
+        rest = None
+        for batch in batches:
+            t = pa.Table.from_batches([batch] if rest is None else [*rest.to_batches(), batch])
+            keys = t.column("anchor").to_numpy()
+            edges = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist()]
+            rest = t.slice(edges[-1]) if len(t) else rest
+            yield spans_of(t.slice(0, edges[-1]), edges)
+        if rest is not None:
+            yield spans_of(rest, [0, len(rest)])
+
+    def spans_of(t, edges):
+        strings, at, n, keys, los = (t.column(c).to_pylist() for c in ("string", "at", "n", "row_key", "lo"))
+        cols = ([], [], [])
+        for a, b in pairwise(edges):
+            runs = repeated_in_group(strings[a:b], at[a:b], n[a:b], length)
+            for key, lo, found in zip(keys[a:b], los[a:b], runs, strict=True):
+                for first, last in found:
+                    for col, v in zip(cols, (key, lo + first, lo + last), strict=True):
+                        col.append(v)
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["row_key", "start", "end"])
 
-    small = members.where(F.col("members") <= group_limit).groupBy("anchor").applyInPandas(compare, "row_key long, start long, end long")
+    small = (members.where(F.col("members") <= group_limit).repartition("anchor").sortWithinPartitions("anchor")
+             .mapInArrow(compare, "row_key long, start long, end long"))
 
     def windows(batches):
         for batch in batches:
@@ -252,7 +311,8 @@ def remove_repeats(docs: DataFrame, *, with_bytes: bool = True, **options) -> Da
     def apply(batches):
         for batch in batches:
             cols = ([], [], [], [], [], [])
-            for doc, data, found in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
+            for doc, data, found in zip(*batch.columns, strict=True):
+                doc, data, found = doc.as_py(), data.as_py(), found.as_py()
                 runs = merged(found)
                 edges = [0, *(x for r in runs for x in r), len(data)]
                 kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
