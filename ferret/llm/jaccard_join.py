@@ -6,15 +6,19 @@ their sets is at least ``percent``; linked documents form components.
 
 1. Documents with equal sets are one class (a 128-bit digest of the set).
 2. In any fixed order of shingles, two sets that link share one among their
-   first n - ceil(percent * n) + 1.  Those prefixes (by hash order) are the buckets;
-   shingles that only one class has in its prefix drop out by an aggregate.
-3. Every class is first compared with one other: the bucket owner with which it
-   shares most prefix shingles.  Verified links are contracted to components, so a group of
+   first n - ceil(percent * n) + 1.  Those prefixes are the buckets; the order
+   is by hash, with the frequent shingles (a bounded list) behind all others, so common passages
+   make no buckets.  Shingles that only one class has in its prefix drop out by
+   an aggregate.
+3. Classes are first compared with two others: the first and the last bucket owner with
+   which they share most prefix shingles, if those are many.  Verified links are contracted to components, so a group of
    thousands of near copies is one component after about one comparison each.
 4. Buckets that still hold several components are joined by a signature tree: a
    node holds the size range of its members and the OR of their token bitmaps,
    and a pair of nodes is dropped when its largest possible overlap is too
-   small or all its members are connected already.  Pairs of classes that remain are verified on the
+   small or all its members are connected already.  A pair counts only where the
+   bucket's shingle stands early enough to be the first that a linked pair shares.  Buckets of a leaf's size are
+   compared many at once.  Pairs of classes that remain are verified on the
    whole sets.  Large buckets are dealt out as pairs of blocks, so no task holds
    more than two blocks, and every pair of members meets in one of them.
 
@@ -28,6 +32,8 @@ gives an empty result.
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -37,6 +43,7 @@ from pyspark.sql import functions as F
 
 from ferret.llm.bits import build_filter, passing
 from ferret.llm.common import stored, text_of
+from ferret.llm.encoder import batches
 from ferret.llm.graph import connected_components
 from ferret.llm.words import WordHashes, combined
 
@@ -44,7 +51,11 @@ SHINGLE = 4
 PERCENT = 85
 LEAST_BITS, MOST_BITS = 64, 4096
 FAN_OUT = 16
+LEAF = 64  # a bucket with no more members is one leaf
 BLOCK = 2048
+OFTEN = 256
+MOST_FREQUENT = 1 << 20
+STAR_SHARE = 0.3  # of a prefix, shared with one owner, to be compared with it first
 
 
 class ByteHashes(WordHashes):
@@ -58,29 +69,47 @@ class ByteHashes(WordHashes):
 KNOWN = ByteHashes()
 
 
-def shingle_set(text: str, size: int = SHINGLE) -> np.ndarray:
-    """Sorted distinct shingle hashes (unsigned 64-bit)."""
+def shingle_sets(texts: list[str], size: int = SHINGLE) -> list[np.ndarray]:
+    """Sorted distinct shingle hashes (unsigned 64-bit) of each text; the hashing is done for all texts at once."""
     # bytes.lower() changes A-Z only, and bytes.split() cuts at exactly the six ASCII space characters
-    words = text.encode("utf-8", "surrogatepass").lower().split()
-    words = KNOWN.of(words, len(words))
-    if not len(words):
-        return np.zeros(0, np.uint64)
-    n = min(size, len(words))
-    return np.unique(combined(words, list(range(n)), n))
+    words = [t.encode("utf-8", "surrogatepass").lower().split() for t in texts]
+    counts = [len(w) for w in words]
+    hashes = KNOWN.of(chain.from_iterable(words), sum(counts))
+    shingles = combined(hashes, list(range(size)), size)
+    out, at = [], 0
+    for n in counts:
+        if n >= size:
+            out.append(np.unique(shingles[at:at + n - size + 1]))
+        else:
+            out.append(combined(hashes[at:at + n], list(range(n)), n) if n else np.zeros(0, np.uint64))
+        at += n
+    return out
 
 
 def bitmap(hashes: np.ndarray) -> np.ndarray:
-    """Token bitmap as 64-bit words; as wide as the set asks for, a power of two."""
+    """Token bitmap as 64-bit words, as wide as the set asks for (a power of two), in two planes.
+
+    The first has the positions with a token, the second those with two or more,
+    so tokens that share a position hardly loosen the bound on an overlap.
+    """
     width = min(MOST_BITS, max(LEAST_BITS, 1 << (2 * len(hashes) - 1).bit_length()))
-    flags = np.zeros(width, bool)
-    flags[((hashes >> np.uint64(20)) & np.uint64(width - 1)).astype(np.int64)] = True
-    return np.packbits(flags, bitorder="little").view(np.uint64)
+    counts = np.bincount(((hashes >> np.uint64(20)) & np.uint64(width - 1)).astype(np.int64), minlength=width)
+    return np.packbits(np.concatenate([counts > 0, counts > 1]), bitorder="little").view(np.uint64)
 
 
 def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def prefix(hashes: np.ndarray, percent: int, last: np.ndarray | None = None) -> np.ndarray:
+    """The first shingles of a sorted set: those in ``last`` (sorted) come after all others."""
+    n = prefix_length(len(hashes), percent)
+    if last is None or not len(last):
+        return hashes[:n]
+    late = last[np.minimum(np.searchsorted(last, hashes), len(last) - 1)] == hashes
+    return hashes[:n] if not late[:n].any() else np.concatenate([hashes[~late], hashes[late]])[:n]
+
+
 SETS = "doc_id long, n int, class long, prefix array<bigint>, bits binary"
 
 
@@ -88,22 +117,53 @@ def class_of(hashes: np.ndarray) -> int:
     return int.from_bytes(xxhash.xxh3_128_digest(hashes.tobytes())[:8], "little", signed=True)
 
 
-def document_sets(docs: DataFrame, *, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+def _lists(parts: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, parts)])
+    flat = np.concatenate([*parts, np.zeros(0, np.uint64)]).view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
+
+
+def frequent_shingles(docs: DataFrame, *, size: int, percent: int, often: int = OFTEN, most: int = MOST_FREQUENT) -> np.ndarray:
+    """The hashes that more than ``often`` documents have in their prefix, sorted.
+
+    The limit rises with the corpus so that never more than ``most`` hashes
+    come to the driver: what n rows hold more than n / most times is at most that many.
+    """
     def make(rows):
         for batch in rows:
-            cols = ([], [], [], [], [])
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                s = shingle_set(text, size)
-                n = len(s)
-                row = (doc, n, class_of(s) if n else None, s[:prefix_length(n, percent)].view(np.int64) if n else None,
-                       bitmap(s).tobytes() if n else None)
-                for col, v in zip(cols, row, strict=True):
-                    col.append(v)
-            types = (pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)],
-                                             ["doc_id", "n", "class", "prefix", "bits"])
+            for part in batches(batch.column(0).to_pylist()):
+                flat = [prefix(s, percent) for s in shingle_sets(part, size) if len(s)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*flat, np.zeros(0, np.uint64)]).view(np.int64))], ["h"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).mapInArrow(make, SETS)
+    counts = stored(_texts(docs).select("text").mapInArrow(make, "h long").groupBy("h").agg(F.count("*").alias("n"))
+                    .where(F.col("n") > often), "prefix-counts")
+    rows = counts.agg(F.sum("n")).first()[0] or 0
+    found = counts.where(F.col("n") > rows / most).select("h").toPandas()["h"].to_numpy(np.int64)
+    return np.sort(found.view(np.uint64))
+
+
+def document_sets(docs: DataFrame, frequent: np.ndarray, *, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    last = docs.sparkSession.sparkContext.broadcast(frequent)
+
+    def make(rows):
+        for batch in rows:
+            first = 0
+            keys = batch.column(0)
+            for part in batches(batch.column(1).to_pylist()):
+                sets = shingle_sets(part, size)
+                n = pa.array([len(s) for s in sets], pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [keys.slice(first, len(part)), n, pa.array([class_of(s) if len(s) else None for s in sets], pa.int64()),
+                     _lists([prefix(s, percent, last.value) if len(s) else s for s in sets]),
+                     pa.array([bitmap(s).tobytes() if len(s) else None for s in sets], pa.binary())],
+                    ["doc_id", "n", "class", "prefix", "bits"])
+                first += len(part)
+
+    return _texts(docs).mapInArrow(make, SETS)
 
 
 # ---- signature trees ------------------------------------------------------
@@ -171,51 +231,121 @@ def dual_traversal(a: Tree, b: Tree, percent: int, same: bool, step: int = 1 <<
     return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
 
 
-def _folded(bits: list[bytes], width: int) -> np.ndarray:
-    """Bitmaps as rows of ``width`` bits; wider ones are OR-folded."""
-    out = np.zeros((len(bits), width // 64), np.uint64)
-    for k, b in enumerate(bits):
-        out[k] = np.bitwise_or.reduce(np.frombuffer(b, np.uint64).reshape(-1, width // 64), axis=0)
-    return out
-
-
-def bucket_pairs(classes, sizes, bits, groups, percent: int, side=None) -> np.ndarray:
-    """Pairs of classes of one bucket that may link and belong to different groups.
-
-    ``side``: block numbers when the bucket is a pair of blocks; then only pairs across.
-    """
-    order = np.lexsort((classes, groups, sizes))
-    classes, sizes, groups = classes[order], sizes[order].astype(np.int64), groups[order]
-    side = np.zeros(len(order), np.int64) if side is None else side[order]
-    bits = [bits[k] for k in order]
-    widths = np.array([8 * len(b) for b in bits])
-    out = []
-    for w in np.unique(widths):
-        own = np.flatnonzero(widths == w)
-        near = np.flatnonzero(widths == 2 * w)
-        near = near[100 * sizes[own].max() >= percent * sizes[near]]
-        cross = len(np.unique(side)) > 1
-        parts = [(own[side[own] == s], near[side[near] == t]) for s in np.unique(side) for t in np.unique(side) if not cross or s != t]
-        for x, y in parts:
-            if len(x) and len(y):
-                ta = Tree(sizes[x], _folded([bits[k] for k in x], w), groups[x])
-                tb = Tree(sizes[y], _folded([bits[k] for k in y], w), groups[y])
-                p = dual_traversal(ta, tb, percent, False)
-                out.append(np.stack([x[p[:, 0]], y[p[:, 1]]], axis=1))
-        if not cross:
-            t = Tree(sizes[own], _folded([bits[k] for k in own], w), groups[own])
-            out.append(own[dual_traversal(t, t, percent, True)])
+class Members:
+    """Columns of the rows of some buckets, row by row."""
+
+    def __init__(self, batch):
+        col = lambda c: batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64)
+        self.classes, self.groups, self.sizes, self.side = col("class"), col("component"), col("n"), col("own")
+        self.across = col("block_a") != col("block_b")
+        self.bits = batch.column("bits").to_pylist()
+        self.place = col("place")
+        self.widths = np.array([4 * len(b) for b in self.bits], np.int64)
+        keys = np.stack([col("h"), col("block_a"), col("block_b")])
+        self.starts = np.flatnonzero(np.concatenate([[True], (np.diff(keys) != 0).any(axis=0)])) if len(self.bits) else np.zeros(0, np.int64)
+
+    def early(self, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+        """Where the bucket's shingle stands early enough in both sets to be the first that a linked pair shares."""
+        need = percent * (self.sizes[i] + self.sizes[j])
+        return ((100 + percent) * (self.sizes[i] - self.place[i]) >= need) & ((100 + percent) * (self.sizes[j] - self.place[j]) >= need)
+
+    def folded(self, rows: np.ndarray, width: int) -> np.ndarray:
+        return _folded([self.bits[k] for k in rows.tolist()], self.widths[rows], width)
+
+
+def _folded(bits: list[bytes], widths: np.ndarray, width: int) -> np.ndarray:
+    """Both planes as rows of ``width`` bits each; in wider ones positions are put together, as counts would be."""
+    out = np.zeros((len(bits), 2, width // 64), np.uint64)
+    for w in np.unique(widths).tolist():
+        rows = np.flatnonzero(widths == w)
+        flat = np.frombuffer(b"".join([bits[k] for k in rows.tolist()]), np.uint64).reshape(len(rows), 2, w // width, width // 64)
+        one, two = flat[:, 0, 0].copy(), flat[:, 1, 0].copy()
+        for k in range(1, w // width):
+            two |= flat[:, 1, k] | (one & flat[:, 0, k])
+            one |= flat[:, 0, k]
+        out[rows, 0], out[rows, 1] = one, two
+    return out.reshape(len(bits), -1)
+
+
+def _leaf_pairs(m: Members, starts: np.ndarray, sizes: np.ndarray, percent: int, step: int = 1 << 20):
+    """Yields the pairs of rows of buckets that are one leaf each; all buckets of a size at once."""
+    for g in np.unique(sizes).tolist():
+        first, second = np.triu_indices(g, 1)
+        at = starts[sizes == g]
+        for k in range(0, len(at), max(1, step // len(first))) if g > 1 else ():
+            part = at[k:k + max(1, step // len(first)), None]
+            i, j = (part + first).ravel(), (part + second).ravel()
+            ok = (m.groups[i] != m.groups[j]) & (~m.across[i] | (m.side[i] != m.side[j]))
+            i, j = i[ok], j[ok]
+            small, large = np.minimum(m.sizes[i], m.sizes[j]), np.maximum(m.sizes[i], m.sizes[j])
+            ok = (100 * small >= percent * large) & m.early(i, j, percent)
+            yield i[ok], j[ok]
+
+
+def _possible(m: Members, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of rows may link by their bitmaps (both planes in one row)."""
+    ok = np.zeros(len(i), bool)
+    width = np.minimum(m.widths[i], m.widths[j])
+    for w in np.unique(width).tolist():
+        k = np.flatnonzero(width == w)
+        rows, inverse = np.unique(np.concatenate([i[k], j[k]]), return_inverse=True)
+        bits = m.folded(rows, w)
+        spare = m.sizes[rows] - np.bitwise_count(bits).sum(axis=1).astype(np.int64)
+        a, b = inverse[:len(k)], inverse[len(k):]
+        for c in range(0, len(k), 1 << 17):
+            x, y, q = a[c:c + (1 << 17)], b[c:c + (1 << 17)], k[c:c + (1 << 17)]
+            common = np.bitwise_count(bits[x] & bits[y]).sum(axis=1).astype(np.int64)
+            most = np.minimum(common + np.minimum(spare[x], spare[y]), np.minimum(m.sizes[i[q]], m.sizes[j[q]]))
+            ok[q] = (100 + percent) * most >= percent * (m.sizes[i[q]] + m.sizes[j[q]])
+    return ok
+
+
+def bucket_pairs(m: Members, percent: int) -> np.ndarray:
+    """Pairs of classes that share a bucket, may link and belong to different components."""
+    sizes = np.diff(np.append(m.starts, len(m.bits)))
+    out = [np.zeros((0, 2), np.int64)]
+    leaf = sizes <= LEAF
+    for i, j in _leaf_pairs(m, m.starts[leaf], sizes[leaf], percent):
+        ok = _possible(m, i, j, percent)
+        out.append(np.unique(np.stack([m.classes[i[ok]], m.classes[j[ok]]], axis=1), axis=0))
+    for start, n in zip(m.starts[~leaf].tolist(), sizes[~leaf].tolist(), strict=True):
+        out.append(_tree_pairs(m, np.arange(start, start + n), percent))
+    return np.concatenate(out)
+
+
+def _tree_pairs(m: Members, rows: np.ndarray, percent: int) -> np.ndarray:
+    """The same for one bucket, or one pair of blocks of it, by signature trees."""
+    rows = rows[np.lexsort((m.classes[rows], m.groups[rows], m.sizes[rows]))]
+    across = bool(m.across[rows[0]])
+    sides = [rows[m.side[rows] == s] for s in np.unique(m.side[rows])] if across else [rows]
+    if across and len(sides) < 2:
+        return np.zeros((0, 2), np.int64)
+    out = [np.zeros((0, 2), np.int64)]
+
+    def tree(part, width):
+        return Tree(m.sizes[part], m.folded(part, width), m.groups[part])
+
+    def compare(x, y, width):
+        if len(x) and len(y):
+            p = dual_traversal(tree(x, width), tree(y, width), percent, False)
+            out.append(np.stack([x[p[:, 0]], y[p[:, 1]]], axis=1))
+
+    for w in np.unique(m.widths[rows]).tolist():
+        # sets that link have bitmaps of one width, or of neighbouring widths
+        own = [s[m.widths[s] == w] for s in sides]
+        near = [s[m.widths[s] == 2 * w] for s in sides]
+        if across:
+            compare(own[0], own[1], w)
+            compare(own[0], near[1], w)
+            compare(own[1], near[0], w)
         else:
-            s = np.unique(side)
-            x, y = own[side[own] == s[0]], own[side[own] == s[1]]
-            if len(x) and len(y):
-                ta = Tree(sizes[x], _folded([bits[k] for k in x], w), groups[x])
-                tb = Tree(sizes[y], _folded([bits[k] for k in y], w), groups[y])
-                p = dual_traversal(ta, tb, percent, False)
-                out.append(np.stack([x[p[:, 0]], y[p[:, 1]]], axis=1))
-    pairs = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-    pairs = pairs[groups[pairs[:, 0]] != groups[pairs[:, 1]]]
-    return classes[pairs]
+            if len(own[0]):
+                t = tree(own[0], w)
+                out.append(own[0][dual_traversal(t, t, percent, True)])
+            compare(own[0], near[0], w)
+    pairs = np.concatenate(out)
+    ok = (m.groups[pairs[:, 0]] != m.groups[pairs[:, 1]]) & m.early(pairs[:, 0], pairs[:, 1], percent)
+    return m.classes[pairs[ok]]
 
 
 # ---- the join -------------------------------------------------------------
@@ -233,17 +363,16 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int,
     def make(rows):
         for batch in rows:
             keep = passing(flags.value, batch.column(1).to_numpy().view(np.uint64))
-            cols = ([], [], [])
-            part = batch.take(pa.array(keep))
-            for doc, text in zip(part.column(0).to_pylist(), part.column(2).to_pylist(), strict=True):
-                s = shingle_set(text, size)
-                if len(s):
-                    for col, v in zip(cols, (doc, class_of(s), s.tobytes()), strict=True):
-                        col.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary()), strict=True)],
-                                             ["doc_id", "class", "set"])
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).where(F.col("doc_id").isNotNull())
+            picked = batch.take(pa.array(keep))
+            first = 0
+            for part in batches(picked.column(2).to_pylist()):
+                sets = shingle_sets(part, size)
+                yield pa.RecordBatch.from_arrays(
+                    [picked.column(0).slice(first, len(part)), pa.array([class_of(s) for s in sets], pa.int64()),
+                     pa.array([s.tobytes() for s in sets], pa.binary())], ["doc_id", "class", "set"])
+                first += len(part)
+
+    rows = _texts(docs).where(F.col("doc_id").isNotNull())
     rows = rows.select("doc_id", F.xxhash64("doc_id").alias("h"), "text").mapInArrow(make, "doc_id long, class long, set binary")
     sets = (rows.join(wanted, (rows["class"] == wanted["class"]) & (rows["doc_id"] == wanted["first"]), "left_semi")
             .dropDuplicates(["class"]).select("class", "set"))
@@ -268,45 +397,78 @@ def _with_component(rows: DataFrame, components: DataFrame) -> DataFrame:
             .withColumn("component", F.coalesce("component", "class")))
 
 
-def join_components(docs: DataFrame, *, size: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+def join_components(docs: DataFrame, *, size: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK, often: int = OFTEN) -> DataFrame:
     """doc_id, n_shingles, class_id (hash of the set; null if empty), component_id: the smallest id reachable by links."""
-    sets = stored(document_sets(docs, size=size, percent=percent), "sets")
+    frequent = frequent_shingles(docs, size=size, percent=percent, often=often)
+    sets = stored(document_sets(docs, frequent, size=size, percent=percent), "sets")
     usable = sets.where(F.col("doc_id").isNotNull() & F.col("class").isNotNull())
     classes = stored(usable.groupBy("class").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")), "classes")
     rows = usable.select("class", F.explode("prefix").alias("h"))
-    ends = rows.groupBy("h").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("h", "lo")
-    shared = stored(rows.join(ends, "h").select("h", "lo", "class").distinct(), "shared-prefixes")
-
-    # one comparison a class: with the owner of most of its shared shingles
-    with_owner = shared.where(F.col("class") != F.col("lo")).groupBy("class", "lo").agg(F.count("*").alias("n"))
-    best = (with_owner.groupBy("class").agg(F.max(F.struct("n", "lo")).alias("best"))
-            .select(F.col("class").alias("a"), F.col("best.lo").alias("b")))
+    ends = rows.groupBy("h").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi")
+    ends = stored(ends, "shared-shingles")
+    flags = docs.sparkSession.sparkContext.broadcast(build_filter(ends, "h"))
+
+    def sift(batches_):
+        for batch in batches_:
+            parts = batch.column(1)
+            values, sizes = parts.flatten().to_numpy(), parts.value_lengths().to_numpy()
+            keep = passing(flags.value, values.view(np.uint64))
+            owner = np.repeat(np.arange(len(sizes)), sizes)[keep]
+            place = keep - (np.cumsum(sizes) - sizes)[owner]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner)), pa.array(values[keep]),
+                                              pa.array(place.astype(np.int32))], ["class", "h", "place"])
+
+    # most shingles are in one class only: the filter spares them the shuffle
+    rows = usable.select("class", "prefix").mapInArrow(sift, "class long, h long, place int")
+    shared = stored(rows.join(ends, "h").select("h", "lo", "hi", "class", "place").distinct(), "shared-prefixes")
+
+    # two comparisons a class, where there is much in common: with the first and with
+    # the last owner with which it shares most shingles
+    best = None
+    for owner in ("lo", "hi"):
+        with_owner = shared.where(F.col("class") != F.col(owner)).groupBy("class", owner).agg(F.count("*").alias("n"))
+        most = with_owner.groupBy("class").agg(F.max(F.struct("n", owner)).alias("best")).select("class", "best.n", F.col(f"best.{owner}").alias("b"))
+        best = most if best is None else best.unionByName(most)
+    sizes = usable.select("class", F.col("n").alias("size")).distinct()
+    best = (best.join(sizes, "class").where(F.col("n") * 100 >= (100 - percent) * STAR_SHARE * F.col("size"))
+            .select(F.greatest("class", "b").alias("a"), F.least("class", "b").alias("b")).distinct())
     links = stored(_verified(stored(best, "star-pairs"), docs, classes, size, percent), "star-links")
     components = stored(connected_components(links), "components")
 
     # buckets with several components
-    rows = _with_component(shared.select("h", "class"), components)
+    rows = _with_component(shared.select("h", "class", "place"), components)
     open_ = (rows.groupBy("h").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("members"))
              .where("c0 <> c1").select("h", "members"))
     rows = stored(rows.join(open_, "h"), "open-buckets")
     info = (usable.join(rows.select("class").distinct(), "class", "left_semi").dropDuplicates(["class"]).select("class", "n", "bits"))
     # a bucket of more than one block is dealt out to pairs of blocks
     blocks = F.ceil(F.col("members") / block).cast("int")
-    rows = rows.select("h", "class", "component", blocks.alias("blocks"), F.pmod(F.xxhash64("class", "h"), blocks).cast("int").alias("own"))
+    rows = rows.select("h", "class", "place", "component", blocks.alias("blocks"), F.pmod(F.xxhash64("class", "h"), blocks).cast("int").alias("own"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    rows = rows.select("h", "class", "component", "own", other.alias("other")).select(
-        "h", "class", "component", "own", F.least("own", "other").alias("block_a"), F.greatest("own", "other").alias("block_b"))
-
-    def compare(pdf):
-        side = pdf["own"].to_numpy().astype(np.int64)
-        across = pdf["block_a"].iloc[0] != pdf["block_b"].iloc[0]
-        if across and len(np.unique(side)) < 2:
-            return pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
-        pairs = bucket_pairs(pdf["class"].to_numpy(), pdf["n"].to_numpy(), list(pdf["bits"]), pdf["component"].to_numpy(),
-                             percent, side if across else None)
-        return pd.DataFrame({"a": pairs.max(axis=1), "b": pairs.min(axis=1)})
-
-    pairs = rows.join(info, "class").groupBy("h", "block_a", "block_b").applyInPandas(compare, "a long, b long").distinct()
+    rows = rows.select("h", "class", "place", "component", "own", other.alias("other")).select(
+        "h", "class", "place", "component", "own", F.least("own", "other").alias("block_a"), F.greatest("own", "other").alias("block_b"))
+
+    def compare(batches_):
+        rest = None
+        for batch in batches_:
+            t = pa.Table.from_batches([batch] if rest is None else [*rest.to_batches(), batch]).combine_chunks()
+            # the last bucket may go on in the next batch
+            keys = [t.column(c).to_numpy() for c in ("h", "block_a", "block_b")]
+            n = int(np.flatnonzero(np.logical_or.reduce([k != k[-1] for k in keys]))[-1] + 1) if len(t) and any(
+                (k != k[-1]).any() for k in keys) else 0
+            rest = t.slice(n)
+            if n:
+                yield pairs_of(t.slice(0, n))
+        if rest is not None and len(rest):
+            yield pairs_of(rest)
+
+    def pairs_of(t):
+        pairs = np.unique(np.sort(bucket_pairs(Members(t.combine_chunks()), percent), axis=1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 1]), pa.array(pairs[:, 0])], ["a", "b"])
+
+    key = ["h", "block_a", "block_b"]
+    pairs = rows.join(info, "class").repartition(*key).sortWithinPartitions(*key).select(
+        *key, "own", "class", "place", "component", "n", "bits").mapInArrow(compare, "a long, b long").distinct()
     more = stored(_verified(stored(pairs, "tree-pairs"), docs, classes, size, percent), "tree-links")
     components = stored(connected_components(links.unionByName(more)), "components")
 

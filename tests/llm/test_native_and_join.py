@@ -257,7 +257,7 @@ def test_tree_traversal_loses_no_pair(monkeypatch, leaf):
     for across in (False, True):
         own = rng.integers(0, 2, 150)
         table = pa.table({"h": np.zeros(150, np.int64), "block_a": np.zeros(150, np.int32), "block_b": np.full(150, across, np.int32),
-                          "own": own.astype(np.int32), "class": np.arange(150), "component": groups, "n": sizes.astype(np.int32),
+                          "own": own.astype(np.int32), "place": np.zeros(150, np.int32), "class": np.arange(150), "component": groups, "n": sizes.astype(np.int32),
                           "bits": [jaccard_join.bitmap(s).tobytes() for s in sets]})
         pairs = {tuple(sorted(p)) for p in jaccard_join.bucket_pairs(jaccard_join.Members(table), 85).tolist()}
         want = {(i, j) for i, j in linked if not across or own[i] != own[j]}
