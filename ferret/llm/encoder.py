@@ -14,7 +14,6 @@ import os
 import re
 import sys
 import unicodedata
-from array import array
 from functools import cache, lru_cache
 
 import numpy as np
@@ -113,38 +112,36 @@ class ByteLevel:
 
 
 def _split(ids: np.ndarray, begin: np.ndarray, end: np.ndarray) -> list[bytes]:
-    raw = ids.tobytes()
-    return [raw[a:b] for a, b in zip((4 * begin).tolist(), (4 * end).tolist(), strict=True)]
+    raw, width = ids.tobytes(), ids.itemsize
+    return [raw[a:b] for a, b in zip((width * begin).tolist(), (width * end).tolist(), strict=True)]
 
 
 RULES = {"word_ends": WordEnds, "byte_level": ByteLevel}
 
 
 class Encoder:
-    """Packed little-endian unsigned 32-bit ids of texts; the cache of chunks is bounded."""
+    """Packed little-endian unsigned ids of texts, ``width`` bytes each; the cache of chunks is bounded."""
 
-    def __init__(self, path: str, rule: str | None):
+    def __init__(self, path: str, rule: str | None, width: int = 4):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.type = np.dtype(f"<u{width}")
         self.rule = RULES[rule](self.tokenizer) if rule else None
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def vocabulary(self) -> int:
-        return self.tokenizer.get_vocab_size(with_added_tokens=True)
-
     def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.type)
 
     def _learn(self, chunks: list[str]) -> None:
         for k in range(0, len(chunks), _TOGETHER):
             part = chunks[k:k + _TOGETHER]
             found = self.rule.apart(self._ids, part)
             if found is None:
-                found = [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+                found = [np.array(e.ids, self.type).tobytes() for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
             self.known.update(zip(part, found, strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -165,9 +162,16 @@ class Encoder:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str, rule: str | None) -> Encoder:
+def encoder(path: str, rule: str | None, width: int = 4) -> Encoder:
     """One encoder per worker process and tokenizer; it lives on across tasks."""
-    return Encoder(path, rule)
+    return Encoder(path, rule, width)
+
+
+def id_width(path: str) -> int:
+    """Bytes that an id of this tokenizer needs: 2 or 4."""
+    from tokenizers import Tokenizer
+
+    return 2 if Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
 
 
 def batches(texts: list[str], chars: int = 1 << 20):

@@ -33,10 +33,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ferret.llm.common import scratch, stored, text_of
-from ferret.llm.encoder import batches, encoder
+from ferret.llm.encoder import batches, encoder, id_width
 
 NO_KEY = -(1 << 63)  # stands for a null key in a directory
-SHARD_TEXT_BYTES = 32 << 20
+SHARD_TEXT_BYTES = 16 << 20
 KEYS_PER_BUCKET = 100_000
 DIRECTORY = "shard int, ordinal int, key long, at long, n long, ids_crc32 long"
 ENTRY = "shard int, ordinal int, n_docs int, at long, n long"
@@ -47,11 +47,10 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, *, rule: str | None =
     """Encode every document and write the shards; range-partitioned by key, sorted within."""
     total = docs.agg(F.sum(F.octet_length(text_of()))).first()[0] or 0
     shards = max(1, math.ceil(total / shard_text_bytes))
-    width = 2 if encoder(tokenizer, rule).vocabulary() <= 1 << 16 else 4
+    width = id_width(tokenizer)
 
     def encode(rows):
-        enc, keys, counts, any_row = encoder(tokenizer, rule), [], [], False
-        narrow = f"<u{width}"
+        enc, keys, counts, any_row = encoder(tokenizer, rule, width), [], [], False
 
         def row(raw):
             return pa.RecordBatch.from_arrays([pa.array(raw, pa.binary())], ["raw"])
@@ -60,7 +59,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, *, rule: str | None =
             any_row = any_row or batch.num_rows > 0
             keys += [NO_KEY if k is None else k for k in batch.column(0).to_pylist()]
             for part in batches(batch.column(1).to_pylist()):
-                out = [np.frombuffer(raw, "<u4").astype(narrow).tobytes() for raw in enc.encode(part)]
+                out = enc.encode(part)
                 counts += [len(raw) // width + 1 for raw in out]  # with the end id
                 yield row(out)
         if any_row:
