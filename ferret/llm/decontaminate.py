@@ -4,9 +4,8 @@ Words are runs of letters and digits, lower-cased.  Fixed masks look at 12 words
 in a row and ignore some of them, so a substituted word spoils only the seeds
 that look at it.  Seeds of benchmark items and of documents are joined by their
 hash; a hit fixes a diagonal (document position minus item position), and there
-the overlap is verified: the best-scoring stretch (a match counts 1, a
-substitution -1) must hold at least ``least_matched`` equal words, at least
-``least_ratio`` of its length.
+the overlap is verified over all stretches: one must hold at least ``least_matched``
+equal words, at least ``least_ratio`` of its length.
 
 A document has a seed hash per word and mask, far too many to shuffle.  The
 benchmark's seeds set bits in a filter of fixed size (2 MB, whatever the benchmark;
@@ -23,6 +22,7 @@ empty result.
 from __future__ import annotations
 
 import re
+from fractions import Fraction
 from itertools import chain
 
 import numpy as np
@@ -77,14 +77,18 @@ def seed_hits(texts: list[str], flags: np.ndarray):
         yield k, hashes[begin:int(end[k])], seeds[mine].tolist(), (at[mine] - begin).tolist()
 
 
-def best_overlap(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
-    """Equal words and length of the best-scoring stretch of two aligned word sequences."""
-    same = (a == b).astype(np.int64)
-    total = np.concatenate([[0], np.cumsum(2 * same - 1)])
-    low = np.minimum.accumulate(total)
-    end = int(np.argmax(total - low))
-    start = int(np.argmax(total[:end + 1] == low[end]))
-    return int(same[start:end].sum()), end - start
+def best_overlap(a: np.ndarray, b: np.ndarray, least_ratio: float = LEAST_RATIO) -> tuple[int, int]:
+    """Equal words and length of the stretch of two aligned word sequences with most equal words among
+    all stretches in which they are at least ``least_ratio`` of the length."""
+    ratio = Fraction(str(least_ratio))
+    found = np.concatenate([[0], np.cumsum(a == b)])
+    # a stretch qualifies if its score is no smaller at its end than at its start
+    score = ratio.denominator * found - ratio.numerator * np.arange(len(found))
+    start = np.searchsorted(-np.minimum.accumulate(score), -score)  # the first place with no larger score
+    end = int(np.argmax(found - found[start]))
+    first = found[start[end]]
+    begin = int(np.searchsorted(found, first, "right")) - 1 if found[end] > first else end  # no mismatch leads
+    return int(found[end] - first), end - begin
 
 
 def benchmark_seeds(benchmark: DataFrame) -> DataFrame:
@@ -153,13 +157,13 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, *, least_matched: int =
         out = []
         for x, y in zip(a, b, strict=True):
             n = min(len(x), len(y)) // 8
-            out.append(best_overlap(np.frombuffer(x, np.uint64, n), np.frombuffer(y, np.uint64, n)))
+            out.append(best_overlap(np.frombuffer(x, np.uint64, n), np.frombuffer(y, np.uint64, n), least_ratio))
         return pd.DataFrame(out, columns=["n_matched", "n_span"])
 
     verify = verify.asNondeterministic()  # else a filter on its result would run it twice
     checked = lined.select("doc_id", "text_key", "item_id", "n_item", "doc_pos", verify("a", "b").alias("v"))
     checked = checked.select("doc_id", "text_key", "item_id", "n_item", "doc_pos", "v.*")
-    ok = (F.col("n_matched") >= least_matched) & (F.col("n_matched") >= least_ratio * F.col("n_span"))
+    ok = F.col("n_matched") >= least_matched
     best = F.max(F.struct("n_matched", (-F.col("doc_pos")).alias("neg"), "n_span")).alias("best")
     return (checked.where(ok).groupBy("doc_id", "text_key", "item_id").agg(F.max("n_item").alias("item_words"), best)
             .select("doc_id", "text_key", "item_id", F.col("best.n_matched").cast("long").alias("n_matched"),

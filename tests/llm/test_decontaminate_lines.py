@@ -85,6 +85,41 @@ def test_best_overlap():
     assert decontaminate.best_overlap(a[:0], b[:0]) == (0, 0)
 
 
+def brute_best(same, ratio=0.8):
+    """(equal words, length) over all stretches."""
+    n, best = len(same), (0, 0)
+    for i in range(n):
+        for j in range(i + 1, n + 1):
+            m = int(sum(same[i:j]))
+            if 10 * m >= round(10 * ratio) * (j - i):
+                best = max(best, (m, i - j))
+    return best[0], -best[1]
+
+
+def test_best_overlap_tries_all_stretches():
+    rng = np.random.default_rng(4)
+    for k in range(300):
+        same = rng.random(rng.integers(0, 40)) < (0.5, 0.7, 0.8, 0.9)[k % 4]
+        a = np.arange(len(same), dtype=np.uint64)
+        got = decontaminate.best_overlap(a, np.where(same, a, a + np.uint64(1000)))
+        want = brute_best(same)
+        assert got[0] == want[0] and 10 * got[0] >= 8 * got[1] and (got[0] == 0 or got[1] >= want[1])
+
+
+def test_long_runs_around_a_replaced_passage(spark):
+    rng = random.Random(12)
+    items = [prose(rng, n, 10 ** 6) for n in (52, 59, 160)]
+    texts = []
+    for item, (head, other) in zip(items, ((20, 12), (24, 13), (60, 40))):
+        words = item.split()
+        words[head:head + other] = [f"x{k}" for k in range(other)]
+        texts.append(" ".join(["before"] * 5 + words + ["after"] * 5))
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["n_matched"] for r in decontaminate.overlapping_documents(documents(spark, texts), bench).collect()}
+    assert got == {(0, 0): 20, (1, 1): 24, (2, 2): 60}
+    assert decontaminate.drop_contaminated(documents(spark, texts), bench).count() == 0
+
+
 # ---- operator 6 -----------------------------------------------------------
 
 def test_patience_aligns_in_order():
