@@ -40,7 +40,7 @@ def near_duplicates(spark, docs, sf_dir):
 
 
 def decontamination(spark, docs, sf_dir):
-    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"), short_items=True)
 
 
 def pack(spark, docs, sf_dir):

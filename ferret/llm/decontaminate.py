@@ -1,8 +1,11 @@
 """Operator 3: benchmark decontamination with spaced seeds.
 
-Words are runs of letters and digits, lower-cased.  Fixed masks look at 12 words
-in a row and ignore some of them, so a substituted word spoils only the seeds
-that look at it.  Seeds of benchmark items and of documents are joined by their
+Words are runs of letters and digits, lower-cased.  Fixed masks look at 6 of up to
+11 words in a row, so a substituted word spoils only the seeds that look at it.
+Every overlap that the verification accepts by default has a seed: a stretch with
+24 equal words or more splits into two of which one is accepted too, what is left
+has at most 5 mismatches, and the masks were chosen to hit all of those (the tests
+try each).  Seeds of benchmark items and of documents are joined by their
 hash; a hit fixes a diagonal (document position minus item position), and there
 the overlap is verified over all stretches: one must hold at least ``least_matched``
 equal words, at least ``least_ratio`` of its length.
@@ -12,8 +15,11 @@ benchmark's seeds set bits in a filter of fixed size (2 MB, whatever the benchma
 a larger one only lets more false candidates through to the join), and only
 document seeds that pass it, with the word hashes of their document, go on.
 
-Cases: null and empty texts and items have no seeds; items with fewer words
-than a mask spans hold too little evidence and match nothing; a hit at a
+Items with fewer than ``least_matched`` words can't reach it.  With ``short_items``
+they match where all their words stand in a row, found by one hash of the whole
+item; without, they match nothing.
+
+Cases: null and empty texts and items have no seeds; a hit at a
 document's edge is verified over the words that exist; repeated rows give one
 result; rows with a null doc_id are reported under null; empty tables give an
 empty result.
@@ -36,9 +42,10 @@ from ferret.llm.encoder import batches
 from ferret.llm.words import KNOWN, combined
 
 # 1: the word counts, 0: it is ignored
-MASKS = ("111111111111", "110110110111", "101011101101", "111001011011", "110101001111")
+MASKS = ("111111", "1111011", "11001000111", "11010100011")
 LEAST_MATCHED = 12
 LEAST_RATIO = 0.8
+WHOLE = 1000  # seeds of whole items of n words are numbered from here
 
 FIND = re.compile(r"[^\W_]+").findall
 
@@ -48,13 +55,15 @@ def word_hashes(text: str) -> np.ndarray:
     return KNOWN.of(words, len(words))
 
 
-def seeds_of(hashes: np.ndarray):
-    """Per mask, its span and the seed at each start."""
-    for seed, m in enumerate(MASKS):
+def seeds_of(hashes: np.ndarray, masks=MASKS, lengths=()):
+    """Per mask, and per length of a whole short item, its span and the seed at each start."""
+    for seed, m in enumerate(masks):
         yield len(m), combined(hashes, [k for k, c in enumerate(m) if c == "1"], seed)[:max(0, len(hashes) - len(m) + 1)]
+    for n in lengths:
+        yield n, combined(hashes, list(range(n)), WHOLE + n)
 
 
-def seed_hits(texts: list[str], flags: np.ndarray):
+def seed_hits(texts: list[str], flags: np.ndarray, lengths=()):
     """Yields (number of the text, its word hashes, passing seeds and where they start) for texts that have any.
 
     The texts' words stand in one array, so the arithmetic is done for all at once.
@@ -64,7 +73,7 @@ def seed_hits(texts: list[str], flags: np.ndarray):
     end = np.cumsum(sizes)
     hashes = KNOWN.of(chain.from_iterable(words), int(end[-1]) if len(end) else 0)
     at, of, seeds = [], [], []
-    for span, found in seeds_of(hashes):
+    for span, found in seeds_of(hashes, lengths=lengths):
         hit = passing(flags, found)
         text = np.searchsorted(end, hit, "right")
         inside = hit + span <= end[text]
@@ -91,14 +100,18 @@ def best_overlap(a: np.ndarray, b: np.ndarray, least_ratio: float = LEAST_RATIO)
     return int(found[end] - first), end - begin
 
 
-def benchmark_seeds(benchmark: DataFrame) -> DataFrame:
-    """item_id, the item's word hashes (packed), seed, and where the seed starts."""
+def benchmark_seeds(benchmark: DataFrame, whole_below: int = 0) -> DataFrame:
+    """item_id, the item's word hashes (packed), seed, and where the seed starts.
+
+    Items with fewer than ``whole_below`` words have one seed, of all their words.
+    """
     def make(rows):
         for batch in rows:
             cols = ([], [], [], [])
             for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 hashes = word_hashes(text)
-                for _, seeds in seeds_of(hashes):
+                whole = 0 < len(hashes) < whole_below
+                for _, seeds in seeds_of(hashes, () if whole else MASKS, (len(hashes),) if whole else ()):
                     for pos, s in enumerate(seeds.view(np.int64).tolist()):
                         for col, v in zip(cols, (item, hashes.tobytes(), s, pos), strict=True):
                             col.append(v)
@@ -110,7 +123,7 @@ def benchmark_seeds(benchmark: DataFrame) -> DataFrame:
     return items.mapInArrow(make, "item_id long, item_words binary, seed long, item_pos int")
 
 
-def candidates(docs: DataFrame, flags: np.ndarray) -> DataFrame:
+def candidates(docs: DataFrame, flags: np.ndarray, lengths=()) -> DataFrame:
     """Documents with a seed that passes the filter: id, text key, word hashes, and the passing seeds."""
     shared = docs.sparkSession.sparkContext.broadcast(flags)
 
@@ -120,7 +133,7 @@ def candidates(docs: DataFrame, flags: np.ndarray) -> DataFrame:
             docs_, keys, texts = (c.to_pylist() for c in batch.columns)
             out, first = [], 0
             for part in batches(texts):
-                for k, hashes, seeds, at in seed_hits(part, shared.value):
+                for k, hashes, seeds, at in seed_hits(part, shared.value, lengths):
                     hits = [{"pos": p, "seed": s} for p, s in zip(at, seeds, strict=True)]
                     out.append((docs_[first + k], keys[first + k], hashes.tobytes(), hits))
                 first += len(part)
@@ -133,10 +146,12 @@ def candidates(docs: DataFrame, flags: np.ndarray) -> DataFrame:
 
 
 def find_overlaps(docs: DataFrame, benchmark: DataFrame, *, least_matched: int = LEAST_MATCHED,
-                  least_ratio: float = LEAST_RATIO) -> DataFrame:
+                  least_ratio: float = LEAST_RATIO, short_items: bool = False) -> DataFrame:
     """One row per document and benchmark item that overlap: doc_id, text_key, item_id, n_matched, n_span, item_words, doc_pos."""
-    seeds = stored(benchmark_seeds(benchmark), "benchmark-seeds")
-    found = stored(candidates(docs, build_filter(seeds, "seed")), "seed-hits")
+    seeds = stored(benchmark_seeds(benchmark, least_matched if short_items else 0), "benchmark-seeds")
+    n_words = F.expr("octet_length(item_words) div 8").cast("int")
+    lengths = [r[0] for r in seeds.select(n_words.alias("n")).where(F.col("n") < least_matched).distinct().collect()] if short_items else []
+    found = stored(candidates(docs, build_filter(seeds, "seed"), lengths), "seed-hits")
     hits = found.select("doc_id", "text_key", F.explode(F.array_distinct("hits")).alias("hit")).select("doc_id", "text_key", "hit.*")
     where = (hits.join(seeds.select("seed", "item_id", "item_pos"), "seed")
              .groupBy("doc_id", "text_key", "item_id", (F.col("pos") - F.col("item_pos")).alias("diagonal")).agg(F.count("*").alias("n_seeds")))
@@ -163,7 +178,8 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, *, least_matched: int =
     verify = verify.asNondeterministic()  # else a filter on its result would run it twice
     checked = lined.select("doc_id", "text_key", "item_id", "n_item", "doc_pos", verify("a", "b").alias("v"))
     checked = checked.select("doc_id", "text_key", "item_id", "n_item", "doc_pos", "v.*")
-    ok = F.col("n_matched") >= least_matched
+    needed = F.least(F.lit(least_matched), F.col("n_item")) if short_items else F.lit(least_matched)
+    ok = F.col("n_matched") >= needed
     best = F.max(F.struct("n_matched", (-F.col("doc_pos")).alias("neg"), "n_span")).alias("best")
     return (checked.where(ok).groupBy("doc_id", "text_key", "item_id").agg(F.max("n_item").alias("item_words"), best)
             .select("doc_id", "text_key", "item_id", F.col("best.n_matched").cast("long").alias("n_matched"),

@@ -89,7 +89,7 @@ FROM q
 
 @query
 def op3_decontaminate(spark, sf_dir):
-    return decontaminate.overlapping_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.overlapping_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), short_items=True)
 
 
 @query

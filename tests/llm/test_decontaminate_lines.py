@@ -1,3 +1,4 @@
+import itertools
 import random
 
 import numpy as np
@@ -120,6 +121,38 @@ def test_long_runs_around_a_replaced_passage(spark):
     assert decontaminate.drop_contaminated(documents(spark, texts), bench).count() == 0
 
 
+def test_every_accepted_stretch_has_a_seed():
+    def seeded(same):
+        return any(all(same[k + i] for i, c in enumerate(m) if c == "1") for m in decontaminate.MASKS for k in range(len(same) - len(m) + 1))
+
+    # the shortest stretch with 12 or more equal words and ratio 0.8 for each number of mismatches; longer ones hold one of these
+    for n, other in ((12, 0), (13, 1), (14, 2), (15, 3), (20, 4), (25, 5)):
+        for gone in itertools.combinations(range(n), other):
+            assert seeded([k not in gone for k in range(n)]), (n, gone)
+    rng = np.random.default_rng(8)
+    tried = 0
+    for _ in range(3000):
+        same = rng.random(rng.integers(12, 45)) < 0.75
+        if brute_best(same)[0] >= 12:
+            tried += 1
+            assert seeded(same)
+    assert tried > 200
+
+
+def test_short_items_match_as_a_whole(spark):
+    rng = random.Random(13)
+    items = [prose(rng, n, 10 ** 6) for n in (1, 2, 5, 8, 11, 12)] + ["", None]
+    texts = [f"{prose(rng, 9, 10 ** 6)} {x} {prose(rng, 9, 10 ** 6)}" for x in items[:6]]
+    texts += [" ".join(x.split()[:-1] + ["other"]) for x in items[:5]] + [items[3].upper(), " ".join(items[3].split()[1:])]
+    docs, bench = documents(spark, texts), spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    want = {(d, i): len(x.split()) for d, t in enumerate(texts) for i, x in enumerate(items) if x
+            and f" {' '.join(x.lower().split())} " in f" {' '.join(t.lower().split())} "}
+    got = {(r["doc_id"], r["item_id"]): r["n_matched"] for r in decontaminate.overlapping_documents(docs, bench, short_items=True).collect()}
+    assert got == want and len(got) == 7
+    kept = decontaminate.drop_contaminated(docs, bench, short_items=True)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(range(len(texts))) - {d for d, _ in want})
+
+
 # ---- operator 6 -----------------------------------------------------------
 
 def test_patience_aligns_in_order():
