@@ -72,24 +72,68 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
     return sorted(pairs)
 
 
+def _shortest_runs(keys: list, words: list[int], least_words: int) -> list[tuple[int, int]]:
+    """(begin, end) of the shortest run with enough words from each line on, and up to each line."""
+    out, end, total = set(), 0, 0
+    for k in range(len(keys)):
+        while end < len(keys) and total < least_words:
+            total, end = total + words[end], end + 1
+        if total >= least_words:
+            out.add((k, end))
+        total -= words[k]
+    begin, total = 0, 0
+    for k in range(len(keys)):
+        total += words[k]
+        while total - words[begin] >= least_words:
+            total, begin = total - words[begin], begin + 1
+        if total >= least_words:
+            out.add((begin, k + 1))
+    return sorted(out)
+
+
 def common_blocks(a: list, b: list, words: list[int], least_words: int) -> list[int]:
     """Lines of ``b`` in runs that follow each other in both documents and have enough words.
 
-    Lines without a word (None) between two aligned lines don't end a run.
+    Lines without a word (None) between two lines don't end a run.  First come the
+    aligned runs, then those that are left.
     """
     # positions among the lines with words
+    at_b = [j for j, x in enumerate(b) if x is not None]
     order_a = {i: k for k, i in enumerate(i for i, x in enumerate(a) if x is not None)}
-    order_b = {j: k for k, j in enumerate(j for j, x in enumerate(b) if x is not None)}
-    out, run, last = [], [], None
+    order_b = {j: k for k, j in enumerate(at_b)}
+    out, run, last = set(), [], None
     for i, j in [*patience(a, b), (None, None)]:
         now = None if i is None else (order_a[i], order_b[j])
         if run and (now is None or now != (last[0] + 1, last[1] + 1)):
             if sum(words[k] for k in run) >= least_words:
-                out += run
+                out.update(run)
             run = []
         run.append(j)
         last = now
-    return out
+    # equal lines have equally many words, so a common run is cut into the same shortest runs in both
+    size = {b[j]: words[j] for j in at_b}
+    parts, stretch = [], []
+    for x in a:
+        if x is None:
+            continue
+        if x in size:
+            stretch.append(x)
+        elif stretch:
+            parts, stretch = [*parts, stretch], []
+    held = set()
+    for part in [*parts, stretch]:
+        held.update(tuple(part[i:j]) for i, j in _shortest_runs(part, [size[x] for x in part], least_words))
+    parts, stretch = [], []
+    for j in at_b:
+        if j not in out:
+            stretch.append(j)
+        elif stretch:
+            parts, stretch = [*parts, stretch], []
+    for part in [*parts, stretch]:
+        for i, j in _shortest_runs(part, [words[k] for k in part], least_words):
+            if tuple(b[k] for k in part[i:j]) in held:
+                out.update(part[i:j])
+    return sorted(out)
 
 
 def _normalised(line: Column) -> Column:

@@ -234,3 +234,13 @@ def test_line_alignment_edges(spark):
     assert [x[1] for x in got] == [text, text, "more of it here", text]
     assert line_alignment.delete_blocks(docs.limit(0)).count() == 0
     assert line_alignment.delete_blocks(docs).columns == [*docs.columns, "line_report"]
+
+
+def test_repeats_without_a_unique_line():
+    block = ["p", "q", "r"]
+    # held twice by the later text, moved, and without an anchor
+    assert common_blocks(block, [*block, "x", *block], [4] * 7, 10) == [0, 1, 2, 4, 5, 6]
+    assert common_blocks([*block, "x", "s", "t", "u"], ["s", "t", "u", "y", *block], [4] * 7, 10) == [0, 1, 2, 4, 5, 6]
+    assert common_blocks(["z", "p", "p", "q", "q", "z"], ["q", "p", "p", "q", "q", "p"], [4] * 6, 10) == [1, 2, 3, 4]
+    # the short last line of a run goes with it
+    assert common_blocks(["m", "n", "a", "m"], ["k", "m", "n", "l", "m", "n"], [9, 11, 1, 9, 11, 1], 10) == [1, 2, 4, 5]
