@@ -32,7 +32,7 @@ def quality(spark, docs, sf_dir):
 
 
 def line_dedup(spark, docs, sf_dir):
-    return line_alignment.delete_blocks(docs).select(*docs.columns)
+    return line_alignment.delete_blocks(docs, every_run=True).select(*docs.columns)
 
 
 def near_duplicates(spark, docs, sf_dir):

@@ -1,14 +1,21 @@
 """Operator 6: line dedup by pairwise alignment.
 
 Lines are normalised (letters lower-cased, white space collapsed) and hashed.
-Exact copies of a text are represented by the copy with the smallest id.  A line
-is rare when at least two and at most ``rare_share`` of the distinct texts (at
-least ``rare_least``) hold it; its owner is the earliest of them.  Every other holder
-is paired with the owner, so a line in n documents gives n - 1 pairs, never all.
+Exact copies of a text are represented by the copy with the smallest id.  Texts
+are paired by what they share; every later holder of it with its owner, the earliest,
+so a thing in n documents gives n - 1 pairs, never all.  With ``every_run`` the
+things are runs of lines with at least ``least_words`` words that follow each other:
+the shortest from each line on, and up to each line.  Any common block holds some,
+and none is too frequent to link.  Without it they are the rare lines, which at least
+two and at most ``rare_share`` of the distinct texts (at least ``rare_least``) hold;
+blocks of frequent lines only, or of lines owned by several texts, can then be missed.
+
 Each pair is aligned with patience diff over the line hashes of both documents;
-runs of aligned lines that are consecutive in both, with at least
-``least_words`` words, are common blocks and are deleted from the later document
-(that with the larger id).  A copy is aligned with the first as a whole.
+runs of aligned lines that are consecutive in both, with at least ``least_words``
+words, are common blocks and are deleted from the later document (that with the
+larger id).  What is left of it is searched for runs that the alignment can't reach
+(passages held twice, moved, or without a line that is unique in both).  A copy
+is aligned with the first as a whole.
 
 Cases: null and empty texts have no lines; lines without words neither link
 nor match, and stay unless the whole text goes; repeated rows (equal id and
@@ -21,15 +28,19 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferret.llm.common import WORD_SPACE, stored, text_of
+from ferret.llm.words import mixed
 
 RARE_SHARE = 0.05
 RARE_LEAST = 20
 LEAST_WORDS = 10
 LINK_WORDS = 3
+PAIRS = 256  # pairs of one owner that meet in one copy of its row
 _HAS_WORD = r"[^\x20\x09-\x0D]"
 
 
@@ -136,6 +147,62 @@ def common_blocks(a: list, b: list, words: list[int], least_words: int) -> list[
     return sorted(out)
 
 
+def _runs_of(of: np.ndarray, keys: np.ndarray, words: np.ndarray, least_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of lines of many texts (``of`` numbers the texts): per shortest run, its text and its hash.
+
+    The runs are those of ``_shortest_runs``; a line has a word at least, so a run has at most ``least_words`` lines.
+    """
+    n = len(keys)
+    size = np.zeros((2, n), np.int64)
+    hashes = np.zeros(n, np.uint64)
+    for way in (0, 1):  # from each line on, up to each line
+        total = np.zeros(n, np.int64)
+        live = np.arange(n)
+        for k in range(least_words):
+            at = live - k if way else live + k
+            inside = (at >= 0) & (at < n)
+            live, at = live[inside], at[inside]
+            same = of[at] == of[live]
+            live, at = live[same], at[same]
+            if way == 0:
+                hashes[live] = mixed(hashes[live] * np.uint64(0x9E3779B97F4A7C15) + keys[at])
+            total[live] += words[at]
+            full = total[live] >= least_words
+            size[way, live[full]] = k + 1
+            live = live[~full]
+            if not len(live):
+                break
+    ahead = np.flatnonzero(size[0])
+    # a run up to a line that isn't the shortest from its own first line on
+    back = np.flatnonzero(size[1])
+    begin = back - size[1, back] + 1
+    extra = size[0, begin] != size[1, back]
+    back, begin = back[extra], begin[extra]
+    h = np.zeros(len(back), np.uint64)
+    for k in range(int(size[1, back].max()) if len(back) else 0):
+        more = np.flatnonzero(size[1, back] > k)
+        h[more] = mixed(h[more] * np.uint64(0x9E3779B97F4A7C15) + keys[begin[more] + k])
+    return np.concatenate([of[ahead], of[back]]), np.concatenate([hashes[ahead], h])
+
+
+def run_table(lines: DataFrame, least_words: int) -> DataFrame:
+    """doc_id, text_key and the hash of each distinct shortest run of a text with enough words."""
+    def make(batches):
+        for batch in batches:
+            keys, words = batch.column(2), batch.column(3)
+            of = np.repeat(np.arange(batch.num_rows), pa.compute.fill_null(pa.compute.list_value_length(keys), 0).to_numpy(zero_copy_only=False))
+            flat = pa.compute.list_flatten(keys)
+            real = flat.is_valid().to_numpy(zero_copy_only=False)
+            flat = flat.fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64)[real]
+            texts, hashes = _runs_of(of[real], flat, pa.compute.list_flatten(words).to_numpy(zero_copy_only=False)[real], least_words)
+            rows = np.unique(np.stack([texts.astype(np.int64), hashes.view(np.int64)], axis=1), axis=0)
+            at = pa.array(rows[:, 0])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(rows[:, 1])],
+                                             ["doc_id", "text_key", "key"])
+
+    return lines.select("doc_id", "text_key", "keys", "words").mapInArrow(make, "doc_id long, text_key long, key long")
+
+
 def _normalised(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(line), WORD_SPACE, " "))
 
@@ -149,25 +216,33 @@ def line_table(docs: DataFrame) -> DataFrame:
                        F.transform("lines", lambda x: F.when(has(x), F.size(F.split(x, " "))).otherwise(0)).alias("words"))
 
 
-def removed_lines(docs: DataFrame, *, rare_share: float = RARE_SHARE, rare_least: int = RARE_LEAST,
+def removed_lines(docs: DataFrame, *, every_run: bool = False, rare_share: float = RARE_SHARE, rare_least: int = RARE_LEAST,
                   least_words: int = LEAST_WORDS, link_words: int = LINK_WORDS) -> DataFrame:
     """doc_id, text_key, the sorted indices of lines to delete and the number of documents they were aligned with."""
     lines = stored(line_table(docs).where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id", "text_key"]), "lines")
     firsts = lines.groupBy("text_key").agg(F.min("doc_id").alias("first"))
     firsts = stored(firsts, "first-texts")
-    n_texts = firsts.count()
     rows = lines.join(firsts, "text_key")
-    # lines of distinct texts; the longer ones link
-    held = (rows.where("doc_id = first")
-            .select("doc_id", "text_key", F.explode(F.array_distinct(F.arrays_zip("keys", "words"))).alias("x"))
-            .where((F.col("x.words") >= link_words)).select("doc_id", "text_key", F.col("x.keys").alias("key")))
-    rare = (held.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "text_key")).alias("owner"))
-            .where((F.col("n") > 1) & (F.col("n") <= max(rare_least, rare_share * n_texts))))
-    pairs = (held.join(rare, "key").where(F.col("doc_id") > F.col("owner.doc_id"))
-             .groupBy("doc_id", "text_key", F.col("owner.doc_id").alias("own_id"), F.col("owner.text_key").alias("own_key"))
-             .agg(F.count("*").alias("n_shared")))
-    earlier = lines.select(F.col("doc_id").alias("own_id"), F.col("text_key").alias("own_key"), F.col("keys").alias("own_keys"))
-    lined = pairs.join(earlier, ["own_id", "own_key"]).join(lines, ["doc_id", "text_key"])
+    # runs or lines of distinct texts link; of the lines only the longer ones
+    if every_run:
+        held, most = run_table(rows.where("doc_id = first"), least_words), F.lit(True)
+    else:
+        held = (rows.where("doc_id = first")
+                .select("doc_id", "text_key", F.explode(F.array_distinct(F.arrays_zip("keys", "words"))).alias("x"))
+                .where((F.col("x.words") >= link_words)).select("doc_id", "text_key", F.col("x.keys").alias("key")))
+        most = F.col("n") <= max(rare_least, rare_share * firsts.count())
+    shared = (held.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "text_key")).alias("owner"))
+              .where((F.col("n") > 1) & most).select("key", "owner"))
+    pairs = (held.join(shared, "key").where(F.col("doc_id") > F.col("owner.doc_id"))
+             .select("doc_id", "text_key", F.col("owner.doc_id").alias("own_id"), F.col("owner.text_key").alias("own_key")).distinct())
+    pairs = stored(pairs, "pairs")
+    # an owner of many pairs is dealt out: its row is copied once for every PAIRS of them
+    copies = pairs.groupBy("own_id", "own_key").agg(F.ceil(F.count("*") / PAIRS).cast("int").alias("copies"))
+    earlier = (lines.select(F.col("doc_id").alias("own_id"), F.col("text_key").alias("own_key"), F.col("keys").alias("own_keys"))
+               .join(copies, ["own_id", "own_key"]).withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).drop("copies"))
+    dealt = (pairs.join(copies, ["own_id", "own_key"])
+             .withColumn("copy", F.pmod(F.xxhash64("doc_id", "text_key"), F.col("copies")).cast("int")).drop("copies"))
+    lined = dealt.join(earlier, ["own_id", "own_key", "copy"]).join(lines, ["doc_id", "text_key"])
 
     @F.pandas_udf("array<int>")
     def align(own, keys, words):

@@ -236,6 +236,50 @@ def test_line_alignment_edges(spark):
     assert line_alignment.delete_blocks(docs).columns == [*docs.columns, "line_report"]
 
 
+def runs_left(texts, ids, gone, least_words=10):
+    """Documents with a whole run left that an earlier text holds, and those that lost a line which is in none."""
+    listed = {d: t.split("\n") for d, t in zip(ids, texts)}
+    missed, wrong = set(), set()
+    for d, mine in listed.items():
+        earlier = [x for e, x in listed.items() if e < d]
+        common = set()
+        for i in range(len(mine)):
+            for j in range(i + 1, len(mine) + 1):
+                if sum(len(x.split()) for x in mine[i:j]) >= least_words and any(mine[i:j] == x[q:q + j - i] for x in earlier for q in range(len(x))):
+                    common |= set(range(i, j))
+                    if not gone[d] & set(range(i, j)):
+                        missed.add(d)
+        if gone[d] - common:
+            wrong.add(d)
+    return missed, wrong
+
+
+def delete_every_run(spark, texts, ids):
+    return {r["doc_id"]: r["text"] for r in line_alignment.delete_blocks(documents(spark, texts, ids=ids), every_run=True).collect()}
+
+
+def test_frequent_lines_still_link(spark):
+    rng = random.Random(22)
+    group = prose(rng, 60, 10 ** 6)
+    # a third of the texts are near copies, and all their lines are in more than 20 texts
+    texts = [f"{prose(rng, 30, 10 ** 6)}\n{group}\n{prose(rng, 5, 10 ** 6)}" for _ in range(30)] + [prose(rng, 30, 10 ** 6) for _ in range(60)]
+    ids = list(range(len(texts)))
+    got = delete_every_run(spark, texts, ids)
+    assert got[0] == texts[0] and all(got[d] == texts[d] for d in range(30, 90))
+    assert all(got[d] == texts[d].replace(f"\n{group}\n", "\n") for d in range(1, 30))
+
+
+def test_no_repeated_run_is_left(spark):
+    rng = random.Random(23)
+    lines = [prose(rng, n, 10 ** 6).replace("\n", " ").strip() for n in (9, 9, 4, 4, 1, 1, 2, 12, 3, 6)]
+    texts = ["\n".join(rng.choice(lines) for _ in range(rng.randrange(1, 9))) for _ in range(50)]
+    ids = rng.sample(range(1000), len(texts))
+    rows = line_alignment.removed_lines(documents(spark, texts, ids=ids), every_run=True).collect()
+    gone = dict.fromkeys(ids, set()) | {r["doc_id"]: set(r["gone"]) for r in rows}
+    assert runs_left(texts, ids, gone) == (set(), set())
+    assert sum(map(bool, gone.values())) > 10
+
+
 def test_repeats_without_a_unique_line():
     block = ["p", "q", "r"]
     # held twice by the later text, moved, and without an anchor
