@@ -7,7 +7,7 @@ one's documents.  All but the last return the columns of ``documents``:
 1. quality rules: rejected documents go; lines above the limits go from the others.
 2. line dedup: common blocks go from the later of two documents.  A text that is
    a whole copy becomes empty; its row stays.
-3. n-gram Jaccard join: one document of each component stays.
+3. n-gram Jaccard join on shingles of 5 words at 0.8: one document of each component stays.
 4. benchmark decontamination: documents that overlap an item go.
 5. best-fit packing: one row per piece, with its sequence and place.
 
@@ -36,7 +36,7 @@ def line_dedup(spark, docs, sf_dir):
 
 
 def near_duplicates(spark, docs, sf_dir):
-    return jaccard_join.keep_one_each(docs)
+    return jaccard_join.keep_one_each(docs, size=5, percent=80)
 
 
 def decontamination(spark, docs, sf_dir):

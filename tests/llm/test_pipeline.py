@@ -50,3 +50,14 @@ def test_stages_keep_extra_columns_and_survive_edges(spark):
             assert stage(spark, frame, SF).columns == docs.columns, name
             stage(spark, frame, SF).collect()
         corpus_pipeline.STAGES[-1][1](spark, frame, SF).collect()
+
+
+def test_near_duplicates_take_five_words_at_four_fifths(spark):
+    words = [f"w{k}" for k in range(100)]
+    near = words.copy()
+    near[30] = near[70] = "other"  # 86 of 106 shingles of 5 words are shared; of 4 words 89 of 105, less than 0.85
+    texts = [" ".join(words), " ".join(near), " ".join(f"x{k}" for k in range(50))]
+    assert brute_components([0, 1, 2], texts)[1][1] == 1
+    parts = brute_components([0, 1, 2], texts, size=5, percent=80)
+    kept = dict(corpus_pipeline.STAGES)["ngram_jaccard_join"](spark, documents(spark, texts), SF)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(d for d in parts if parts[d][1] == d) == [0, 2]
