@@ -6,8 +6,8 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from ferret.llm import (decontaminate, id_store, jaccard_join, line_alignment, packing, pii, quality_rules,
-                        secret_scan, suffix_dedup, warc)
+from ferret.llm import (decontaminate, id_store, jaccard_join, line_alignment, packing, periodic_runs, piece_codec, pii,
+                        quality_rules, secret_scan, suffix_dedup, vector_codes, warc)
 from ferret.sources.tables import table
 
 QUERIES: dict = {}
@@ -15,6 +15,7 @@ ORACLE: dict[str, str] = {}
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 BYTE_TOKENIZER = "byte_bpe_50k.json"
+PIECE_MODEL = "piece_bpe_32k.model"
 
 
 def query(fn):
@@ -114,3 +115,20 @@ def op5_feistel_pseudonyms(spark, sf_dir):
 def op2_suffix_dedup(spark, sf_dir):
     out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), with_bytes=False)
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query
+def op11_vector_codes(spark, sf_dir):
+    codes = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    out = vector_codes.with_label_error(codes.rows).withColumnRenamed("key", "vec_id")
+    return out.select("vec_id", "code", "error", "label_error", F.lit(codes.digest()).alias("codebooks_sha256"))
+
+
+@query
+def op12_piece_codec(spark, sf_dir):
+    return piece_codec.describe_codes(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL))
+
+
+@query
+def op13_periodic_runs(spark, sf_dir):
+    return periodic_runs.describe_runs(table(spark, sf_dir, "documents"), plant=True)
