@@ -10,11 +10,13 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ferret.operators import power
 from ferret.operators.columns import is_missing, kinds, unpivot_values, nan_to_null
 from ferret.operators.rank import exact_quantiles, global_rank
+from ferret.session import checkpoint_dir
 
 # ----------------------------------------------------------------------------
 # imputation
@@ -162,120 +164,20 @@ class PowerFit:
     std: float | None = None
 
 
-def _lam_sql(lam) -> str:
-    return lam if isinstance(lam, str) else _num(lam)
-
-
-def yeo_johnson_var_sql(x: str, lam: str) -> str:
-    """Yeo-Johnson with a lambda that is itself a SQL expression (one per grid row)."""
-    pos = (f"CASE WHEN abs({lam}) < 1.0e-12 THEN ln({x} + 1.0e0) "
-           f"ELSE (power({x} + 1.0e0, {lam}) - 1.0e0) / {lam} END")
-    neg = (f"CASE WHEN abs({lam} - 2.0e0) < 1.0e-12 THEN -ln(1.0e0 - {x}) "
-           f"ELSE -(power(1.0e0 - {x}, 2.0e0 - {lam}) - 1.0e0) / (2.0e0 - {lam}) END")
-    return f"(CASE WHEN {x} IS NULL THEN NULL WHEN {x} >= 0 THEN {pos} ELSE {neg} END)"
-
-
-def boxcox_var_sql(x: str, lam: str) -> str:
-    body = f"CASE WHEN abs({lam}) < 1.0e-12 THEN ln({x}) ELSE (power({x}, {lam}) - 1.0e0) / {lam} END"
-    return f"(CASE WHEN {x} > 0 THEN {body} ELSE NULL END)"
-
-
-def _grid_llf(df: DataFrame, cols: list[str], centres: dict[str, float], step: float, half: int,
-              method: str) -> dict:
-    """Log-likelihood of every (column, lambda) pair in ONE aggregate.
-
-    The grid is rows, not expressions: every input row is exploded over the grid
-    index k and grouped by k, with lambda_c = centre_c + step * (k - half).  The
-    plan holds one variance per column whatever the grid size, and the partial
-    aggregation leaves one row per grid point per task to shuffle.
-    """
-    k = F.explode(F.sequence(F.lit(0), F.lit(2 * half))).alias("_k")
-    base = df.select(*[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(cols)], k)
-    fn = yeo_johnson_var_sql if method == "yeo-johnson" else boxcox_var_sql
-    aggs = []
-    for i, c in enumerate(cols):
-        x = f"`_x{i}`"
-        lam = f"({_num(centres[c])} + {_num(step)} * (`_k` - {half}))"
-        aggs.append(F.count(f"_x{i}").alias(f"n{i}"))
-        if method == "yeo-johnson":
-            aggs.append(F.expr(f"sum(CASE WHEN {x} >= 0 THEN ln(1.0e0 + {x}) ELSE -ln(1.0e0 - {x}) END)")
-                        .alias(f"s{i}"))
-        else:
-            aggs.append(F.expr(f"sum(CASE WHEN {x} > 0 THEN ln({x}) END)").alias(f"s{i}"))
-        aggs.append(F.expr(f"var_pop({fn(x, lam)})").alias(f"v{i}"))
-    rows = base.groupBy("_k").agg(*aggs).collect()
-    out = {c: [] for c in cols}
-    counts = {c: (rows[0][f"n{i}"], rows[0][f"s{i}"] or 0.0) for i, c in enumerate(cols)} if rows else {}
-    for r in rows:
-        for i, c in enumerate(cols):
-            lam = centres[c] + step * (r["_k"] - half)
-            n, s, v = r[f"n{i}"], r[f"s{i}"] or 0.0, r[f"v{i}"]
-            llf = -math.inf if (not n or v is None or not v > 0 or math.isinf(v)) else \
-                -n / 2.0 * math.log(v) + (lam - 1.0) * s
-            out[c].append((llf, lam))
-    return out, counts
-
-
-def fit_power(df: DataFrame, cols: list[str], method: str = "yeo-johnson",
-              lo: float = -4.0, hi: float = 4.0, steps: int = 17, rounds: int = 4,
+def fit_power(df: DataFrame, cols: list[str], method: str = "yeo-johnson", lo: float = -10.0, hi: float = 10.0,
               standardize: bool = True) -> dict[str, PowerFit]:
-    """Maximum-likelihood lambda per column by a grid refined ``rounds`` times.
+    """Maximum-likelihood lambda per column, to 1e-9, between ``lo`` and ``hi``.
 
-    Each round is ONE aggregate evaluating every column x lambda pair.  The
-    coarse grid has step 0.5 on [-4, 4]; each later round spans +-5 steps of a
-    finer grid around the best point (0.1, 0.01, 0.001), which covers the
-    previous round's half-step uncertainty; a parabolic step through the best
-    point and its neighbours finishes.
+    A handful of aggregates whatever the number of columns (``operators/power.py``);
+    mean and deviation come from the pass that confirmed the lambda.
     """
     if not cols:
         return {}
-    half = (steps - 1) // 2
-    step = (hi - lo) / (steps - 1)
-    centres = {c: (lo + hi) / 2.0 for c in cols}
-    best: dict[str, tuple[float, float]] = {}
-    for _ in range(rounds):
-        res, counts = _grid_llf(df, cols, centres, step, half, method)
-        for c in cols:
-            cand = max(res[c], key=lambda t: (t[0], -abs(t[1] - 1.0)))
-            if c not in best or cand[0] >= best[c][0]:
-                best[c] = cand
-        last = res
-        centres = {c: best[c][1] for c in cols}
-        step /= 5.0 if step > 0.25 else 10.0
-        half = 5
-    # parabola through the best grid point and its two neighbours; keep its vertex if better
-    verts = {}
-    for c in cols:
-        pts = sorted(last[c], key=lambda t: t[1])
-        j = max(range(len(pts)), key=lambda i: pts[i][0])
-        if 0 < j < len(pts) - 1 and all(math.isfinite(pts[i][0]) for i in (j - 1, j, j + 1)):
-            (fa, a), (fb, b), (fc, cc) = pts[j - 1], pts[j], pts[j + 1]
-            den = (b - a) * (fb - fc) - (b - cc) * (fb - fa)
-            if den != 0:
-                verts[c] = b - 0.5 * ((b - a) ** 2 * (fb - fc) - (b - cc) ** 2 * (fb - fa)) / den
-    fits = {c: PowerFit(lam=(best[c][1] if math.isfinite(best[c][0]) else 1.0), llf=best[c][0]) for c in cols}
-    # one last pass: likelihood at the vertex, and mean / std at both candidates
-    cands = {c: [fits[c].lam] + ([verts[c]] if c in verts else []) for c in cols}
-    fn = yeo_johnson_sql if method == "yeo-johnson" else boxcox_sql
-    aggs = []
-    for i, c in enumerate(cols):
-        for j, lam in enumerate(cands[c]):
-            t = fn(_q(c), lam)
-            aggs += [F.expr(f"var_pop({t})").alias(f"v{i}_{j}"), F.expr(f"avg({t})").alias(f"m{i}_{j}"),
-                     F.expr(f"stddev_pop({t})").alias(f"s{i}_{j}")]
-    r = df.agg(*aggs).collect()[0]
-    for i, c in enumerate(cols):
-        chosen = 0
-        if len(cands[c]) == 2 and math.isfinite(best[c][0]):
-            n, ssum = counts.get(c, (None, None))
-            v = r[f"v{i}_1"]
-            if n and v and v > 0:
-                llf = -n / 2.0 * math.log(v) + (cands[c][1] - 1.0) * ssum
-                if llf > fits[c].llf:
-                    fits[c] = PowerFit(cands[c][1], llf)
-                    chosen = 1
-        if standardize:
-            fits[c].mean, fits[c].std = r[f"m{i}_{chosen}"], r[f"s{i}_{chosen}"]
+    best, _ = power.maximise(df, cols, method, lo, hi)
+    fits = {c: PowerFit(p.lam, p.llf) for c, p in best.items()}
+    if standardize:
+        for c, p in best.items():
+            fits[c].mean, fits[c].std = p.mean, p.std
     return fits
 
 
@@ -302,7 +204,7 @@ def power_transform(col: str, fit: PowerFit, method: str = "yeo-johnson",
 
 
 def log_likelihood(df: DataFrame, col: str, lam: float, method: str = "yeo-johnson") -> float:
-    return _grid_llf(df, [col], {col: lam}, 0.0, 0, method)[0][col][0][0]
+    return power.evaluate(df, {col: [lam]}, method)[col][0].llf
 
 
 # ----------------------------------------------------------------------------
@@ -326,6 +228,24 @@ def reciprocal_transform(col: str) -> Column:
     return F.try_divide(F.lit(1.0), F.col(col)).alias(col + "_inverted")
 
 
+def transform_numerics(df: DataFrame, cols: list[str], fit_on: DataFrame | None = None) -> list[Column]:
+    """Every transform of every numeric column, lambdas fitted on ``fit_on`` (default: ``df`` itself).
+
+    ``<c>_log``, ``<c>_boxcox`` and ``<c>_inverted`` for columns whose values are all
+    positive, ``<c>_yeo`` for all of them; not standardised.
+    """
+    train = df if fit_on is None else fit_on
+    positive = positive_columns(train, cols)
+    yeo = fit_power(train, cols, standardize=False)
+    box = fit_power(train, positive, method="box-cox", standardize=False)
+    out = []
+    for c in cols:
+        if c in positive:
+            out += [log_transform(c), power_transform(c, box[c], "box-cox", False).alias(c + "_boxcox"), reciprocal_transform(c)]
+        out.append(power_transform(c, yeo[c], standardize=False).alias(c + "_yeo"))
+    return out
+
+
 def log1p_target(col: str, problem: str) -> Column:
     return F.log1p(F.col(col)).alias(col) if problem == "regression" else F.col(col)
 
@@ -363,7 +283,7 @@ class TargetEncoding:
 
 def fit_target_encoding(df: DataFrame, cols: list[str], target: str, min_samples_leaf: int = 1,
                         smoothing: float = 1.0, single_to_prior: bool = True,
-                        max_literal: int = 10_000, method: str = "sigmoid",
+                        max_literal: int = 32, method: str = "sigmoid",
                         prior: float | None = None) -> TargetEncoding:
     """Smoothed per-category target mean.
 
@@ -371,6 +291,8 @@ def fit_target_encoding(df: DataFrame, cols: list[str], target: str, min_samples
     and a category seen once gets the prior when ``single_to_prior``.
     ``method='additive'``: weight = count / (count + smoothing) (Spark's own encoder).
     encoding = prior * (1 - weight) + mean * weight.  Unseen categories get the prior.
+    Features with at most ``max_literal`` categories become a literal map (searched in order, hence
+    few); the others stay a table that ``apply_target_encoding`` joins, broadcast if measured to be small.
     """
     if prior is None:
         prior = df.agg(F.avg(target).alias("p")).collect()[0]["p"]
@@ -385,15 +307,16 @@ def fit_target_encoding(df: DataFrame, cols: list[str], target: str, min_samples
     enc = F.lit(prior) * (1.0 - w) + F.col("mean") * w
     if single_to_prior and method != "additive":
         enc = F.when(F.col("n") == 1, F.lit(prior)).otherwise(enc)
-    table = stats.select("feature", "value", "n", enc.alias("encoding")).cache()
-    sizes = {r["feature"]: r["c"] for r in table.groupBy("feature").agg(F.count(F.lit(1)).alias("c")).collect()}
-    te = TargetEncoding(prior, table)
-    small = [c for c in cols if sizes.get(c, 0) <= max_literal]
-    if small:
-        for r in table.where(F.col("feature").isin(small)).collect():
-            te.small.setdefault(r["feature"], {})[r["value"]] = r["encoding"]
-        for c in small:
-            te.small.setdefault(c, {})
+    te = TargetEncoding(prior, stats.select("feature", "value", "n", enc.alias("encoding")))
+    # categories are counted without being collected; only features with few of them are
+    place = F.row_number().over(Window.partitionBy("feature").orderBy("value"))
+    few = te.table.withColumn("_k", place).where(F.col("_k") <= max_literal + 1).collect() if max_literal else []
+    for r in few:
+        te.small.setdefault(r["feature"], {})[r["value"]] = r["encoding"]
+    te.small = {c: te.small.get(c, {}) for c in cols if max_literal and len(te.small.get(c, {})) <= max_literal}
+    if len(te.small) < len(cols):  # joined later, when the rows it was counted from may be gone from memory
+        checkpoint_dir(df.sparkSession)
+        te.table = te.table.checkpoint()
     return te
 
 

@@ -175,8 +175,10 @@ class CleaningPlan:
             hcols = numeric + [model.cat_name(c, "_te") for c in categoric]
             hb = C.fit_hbos(tr, hcols, self.hbos_bins, self.hbos_alpha, self.hbos_tol)
             model.hbos = hb
-            scored = tr.select(C.hbos_score(hb))
+            # one double a row: the passes of the quantile read it instead of transforming every row again
+            scored = tr.select(C.hbos_score(hb)).persist(StorageLevel.MEMORY_AND_DISK)
             hb.threshold = C.fit_hbos_threshold(scored, self.contamination)
+            scored.unpersist()
         train.unpersist()
         return model
 

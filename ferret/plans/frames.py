@@ -87,6 +87,17 @@ def orders_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def customers_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature columns of ``orders_frame`` per customer, without a label; customers without orders have nulls."""
+    o = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("k")).agg(
+        F.max("o_totalprice").alias("price"), F.max("o_orderpriority").alias("priority"))
+    c = _customer(spark, sf_dir)
+    return c.join(o, c.c_custkey == o.k, "left").select(
+        F.col("c_custkey").alias("row_id"), (F.col("c_custkey") * 7).alias("OrderId"), "price",
+        F.col("c_acctbal").alias("acctbal"), "priority", F.col("c_mktsegment").alias("segment"),
+        F.col("c_nationkey").alias("nationkey"), (F.col("c_custkey") % 600).alias("bucket"), F.lit(1.0).alias("const_col"))
+
+
 def model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``orders_frame`` + separable class ``sep`` + exact linear target ``y``."""
     o = table(spark, sf_dir, "orders")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ferret.operators import cleaning as C
+from ferret.operators.power import newton_sql, transform_sql
 from ferret.operators.split import hash32, hash32_sql
 from ferret.plans import frames
 from ferret.plans.cleaning_plan import CleaningPlan
@@ -17,6 +18,13 @@ CUT = int(0.75 * (1 << 32))
 TRAIN_SQL = f"tr AS (SELECT * FROM f WHERE {H} < {CUT})"
 
 
+_SPLIT_SQL = f"CASE WHEN {H} < {CUT} THEN 'train' ELSE 'valid' END AS split"
+
+
+def _split_name(key="row_id"):
+    return F.when(hash32(key, 42) < F.lit(CUT), "train").otherwise("valid").alias("split")
+
+
 def _train(df, key="row_id"):
     return df.where(hash32(key, 42) < F.lit(CUT))
 
@@ -81,12 +89,12 @@ def q_missing_indicator(spark, sf):
 
 @query("missing_indicator_fit", _cte(TRAIN_SQL) + "SELECT row_id, " + ", ".join(
     f"CAST({c} IS NULL AS INT) AS missing_{c}" for c in ("price", "acctbal", "priority", "segment"))
-       + f" FROM f WHERE {H} >= {CUT}")
+       + f", {_SPLIT_SQL} FROM f")
 def q_missing_indicator_fit(spark, sf):
+    """Flags of the columns with a null in train, for the rows of both splits."""
     f = _frame(spark, sf)
     flags = C.fit_missing_flags(_train(f), _FEATS)
-    valid = f.where(hash32("row_id", 42) >= F.lit(CUT))
-    return valid.select("row_id", *C.missing_flags(valid, flags))
+    return f.select("row_id", *C.missing_flags(f, flags), _split_name())
 
 
 # --- simple transforms ------------------------------------------------------------
@@ -126,18 +134,17 @@ TE_SQL = _cte(TRAIN_SQL, "pr AS (SELECT avg(label) AS p FROM tr)", f"st AS ({_TE
               "enc AS (SELECT feature, value, CASE WHEN n = 1 THEN p ELSE "
               "p * (1 - 1.0e0 / (1 + exp(-(n - 1) / 1.0e0))) + mean * (1.0e0 / (1 + exp(-(n - 1) / 1.0e0))) "
               "END AS encoding FROM st, pr)") + \
-    "SELECT f.row_id, " + ", ".join(f"coalesce(e{i}.encoding, p) AS {c}_te" for i, c in enumerate(_TE_COLS)) + \
+    f"SELECT f.row_id, {_SPLIT_SQL}, " + ", ".join(f"coalesce(e{i}.encoding, p) AS {c}_te" for i, c in enumerate(_TE_COLS)) + \
     " FROM f CROSS JOIN pr " + " ".join(
         f"LEFT JOIN enc e{i} ON e{i}.feature = '{c}' AND e{i}.value = CAST(f.{c} AS VARCHAR)"
-        for i, c in enumerate(_TE_COLS)) + f" WHERE {H} >= {CUT}"
+        for i, c in enumerate(_TE_COLS))
 
 
 @query("target_encode", TE_SQL)
 def q_target_encode(spark, sf):
     f = _frame(spark, sf)
     te = C.fit_target_encoding(_train(f), _TE_COLS, "label")
-    valid = f.where(hash32("row_id", 42) >= F.lit(CUT))
-    return C.apply_target_encoding(valid, te, _TE_COLS).select("row_id", *[c + "_te" for c in _TE_COLS])
+    return C.apply_target_encoding(f, te, _TE_COLS).select("row_id", _split_name(), *[c + "_te" for c in _TE_COLS])
 
 
 @query("target_encode_join", TE_SQL)
@@ -145,8 +152,7 @@ def q_target_encode_join(spark, sf):
     """Same as target_encode with the lookup forced through the size-checked join path."""
     f = _frame(spark, sf)
     te = C.fit_target_encoding(_train(f), _TE_COLS, "label", max_literal=0)
-    valid = f.where(hash32("row_id", 42) >= F.lit(CUT))
-    return C.apply_target_encoding(valid, te, _TE_COLS).select("row_id", *[c + "_te" for c in _TE_COLS])
+    return C.apply_target_encoding(f, te, _TE_COLS).select("row_id", _split_name(), *[c + "_te" for c in _TE_COLS])
 
 
 # --- HBOS on part (p_size, p_retailprice) ---------------------------------------------
@@ -228,22 +234,34 @@ def q_yeo_johnson(spark, sf):
     return c.select("c_custkey", F.round(C.power_transform("c_acctbal", fit["c_acctbal"]), 6).alias("c_acctbal"))
 
 
-@query("yeo_johnson_fit")
+def _fitted_sql(feature: str, x: str, source: str, method: str, steps: int = 12) -> str:
+    """Plain Newton steps in SQL: (feature, lam) of the likelihood's maximum."""
+    return f"(WITH {newton_sql(x, source, method, steps)} SELECT '{feature}' AS feature, lam FROM l{steps})"
+
+
+_YJ_FIT_SQL = " UNION ALL ".join(f"""SELECT feature, round(max(lam), 6) AS lambda,
+ round(-count(*) / 2.0e0 * ln(var_pop(t)) + (max(lam) - 1.0e0) * sum(CASE WHEN x < 0 THEN -ln(1.0e0 - x) ELSE ln(1.0e0 + x) END), 3) AS llf,
+ round(avg(t), 2) AS mean, round(stddev_pop(t), 2) AS std
+FROM (SELECT feature, lam, x, {transform_sql('x', 'lam', 'yeo-johnson')} AS t FROM (SELECT CAST({x} AS DOUBLE) AS x FROM {src}) d,
+      {_fitted_sql(x, x, src, 'yeo-johnson')} l) z GROUP BY feature"""
+                                 for x, src in (("value", "events"), ("c_acctbal", "customer")))
+
+
+@query("yeo_johnson_fit", _YJ_FIT_SQL)
 def q_yeo_johnson_fit(spark, sf):
-    """Fitted lambda by maximum likelihood (rows check; the tests compare likelihoods)."""
-    e = table(spark, sf, "events").select("value")
-    c = table(spark, sf, "customer").select("c_acctbal")
-    fe = C.fit_power(e, ["value"])
-    fc = C.fit_power(c, ["c_acctbal"])
-    rows = [(k, v.lam, v.llf, v.mean, v.std) for k, v in {**fe, **fc}.items()]
+    """Fitted lambda by maximum likelihood, its likelihood, and mean and deviation of the transformed values."""
+    both = table(spark, sf, "events").select("value").unionByName(table(spark, sf, "customer").select("c_acctbal"), allowMissingColumns=True)
+    fits = C.fit_power(both, ["value", "c_acctbal"])
+    rows = [(k, round(v.lam, 6), round(v.llf, 3), round(v.mean, 2), round(v.std, 2)) for k, v in fits.items()]
     return spark.createDataFrame(rows, "feature string, lambda double, llf double, mean double, std double")
 
 
-@query("yeo_johnson_target")
+@query("yeo_johnson_target", with_frame(f"""SELECT row_id, round((t - avg(t) OVER ()) / stddev_pop(t) OVER (), 5) AS y_yj
+FROM (SELECT row_id, {transform_sql('y', 'lam', 'yeo-johnson')} AS t FROM f, {_fitted_sql('y', 'y', 'f', 'yeo-johnson')} l) z""", "model"))
 def q_yeo_johnson_target(spark, sf):
     m = frames.model_frame(spark, sf).select("row_id", "y")
     fit = C.fit_power(m, ["y"])
-    return m.select("row_id", C.power_transform("y", fit["y"]).alias("y_yj"))
+    return m.select("row_id", F.round(C.power_transform("y", fit["y"]), 5).alias("y_yj"))
 
 
 _BC = C.boxcox_sql("value", 0.5)
@@ -255,25 +273,27 @@ def q_boxcox(spark, sf):
     return e.select("event_id", F.round(C.boxcox("value", 0.5), 6).alias("value_boxcox"))
 
 
-@query("boxcox_fit")
+@query("boxcox_fit", f"""SELECT event_id, round({transform_sql('value', 'lam', 'box-cox')}, 5) AS value_boxcox
+FROM events, {_fitted_sql('value', 'value', 'events', 'box-cox')} l""")
 def q_boxcox_fit(spark, sf):
     e = table(spark, sf, "events").select("event_id", "value")
     fit = C.fit_power(e, ["value"], method="box-cox", standardize=False)
-    return e.select("event_id", C.power_transform("value", fit["value"], "box-cox", False).alias("value_boxcox"))
+    return e.select("event_id", F.round(C.power_transform("value", fit["value"], "box-cox", False), 5).alias("value_boxcox"))
+
 
+_NUM_SQL = "(SELECT c_custkey, c_custkey + 1 AS nr, c_acctbal AS bal FROM customer)"  # positive values; values of both signs
 
-@query("transform_numerics", "SELECT p_partkey, "
-       + ", ".join(f"ln({c}) AS {c}_log, round({C.boxcox_sql(c, 0.5)}, 6) AS {c}_boxcox, "
-                   f"round({C.yeo_johnson_sql(c, 0.5)}, 6) AS {c}_yeo, 1.0e0 / {c} AS {c}_inverted"
-                   for c in ("p_size", "p_retailprice")) + " FROM part")
+
+@query("transform_numerics", f"""SELECT c_custkey, round(ln(nr), 5) AS nr_log,
+ round({transform_sql('nr', 'b.lam', 'box-cox')}, 5) AS nr_boxcox, round(1.0e0 / nr, 5) AS nr_inverted,
+ round({transform_sql('nr', 'k.lam', 'yeo-johnson')}, 5) AS nr_yeo, round({transform_sql('bal', 'a.lam', 'yeo-johnson')}, 3) AS bal_yeo
+FROM {_NUM_SQL} t, {_fitted_sql('b', 'nr', _NUM_SQL, 'box-cox')} b, {_fitted_sql('k', 'nr', _NUM_SQL, 'yeo-johnson')} k,
+ {_fitted_sql('a', 'bal', _NUM_SQL, 'yeo-johnson')} a""")
 def q_transform_numerics(spark, sf):
-    p = table(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice")
-    pos = C.positive_columns(p, ["p_size", "p_retailprice"])
-    cols = []
-    for c in pos:
-        cols += [C.log_transform(c), F.round(C.boxcox(c, 0.5), 6).alias(c + "_boxcox"),
-                 F.round(C.yeo_johnson(c, 0.5), 6).alias(c + "_yeo"), C.reciprocal_transform(c)]
-    return p.select("p_partkey", *cols)
+    """All transforms of two columns with fitted lambdas; only Yeo-Johnson takes values of both signs."""
+    c = table(spark, sf, "customer").select("c_custkey", (F.col("c_custkey") + 1).alias("nr"), F.col("c_acctbal").alias("bal"))
+    out = c.select("c_custkey", *C.transform_numerics(c, ["nr", "bal"]))
+    return out.select("c_custkey", *[F.round(n, 3 if n == "bal_yeo" else 5).alias(n) for n in out.columns[1:]])
 
 
 # --- assembled frames -------------------------------------------------------------------
@@ -313,5 +333,6 @@ def q_assemble_transformed(spark, sf):
 
 @query("score_new")
 def q_score_new(spark, sf):
-    f, sp, model = _plan_model(spark, sf)
-    return model.score_new(sp.where("split = 'valid'").drop("label"))
+    """A model of the orders frame applied to another, unlabelled table: one row per customer, some without orders."""
+    _, _, model = _plan_model(spark, sf)
+    return model.score_new(frames.customers_frame(spark, sf))

@@ -43,12 +43,12 @@ def _split(spark, sf):
     return d.where("is_train"), d.where("NOT is_train")
 
 
-def _registry_sql() -> str:
+def _registry_sql(problems=("classification", "regression"), columns="identifier, problem, model_type, params") -> str:
     """The registry rows as SQL text: fixed parameters literally, 1/n from the train count."""
     sentinel = 7  # 1/7 appears in no fixed parameter, so it marks where 1/n goes
     mark = repr(1.0 / sentinel)
     parts = []
-    for problem in ("classification", "regression"):
+    for problem in problems:
         for sp in Mo.default_specs(problem, sentinel):
             ident, _, mtype, params = sp.row()
             js = "{" + ",".join(f'"{k}":"{v}"' for k, v in sorted(params.items())) + "}"
@@ -57,7 +57,8 @@ def _registry_sql() -> str:
                 return "'" + text.replace(mark, "' || CAST(1.0e0 / n AS VARCHAR) || '") + "'"
             parts.append(f"SELECT {lit(ident)} AS identifier, '{problem}' AS problem, '{mtype}' AS model_type, "
                          f"{lit(js)} AS params FROM nn")
-    return MODEL_INPUTS_SQL + ", nn AS (SELECT count(*) AS n FROM tr)\n" + "\nUNION ALL ".join(parts)
+    rows = "\nUNION ALL ".join(parts)
+    return MODEL_INPUTS_SQL + f", nn AS (SELECT count(*) AS n FROM tr)\nSELECT {columns} FROM ({rows}) r"
 
 
 @query("model_registry", _registry_sql())
@@ -71,14 +72,7 @@ def q_model_registry(spark, sf):
                                                   F.to_json(ordered).alias("params"))
 
 
-@query("list_models", MODEL_INPUTS_SQL + """, nn AS (SELECT count(*) AS n FROM tr)
-SELECT 'linear_regression(regParam=0.0)' AS identifier
-UNION ALL SELECT 'ridge(regParam=' || CAST(1.0e0 / n AS VARCHAR) || ')' FROM nn
-UNION ALL SELECT 'elastic_net(elasticNetParam=0.5,regParam=1.0)'
-UNION ALL SELECT 'decision_tree(maxDepth=30,seed=42)'
-UNION ALL SELECT 'random_forest(maxDepth=10,numTrees=100,seed=42)'
-UNION ALL SELECT 'gradient_boosting(maxDepth=3,maxIter=100,seed=42,stepSize=0.1)'
-UNION ALL SELECT 'dummy_median()' UNION ALL SELECT 'dummy_mean()'""")
+@query("list_models", _registry_sql(("regression",), "identifier"))
 def q_list_models(spark, sf):
     tr, _ = _split(spark, sf)
     store = RunStore(spark)
