@@ -13,6 +13,8 @@ import json
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml import classification as C
 from pyspark.ml import regression as R
@@ -21,6 +23,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ferret.operators.boosting import SoftmaxBoosting, fit_softmax_boosting
 from ferret.operators.split import hash32
 
 FEATURES = "features"
@@ -28,7 +31,8 @@ CLASSIFIERS = ["decision_tree", "random_forest", "gradient_boosting", "logistic_
                "linear_svc", "ridge_classifier", "gaussian_nb"]
 REGRESSORS = ["linear_regression", "ridge", "elastic_net", "decision_tree", "random_forest",
               "gradient_boosting"]
-TWO_CLASS = ("gradient_boosting", "linear_svc", "ridge_classifier")  # one-vs-rest above two classes
+TWO_CLASS = ("gradient_boosting", "linear_svc", "ridge_classifier")  # above two classes: softmax boosting, one-vs-rest, one ridge a class
+MOST_CLASSES = 1000
 MAX_TREE_DEPTH = 30  # the deepest tree that Spark grows
 FOREST_DEPTH = 15
 DUMMY_CLASSIFIERS = ["dummy_most_frequent", "dummy_uniform", "dummy_stratified"]
@@ -190,6 +194,8 @@ class FittedModel:
     model: PipelineModel | None = None
     constant: float | None = None          # dummy regressors / most_frequent
     priors: list[tuple[float, float]] | None = None   # dummy classifiers (class, prior)
+    classes: list[float] | None = None     # label values in order; the models see their places
+    boosted: SoftmaxBoosting | None = None
 
 
 def fit_model(spec: ModelSpec, train: DataFrame, feature_cols: list[str], label: str) -> FittedModel:
@@ -197,25 +203,54 @@ def fit_model(spec: ModelSpec, train: DataFrame, feature_cols: list[str], label:
     if spec.name.startswith("dummy_"):
         return _fit_dummy(fm, train)
     data = train
-    classes = 2
-    if spec.custom is None and spec.problem == "classification" and spec.name in TWO_CLASS:
-        classes = int(train.agg(F.max(F.col(label).cast("double"))).collect()[0][0] or 0) + 1
+    if spec.custom is None and spec.problem == "classification":
+        fm.classes = label_values(train, label)
+        if spec.name == "gradient_boosting" and len(fm.classes) > 2:
+            p = spec.params
+            fm.boosted = fit_softmax_boosting(train, feature_cols, label, fm.classes, p.get("maxIter", 100), p.get("maxDepth", 3),
+                                              p.get("stepSize", 0.1))
+            return fm
+        data = train.withColumn(label, label_place(label, fm.classes))
+    classes = max(2, len(fm.classes or []))
     if spec.name == "ridge_classifier" and classes > 2:
-        return _fit_ridge_per_class(fm, train, classes)
+        return _fit_ridge_per_class(fm, data, classes)
     if spec.name == "ridge_classifier":
-        data = train.withColumn("_pm1", F.when(F.col(label) > 0, 1.0).otherwise(-1.0))
+        data = data.withColumn("_pm1", F.when(F.col(label) > 0, 1.0).otherwise(-1.0))
     label_std = 1.0
     if spec.custom is None and spec.name in LABEL_SCALED:
         lab = "_pm1" if spec.name == "ridge_classifier" else label
         label_std = data.agg(F.stddev_pop(F.col(lab).cast("double"))).collect()[0][0] or 1.0
     est = estimator(spec, label, label_std)
-    if classes > 2:
+    if classes > 2 and spec.name in TWO_CLASS:
         est = C.OneVsRest(classifier=est, featuresCol=FEATURES, labelCol=label)
     pipe = Pipeline(stages=[VectorAssembler(inputCols=feature_cols, outputCol=FEATURES, handleInvalid="keep"), est])
     fm.model = pipe.fit(data)
     return fm
 
 
+def label_values(df: DataFrame, label: str) -> list[float]:
+    """The values of a label column as numbers, ascending."""
+    rows = df.select(F.col(label).cast("double").alias("c")).where("c IS NOT NULL").distinct().limit(MOST_CLASSES + 1).collect()
+    if len(rows) > MOST_CLASSES:
+        raise ValueError(f"{label} has more than {MOST_CLASSES} values: not a class label")
+    return sorted(r["c"] for r in rows)
+
+
+def label_place(label: str, classes: list[float]):
+    """The place of a label among ``classes``: unchanged if they are 0, 1, ..."""
+    y = F.col(label).cast("double")
+    if classes == [float(k) for k in range(len(classes))]:
+        return y
+    return (F.array_position(F.array(*[F.lit(c) for c in classes]), y) - 1).cast("double")
+
+
+def label_at(place, classes: list[float] | None):
+    """The label value at a predicted place."""
+    if classes is None or classes == [float(k) for k in range(len(classes))]:
+        return place
+    return F.element_at(F.array(*[F.lit(c) for c in classes]), place.cast("int") + 1)
+
+
 def _fit_ridge_per_class(fm: FittedModel, train: DataFrame, classes: int) -> FittedModel:
     """One ridge regression per class on -1 / +1 labels; the class of the largest score wins."""
     data = train.select("*", *[F.when(F.col(fm.label) == k, 1.0).otherwise(-1.0).alias(f"_pm{k}") for k in range(classes)])
@@ -249,19 +284,35 @@ def predict(fm: FittedModel, df: DataFrame, key: str = "row_id") -> DataFrame:
     name, cls = fm.spec.name, fm.spec.problem == "classification"
     if name.startswith("dummy_"):
         return _predict_dummy(fm, df, key)
+    if fm.boosted is not None:
+        return _predict_boosted(fm, df, key)
     out = fm.model.transform(df)
     scores = len(fm.model.stages) - 1
     if name == "ridge_classifier" and scores > 1:
         each = F.array(*[F.col(f"_score{k}") for k in range(scores)])
         pred = (F.array_position(each, F.array_max(each)) - 1).cast("double")
-        return out.select(key, pred.alias("prediction"), F.lit(None).cast("double").alias("probability"))
+        return out.select(key, label_at(pred, fm.classes).alias("prediction"), F.lit(None).cast("double").alias("probability"))
     pred = F.col("prediction").cast("double")
     if name == "ridge_classifier":
         pred = F.when(F.col("prediction") > 0, 1.0).otherwise(0.0)
     prob = F.lit(None).cast("double")
     if cls and "probability" in out.columns:
-        prob = vector_to_array("probability")[1]
-    return out.select(key, pred.alias("prediction"), prob.alias("probability"))
+        prob = F.get(vector_to_array("probability"), F.lit(1))
+    return out.select(key, label_at(pred, fm.classes).alias("prediction"), prob.alias("probability"))
+
+
+def _predict_boosted(fm: FittedModel, df: DataFrame, key: str) -> DataFrame:
+    model, classes = fm.boosted, np.array(fm.classes)
+
+    def score(batches):
+        for batch in batches:
+            x = np.array(batch.column(1).flatten().to_numpy(zero_copy_only=False), np.float64).reshape(batch.num_rows, -1)
+            p = model.scores(x)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(classes[p.argmax(axis=1)]), pa.array(p[:, 1])],
+                                             [key, "prediction", "probability"])
+
+    rows = df.select(key, F.array(*[F.col(f"`{c}`").cast("double") for c in fm.feature_cols]).alias("x"))
+    return rows.mapInArrow(score, f"`{key}` {rows.schema[key].dataType.simpleString()}, prediction double, probability double")
 
 
 def _predict_dummy(fm: FittedModel, df: DataFrame, key: str) -> DataFrame:

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ferret.operators.rank import global_rank, running_totals
@@ -142,26 +142,7 @@ def ses_forecast(levels: DataFrame, key: str, horizon: int = 3) -> DataFrame:
                        F.col("level").alias("forecast"))
 
 
-def ses_optimised(df: DataFrame, key: str, order: str, tiebreak: str, y: str,
-                  coarse: float = 0.05, fine: float = 0.005) -> DataFrame:
-    """Per series, the alpha minimising the one-step squared error: a coarse grid, then a
-    finer grid around the best; every grid point is a key of one distributed scan."""
-    p = series_positions(df, key, order, tiebreak).cache()
-    longest = _longest(df, key)
-    top = 1.0 - fine  # the largest alpha either grid can hold (grid points stay below 1)
-
-    def sse(base: DataFrame, grid_col: Column) -> DataFrame:
-        g = base.withColumn("alpha", grid_col).where((F.col("alpha") > 0) & (F.col("alpha") < 1))
-        lv = ses_levels(g, [key, "alpha"], "pos", y, "alpha", top, longest)
-        e = F.col(y) - F.col("fitted")
-        return lv.groupBy(key, "alpha").agg(F.sum(e * e).alias("sse"))
-
-    n_coarse = int(round(1 / coarse)) - 1
-    first = sse(p, F.explode(F.array(*[F.lit(round(coarse * (i + 1), 10)) for i in range(n_coarse)]))).cache()
-    best = first.groupBy(key).agg(F.min_by("alpha", F.struct("sse", "alpha")).alias("a0"))
-    steps = int(round(coarse / fine))
-    offs = F.array(*[F.lit(round(fine * k, 10)) for k in range(-steps, steps + 1)])
-    second = sse(p.join(best, key), F.explode(F.transform(offs, lambda o: F.round(F.col("a0") + o, 10))))
-    both = first.unionByName(second)
-    out = both.groupBy(key).agg(F.min_by(F.struct("alpha", "sse"), F.struct("sse", "alpha")).alias("b"))
-    return out.select(key, F.col("b.alpha").alias("alpha"), F.col("b.sse").alias("sse"))
+def ses_optimised(df: DataFrame, key: str, order: str, tiebreak: str, y: str) -> DataFrame:
+    """Per series, the alpha that minimises the squared one-step error, and that error (see ``smoothing.py``)."""
+    from ferret.operators.smoothing import best_alpha
+    return best_alpha(df, key, order, tiebreak, y)

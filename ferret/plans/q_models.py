@@ -140,6 +140,14 @@ for _name in ["decision_tree", "random_forest", "gradient_boosting"]:
     query(_name + "_regressor")(_estimator_query(_name, "regression"))
 
 
+@query("gradient_boosting_multiclass")
+def q_gradient_boosting_multiclass(spark, sf):
+    """Softmax boosting of a three-class label: predictions of the valid rows (20 rounds)."""
+    tr, va = [d.withColumn("size", F.when(F.col("y") < 200, 0).when(F.col("y") < 500, 1).otherwise(2)) for d in _split(spark, sf)]
+    spec = Mo.ModelSpec("gradient_boosting", "classification", {"maxIter": 20, "maxDepth": 3, "stepSize": 0.1})
+    return Mo.predict(Mo.fit_model(spec, tr, FEATS, "size"), va)
+
+
 def normal_eq_sql(lam: str, target: str = "y") -> str:
     """Least squares with an L2 penalty ``lam`` on the centred, population-scaled normal
     equations (Sxx + lam I) w = Sxy, solved by Cramer's rule; CTE ``coef`` holds the result."""

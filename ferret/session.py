@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at scale as much as locally: adaptive re-planning,
 # skew-join splitting, UTC timestamps, no UI server.
@@ -63,6 +64,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write ``df`` once to a new table in the shared folder and read it back: cuts lineage with a single execution.
+
+    Returns the table and its path, for ``remove`` when it is no longer read.
+    """
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/ferret-state/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a path through the file system that holds it."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def run_root(spark: SparkSession) -> str:
     """Root folder for stored run tables (``ferret.run.dir`` or under the checkpoint dir)."""
     named = spark.conf.get("ferret.run.dir", None)

@@ -11,6 +11,7 @@ from ferret.operators import power
 
 
 def transformed(x, lam, method):
+    lam = 0 if abs(lam) < 1e-9 else lam
     if method == "box-cox":
         return np.log(x) if lam == 0 else (x ** lam - 1) / lam
     out = np.empty_like(x)
@@ -23,7 +24,8 @@ def transformed(x, lam, method):
 
 def llf(x, lam, method):
     jac = np.log(x).sum() if method == "box-cox" else (np.sign(x) * np.log1p(np.abs(x))).sum()
-    return -len(x) / 2 * math.log(transformed(x, lam, method).var()) + (lam - 1) * jac
+    var = transformed(x, lam, method).var()
+    return -len(x) / 2 * math.log(var) + (lam - 1) * jac if 0 < var < math.inf else -math.inf
 
 
 def best_by_search(x, method, lo=-10.0, hi=10.0):
@@ -50,7 +52,7 @@ def test_yeo_johnson_equals_a_search(spark, columns):
     assert passes <= 10
     for c in names:
         x = np.array(columns[c])
-        assert found[c].lam == pytest.approx(best_by_search(x, "yeo-johnson"), abs=2e-6)  # the search sees the likelihood only
+        assert found[c].lam == pytest.approx(best_by_search(x, "yeo-johnson"), abs=3e-5)  # the search sees the likelihood only
         assert found[c].llf == pytest.approx(llf(x, found[c].lam, "yeo-johnson"), rel=1e-10, abs=1e-7)
         t = transformed(x, found[c].lam, "yeo-johnson")
         assert found[c].mean == pytest.approx(t.mean(), rel=1e-9) and found[c].std == pytest.approx(t.std(), rel=1e-9)
@@ -60,7 +62,7 @@ def test_box_cox_skips_what_is_not_positive(spark, columns):
     x = columns["skewed"]
     df = spark.createDataFrame([(v,) for v in [*x, 0.0, -1.0, None, float("nan")]], "x double")
     fit = C.fit_power(df, ["x"], method="box-cox")["x"]
-    assert fit.lam == pytest.approx(best_by_search(np.array(x), "box-cox"), abs=2e-6)
+    assert fit.lam == pytest.approx(best_by_search(np.array(x), "box-cox"), abs=3e-5)
 
 
 def test_series_joins_the_closed_form():
