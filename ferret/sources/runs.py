@@ -9,8 +9,9 @@ Catalog tables per run:
 * ``predictions(identifier, dataset, row_id, prediction, probability)``
 * ``scores(identifier, dataset, score)``
 
-Writes are whole-table overwrites or appends of new files, so a retried task
-never leaves a half-written table visible.
+Every table is a ``VersionedTable``: writers commit numbered manifests, so concurrent
+writers lose no row, readers always find a whole table, and a job cut off at any
+step leaves the table as it was.
 """
 
 from __future__ import annotations
@@ -19,8 +20,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ferret.session import run_root
+from ferret.sources.manifest import VersionedTable
 
 SCHEMAS = {
     "data_tables": "table_name string, n_columns int",
@@ -45,50 +48,28 @@ class RunStore:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def versioned(self, name: str) -> VersionedTable:
+        return VersionedTable(self.spark, self.path(name))
+
     # -- creation / deletion ------------------------------------------------
     def create_run_tables(self, overwrite: bool = True) -> list[str]:
         for name, ddl in SCHEMAS.items():
             if overwrite or not self.exists(name):
-                self.spark.createDataFrame([], ddl).write.mode("overwrite").parquet(self.path(name))
+                self.versioned(name).create(T.StructType.fromDDL(ddl))
         return list(SCHEMAS)
 
-    def _fs(self, p: str):
-        jvm = self.spark.sparkContext._jvm
-        jp = jvm.org.apache.hadoop.fs.Path(p)
-        return jp.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jp
-
     def exists(self, name: str) -> bool:
-        fs, p = self._fs(self.path(name))
-        return fs.exists(p)
+        return self.versioned(name).exists()
 
     def drop_table(self, name: str) -> None:
-        """``DROP TABLE IF EXISTS``: removes the table folder and its registry row."""
-        fs, p = self._fs(self.path(name))
-        if fs.exists(p):
-            fs.delete(p, True)
+        """``DROP TABLE IF EXISTS``: no longer registered, then gone."""
         if name != "data_tables" and self.exists("data_tables"):
-            left = self.table("data_tables").where(F.col("table_name") != name)
-            self._rewrite("data_tables", left)
-
-    def _rewrite(self, name: str, df: DataFrame) -> None:
-        # the new table is whole before the old one goes; ``table`` picks it up if the swap was cut off
-        after = self.path(name) + ".next"
-        df.write.mode("overwrite").parquet(after)
-        self._swap(name)
-
-    def _swap(self, name: str) -> None:
-        fs, old = self._fs(self.path(name))
-        _, new = self._fs(self.path(name) + ".next")
-        if fs.exists(old):
-            fs.delete(old, True)
-        fs.rename(new, old)
+            self.versioned("data_tables").transact(lambda now: now.where(F.col("table_name") != name))
+        self.versioned(name).drop()
 
     # -- reads ---------------------------------------------------------------
     def table(self, name: str) -> DataFrame:
-        fs, p = self._fs(self.path(name))
-        if not fs.exists(p) and fs.exists(self._fs(self.path(name) + ".next")[1]):
-            self._swap(name)
-        return self.spark.read.parquet(self.path(name))
+        return self.versioned(name).read()
 
     def load_dfs(self, names=("untransformed", "imputed", "transformed", "train_target",
                               "valid_target")) -> dict[str, DataFrame]:
@@ -98,28 +79,29 @@ class RunStore:
     def sink_table(self, name: str, df: DataFrame) -> DataFrame:
         """Replace table contents (helper ``index`` column dropped) and register it."""
         df = df.drop("index")
-        df.write.mode("overwrite").parquet(self.path(name))
-        reg = self.spark.createDataFrame([(name, len(df.columns))], SCHEMAS["data_tables"])
-        if self.exists("data_tables"):
-            keep = self.table("data_tables").where(F.col("table_name") != name).unionByName(reg)
-            self._rewrite("data_tables", keep)
-        else:
-            reg.write.mode("overwrite").parquet(self.path("data_tables"))
+        self.versioned(name).overwrite(df)
+        entry = self.spark.createDataFrame([(name, len(df.columns))], SCHEMAS["data_tables"])
+        self.versioned("data_tables").transact(
+            lambda now: entry if now is None else now.where(F.col("table_name") != name).unionByName(entry))
         return self.table(name)
 
     def sink_rows(self, name: str, df: DataFrame) -> None:
-        """Bulk insert (append new files)."""
-        df.write.mode("append").parquet(self.path(name))
+        """Bulk insert (a new folder of files, added by one commit)."""
+        self.versioned(name).append(df)
 
     def append_row(self, name: str, df: DataFrame) -> None:
-        cols = self.table(name).columns if self.exists(name) else df.columns
-        self.sink_rows(name, df.select(*cols))
+        self.sink_rows(name, df)
 
     def upsert_model(self, specs: DataFrame) -> DataFrame:
-        """REPLACE INTO models keyed by identifier: append a new version, read latest."""
-        nxt = self.table("models").agg(F.coalesce(F.max("version"), F.lit(0)).alias("v")).collect()[0]["v"] + 1
-        self.sink_rows("models", specs.withColumn("version", F.lit(nxt).cast("bigint"))
-                       .select("identifier", "model_type", "params", "version"))
+        """REPLACE INTO models keyed by identifier: append a new version, read latest.
+
+        The version is one above the highest of the state that the rows are committed to.
+        """
+        def numbered(now):
+            nxt = now.agg(F.coalesce(F.max("version"), F.lit(0)).alias("v")).collect()[0]["v"] + 1
+            return specs.withColumn("version", F.lit(nxt).cast("bigint"))
+
+        self.versioned("models").append_computed(numbered)
         return self.models()
 
     def models(self) -> DataFrame:
