@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from ferret.llm.bits import build_filter, passing
 from ferret.llm.common import stored, text_of
 from ferret.llm.encoder import batches
-from ferret.llm.words import KNOWN, combined
+from ferret.llm.words import KNOWN, combined, forgetting
 
 # 1: the word counts, 0: it is ignored
 MASKS = ("111111", "1111011", "11001000111", "11010100011")
@@ -120,7 +120,7 @@ def benchmark_seeds(benchmark: DataFrame, whole_below: int = 0) -> DataFrame:
                 ["item_id", "item_words", "seed", "item_pos"])
 
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_of().alias("text"))
-    return items.mapInArrow(make, "item_id long, item_words binary, seed long, item_pos int")
+    return items.mapInArrow(forgetting(make), "item_id long, item_words binary, seed long, item_pos int")
 
 
 def candidates(docs: DataFrame, flags: np.ndarray, lengths=()) -> DataFrame:
@@ -142,7 +142,7 @@ def candidates(docs: DataFrame, flags: np.ndarray, lengths=()) -> DataFrame:
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("text_key"),
                        text_of().alias("text"))
-    return rows.mapInArrow(scan, "doc_id long, text_key long, words binary, hits array<struct<pos:int,seed:bigint>>")
+    return rows.mapInArrow(forgetting(scan), "doc_id long, text_key long, words binary, hits array<struct<pos:int,seed:bigint>>")
 
 
 def find_overlaps(docs: DataFrame, benchmark: DataFrame, *, least_matched: int = LEAST_MATCHED,

@@ -45,7 +45,7 @@ from ferret.llm.bits import build_filter, passing
 from ferret.llm.common import stored, text_of
 from ferret.llm.encoder import batches
 from ferret.llm.graph import connected_components
-from ferret.llm.words import WordHashes, combined
+from ferret.llm.words import WordHashes, combined, forgetting
 
 SHINGLE = 4
 PERCENT = 85
@@ -139,7 +139,7 @@ def frequent_shingles(docs: DataFrame, *, size: int, percent: int, often: int =
                 flat = [prefix(s, percent) for s in shingle_sets(part, size) if len(s)]
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*flat, np.zeros(0, np.uint64)]).view(np.int64))], ["h"])
 
-    counts = stored(_texts(docs).select("text").mapInArrow(make, "h long").groupBy("h").agg(F.count("*").alias("n"))
+    counts = stored(_texts(docs).select("text").mapInArrow(forgetting(make, KNOWN), "h long").groupBy("h").agg(F.count("*").alias("n"))
                     .where(F.col("n") > often), "prefix-counts")
     rows = counts.agg(F.sum("n")).first()[0] or 0
     found = counts.where(F.col("n") > rows / most).select("h").toPandas()["h"].to_numpy(np.int64)
@@ -163,7 +163,7 @@ def document_sets(docs: DataFrame, frequent: np.ndarray, *, size: int = SHINGLE,
                     ["doc_id", "n", "class", "prefix", "bits"])
                 first += len(part)
 
-    return _texts(docs).mapInArrow(make, SETS)
+    return _texts(docs).mapInArrow(forgetting(make, KNOWN), SETS)
 
 
 # ---- signature trees ------------------------------------------------------
@@ -373,7 +373,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int,
                 first += len(part)
 
     rows = _texts(docs).where(F.col("doc_id").isNotNull())
-    rows = rows.select("doc_id", F.xxhash64("doc_id").alias("h"), "text").mapInArrow(make, "doc_id long, class long, set binary")
+    rows = rows.select("doc_id", F.xxhash64("doc_id").alias("h"), "text").mapInArrow(forgetting(make, KNOWN), "doc_id long, class long, set binary")
     sets = (rows.join(wanted, (rows["class"] == wanted["class"]) & (rows["doc_id"] == wanted["first"]), "left_semi")
             .dropDuplicates(["class"]).select("class", "set"))
     sets = stored(sets, "class-sets")

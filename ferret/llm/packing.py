@@ -47,6 +47,12 @@ def encode_pieces(docs: DataFrame, tokenizer: str, *, capacity: int = 4096, end_
 
     def encode(rows):
         enc = encoder(tokenizer, rule)
+        try:
+            yield from pieces(rows, enc)
+        finally:
+            enc.forget()
+
+    def pieces(rows, enc):
         for batch in rows:
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             cols = ([], [], [], [], [], [])

@@ -3,16 +3,21 @@
 Base rules count words, symbols, repeated lines and repeated 8-word windows per
 text.  The method then looks across documents: every line is normalised (letters
 lower-cased, white space collapsed) and hashed, and the distinct documents of a
-host that hold it are counted.  Lines held by more than ``line_share`` of the
-host's documents (and by at least ``least_docs``) are boilerplate and are removed; a document
-whose remaining words are fewer than ``least_words``, or less than ``least_kept``
-of what it had, is rejected.  Documents are distinct by their text: a
-thousand exact copies count once, so copies don't make their own lines
-boilerplate (removing copies is another operator's work).
+host that hold it are counted.  A line is boilerplate if at least ``least_docs`` of the
+host's documents hold it and either more than ``line_share`` of them or more than
+``most_docs`` at all: on a huge host the count alone decides.  Boilerplate is removed
+from all documents of the host but the first that holds it (the smallest id), so
+no line vanishes altogether; a document whose remaining words are fewer than
+``least_words``, or less than ``least_kept`` of what it had, is rejected.  Documents
+are distinct by their text: a thousand exact copies count once, and copies of
+a line's first holder keep it like the holder.  Of a large group of near copies the
+first holders stay whole.
 
 Windows and lines are compared by 64-bit hashes.  Per-document work stays in
 its row; only (host, line hash, text hash) triples are shuffled, so a hot host
-or line is spread over many tasks before its count meets.
+or line is spread over many tasks before its count meets.  What each document
+loses is written to a scratch table first, so the planner knows its size when it
+joins whole rows with it: they move only if the losses are large.
 
 Cases: a null or empty text has no words and fails the base rule; null hosts
 are one host; repeated rows get the same verdict each; a null id is kept as a
@@ -24,14 +29,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferret.llm.common import WORD_SPACE, text_of
+from ferret.llm.common import WORD_SPACE, stored, text_of
 
 WINDOW = 8
 SYMBOLS = r"[#*$%&|<>]"  # fixed by the rule
 LEAST_WORDS = 20
 REPEAT_PERCENT = 30
-LINE_SHARE = 0.2
+LINE_SHARE = 0.05
 LEAST_DOCS = 20
+MOST_DOCS = 10_000
 LEAST_KEPT = 0.3
 
 _HAS_WORD = r"[^\x20\x09-\x0D]"
@@ -94,32 +100,39 @@ def measure(docs: DataFrame) -> DataFrame:
     return step.select(*held, F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"))
 
 
-def frequent_lines(docs: DataFrame, *, line_share: float = LINE_SHARE, least_docs: int = LEAST_DOCS) -> DataFrame:
-    """host, line_key, n_docs of the lines above the limits."""
+def _host_lines(docs: DataFrame) -> DataFrame:
+    """host, line_key, text_key and the smallest doc_id of every line of each distinct text."""
     rows = _keyed(docs)
-    hosts = rows.select("host", "text_key").distinct().groupBy("host").agg(F.count("*").alias("host_docs"))
-    counts = (rows.select("host", "text_key", F.explode(F.transform(
-        _lines_with_words(F.col("text")), lambda x: F.xxhash64(_normalised(x)))).alias("line_key"))
-        .distinct().groupBy("host", "line_key").agg(F.count("*").alias("n_docs")).where(F.col("n_docs") >= least_docs))
+    return rows.select("host", "text_key", "doc_id", F.explode(F.array_distinct(F.transform(
+        _lines_with_words(F.col("text")), lambda x: F.xxhash64(_normalised(x))))).alias("line_key")).groupBy(
+        "host", "line_key", "text_key").agg(F.min("doc_id").alias("doc_id"))
+
+
+def frequent_lines(docs: DataFrame, *, line_share: float = LINE_SHARE, least_docs: int = LEAST_DOCS,
+                   most_docs: int = MOST_DOCS) -> DataFrame:
+    """host, line_key, n_docs, holder (hash of the text that keeps it) of the lines above the limits."""
+    hosts = (_keyed(docs).select("host", "text_key").distinct().groupBy("host").agg(F.count("*").alias("host_docs")))
+    counts = (_host_lines(docs).groupBy("host", "line_key")
+              .agg(F.count("*").alias("n_docs"), F.min(F.struct("doc_id", "text_key"))["text_key"].alias("holder"))
+              .where(F.col("n_docs") >= least_docs))
     return (counts.join(hosts, counts["host"].eqNullSafe(hosts["host"]))
-            .where(F.col("n_docs") > F.col("host_docs") * line_share)
-            .select(counts["host"], "line_key", "n_docs"))
+            .where((F.col("n_docs") > F.col("host_docs") * line_share) | (F.col("n_docs") > most_docs))
+            .select(counts["host"], "line_key", "n_docs", "holder"))
 
 
-def judge(docs: DataFrame, *, line_share: float = LINE_SHARE, least_docs: int = LEAST_DOCS,
+def judge(docs: DataFrame, *, line_share: float = LINE_SHARE, least_docs: int = LEAST_DOCS, most_docs: int = MOST_DOCS,
           least_words: int = LEAST_WORDS, least_kept: float = LEAST_KEPT) -> DataFrame:
     """Every row with its measures, the lines it loses, and both verdicts."""
-    rows = _keyed(docs)
-    often = frequent_lines(docs, line_share=line_share, least_docs=least_docs)
-    lines = rows.select("doc_id", "host", "text_key", F.explode(F.array_distinct(F.transform(
+    often = stored(frequent_lines(docs, line_share=line_share, least_docs=least_docs, most_docs=most_docs), "often")
+    lines = _keyed(docs).select("host", "text_key", F.explode(F.array_distinct(F.transform(
         _lines_with_words(F.col("text")), lambda x: F.xxhash64(_normalised(x))))).alias("line_key"))
-    # the frequent lines are few; the planner broadcasts them when their size allows and splits hot keys otherwise
-    lost = (lines.join(often, lines["host"].eqNullSafe(often["host"]) & (lines["line_key"] == often["line_key"]))
-            .groupBy("doc_id", lines["host"].alias("host"), "text_key")
-            .agg(F.collect_set(lines["line_key"]).alias("lost_lines")))
+    # few lines are frequent: the planner broadcasts them when their size allows and splits hot keys otherwise
+    lost = stored(lines.join(often, lines["host"].eqNullSafe(often["host"]) & (lines["line_key"] == often["line_key"])
+                             & (lines["text_key"] != often["holder"]))
+                  .groupBy(lines["host"].alias("host"), "text_key")
+                  .agg(F.collect_set(lines["line_key"]).alias("lost_lines")), "lost")
     m = measure(docs)
-    same = (m["doc_id"].eqNullSafe(lost["doc_id"]) & m["host"].eqNullSafe(lost["host"])
-            & (m["text_key"] == lost["text_key"]))
+    same = m["host"].eqNullSafe(lost["host"]) & (m["text_key"] == lost["text_key"])
     out = m.join(lost, same, "left").select(*[m[c] for c in m.columns], "lost_lines")
     gone = F.aggregate(
         F.zip_with("line_keys", "line_words", lambda k, n: F.when(F.array_contains("lost_lines", k), n).otherwise(0)),

@@ -55,10 +55,11 @@ rep AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, range({quality_rul
 lines AS (SELECT doc_id, host, t, trim(regexp_replace(lower(l), '[\x20\x09-\x0D]+', ' ', 'g')) AS line
           FROM (SELECT doc_id, host, t, unnest(ls) AS l FROM w)),
 hosts AS (SELECT host, count(DISTINCT t) AS host_docs FROM d GROUP BY host),
-often AS (SELECT l.host, line FROM lines l JOIN hosts h ON l.host IS NOT DISTINCT FROM h.host GROUP BY l.host, line
-          HAVING count(DISTINCT t) >= {quality_rules.LEAST_DOCS} AND count(DISTINCT t) > {quality_rules.LINE_SHARE} * any_value(host_docs)),
+often AS (SELECT l.host, line, arg_min(t, doc_id) AS holder FROM lines l JOIN hosts h ON l.host IS NOT DISTINCT FROM h.host GROUP BY l.host, line
+          HAVING count(DISTINCT t) >= {quality_rules.LEAST_DOCS} AND (count(DISTINCT t) > {quality_rules.LINE_SHARE} * any_value(host_docs)
+            OR count(DISTINCT t) > {quality_rules.MOST_DOCS})),
 lost AS (SELECT doc_id, sum(len(string_split(l.line, ' '))) AS n FROM lines l JOIN often o
-         ON l.host IS NOT DISTINCT FROM o.host AND l.line = o.line GROUP BY doc_id),
+         ON l.host IS NOT DISTINCT FROM o.host AND l.line = o.line AND l.t <> o.holder GROUP BY doc_id),
 m AS (SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
         CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
         CAST(len(ls) - list_unique(ls) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words,

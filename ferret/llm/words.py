@@ -9,7 +9,7 @@ import xxhash
 class WordHashes(dict):
     """64-bit hash of each word seen; bounded."""
 
-    limit = 400_000
+    limit = 200_000
 
     def __missing__(self, word: str) -> int:
         if len(self) > self.limit:
@@ -21,7 +21,18 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, count)
 
 
-KNOWN = WordHashes()  # lives as long as the worker process
+KNOWN = WordHashes()  # of the running task; ``forgetting`` empties it
+
+
+def forgetting(task, *caches):
+    """``task`` (batches to batches) that leaves the caches empty: a worker process outlives its tasks and stages."""
+    def run(batches):
+        try:
+            yield from task(batches)
+        finally:
+            for c in (KNOWN, *caches):
+                c.clear()
+    return run
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

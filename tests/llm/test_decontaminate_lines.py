@@ -1,5 +1,6 @@
 import itertools
 import random
+from collections import Counter
 
 import numpy as np
 
@@ -14,14 +15,15 @@ SF = "/root/testdata/sf0.001"
 # ---- operator 3 -----------------------------------------------------------
 
 def brute_overlaps(docs, items):
-    """(doc, item) pairs by trying every diagonal that any seed allows."""
+    """(doc, item) pairs by trying every diagonal that any seed allows; one with fewer than 12 equal words can't be accepted."""
     out = {}
+    hashed = [(i, b := decontaminate.word_hashes(item or ""), {h: np.flatnonzero(b == h) for h in set(b.tolist())}) for i, item in items]
     for d, text in docs:
         a = decontaminate.word_hashes(text or "")
-        for i, item in items:
-            b = decontaminate.word_hashes(item or "")
+        for i, b, places in hashed:
             best = None
-            for diagonal in range(-len(b) + 1, len(a)):
+            equal = Counter(k - j for k, h in enumerate(a.tolist()) if h in places for j in places[h].tolist())
+            for diagonal in sorted(g for g, n in equal.items() if n >= 12):
                 first, skip = max(diagonal, 0), max(-diagonal, 0)
                 n = min(len(a) - first, len(b) - skip)
                 same = a[first:first + n] == b[skip:skip + n]

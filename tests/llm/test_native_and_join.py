@@ -113,26 +113,28 @@ def test_pseudonym_edges(spark):
 
 # ---- operator 10 ----------------------------------------------------------
 
-def brute_quality(texts, hosts, share=0.2, least_docs=20):
+def brute_quality(texts, hosts, ids=None, share=0.05, least_docs=20, most_docs=10_000):
     import re
     word, norm = re.compile(r"[^\x20\x09-\x0D]+"), lambda x: re.sub(r"[\x20\x09-\x0D]+", " ", x.lower()).strip(" ")
     rows, held, per_host = [], {}, {}
-    for t, h in zip(texts, hosts):
+    for d, t, h in sorted(zip(ids or range(len(texts)), texts, hosts), key=lambda r: r[0]):
         t = t or ""
         per_host.setdefault(h, set()).add(t)
         for x in t.split("\n"):
             if word.search(x):
-                held.setdefault((h, norm(x)), set()).add(t)
-    often = {k for k, v in held.items() if len(v) >= least_docs and len(v) > share * len(per_host[k[0]])}
+                held.setdefault((h, norm(x)), dict()).setdefault(t)
+    often = {k: next(iter(v)) for k, v in held.items()
+             if len(v) >= least_docs and (len(v) > share * len(per_host[k[0]]) or len(v) > most_docs)}
     for t, h in zip(texts, hosts):
         t = t or ""
         w, ls = word.findall(t), [x for x in t.split("\n") if word.search(x)]
         windows = [tuple(w[k:k + 8]) for k in range(len(w) - 7)]
         cover = {k + j for k, x in enumerate(windows) if windows.count(x) > 1 for j in range(8)}
-        lost = sum(len(norm(x).split(" ")) for x in ls if (h, norm(x)) in often)
+        gone = lambda x: often.get((h, norm(x)), t) != t  # noqa: B023,E731
+        lost = sum(len(norm(x).split(" ")) for x in ls if gone(x))
         failed = len(w) < 20 or 100 * len(cover) > 30 * len(w)
         left = len(w) - lost
-        text = "\n".join(x for x in t.split("\n") if (h, norm(x)) not in often)
+        text = "\n".join(x for x in t.split("\n") if not gone(x))
         rows.append((len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), len(ls) - len(set(ls)), len(cover), failed,
                      not failed and left >= 20 and left >= 0.3 * len(w), text))
     return rows
@@ -163,6 +165,27 @@ def test_quality_rules_equal_brute_force(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in applied.collect())
 
 
+def test_frequent_lines_of_the_given_tables_go(spark):
+    """The method decides on given rows: without it these documents would all stay as they are."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    often = quality_rules.frequent_lines(docs)
+    assert often.count() > 0
+    applied = quality_rules.apply_rules(docs).select("doc_id", "text")
+    off = quality_rules.apply_rules(docs, least_docs=1 << 40).select("doc_id", "text")
+    assert applied.exceptAll(off).count() > 100
+
+
+def test_first_holders_and_huge_hosts(spark):
+    rng = random.Random(4)
+    shared = [" ".join(f"s{k}w{j}" for j in range(9)) for k in range(6)]
+    texts = ["\n".join(shared) + f"\n{prose(rng, 5, 9000)}" for _ in range(30)]  # near copies: all but the first are depleted
+    texts += [prose(rng, 40, 9000) for _ in range(300)]
+    for share, most, want in ((0.05, 10_000, 1), (0.5, 10_000, 30), (0.5, 25, 1)):
+        kept = {r["doc_id"]: r["text"] for r in quality_rules.apply_rules(documents(spark, texts), line_share=share, most_docs=most).collect()}
+        assert sum(d < 30 for d in kept) == want and sum(d >= 30 for d in kept) == 300
+        assert kept[0] == texts[0]
+
+
 def test_quality_edges(spark):
     text = prose(random.Random(1), 30, 5000)
     docs = documents(spark, [text, text, None, ""], ids=[1, 1, None, None], sources=[None] * 4)

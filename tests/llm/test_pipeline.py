@@ -24,11 +24,11 @@ def test_each_stage_equals_brute_force(spark):
         docs = stored(stage(spark, docs, SF), name)
         ids = list(state)
         if name == "quality_rules":
-            want = {d: w[7] for d, w in zip(ids, brute_quality([state[d] for d in ids], [hosts[d] for d in ids])) if w[6]}
+            want = {d: w[7] for d, w in zip(ids, brute_quality([state[d] for d in ids], [hosts[d] for d in ids], ids)) if w[6]}
         elif name == "line_dedup":
             want = brute_lines([state[d] for d in ids], ids)
         elif name == "ngram_jaccard_join":
-            parts = brute_components(ids, [state[d] for d in ids])
+            parts = brute_components(ids, [state[d] for d in ids], size=5, percent=80)
             want = {d: t for d, t in state.items() if parts[d][1] == d}
         else:
             bad = {d for d, _ in brute_overlaps(list(state.items()), bench)}
