@@ -40,8 +40,11 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 def encode_pieces(docs: DataFrame, tokenizer: str, *, capacity: int = 4096, end_id: int = 1,
-                  rule: str | None = "word_ends", with_ids: bool = False) -> DataFrame:
-    """One row per piece of every document; ``ids`` (packed 32-bit) only when asked for."""
+                  rule: str | None = "word_ends", with_ids: bool = False, forget: bool = False) -> DataFrame:
+    """One row per piece of every document; ``ids`` (packed 32-bit) only when asked for.
+
+    ``forget`` empties the encoder's cache after each task: slower, but nothing stays in worker processes that later stages reuse.
+    """
     end = end_id.to_bytes(4, "little")
     schema = PIECES + (", ids binary" if with_ids else "")
 
@@ -50,7 +53,8 @@ def encode_pieces(docs: DataFrame, tokenizer: str, *, capacity: int = 4096, end_
         try:
             yield from pieces(rows, enc)
         finally:
-            enc.forget()
+            if forget:
+                enc.forget()
 
     def pieces(rows, enc):
         for batch in rows:
@@ -159,9 +163,9 @@ def assign_sequences(pieces: DataFrame, *, capacity: int = 4096) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, *, capacity: int = 4096, end_id: int = 1,
-                   rule: str | None = "word_ends", with_ids: bool = False) -> DataFrame:
+                   rule: str | None = "word_ends", with_ids: bool = False, forget: bool = False) -> DataFrame:
     """Every piece of every document with its sequence and its place there."""
-    pieces = encode_pieces(docs, tokenizer, capacity=capacity, end_id=end_id, rule=rule, with_ids=with_ids)
+    pieces = encode_pieces(docs, tokenizer, capacity=capacity, end_id=end_id, rule=rule, with_ids=with_ids, forget=forget)
     return assign_sequences(stored(pieces, "pieces"), capacity=capacity)
 
 
