@@ -44,7 +44,7 @@ def decontamination(spark, docs, sf_dir):
 
 
 def pack(spark, docs, sf_dir):
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), forget=True)
 
 
 STAGES = [
