@@ -316,29 +316,78 @@ def _predict_boosted(fm: FittedModel, df: DataFrame, key: str) -> DataFrame:
 
 
 def _predict_dummy(fm: FittedModel, df: DataFrame, key: str) -> DataFrame:
+    pred, prob = _dummy_columns(fm, key)
+    return df.select(key, pred.alias("prediction"), prob.alias("probability"))
+
+
+def _dummy_columns(fm: FittedModel, key: str):
+    """(prediction, probability) of a dummy model as expressions."""
     name = fm.spec.name
     seed = fm.spec.params.get("seed", 42)
-    if name in ("dummy_mean", "dummy_median", "dummy_most_frequent"):
-        prob = F.lit(None).cast("double")
-        if name == "dummy_most_frequent":
-            p1 = dict(fm.priors).get(1.0, 0.0)
-            prob = F.lit(p1)
-        return df.select(key, F.lit(fm.constant).cast("double").alias("prediction"), prob.alias("probability"))
+    none = F.lit(None).cast("double")
+    if name in ("dummy_mean", "dummy_median"):
+        return F.lit(fm.constant).cast("double"), none
+    if name == "dummy_most_frequent":
+        return F.lit(fm.constant).cast("double"), F.lit(dict(fm.priors).get(1.0, 0.0)).cast("double")
     u = hash32(key, seed + 1).cast("double") / F.lit(float(1 << 32))
     classes = [c for c, _ in fm.priors]
     if name == "dummy_uniform":
         idx = F.floor(u * len(classes)).cast("int")
-        pred = F.element_at(F.array(*[F.lit(c) for c in classes]), idx + 1)
-        return df.select(key, pred.alias("prediction"), F.lit(0.5 if len(classes) == 2 else None)
-                         .cast("double").alias("probability"))
+        return (F.element_at(F.array(*[F.lit(c) for c in classes]), idx + 1).cast("double"),
+                F.lit(0.5 if len(classes) == 2 else None).cast("double"))
     # stratified: class by cumulative prior
     cum, expr = 0.0, None
     for c, p in fm.priors:
         cum += p
         cond = u < F.lit(cum)
         expr = F.when(cond, F.lit(c)) if expr is None else expr.when(cond, F.lit(c))
-    expr = expr.otherwise(F.lit(classes[-1]))
-    return df.select(key, expr.alias("prediction"), F.lit(dict(fm.priors).get(1.0)).cast("double").alias("probability"))
+    return expr.otherwise(F.lit(classes[-1])).cast("double"), F.lit(dict(fm.priors).get(1.0)).cast("double")
+
+
+def predict_many(fitted: dict[str, FittedModel], df: DataFrame, key: str = "row_id") -> DataFrame:
+    """(identifier, key, prediction, probability) of all models, long, from one scan of ``df``.
+
+    Every model adds its own columns to the rows, whose features are assembled once;
+    the rows are turned into long form at the end.  Models of several parts with columns
+    of their own (one-vs-rest, user pipelines, softmax boosting) take a scan each.
+    """
+    apart, pairs, rows, assembled = [], [], df, None
+    for i, (ident, fm) in enumerate(fitted.items()):
+        if fm.spec.name.startswith("dummy_"):
+            pairs.append((ident, *_dummy_columns(fm, key)))
+            continue
+        stages = fm.model.stages[1:] if fm.model is not None else []
+        if not stages or fm.spec.custom is not None or any(isinstance(m, C.OneVsRestModel) for m in stages):
+            apart.append((ident, fm))
+            continue
+        if assembled is None:
+            assembled, rows = fm.feature_cols, vectorize(rows, fm.feature_cols)
+        elif assembled != fm.feature_cols:
+            apart.append((ident, fm))
+            continue
+        for j, m in enumerate(stages):
+            m = m.copy().setPredictionCol(f"_p{i}_{j}")
+            for what, name in (("Probability", f"_q{i}"), ("RawPrediction", f"_w{i}")):
+                if hasattr(m, f"set{what}Col"):
+                    m = getattr(m, f"set{what}Col")(name)
+            rows = m.transform(rows)
+        prob = F.get(vector_to_array(f"_q{i}"), F.lit(1)) if f"_q{i}" in rows.columns else F.lit(None).cast("double")
+        pred = F.col(f"_p{i}_0").cast("double")
+        if len(stages) > 1:  # one score a class
+            each = F.array(*[F.col(f"_p{i}_{j}") for j in range(len(stages))])
+            pred = (F.array_position(each, F.array_max(each)) - 1).cast("double")
+        elif fm.spec.name == "ridge_classifier":
+            pred = F.when(pred > 0, 1.0).otherwise(0.0)
+        pairs.append((ident, label_at(pred, fm.classes), prob))
+    out = None
+    if pairs:
+        each = F.array(*[F.struct(F.lit(ident).alias("identifier"), pred.alias("prediction"), prob.alias("probability"))
+                         for ident, pred, prob in pairs])
+        out = rows.select(key, F.explode(each).alias("m")).select("m.identifier", key, "m.prediction", "m.probability")
+    for ident, fm in apart:
+        p = predict(fm, df, key).select(F.lit(ident).alias("identifier"), key, "prediction", "probability")
+        out = p if out is None else out.unionByName(p)
+    return out
 
 
 def fit_many(specs: list[ModelSpec], train: DataFrame, valid: DataFrame, feature_cols: list[str],
@@ -361,11 +410,7 @@ def fit_many(specs: list[ModelSpec], train: DataFrame, valid: DataFrame, feature
             fitted = dict(ex.map(one, specs))
     finally:
         train.unpersist()  # fitted models hold their parameters; the cached rows are done
-    preds = None
-    for ident, fm in fitted.items():
-        p = predict(fm, valid, key).select(F.lit(ident).alias("identifier"), key, "prediction", "probability")
-        preds = p if preds is None else preds.unionByName(p)
-    return fitted, preds
+    return fitted, predict_many(fitted, valid, key)
 
 
 def gaussian_nb_params(fm: FittedModel) -> DataFrame:
