@@ -25,13 +25,14 @@ from pyspark.sql import functions as F
 
 from ferret.operators.boosting import SoftmaxBoosting, fit_softmax_boosting
 from ferret.operators.split import hash32
+from ferret.operators.squared_hinge import SquaredHinge, fit_squared_hinge
 
 FEATURES = "features"
 CLASSIFIERS = ["decision_tree", "random_forest", "gradient_boosting", "logistic_regression",
                "linear_svc", "ridge_classifier", "gaussian_nb"]
 REGRESSORS = ["linear_regression", "ridge", "elastic_net", "decision_tree", "random_forest",
               "gradient_boosting"]
-TWO_CLASS = ("gradient_boosting", "linear_svc", "ridge_classifier")  # above two classes: softmax boosting, one-vs-rest, one ridge a class
+TWO_CLASS = ("gradient_boosting", "ridge_classifier")  # above two classes: softmax boosting, one ridge a class
 MOST_CLASSES = 1000
 MAX_TREE_DEPTH = 30  # the deepest tree that Spark grows
 FOREST_DEPTH = 15
@@ -165,8 +166,6 @@ def estimator(spec: ModelSpec, label: str, label_std: float = 1.0):
     if spec.name == "logistic_regression":
         return C.LogisticRegression(regParam=p["regParam"], elasticNetParam=0.0, standardization=False,
                                     maxIter=200, **common)
-    if spec.name == "linear_svc":
-        return C.LinearSVC(regParam=p["regParam"], standardization=False, maxIter=200, **common)
     if spec.name == "gaussian_nb":
         return C.NaiveBayes(modelType="gaussian", **common)
     if spec.name == "ridge_classifier":
@@ -196,6 +195,7 @@ class FittedModel:
     priors: list[tuple[float, float]] | None = None   # dummy classifiers (class, prior)
     classes: list[float] | None = None     # label values in order; the models see their places
     boosted: SoftmaxBoosting | None = None
+    svc: SquaredHinge | None = None
 
 
 def fit_model(spec: ModelSpec, train: DataFrame, feature_cols: list[str], label: str) -> FittedModel:
@@ -212,6 +212,9 @@ def fit_model(spec: ModelSpec, train: DataFrame, feature_cols: list[str], label:
             return fm
         data = train.withColumn(label, label_place(label, fm.classes))
     classes = max(2, len(fm.classes or []))
+    if spec.name == "linear_svc":
+        fm.svc = fit_squared_hinge(data, feature_cols, label, classes, spec.params["regParam"])
+        return fm
     if spec.name == "ridge_classifier" and classes > 2:
         return _fit_ridge_per_class(fm, data, classes)
     if spec.name == "ridge_classifier":
@@ -286,6 +289,8 @@ def predict(fm: FittedModel, df: DataFrame, key: str = "row_id") -> DataFrame:
         return _predict_dummy(fm, df, key)
     if fm.boosted is not None:
         return _predict_boosted(fm, df, key)
+    if fm.svc is not None:
+        return df.select(key, label_at(fm.svc.place(), fm.classes).alias("prediction"), F.lit(None).cast("double").alias("probability"))
     out = fm.model.transform(df)
     scores = len(fm.model.stages) - 1
     if name == "ridge_classifier" and scores > 1:
@@ -356,6 +361,9 @@ def predict_many(fitted: dict[str, FittedModel], df: DataFrame, key: str = "row_
         if fm.spec.name.startswith("dummy_"):
             pairs.append((ident, *_dummy_columns(fm, key)))
             continue
+        if fm.svc is not None:
+            pairs.append((ident, label_at(fm.svc.place(), fm.classes), F.lit(None).cast("double")))
+            continue
         stages = fm.model.stages[1:] if fm.model is not None else []
         if not stages or fm.spec.custom is not None or any(isinstance(m, C.OneVsRestModel) for m in stages):
             apart.append((ident, fm))
@@ -432,7 +440,12 @@ def feature_importances(fm: FittedModel) -> DataFrame:
 
 
 def coefficients(fm: FittedModel) -> DataFrame:
-    """(feature, coefficient) of a linear model, intercept as its own row."""
+    """(feature, coefficient) of a linear model of one score, intercept as its own row."""
+    if fm.svc is not None:
+        if len(fm.svc.weights) > 1:
+            raise ValueError("one row of coefficients a class: read them from the model's svc.weights")
+        rows = [*zip(fm.feature_cols, fm.svc.weights[0].tolist()), ("intercept", float(fm.svc.intercepts[0]))]
+        return _spark().createDataFrame(rows, "feature string, coefficient double")
     m = fm.model.stages[-1]
     coef = m.coefficients.toArray().tolist()
     rows = list(zip(fm.feature_cols, coef)) + [("intercept", float(m.intercept))]
@@ -449,10 +462,20 @@ def _spark():
     return SparkSession.getActiveSession()
 
 
+SVC_SCHEMA = "weights array<array<double>>, intercepts array<double>, classes array<double>"
+
+
 def save_model(fm: FittedModel, path: str) -> None:
     if fm.model is not None:
         fm.model.write().overwrite().save(path)
+    if fm.svc is not None:
+        row = [(fm.svc.weights.tolist(), fm.svc.intercepts.tolist(), fm.classes)]
+        _spark().createDataFrame(row, SVC_SCHEMA).write.mode("overwrite").parquet(path)
 
 
 def load_model(spec: ModelSpec, path: str, feature_cols: list[str], label: str) -> FittedModel:
+    if spec.name == "linear_svc":
+        r = _spark().read.schema(SVC_SCHEMA).parquet(path).first()
+        svc = SquaredHinge(list(feature_cols), np.array(r["weights"]), np.array(r["intercepts"]))
+        return FittedModel(spec, feature_cols, label, classes=r["classes"], svc=svc)
     return FittedModel(spec, feature_cols, label, PipelineModel.load(path))

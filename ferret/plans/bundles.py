@@ -45,7 +45,7 @@ def fit_and_report(spec, train: DataFrame, valid: DataFrame, feature_cols: list[
     last = fm.model.stages[-1] if fm.model is not None else None
     if hasattr(last, "featureImportances"):
         out["importances"] = Mo.feature_importances(fm)
-    elif hasattr(last, "coefficients") and len(fm.model.stages) == 2:
+    elif (hasattr(last, "coefficients") and len(fm.model.stages) == 2) or (fm.svc is not None and len(fm.svc.weights) == 1):
         out["coefficients"] = Mo.coefficients(fm)
     return out
 

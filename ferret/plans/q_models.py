@@ -133,7 +133,7 @@ def _estimator_query(name: str, problem: str):
 
 
 for _name in Mo.CLASSIFIERS:
-    if _name not in ("ridge_classifier", "gaussian_nb"):
+    if _name not in ("ridge_classifier", "gaussian_nb", "linear_svc"):
         query(_name)(_estimator_query(_name, "classification"))
 query("elastic_net")(_estimator_query("elastic_net", "regression"))
 for _name in ["decision_tree", "random_forest", "gradient_boosting"]:
@@ -344,3 +344,46 @@ def q_gaussian_nb(spark, sf):
     """Gaussian naive Bayes: class log-prior plus per-feature normal log-densities."""
     out = _estimator_query("gaussian_nb", "classification")(spark, sf)
     return out.select("row_id", "prediction", F.round("probability", 6).alias("probability"))
+
+
+def squared_hinge_sql(rounds: int = 14) -> str:
+    """Plain Newton steps on the squared hinge as chained steps: each solves the ridge system of the rows inside the margin.
+
+    With C = 1 the system is (sum z z' + I / 2) w = sum s z over these rows, z = (features, 1).
+    """
+    z = [*FEATS, "1.0e0"]
+    size = len(z)
+    steps = ["w0 AS (SELECT " + ", ".join(f"0.0e0 AS w{i}" for i in range(size)) + ")"]
+    for t in range(1, rounds + 1):
+        score = " + ".join(f"{c} * w{i}" for i, c in enumerate(z))
+        sums = [f"sum({z[i]} * {z[j]})" + (" + 0.5e0" if i == j else "") + f" AS a{i}{j}" for i in range(size) for j in range(i, size)]
+        sums += [f"sum(s * {z[i]}) AS r{i}" for i in range(size)]
+        steps.append(f"e{t}_0 AS (SELECT {', '.join(sums)} FROM sg, w{t - 1} WHERE s * ({score}) < 1)")
+        for k in range(size - 1):  # eliminate unknown k from the rows below
+            cols = [f"a{i}{j}" for i in range(k + 1) for j in range(i, size)] + [f"r{i}" for i in range(k + 1)]
+            cols += [f"a{i}{j} - a{k}{i} * a{k}{j} / a{k}{k} AS a{i}{j}" for i in range(k + 1, size) for j in range(i, size)]
+            cols += [f"r{i} - a{k}{i} * r{k} / a{k}{k} AS r{i}" for i in range(k + 1, size)]
+            steps.append(f"e{t}_{k + 1} AS (SELECT {', '.join(cols)} FROM e{t}_{k})")
+        src = f"e{t}_{size - 1}"
+        for k in reversed(range(size)):  # and back
+            rest = "".join(f" - a{k}{j} * w{j}" for j in range(k + 1, size))
+            steps.append(f"b{t}_{k} AS (SELECT *, (r{k}{rest}) / a{k}{k} AS w{k} FROM {src})")
+            src = f"b{t}_{k}"
+        steps.append(f"w{t} AS (SELECT {', '.join(f'w{i}' for i in range(size))} FROM {src})")
+    return (MODEL_INPUTS_SQL + ", sg AS (SELECT " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in FEATS)
+            + ", 2.0e0 * sep - 1 AS s FROM tr),\n" + ",\n".join(steps) + f",\nw AS (SELECT * FROM w{rounds})\n")
+
+
+@query("linear_svc", squared_hinge_sql() + "SELECT row_id, CASE WHEN " + " + ".join(f"{c} * w{i}" for i, c in enumerate(FEATS))
+       + f" + w{len(FEATS)} > 0 THEN 1.0e0 ELSE 0.0e0 END AS prediction, CAST(NULL AS DOUBLE) AS probability FROM va, w")
+def q_linear_svc(spark, sf):
+    return _estimator_query("linear_svc", "classification")(spark, sf)
+
+
+@query("linear_svc_coefficients", squared_hinge_sql() + "\nUNION ALL ".join(
+    f"SELECT '{c}' AS feature, round(w{i}, 5) AS coefficient FROM w" for i, c in enumerate([*FEATS, "intercept"])))
+def q_linear_svc_coefficients(spark, sf):
+    """The fitted line itself."""
+    tr, _ = _split(spark, sf)
+    spec = next(s for s in Mo.default_specs("classification", tr.count()) if s.name == "linear_svc")
+    return Mo.coefficients(Mo.fit_model(spec, tr, FEATS, "sep")).select("feature", F.round("coefficient", 5).alias("coefficient"))
