@@ -1,11 +1,15 @@
 """Uncentred truncated SVD (2-D projection) of a vector column.
 
-Data pass: each partition computes its partial Gramian ``X^T X`` and column
-sums with numpy on Arrow batches (``mapInPandas``); the d x d partials are
-summed by a distributed group-by on the cell index.  Only the d x d matrix
-(bounded by the width, not the rows) reaches the driver, where ``eigh``
-gives the right singular vectors.  Projection, reconstruction and the
-explained variance are then Column expressions and aggregates.
+The right singular vectors are found by a randomised range finder that grows a
+block Krylov basis: a pass multiplies the rows by the newest block of directions and
+back (``X^T (X Q)``), each task adding up d x ``BLOCK`` numbers with numpy on Arrow
+batches, which a group-by per dimension sums.  The basis is kept orthonormal on
+the driver (d x at most ``MOST_BLOCKS`` blocks, then a restart from the leading directions), and the
+passes end when the leading pairs satisfy ``X^T X v = s^2 v`` to ``tolerance``.  Vectors
+of up to ``BLOCK`` dimensions take one pass.  The singular values come from a tall-skinny QR
+of the rows projected on the leading directions: each task keeps one small R,
+and R factors are merged in groups.  Nothing of size d x d is ever held.
+Projection, reconstruction and the explained variance are Column expressions and aggregates.
 """
 
 from __future__ import annotations
@@ -13,7 +17,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,51 +31,136 @@ class SVDModel:
     dim: int = 0
 
 
-def gramian(df: DataFrame, col: str) -> tuple[np.ndarray, np.ndarray, int]:
-    """(X^T X, column sums, n) of an array<float|double> column."""
-    d = len(df.select(col).where(F.col(col).isNotNull()).first()[0])
+BLOCK = 64
+MOST_BLOCKS = 12
+FAN_IN = 7  # bits of the partition number dropped at a merge of R factors
+
+
+def _matrix(batch: pa.RecordBatch) -> np.ndarray:
+    return np.asarray(batch.column(0).flatten(), np.float64).reshape(batch.num_rows, -1)
+
+
+def _rows(df: DataFrame, col: str) -> DataFrame:
+    return df.select(F.col(col).alias("x")).where("x IS NOT NULL")
+
+
+def _there_and_back(rows: DataFrame, q: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """X^T (X q), the column sums of X and of its squares, from one pass."""
+    d, width = q.shape
+    names = [f"v{i}" for i in range(width + 2)]
+
+    def partial(batches):
+        total, seen = np.zeros((d, width + 2)), False
+        for batch in batches:
+            if batch.num_rows:
+                x, seen = _matrix(batch), True
+                total[:, :width] += x.T @ (x @ q)
+                total[:, width] += x.sum(axis=0)
+                total[:, width + 1] += (x * x).sum(axis=0)
+        if seen:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(d, dtype=np.int32)), *[pa.array(c) for c in np.ascontiguousarray(total.T)]],
+                                             ["j", *names])
+
+    parts = rows.mapInArrow(partial, "j int, " + ", ".join(f"{c} double" for c in names))
+    out = np.zeros((d, width + 2))
+    for r in parts.groupBy("j").agg(*[F.sum(c).alias(c) for c in names]).collect():
+        out[r["j"]] = r[1:]
+    return out[:, :width], out[:, width], out[:, width + 1]
+
+
+def _tall_skinny_r(rows: DataFrame, v: np.ndarray) -> np.ndarray:
+    """R of the QR factorisation of X v: one per task, merged in groups of neighbouring partitions."""
+    width = v.shape[1]
+
+    def stacked(r, more):
+        return np.linalg.qr(np.vstack([r, more]), mode="r")
+
+    def flat(r):
+        return pa.ListArray.from_arrays(pa.array([0, r.size], pa.int32()), pa.array(r.reshape(-1)))
 
     def partial(batches):
-        g = np.zeros((d, d))
-        s = np.zeros(d)
-        n = 0
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            x = np.vstack(pdf[col].to_numpy()).astype(np.float64)
-            g += x.T @ x
-            s += x.sum(axis=0)
-            n += len(x)
-        if n:
-            yield pd.DataFrame({"cell": np.arange(d * d + d + 1),
-                                "v": np.concatenate([g.ravel(), s, [float(n)]])})
-
-    parts = df.select(col).where(F.col(col).isNotNull()).mapInPandas(partial, "cell long, v double")
-    tot = parts.groupBy("cell").agg(F.sum("v").alias("v")).collect()
-    vec = np.zeros(d * d + d + 1)
-    for r in tot:
-        vec[r["cell"]] = r["v"]
-    return vec[: d * d].reshape(d, d), vec[d * d: d * d + d], int(vec[-1])
-
-
-def fit_svd(df: DataFrame, col: str, k: int = 2) -> SVDModel:
-    g, s, n = gramian(df, col)
-    evals, evecs = np.linalg.eigh(g)
-    order = np.argsort(evals)[::-1][:k]
-    comps = evecs[:, order].T.copy()
-    for i in range(k):  # sign: largest-magnitude entry of each component positive
-        j = int(np.argmax(np.abs(comps[i])))
-        if comps[i, j] < 0:
-            comps[i] = -comps[i]
-    sv = np.sqrt(np.clip(evals[order], 0, None))
-    m = SVDModel(comps, sv, dim=g.shape[0])
-    # variance of the projected columns: E[(xv)^2] - E[xv]^2 from the Gramian and sums
-    if n:
-        mean = s / n
-        proj_var = np.array([c @ g @ c / n - (c @ mean) ** 2 for c in comps])
-        total_var = float(np.trace(g) / n - mean @ mean)
-        m.explained_variance = proj_var
-        m.explained_variance_ratio = proj_var / total_var if total_var > 0 else proj_var * np.nan
+        r = np.zeros((0, width))
+        for batch in batches:
+            if batch.num_rows:
+                r = stacked(r, _matrix(batch) @ v)
+        if len(r):
+            yield pa.RecordBatch.from_arrays([flat(r)], ["r"])
+
+    def merge(key, factors):
+        r = np.zeros((0, width))
+        for one in factors.column("r"):
+            r = stacked(r, np.asarray(one.values).reshape(-1, width))
+        return pa.Table.from_arrays([pa.array([key[0].as_py()], pa.int32()), flat(r)], ["part", "r"])
+
+    parts = rows.mapInArrow(partial, "r array<double>").select(F.spark_partition_id().alias("part"), "r")
+    for _ in range(2):
+        parts = (parts.select(F.shiftright("part", FAN_IN).alias("part"), "r").groupBy("part")
+                 .applyInArrow(merge, "part int, r array<double>"))
+    r = np.zeros((0, width))
+    for one in sorted(parts.collect(), key=lambda one: one["part"]):
+        r = stacked(r, np.array(one["r"]).reshape(-1, width))
+    return r
+
+
+def _fresh(block: np.ndarray, basis: np.ndarray) -> np.ndarray:
+    """Orthonormal directions of ``block`` outside the span of ``basis`` (twice is enough); none if nothing is left."""
+    size = np.linalg.norm(block, axis=0)
+    block = block[:, size > 0] / size[size > 0]
+    for _ in range(2):
+        block = block - basis @ (basis.T @ block)
+        u, s, _ = np.linalg.svd(block, full_matrices=False)
+        block = u[:, s > 1e-10]
+    return block
+
+
+def fit_svd(df: DataFrame, col: str, k: int = 2, block: int = BLOCK, tolerance: float = 1e-10, max_passes: int = 200,
+            seed: int = 42) -> SVDModel:
+    """The ``k`` leading right singular vectors of the rows of a vector column (null vectors are left out).
+
+    ``tolerance`` bounds ``||X^T X v - s^2 v||`` against the largest s^2.
+    """
+    rows = _rows(df, col)
+    first = rows.first()
+    if first is None:
+        raise ValueError("no vectors to project")
+    d = len(first["x"])
+    k = min(k, d)
+    block = min(max(block, k), d)
+    rng = np.random.default_rng(seed)
+    basis, image = np.zeros((d, 0)), np.zeros((d, 0))
+    new = np.linalg.qr(rng.standard_normal((d, block)))[0]
+    sums = squares = vectors = None
+    for _ in range(max_passes):
+        back, sums, squares = _there_and_back(rows, new)
+        basis, image = np.hstack([basis, new]), np.hstack([image, back])
+        h = basis.T @ image
+        values, turn = np.linalg.eigh((h + h.T) / 2)
+        turn = turn[:, ::-1][:, :block]
+        values = values[::-1][:block]
+        vectors = basis @ turn
+        rest = image @ turn - vectors * values
+        if (np.linalg.norm(rest[:, :k], axis=0) <= tolerance * max(values[0], 0.0)).all():
+            break
+        if basis.shape[1] + block > MOST_BLOCKS * block:
+            basis, image = vectors, image @ turn
+        new = _fresh(rest, basis)
+        if not new.shape[1]:
+            break
+    r = _tall_skinny_r(rows, vectors)
+    _, sv, turn = np.linalg.svd(r, full_matrices=False)
+    comps = np.zeros((k, d))
+    comps[:min(k, len(turn))] = (vectors @ turn[:k].T).T
+    sv = np.append(sv, np.zeros(k))[:k]
+    for c in comps:  # sign: largest-magnitude entry of each component positive
+        if c[int(np.argmax(np.abs(c)))] < 0:
+            c *= -1.0
+    n = rows.count()
+    m = SVDModel(comps, sv, dim=d)
+    # variance of the projected columns: E[(xv)^2] - E[xv]^2
+    mean = sums / n
+    m.explained_variance = sv ** 2 / n - (comps @ mean) ** 2
+    total_var = float(squares.sum() / n - mean @ mean)
+    m.explained_variance_ratio = m.explained_variance / total_var if total_var > 0 else m.explained_variance * np.nan
     return m
 
 
