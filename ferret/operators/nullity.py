@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import math
-
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ferret.operators.columns import is_missing, null_counts
+from ferret.operators.gramian import named, pair_sums
 
 
 def na_count_report(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
@@ -58,36 +58,15 @@ def nullity_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return df.select(flags.alias("flags")).groupBy("flags").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def _flag_pairs(df: DataFrame, cols: list[str]):
-    """Null counts and pairwise co-missing counts of the flags, as a dict-like row.
+def _missing_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(i, j, both) for i <= j: the rows in which both columns are missing."""
+    flags = [is_missing(df, c) for c in cols]
+    return pair_sums(df, flags, ["both"], lambda a, b: [a.T @ b])
 
-    Each partition computes F^T F of its 0/1 flag matrix (numpy on Arrow
-    batches); a group-by on the cell sums them, so the plan does not grow with k^2.
-    """
-    import numpy as np
-    import pandas as pd
-    k = len(cols)
-    flag_df = df.select(*[is_missing(df, c).cast("double").alias(f"f{i}") for i, c in enumerate(cols)])
-
-    def partial(batches):
-        g, n = np.zeros((k, k)), 0
-        for pdf in batches:
-            x = pdf.to_numpy(dtype=np.float64)
-            g += x.T @ x
-            n += len(x)
-        yield pd.DataFrame({"cell": np.arange(k * k + 1), "v": np.append(g.ravel(), float(n))})
-
-    tot = flag_df.mapInPandas(partial, "cell long, v double").groupBy("cell").agg(F.sum("v").alias("v")).collect()
-    vec = np.zeros(k * k + 1)
-    for r in tot:
-        vec[r["cell"]] = r["v"]
-    g = vec[:-1].reshape(k, k)
-    out = {"__n": int(vec[-1])}
-    for i in range(k):
-        out[f"s{i}"] = int(g[i, i])
-        for j in range(i + 1, k):
-            out[f"p{i}_{j}"] = int(g[i, j])
-    return out
+
+def _missing_counts(df: DataFrame, cols: list[str]) -> tuple[int, list[int]]:
+    rows = {r["feature"]: r for r in null_counts(df, cols).collect()}
+    return rows[cols[0]]["n"], [rows[c]["null_count"] for c in cols]
 
 
 def nullity_correlation(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
@@ -96,63 +75,92 @@ def nullity_correlation(df: DataFrame, cols: list[str] | None = None) -> DataFra
     Long form (feature_x, feature_y, corr) with x before y in column order.
     """
     cols = list(cols or df.columns)
-    spark = df.sparkSession
-    r = _flag_pairs(df, cols)
-    n = r["__n"]
-    keep = [i for i in range(len(cols)) if 0 < r[f"s{i}"] < n]
-    rows = []
-    for a in range(len(keep)):
-        for b in range(a + 1, len(keep)):
-            i, j = keep[a], keep[b]
-            si, sj, sij = r[f"s{i}"], r[f"s{j}"], r[f"p{i}_{j}"]
-            cov = sij / n - (si / n) * (sj / n)
-            den = math.sqrt((si / n) * (1 - si / n) * (sj / n) * (1 - sj / n))
-            rows.append((cols[i], cols[j], round(cov / den, 6)))
-    return spark.createDataFrame(rows, "feature_x string, feature_y string, corr double")
+    n, missing = _missing_counts(df, cols)
+    kept = [(c, m / n) for c, m in zip(cols, missing) if 0 < m < n]
+    if not kept:
+        return df.sparkSession.createDataFrame([], "feature_x string, feature_y string, corr double")
+    names = [c for c, _ in kept]
+    share = F.array(*[F.lit(p) for _, p in kept])
+    px, py = F.get(share, F.col("i")), F.get(share, F.col("j"))
+    corr = (F.col("both") / n - px * py) / F.sqrt(px * (1 - px) * py * (1 - py))
+    pairs = _missing_pairs(df, names).where("i < j").withColumn("corr", F.round(corr, 6))
+    return named(pairs, names, "corr")
+
+
+def _mismatches(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(i, j, mismatches) for i < j: the rows in which exactly one of the two columns is missing."""
+    _, missing = _missing_counts(df, cols)
+    count = F.array(*[F.lit(m).cast("long") for m in missing])
+    return _missing_pairs(df, cols).where("i < j").select(
+        "i", "j", (F.get(count, F.col("i")) + F.get(count, F.col("j")) - 2 * F.col("both").cast("long")).alias("mismatches"))
 
 
 def nullity_distance(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Euclidean distance between the 0/1 missing flags of every column pair: sqrt(#mismatches)."""
     cols = list(cols or df.columns)
-    r = _flag_pairs(df, cols)
-    rows = []
-    for i in range(len(cols)):
-        for j in range(i + 1, len(cols)):
-            mism = r[f"s{i}"] + r[f"s{j}"] - 2 * r[f"p{i}_{j}"]
-            rows.append((cols[i], cols[j], int(mism), round(math.sqrt(mism), 6)))
-    return df.sparkSession.createDataFrame(
-        rows, "feature_x string, feature_y string, mismatches bigint, distance double")
+    pairs = _mismatches(df, cols).withColumn("distance", F.round(F.sqrt("mismatches"), 6))
+    return named(pairs, cols, "mismatches", "distance")
 
 
 def nullity_linkage(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Average-linkage merges over the k x k column distance table (k = columns).
+    """Average-linkage merges of the columns by ``sqrt(mismatches)``: (step, left, right, distance, size).
 
-    The data pass is ``nullity_distance`` (one aggregate); the clustering works on
-    k column labels, never on rows.  Output (step, left, right, distance, size).
+    The data pass is distributed; the clustering works on the k x k distances of the k
+    columns, never on rows: k^2 numbers and k^2 steps (chains of nearest neighbours).
+    Of equal distances the columns that come first are merged; merges are listed by distance.
     """
     cols = list(cols or df.columns)
-    dist_rows = nullity_distance(df, cols).collect()
-    d = {}
-    for r in dist_rows:
-        d[(r["feature_x"], r["feature_y"])] = d[(r["feature_y"], r["feature_x"])] = float(r["distance"])
-    clusters = dict.fromkeys(cols, 1)  # label -> number of columns
+    k = len(cols)
+    d = np.zeros((k, k))
+    found = _mismatches(df, cols).toPandas()
+    i, j = found["i"].to_numpy(), found["j"].to_numpy()
+    d[i, j] = d[j, i] = np.sqrt(found["mismatches"].to_numpy(np.float64))
+    label, size, parent = list(cols), [1] * k, list(range(k))
+
+    def root(c):
+        while parent[c] != c:
+            parent[c] = parent[parent[c]]
+            c = parent[c]
+        return c
+
     steps = []
-    step = 0
-    while len(clusters) > 1:
-        names = sorted(clusters)
-        best = None
-        for a in range(len(names)):
-            for b in range(a + 1, len(names)):
-                avg = d[(names[a], names[b])]
-                if best is None or avg < best[0] - 1e-12:
-                    best = (avg, names[a], names[b])
-        avg, a, b = best
-        merged = f"({a},{b})"
-        na, nb = clusters.pop(a), clusters.pop(b)
-        for c in clusters:  # the average distance of a union is the weighted mean of its parts'
-            d[(merged, c)] = d[(c, merged)] = (na * d[(a, c)] + nb * d[(b, c)]) / (na + nb)
-        clusters[merged] = na + nb
-        steps.append((step, a, b, round(avg, 6), na + nb))
-        step += 1
+    for step, (x, y, distance) in enumerate(average_merges(d)):
+        a, b = sorted((root(x), root(y)), key=lambda c: label[c])
+        steps.append((step, label[a], label[b], round(float(distance), 6), size[a] + size[b]))
+        label[a], size[a], parent[b] = f"({label[a]},{label[b]})", size[a] + size[b], a
     return df.sparkSession.createDataFrame(
         steps, "step int, left string, right string, distance double, size int")
+
+
+def average_merges(distances: np.ndarray) -> list[tuple[int, int, float]]:
+    """Average-linkage merges by nearest-neighbour chains, by distance: (member of one side, of the other, distance).
+
+    A chain goes from a cluster to its nearest one until two are nearest to each other; these
+    are merged.  Average linkage never brings a union nearer than its parts were, so the
+    rest of the chain stays valid, and every step reads one row.
+    """
+    d = distances.astype(np.float64).copy()
+    k = len(d)
+    np.fill_diagonal(d, np.inf)
+    size, alive = np.ones(k), np.ones(k, bool)
+    merges, chain = [], []
+    while len(merges) < k - 1:
+        if not chain:
+            chain = [int(alive.argmax())]
+        top = chain[-1]
+        near = int(d[top].argmin())
+        if len(chain) > 1 and d[top, chain[-2]] <= d[top, near] * (1 + 1e-12):
+            near = chain[-2]  # of equal distances back along the chain, so that it ends
+        if len(chain) < 2 or near != chain[-2]:
+            chain.append(near)
+            continue
+        del chain[-2:]
+        a, b = min(top, near), max(top, near)
+        merges.append((a, b, d[a, b]))
+        row = (size[a] * d[a] + size[b] * d[b]) / (size[a] + size[b])
+        d[a], d[:, a] = row, row
+        d[a, a] = np.inf
+        d[b], d[:, b] = np.inf, np.inf
+        size[a] += size[b]
+        alive[b] = False
+    return sorted(merges, key=lambda m: m[2])

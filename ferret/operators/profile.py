@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferret.operators.columns import nan_to_null, unpivot_values
+from ferret.operators.gramian import both_ways, named, pair_sums
 from ferret.operators.rank import exact_quantiles
 
 
@@ -41,50 +44,52 @@ def skew_report(df: DataFrame, cols: list[str], threshold: float = 5.0) -> DataF
 # ----------------------------------------------------------------------------
 
 
-def _correlations(df: DataFrame, cols: list[str]) -> list[list[float | None]]:
-    """Pairwise-complete Pearson correlations of all pairs; None where a column doesn't vary.
+def _centres(df: DataFrame, cols: list[str]) -> list[float]:
+    """The mean of each column, or its value if it has only one: shifted by it, sums of squares don't cancel."""
+
+    def stats(batches):
+        total = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = np.array(batch.column("x").flatten().to_numpy(zero_copy_only=False), np.float64).reshape(batch.num_rows, len(cols))
+            there = ~np.isnan(x)
+            part = [there.sum(axis=0), np.where(there, x, 0.0).sum(axis=0), np.where(there, x, np.inf).min(axis=0),
+                    np.where(there, x, -np.inf).max(axis=0)]
+            total = part if total is None else [f(a, b) for f, a, b in zip((np.add, np.add, np.minimum, np.maximum), total, part)]
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(cols), dtype=np.int32)), pa.array(total[0].astype(np.int64)),
+                                              *map(pa.array, total[1:])], ["i", "n", "s", "a", "b"])
+
+    rows = df.select(F.array(*[_value(c) for c in cols]).alias("x"))
+    parts = rows.mapInArrow(stats, "i int, n long, s double, a double, b double")
+    out = [0.0] * len(cols)
+    for r in parts.groupBy("i").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.min("a").alias("a"), F.max("b").alias("b")).collect():
+        if r["n"]:
+            out[r["i"]] = r["a"] if r["a"] == r["b"] else r["s"] / r["n"]
+    return out
 
-    Columns are shifted to their mean first (a constant column to its value),
-    so sums of squares don't cancel; then each partition computes the Gramian of
-    its rows (numpy on Arrow batches) and a group-by sums them cell by cell.
-    One way for every number of columns; the plan doesn't grow with the pairs.
-    """
-    import numpy as np
-    import pandas as pd
-    k = len(cols)
-    src = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(f"x{i}") for i, c in enumerate(cols)])
-    r = src.agg(*[f(f"x{i}").alias(f"{n}{i}") for i in range(k) for n, f in (("m", F.avg), ("a", F.min), ("b", F.max))]).collect()[0]
-    shift = np.array([0.0 if r[f"a{i}"] is None else r[f"a{i}"] if r[f"a{i}"] == r[f"b{i}"] else r[f"m{i}"] for i in range(k)])
-
-    def partial(batches):
-        acc, seen = np.zeros((4, k, k)), False
-        for pdf in batches:
-            seen = seen or len(pdf) > 0
-            x = pdf.to_numpy(dtype=np.float64, na_value=np.nan) - shift
-            m = (~np.isnan(x)).astype(np.float64)
-            x0 = np.where(m > 0, x, 0.0)
-            acc += [m.T @ m, x0.T @ m, (x0 * x0).T @ m, x0.T @ x0]
-        if seen:
-            yield pd.DataFrame({"cell": np.arange(4 * k * k), "v": acc.ravel()})
-
-    total = src.mapInPandas(partial, "cell long, v double").groupBy("cell").agg(F.sum("v").alias("v")).collect()
-    vec = np.zeros(4 * k * k)
-    for x in total:
-        vec[x["cell"]] = x["v"]
-    n, sx, sxx, sxy = vec.reshape(4, k, k)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        cov = sxy / n - (sx / n) * (sx.T / n)
-        var = sxx / n - (sx / n) ** 2
-        corr = cov / np.sqrt(var * var.T)
-    ok = (n > 0) & (var > 0) & (var.T > 0)
-    return [[float(corr[i, j]) if ok[i, j] else None for j in range(k)] for i in range(k)]
+
+def _pearson_sums(x, y):
+    """Of two blocks of shifted columns: rows with both values, and the sums over these rows."""
+    mx, my = ~np.isnan(x), ~np.isnan(y)
+    x, y, mx, my = np.where(mx, x, 0.0), np.where(my, y, 0.0), mx.astype(float), my.astype(float)
+    return mx.T @ my, x.T @ my, mx.T @ y, (x * x).T @ my, mx.T @ (y * y), x.T @ y
+
+
+def _correlations(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(i, j, corr) for i <= j: pairwise-complete Pearson correlations, NULL where a column doesn't vary."""
+    shifted = [_value(c) - F.lit(m) for c, m in zip(cols, _centres(df, cols))]
+    sums = pair_sums(df, shifted, ["n", "sx", "sy", "sxx", "syy", "sxy"], _pearson_sums)
+    mean = {c: F.try_divide(F.col(c), F.col("n")) for c in ("sx", "sy", "sxx", "syy", "sxy")}
+    var_x, var_y = mean["sxx"] - mean["sx"] * mean["sx"], mean["syy"] - mean["sy"] * mean["sy"]
+    corr = F.when((var_x > 0) & (var_y > 0), (mean["sxy"] - mean["sx"] * mean["sy"]) / F.sqrt(var_x * var_y))
+    return sums.select("i", "j", F.nanvl(corr, F.lit(None).cast("double")).alias("corr"))
 
 
 def correlation_matrix(df: DataFrame, cols: list[str], dataset: str | None = None) -> DataFrame:
     """Long (feature_x, feature_y, corr) for every ordered pair (pairwise-complete Pearson, NaN as missing)."""
-    corr = _correlations(df, cols)
-    rows = [(a, b, None if corr[i][j] is None else round(corr[i][j], 6)) for i, a in enumerate(cols) for j, b in enumerate(cols)]
-    out = df.sparkSession.createDataFrame(rows, "feature_x string, feature_y string, corr double")
+    out = both_ways(_correlations(df, cols).withColumn("corr", F.round("corr", 6)), cols, "corr")
     if dataset is not None:
         out = out.select(F.lit(dataset).alias("dataset"), "*")
     return out
@@ -92,10 +97,8 @@ def correlation_matrix(df: DataFrame, cols: list[str], dataset: str | None = Non
 
 def high_correlation(df: DataFrame, cols: list[str], threshold: float = 0.95) -> DataFrame:
     """Upper-triangle pairs (x before y in column order) with corr above ``threshold``."""
-    corr = _correlations(df, cols)
-    rows = [(cols[i], cols[j], round(corr[i][j], 6)) for i in range(len(cols)) for j in range(i + 1, len(cols))
-            if corr[i][j] is not None and corr[i][j] > threshold]
-    return df.sparkSession.createDataFrame(rows, "feature_x string, feature_y string, corr double")
+    pairs = _correlations(df, cols).where((F.col("i") < F.col("j")) & (F.col("corr") > threshold))
+    return named(pairs.withColumn("corr", F.round("corr", 6)), cols, "corr")
 
 
 # ----------------------------------------------------------------------------
