@@ -257,48 +257,50 @@ POISSON1_CDF = [0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9
                 0.9963401531726563, 0.9994058151824183, 0.9999167588507719, 0.9999897508033216]
 
 
-def poisson1_weight(key: Column, draw: Column) -> Column:
-    """Poisson(1) weight of a row in bootstrap draw ``draw``, from a hash (no state, no shuffle)."""
-    u = F.conv(F.substring(F.md5(F.concat_ws(":", key.cast("string"), draw.cast("string"))), 1, 8),
-               16, 10).cast("double") / F.lit(float(1 << 32))
-    w = F.lit(len(POISSON1_CDF))
-    for k in range(len(POISSON1_CDF) - 1, -1, -1):
-        w = F.when(u < F.lit(POISSON1_CDF[k]), F.lit(k)).otherwise(w)
-    return w
+def poisson1_weights(key: Column, draws: int) -> Column:
+    """Poisson(1) weights of a row in all bootstrap draws, from hashes (no state, no shuffle).
+
+    The uniform numbers are an array of their own, so that each hash is taken once.
+    """
+    us = F.transform(F.sequence(F.lit(1), F.lit(draws)), lambda d: F.conv(F.substring(F.md5(F.concat_ws(
+        ":", key.cast("string"), d.cast("string"))), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32)))
+
+    def weight(u: Column) -> Column:
+        w = F.lit(float(len(POISSON1_CDF)))
+        for k in range(len(POISSON1_CDF) - 1, -1, -1):
+            w = F.when(u < F.lit(POISSON1_CDF[k]), F.lit(float(k))).otherwise(w)
+        return w
+
+    return F.transform(us, weight)
 
 
 def category_target_rate_bootstrap(df: DataFrame, cols: list[str], target: str, key: str,
                                    draws: int = 100, level: float = 0.95) -> DataFrame:
     """Target mean per label with a Poisson-bootstrap percentile interval.
 
-    Each row is exploded over the draws with a hashed Poisson(1) weight; weighted
-    sums per (label, draw) are one partial+final aggregate; the interval is an
-    exact percentile over the ``draws`` means of each label (bounded group).
+    A row carries the hashed Poisson(1) weights of all draws in one array, and the weighted
+    sums of all draws are columns of one aggregate per label: each task sends one row per label,
+    no row is copied per draw.  The interval is an exact percentile over the means of a label.
     """
-    long = unpivot_values(df.select(key, *cols, target), cols, ids=[key, target], cast="string")
-    ex = long.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws))))
-    ex = ex.withColumn("w", poisson1_weight(F.col(key), F.col("draw"))).where("w > 0")
-    per = ex.groupBy("feature", "value", "draw").agg(
-        (F.sum(F.col("w") * F.col(target)) / F.sum("w")).alias("m"))
-    lo, hi = round((1 - level) / 2, 12), round(1 - (1 - level) / 2, 12)
-    # each label has exactly `draws` means (a bounded group): sort them and interpolate
+    rows = df.select(*cols, target, poisson1_weights(F.col(key), draws).alias("__w"))
+    long = unpivot_values(rows, cols, ids=[target, "__w"], cast="string")
+    sums = [f(F.col("__w")[d]).alias(f"{n}{d}") for d in range(draws)
+            for n, f in (("w", F.sum), ("t", lambda w: F.sum(w * F.col(target))))]
+    per = long.groupBy("feature", "value").agg(F.count(F.col(target)).alias("n"), F.avg(target).alias("mean"), *sums)
+    means = F.array(*[F.try_divide(F.col(f"t{d}"), F.col(f"w{d}")) for d in range(draws)])
+    # a draw without a row of the label has no mean; the others are interpolated
     # linearly at (draws - 1) * q, the quantile_cont definition
-    ms = per.groupBy("feature", "value").agg(F.array_sort(F.collect_list("m")).alias("ms"))
+    ms = per.select("feature", "value", "n", "mean", F.array_sort(F.array_compact(means)).alias("ms"))
+    lo, hi = round((1 - level) / 2, 12), round(1 - (1 - level) / 2, 12)
 
     def at(q: float) -> Column:
         pos = (F.size("ms") - 1).cast("double") * F.lit(q)
         i0, i1 = F.floor(pos).cast("int"), F.ceil(pos).cast("int")
-        v0, v1 = F.element_at("ms", i0 + 1), F.element_at("ms", i1 + 1)
+        v0, v1 = F.get("ms", i0), F.get("ms", i1)
         return v0 + (v1 - v0) * (pos - i0)
 
-    ci = ms.select("feature", "value", at(lo).alias("ci_low"), at(hi).alias("ci_high"))
-    base = long.groupBy("feature", "value").agg(F.count(F.col(target)).alias("n"), F.avg(target).alias("mean"))
-    # the missing label is a label too: match it null-safely; both sides come from the same
-    # source, so the right side's keys are renamed (no ambiguous self-join)
-    ci = ci.select(F.col("feature").alias("_f"), F.col("value").alias("_v"), "ci_low", "ci_high")
-    j = base.join(ci, (F.col("feature") == F.col("_f")) & F.col("value").eqNullSafe(F.col("_v")), "left")
-    return j.select("feature", "value", "n", F.round("mean", 6).alias("mean"),
-                    F.round("ci_low", 6).alias("ci_low"), F.round("ci_high", 6).alias("ci_high"))
+    return ms.select("feature", "value", "n", F.round("mean", 6).alias("mean"),
+                     F.round(at(lo), 6).alias("ci_low"), F.round(at(hi), 6).alias("ci_high"))
 
 
 def column_summary(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -426,3 +426,35 @@ def test_exp_scan_recursion_many_groups_after_join(spark):
                 if i:
                     level = a * y + (1 - a) * level
                 assert got[(k, a, i + 1)] == pytest.approx(level, rel=1e-9)
+
+
+def test_exact_distinct_of_all_columns_in_one_job(spark):
+    from ferret.operators.roles import column_stats, exact_distinct
+    nan = float("nan")
+    rows = [(1, "a", 0.0, None, [1]), (1, None, -0.0, None, [2]), (2, "b", nan, None, [1]), (None, "", nan, None, None)]
+    df = spark.createDataFrame(rows, "`a.b` int, s string, d double, e int, l array<int>")
+    assert exact_distinct(df, df.columns) == {"a.b": 2, "s": 3, "d": 2, "e": 0, "l": 2}
+    assert exact_distinct(df.limit(0), ["s"]) == {"s": 0}
+    big = spark.range(5000).selectExpr("id AS k", "id % 49 AS m", "cast(id % 501 AS string) AS t", "id % 500 AS near")
+    # a job runs in several stages; the collects of this thread are counted by their group
+    spark.sparkContext.setJobGroup("distinct", "")
+    stats = column_stats(big)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("distinct"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    one = column_stats(big.select("k", "t"))
+    assert {c: s.ndv for c, s in stats.items() if c in ("t", "near")} == {"t": 501, "near": 500}
+    assert one["t"].ndv == 501 and jobs <= 6
+
+
+def test_bootstrap_sends_one_row_per_label(spark):
+    from ferret.operators import profile as Pr
+    rows = [(k, "abc"[k % 3] if k % 7 else None, float(k % 2)) for k in range(300)] + [(300, "once", 1.0), (301, "none", None)]
+    df = spark.createDataFrame(rows, "k long, c string, y double")
+    out = Pr.category_target_rate_bootstrap(df, ["c"], "y", "k", draws=20)
+    got = {r["value"]: r for r in out.collect()}
+    assert set(got) == {"a", "b", "c", None, "once", "none"}
+    assert got["once"][3:] == (1.0, 1.0, 1.0) and got["none"]["n"] == 0 and got["none"]["ci_low"] is None
+    for v in ("a", "b", "c", None):
+        assert got[v]["ci_low"] <= got[v]["mean"] <= got[v]["ci_high"] and got[v]["ci_low"] < got[v]["ci_high"]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 1  # over the columns, not the draws
