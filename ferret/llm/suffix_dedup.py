@@ -47,6 +47,7 @@ from ferret.llm.words import mixed
 
 LENGTH = 400
 GRAM = 32  # a power of two
+SALTS = 16  # a string that occurs several times is looked up under so many keys
 GROUP_LIMIT = 4096
 _POSITION_BITS = 23
 _BLOCK = 1 << 22
@@ -190,9 +191,9 @@ def _rows(docs: DataFrame) -> DataFrame:
     return rows.select(F.xxhash64("doc_id", "text").alias("row_key"), "doc_id", F.col("text").cast("binary").alias("data"))
 
 
-def _concerned(rows: DataFrame, keys: DataFrame):
-    """A condition that holds for all rows whose row_key is among ``keys``, and for a few others."""
-    flags = rows.sparkSession.sparkContext.broadcast(build_filter(keys, "row_key"))
+def _concerned(keys: DataFrame, name: str = "row_key"):
+    """A condition that holds for all rows whose ``name`` is among those of ``keys``, and for a few others."""
+    flags = keys.sparkSession.sparkContext.broadcast(build_filter(keys, name))
 
     @F.pandas_udf("boolean")
     def may_be(k):
@@ -200,7 +201,7 @@ def _concerned(rows: DataFrame, keys: DataFrame):
         out[passing(flags.value, k.to_numpy().view(np.uint64))] = True
         return pd.Series(out)
 
-    return may_be("row_key")
+    return may_be(name)
 
 
 def repeated_spans(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, group_limit: int = GROUP_LIMIT) -> DataFrame:
@@ -219,10 +220,14 @@ def repeated_spans(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, g
 
     found = stored(_rows(docs).select("row_key", "data").mapInArrow(find, REGION), "regions")
     repeated = found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    found = stored(found.join(repeated, "anchor"), "repeated-anchors")
+    # no row is dealt by its anchor, which may be that of a third of all rows: the filter lets a
+    # few anchors pass that occur once, and those have one string that occurs once
+    found = stored(found.where(_concerned(stored(repeated, "anchors"), "anchor")), "repeated-anchors")
     strings = stored(found.groupBy("anchor", "content").agg(
         F.count("*").alias("n"), F.min(F.struct("row_key", "lo", "hi", "anchor_at")).alias("one")), "strings")
-    whole = (found.join(strings.where("n > 1").select("anchor", "content"), ["anchor", "content"])
+    copied = strings.where("n > 1").select("anchor", "content", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    whole = (found.withColumn("salt", F.pmod(F.xxhash64("row_key", "lo"), F.lit(SALTS)).cast("int"))
+             .join(copied, ["anchor", "content", "salt"])
              .select("row_key", F.col("lo").alias("start"), (F.col("hi") + length).alias("end")))
 
     # the distinct strings of anchors that have several
@@ -230,7 +235,7 @@ def repeated_spans(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, g
     picked = strings.join(several.select("anchor", "members"), "anchor").select("anchor", "n", "members", "one.*")
     wanted = stored(picked.groupBy("row_key").agg(F.collect_list(F.struct("anchor", "n", "members", "lo", "hi", "anchor_at")).alias("want")), "wanted-strings")
     rows = _rows(docs)
-    texts = rows.where(_concerned(rows, wanted.select("row_key"))).dropDuplicates(["row_key"])
+    texts = rows.where(_concerned(wanted.select("row_key"))).dropDuplicates(["row_key"])
 
     def cut(batches):
         types = (pa.int64(),) * 6 + (pa.binary(),)
@@ -301,29 +306,31 @@ def merged(spans) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, kept_text string"
 
 
 def remove_repeats(docs: DataFrame, *, with_bytes: bool = True, **options) -> DataFrame:
-    """Per document: bytes, removed bytes, maximal removed runs, SHA-256 of what is left, and (if asked for) that itself."""
+    """Per document: bytes, removed bytes, maximal removed runs, SHA-256 of what is left, that itself (if asked for)
+    and as text, where a character that lost some of its bytes is the replacement character."""
     spans = stored(repeated_spans(docs, **options), "spans")
 
     def apply(batches):
         for batch in batches:
-            cols = ([], [], [], [], [], [])
+            cols = ([], [], [], [], [], [], [])
             for doc, data, found in zip(*batch.columns, strict=True):
                 doc, data, found = doc.as_py(), data.as_py(), found.as_py()
                 runs = merged(found)
                 edges = [0, *(x for r in runs for x in r), len(data)]
                 kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-                row = (doc, len(data), len(data) - len(kept), len(runs), hashlib.sha256(kept).hexdigest(), kept if with_bytes else None)
+                row = (doc, len(data), len(data) - len(kept), len(runs), hashlib.sha256(kept).hexdigest(),
+                       kept if with_bytes else None, kept.decode(errors="replace"))
                 for col, v in zip(cols, row, strict=True):
                     col.append(v)
-            types = (pa.int64(),) * 4 + (pa.string(), pa.binary())
+            types = (pa.int64(),) * 4 + (pa.string(), pa.binary(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)],
                                              [f.split()[0] for f in RESULT.split(", ")])
 
-    rows = _rows(docs).withColumn("may_lose", _concerned(_rows(docs), spans.select("row_key")))
+    rows = _rows(docs).withColumn("may_lose", _concerned(spans.select("row_key")))
     none = F.lit(None).cast("array<struct<start:bigint,end:bigint>>").alias("spans")
     untouched = rows.where(~F.col("may_lose")).select("doc_id", "data", none)
     touched = rows.where("may_lose").join(spans, "row_key", "left").select("doc_id", "data", "spans")
