@@ -54,5 +54,14 @@ def clean_scratch(spark: SparkSession) -> None:
     delete(spark, f"{checkpoint_dir(spark).rstrip('/')}/ferret-llm")
 
 
+def free_name(name: str, taken: list[str]) -> str:
+    """``name``, or with the first number from 2 on that makes it differ from all of ``taken`` (in any case of letters)."""
+    lower, k, out = {c.lower() for c in taken}, 1, name
+    while out.lower() in lower:
+        k += 1
+        out = f"{name}_{k}"
+    return out
+
+
 def text_of(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))

@@ -146,7 +146,7 @@ def candidates(docs: DataFrame, flags: np.ndarray, lengths=()) -> DataFrame:
 
 
 def find_overlaps(docs: DataFrame, benchmark: DataFrame, *, least_matched: int = LEAST_MATCHED,
-                  least_ratio: float = LEAST_RATIO, short_items: bool = False) -> DataFrame:
+                  least_ratio: float = LEAST_RATIO, short_items: bool = True) -> DataFrame:
     """One row per document and benchmark item that overlap: doc_id, text_key, item_id, n_matched, n_span, item_words, doc_pos."""
     seeds = stored(benchmark_seeds(benchmark, least_matched if short_items else 0), "benchmark-seeds")
     n_words = F.expr("octet_length(item_words) div 8").cast("int")

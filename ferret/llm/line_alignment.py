@@ -3,7 +3,7 @@
 Lines are normalised (letters lower-cased, white space collapsed) and hashed.
 Exact copies of a text are represented by the copy with the smallest id.  Texts
 are paired by what they share; every later holder of it with its owner, the earliest,
-so a thing in n documents gives n - 1 pairs, never all.  With ``every_run`` the
+so a thing in n documents gives n - 1 pairs, never all.  With ``every_run`` (the default) the
 things are runs of lines with at least ``least_words`` words that follow each other:
 the shortest from each line on, and up to each line.  Any common block holds some,
 and none is too frequent to link.  Without it they are the rare lines, which at least
@@ -13,8 +13,8 @@ blocks of frequent lines only, or of lines owned by several texts, can then be m
 Each pair is aligned with patience diff over the line hashes of both documents;
 runs of aligned lines that are consecutive in both, with at least ``least_words``
 words, are common blocks and are deleted from the later document (that with the
-larger id).  What is left of it is searched for runs that the alignment can't reach
-(passages held twice, moved, or without a line that is unique in both).  A copy
+larger id).  What is left of it is aligned again, which reaches passages held twice or moved;
+runs without any line that is unique in both are looked up.  A copy
 is aligned with the first as a whole.
 
 Cases: null and empty texts have no lines; lines without words neither link
@@ -33,13 +33,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferret.llm.common import WORD_SPACE, stored, text_of
+from ferret.llm.common import WORD_SPACE, free_name, stored, text_of
 from ferret.llm.words import mixed
 
 RARE_SHARE = 0.05
 RARE_LEAST = 20
 LEAST_WORDS = 10
 LINK_WORDS = 3
+ROUNDS = 16  # alignments of one pair; what they leave is looked up
 PAIRS = 256  # pairs of one owner that meet in one copy of its row
 _HAS_WORD = r"[^\x20\x09-\x0D]"
 
@@ -102,49 +103,67 @@ def _shortest_runs(keys: list, words: list[int], least_words: int) -> list[tuple
     return sorted(out)
 
 
+def _parts(keys: list, keep) -> list[list[int]]:
+    """The maximal stretches of indices that ``keep`` holds."""
+    parts: list[list[int]] = [[]]
+    for k in range(len(keys)):
+        if keep(k):
+            parts[-1].append(k)
+        elif parts[-1]:
+            parts.append([])
+    return parts
+
+
 def common_blocks(a: list, b: list, words: list[int], least_words: int) -> list[int]:
     """Lines of ``b`` in runs that follow each other in both documents and have enough words.
 
-    Lines without a word (None) between two lines don't end a run.  First come the
-    aligned runs, then those that are left.
+    Lines without a word (None) between two lines don't end a run.  ``a`` is aligned with
+    ``b``; each aligned stretch is extended along its diagonal to the whole common run.  A run
+    with enough words goes; a line that is unique in both and whose run is too short is
+    settled, since it has no other.  What is left of ``b`` is aligned again (second copies and
+    moved blocks become unique or rising then) until a round settles nothing.  Lines
+    that are still repeated in one of the two have no alignment; the common runs among them
+    and the deleted lines are looked up.  So every common run goes, and only those.
     """
-    # positions among the lines with words
+    xs = [x for x in a if x is not None]
     at_b = [j for j, x in enumerate(b) if x is not None]
-    order_a = {i: k for k, i in enumerate(i for i, x in enumerate(a) if x is not None)}
-    order_b = {j: k for k, j in enumerate(at_b)}
-    out, run, last = set(), [], None
-    for i, j in [*patience(a, b), (None, None)]:
-        now = None if i is None else (order_a[i], order_b[j])
-        if run and (now is None or now != (last[0] + 1, last[1] + 1)):
-            if sum(words[k] for k in run) >= least_words:
-                out.update(run)
-            run = []
-        run.append(j)
-        last = now
-    # equal lines have equally many words, so a common run is cut into the same shortest runs in both
-    size = {b[j]: words[j] for j in at_b}
-    parts, stretch = [], []
-    for x in a:
-        if x is None:
-            continue
-        if x in size:
-            stretch.append(x)
-        elif stretch:
-            parts, stretch = [*parts, stretch], []
-    held = set()
-    for part in [*parts, stretch]:
-        held.update(tuple(part[i:j]) for i, j in _shortest_runs(part, [size[x] for x in part], least_words))
-    parts, stretch = [], []
-    for j in at_b:
-        if j not in out:
-            stretch.append(j)
-        elif stretch:
-            parts, stretch = [*parts, stretch], []
-    for part in [*parts, stretch]:
-        for i, j in _shortest_runs(part, [words[k] for k in part], least_words):
-            if tuple(b[k] for k in part[i:j]) in held:
-                out.update(part[i:j])
-    return sorted(out)
+    ys, size = [b[j] for j in at_b], [words[j] for j in at_b]
+    in_a = Counter(xs)
+    left = [y in in_a for y in ys]
+    gone: set[int] = set()
+    for k in range(ROUNDS):
+        in_b = Counter(y for y, more in zip(ys, left, strict=True) if more)
+        settled, i0, j0 = False, -1, -1
+        # after the first round by lines that are unique in both alone: each has one partner, so a round settles some
+        for i, j in patience(xs, [y if more and (k == 0 or in_a[y] == in_b[y] == 1) else None for y, more in zip(ys, left, strict=True)]):
+            if i - j != i0 - j0 or j >= j0:  # not on the run of the pair before
+                lo = hi = 0
+                while i - lo and j - lo and xs[i - lo - 1] == ys[j - lo - 1]:
+                    lo += 1
+                while i + hi < len(xs) and j + hi < len(ys) and xs[i + hi] == ys[j + hi]:
+                    hi += 1
+                i0, j0 = i + hi, j + hi
+                if sum(size[j - lo:j0]) >= least_words:
+                    gone.update(range(j - lo, j0))
+            if j in gone or in_a[ys[j]] == in_b[ys[j]] == 1:
+                settled, left[j] = True, False
+        for j in gone:
+            left[j] = False
+        if not settled and k:
+            break
+    else:
+        in_b = Counter()  # the rest of many rounds is looked up, unique or not
+    if any(left):
+        free = [j in gone or (left[j] and (in_a[y] > 1 or in_b[y] != 1)) for j, y in enumerate(ys)]
+        length = dict(zip(ys, size, strict=True))  # equal lines have equally many words
+        held = set()
+        for part in _parts(xs, lambda k: xs[k] in length):
+            held.update(tuple(xs[k] for k in part[i:j]) for i, j in _shortest_runs(part, [length[xs[k]] for k in part], least_words))
+        for part in _parts(ys, lambda k: free[k]):
+            for i, j in _shortest_runs(part, [size[k] for k in part], least_words):
+                if any(left[k] for k in part[i:j]) and tuple(ys[k] for k in part[i:j]) in held:
+                    gone.update(part[i:j])
+    return sorted(at_b[j] for j in gone)
 
 
 def _runs_of(of: np.ndarray, keys: np.ndarray, words: np.ndarray, least_words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -216,7 +235,7 @@ def line_table(docs: DataFrame) -> DataFrame:
                        F.transform("lines", lambda x: F.when(has(x), F.size(F.split(x, " "))).otherwise(0)).alias("words"))
 
 
-def removed_lines(docs: DataFrame, *, every_run: bool = False, rare_share: float = RARE_SHARE, rare_least: int = RARE_LEAST,
+def removed_lines(docs: DataFrame, *, every_run: bool = True, rare_share: float = RARE_SHARE, rare_least: int = RARE_LEAST,
                   least_words: int = LEAST_WORDS, link_words: int = LINK_WORDS) -> DataFrame:
     """doc_id, text_key, the sorted indices of lines to delete and the number of documents they were aligned with."""
     lines = stored(line_table(docs).where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id", "text_key"]), "lines")
@@ -269,8 +288,9 @@ def removed_lines(docs: DataFrame, *, every_run: bool = False, rare_share: float
 def delete_blocks(docs: DataFrame, **limits) -> DataFrame:
     """The documents with their columns, without the deleted lines, plus ``line_report`` (n_lines, n_removed, n_aligned).
 
-    A text whose lines with words are all deleted becomes empty.
+    An input column of that name stays; the report is then ``line_report_2`` (or the next free number).  A text whose lines with words are all deleted becomes empty.
     """
+    report = free_name("line_report", docs.columns)
     gone = removed_lines(docs, **limits).select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key"), "gone", "n_aligned")
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("own_id"),
                        F.xxhash64(text_of()).alias("own_key"))
@@ -283,7 +303,7 @@ def delete_blocks(docs: DataFrame, **limits) -> DataFrame:
     text = F.when(F.col("gone").isNull(), old).when(some, F.array_join("left", "\n")).otherwise(F.lit(""))
     rows = rows.select("row", "gone", text.alias("text"), F.struct(
         "n_lines", F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
-        F.coalesce("n_aligned", F.lit(0).cast("long")).alias("n_aligned")).alias("line_report"))
+        F.coalesce("n_aligned", F.lit(0).cast("long")).alias("n_aligned")).alias("report"))
 
     def column(c):
         if c == "text":
@@ -293,5 +313,4 @@ def delete_blocks(docs: DataFrame, **limits) -> DataFrame:
                     .otherwise(F.char_length("text").cast(docs.schema[c].dataType)).alias(c))
         return F.col("row")[c].alias(c)
 
-    report = "line_report"
-    return rows.select(*[column(c) for c in docs.columns if c != report], report)
+    return rows.select(*[column(c) for c in docs.columns], F.col("report").alias(report))

@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from ferret.llm import decontaminate, line_alignment
 from ferret.llm.line_alignment import common_blocks, patience
@@ -15,12 +16,19 @@ SF = "/root/testdata/sf0.001"
 # ---- operator 3 -----------------------------------------------------------
 
 def brute_overlaps(docs, items):
-    """(doc, item) pairs by trying every diagonal that any seed allows; one with fewer than 12 equal words can't be accepted."""
+    """(doc, item) pairs by trying every diagonal that any seed allows; one with fewer than 12 equal words can't be accepted,
+    but for items of fewer words.
+    """
     out = {}
     hashed = [(i, b := decontaminate.word_hashes(item or ""), {h: np.flatnonzero(b == h) for h in set(b.tolist())}) for i, item in items]
     for d, text in docs:
         a = decontaminate.word_hashes(text or "")
         for i, b, places in hashed:
+            if 0 < len(b) < 12:  # a short item, as a whole
+                at = [k for k in range(len(a) - len(b) + 1) if (a[k:k + len(b)] == b).all()]
+                if at:
+                    out[d, i] = (len(b), len(b), at[0])
+                continue
             best = None
             equal = Counter(k - j for k, h in enumerate(a.tolist()) if h in places for j in places[h].tolist())
             for diagonal in sorted(g for g, n in equal.items() if n >= 12):
@@ -218,7 +226,7 @@ def test_line_alignment_equals_brute_force(spark):
         texts.append("\n".join(x.upper() if rng.random() < 0.2 else x for x in ls[rng.randrange(3):]))
     ids = list(range(len(texts)))
     rng.shuffle(ids)
-    out = line_alignment.delete_blocks(documents(spark, texts, ids=ids))
+    out = line_alignment.delete_blocks(documents(spark, texts, ids=ids), every_run=False)
     got = {r["doc_id"]: r["text"] for r in out.collect()}
     want = brute_lines(texts, ids)
     assert got == want
@@ -256,6 +264,51 @@ def runs_left(texts, ids, gone, least_words=10):
     return missed, wrong
 
 
+def common_runs(a, b, words, least):
+    """Lines of ``b`` in any run of lines with words, of enough words, that stands in ``a`` as well."""
+    xs, at = [x for x in a if x is not None], [j for j, x in enumerate(b) if x is not None]
+    out = set()
+    for i in range(len(at)):
+        for j in range(i + 1, len(at) + 1):
+            run = [b[k] for k in at[i:j]]
+            if sum(words[k] for k in at[i:j]) >= least and any(run == xs[q:q + j - i] for q in range(len(xs))):
+                out.update(at[i:j])
+    return sorted(out)
+
+
+def random_line_pairs(rng, n):
+    for _ in range(n):
+        names = "abcdefghijklmnop"[:rng.choice([3, 6, 16])]
+        size = {x: rng.randrange(1, 12) for x in names}
+        a, b = ([rng.choice([*names, None]) for _ in range(rng.randrange(16))] for _ in range(2))
+        if rng.random() < 0.5 and a:  # moved and doubled pieces
+            k = rng.randrange(len(a))
+            b = [*a[k:], *b[:3], *a[:k], *a[k:][:rng.randrange(6)]]
+        yield a, b, [size.get(x, 0) for x in b]
+
+
+@pytest.mark.parametrize("rounds", [1, 2, line_alignment.ROUNDS])
+def test_alignment_finds_every_common_run(monkeypatch, rounds):
+    monkeypatch.setattr(line_alignment, "ROUNDS", rounds)
+    for a, b, words in random_line_pairs(random.Random(31), 3000):
+        assert common_blocks(a, b, words, 10) == common_runs(a, b, words, 10)
+
+
+def test_without_the_alignment_blocks_stay(monkeypatch):
+    cases = list(random_line_pairs(random.Random(32), 1000))
+    whole = [common_blocks(*c, 10) for c in cases]
+    monkeypatch.setattr(line_alignment, "patience", lambda a, b: [])
+    less = [common_blocks(*c, 10) for c in cases]
+    assert all(set(x) <= set(y) for x, y in zip(less, whole)) and sum(x != y for x, y in zip(less, whole)) > 200
+
+
+def test_report_beside_an_input_column_of_its_name(spark):
+    docs = documents(spark, ["one two three four five six seven eight nine ten", "x"]).selectExpr("*", "'mine' AS line_report")
+    out = line_alignment.delete_blocks(docs)
+    assert out.columns == [*docs.columns, "line_report_2"]
+    assert {r["line_report"] for r in out.collect()} == {"mine"}
+
+
 def delete_every_run(spark, texts, ids):
     return {r["doc_id"]: r["text"] for r in line_alignment.delete_blocks(documents(spark, texts, ids=ids), every_run=True).collect()}
 
