@@ -247,6 +247,8 @@ def store_and_read(docs: DataFrame, tokenizer: str, *, rule: str | None = "byte_
     one = F.explode(F.sequence(F.lit(0), F.col("n_docs") - 1))
     places = found.select("key", "shard", "ordinal", "n_docs", one.alias("k")).select(
         F.col("key").alias("doc_id"), "shard", (F.col("ordinal") + F.col("k")).alias("ordinal"))
+    # rows without an id have no key; their places are those of the directory
+    places = places.unionByName(directory.where("key IS NULL").select(F.col("key").alias("doc_id"), "shard", "ordinal"))
     # one row per shard: the prefix sum over them is small
     bases = directory.groupBy("shard").agg(F.sum("n").alias("ids")).withColumn(
         "base", F.sum("ids").over(Window.orderBy("shard")) - F.col("ids")).select("shard", "base")

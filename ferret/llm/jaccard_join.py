@@ -485,8 +485,19 @@ def keep_one_each(docs: DataFrame, **options) -> DataFrame:
     """The documents that are the first of their component, with all their columns.
 
     Rows with a null doc_id, which link with nothing, stay.  Of repeated rows of
-    the kept document one stays if all their columns agree.
+    a kept document one stays if all their columns agree.
     """
     member = join_components(docs, **options).where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    kept = docs.join(member, F.col("doc_id").cast("long") == F.col("gone_id"), "left_anti")
-    return kept.select(*docs.columns)
+    rows = docs.select(F.col("doc_id").cast("long").alias("own_id"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    ids = rows.where("own_id IS NOT NULL").groupBy("own_id").agg(F.count("*").alias("n"))
+    again = stored(ids.where("n > 1").select(F.col("own_id").alias("gone_id")), "repeated-ids")
+    if again.isEmpty():
+        kept = rows.join(member, F.col("own_id") == F.col("gone_id"), "left_anti")
+    else:
+        member = stored(member, "members")
+        once = rows.join(member.union(again), F.col("own_id") == F.col("gone_id"), "left_anti")
+        twice = rows.join(again.join(member, "gone_id", "left_anti"), F.col("own_id") == F.col("gone_id"), "left_semi")
+        twice = (twice.groupBy("own_id", F.sha2(F.to_json("row"), 256).alias("row_key"))
+                 .agg(F.any_value("row").alias("row")).select("own_id", "row"))
+        kept = once.unionByName(twice)
+    return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])

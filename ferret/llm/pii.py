@@ -13,7 +13,7 @@ keyed SHA-256 hashes of the other half.
 * ``phone``: ten digits behind a country code or in (ddd) ddd-dddd or
   ddd-ddd-dddd form; the country code stays.
 * ``ssn``: ddd-dd-dddd with an area, group and serial that can exist.
-* ``ipv4``: four numbers up to 255.
+* ``ipv4``: four numbers up to 255; each keeps its number of digits.
 * ``email``: letters and digits of the local part, class by class.
 
 What looks like a value but isn't valid stays as it is.  All work is in the
@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferret.llm.common import text_of
+from ferret.llm.common import free_name, text_of
 
 ROUNDS = 8
 KINDS = ("email", "date", "ssn", "ipv4", "phone", "card")
@@ -131,6 +131,17 @@ def _into(digits: Column, shape: Column) -> Column:
     return state
 
 
+def _address(h: Column, key: str) -> Column:
+    """An octet keeps its number of digits: 0-9, 10-99, 100-255, and behind a leading zero 0-9 or 0-99."""
+    octets = F.split(h, r"\.")
+    zero = lambda o: (F.length(o) > 1) & o.startswith("0")
+    low = lambda o: F.when(zero(o) | (F.length(o) == 1), 0).when(F.length(o) == 2, 10).otherwise(100)
+    many = lambda o: F.when(zero(o), F.when(F.length(o) == 2, 10).otherwise(100)).when(
+        F.length(o) == 1, 10).when(F.length(o) == 2, 90).otherwise(156)
+    moved = feistel(F.transform(octets, lambda o: o.cast("long") - low(o)), F.transform(octets, many), "ipv4", key)
+    return F.array_join(F.zip_with(octets, moved, lambda o, v: F.lpad((v + low(o)).cast("string"), F.length(o), F.lit("0"))), ".")
+
+
 def pseudonym(h: Column, kind: Column, key: str) -> Column:
     # card: the first digit stays, the last one closes the Luhn sum
     digits = _digits(h)
@@ -139,7 +150,7 @@ def pseudonym(h: Column, kind: Column, key: str) -> Column:
     card = _into(F.concat(body, F.pmod(-luhn_sum(body, 0), F.lit(10)).cast("string")), h)
     # phone: the last ten digits
     phone = _into(F.concat(F.substr(digits, F.lit(1), n - 10), scramble(F.substr(digits, n - 9, F.lit(10)), "phone", key)), h)
-    ip = F.array_join(feistel(F.split(h, r"\.").cast("array<bigint>"), F.array(*[F.lit(256)] * 4), "ipv4", key).cast("array<string>"), ".")
+    ip = _address(h, key)
     # areas 001 to 899 without 666 are 898 numbers, groups 99, serials 9,999
     area = F.substring(h, 1, 3).cast("long")
     parts = feistel(F.array(area - 1 - (area > 666).cast("long"), F.substring(h, 5, 2).cast("long") - 1, F.substring(h, 8, 4).cast("long") - 1),
@@ -168,8 +179,11 @@ def pseudonym(h: Column, kind: Column, key: str) -> Column:
 
 
 def pseudonymise(docs: DataFrame, *, key: str) -> DataFrame:
-    """The documents with pseudonyms in ``text``, and ``pii_counts`` (a struct with a count per kind)."""
-    report = "pii_counts"
+    """The documents with pseudonyms in ``text``, and ``pii_counts`` (a struct with a count per kind).
+
+    An input column of that name stays; the counts are then ``pii_counts_2`` (or the next free number).
+    """
+    report = free_name("pii_counts", docs.columns)
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), text_of().alias("text"))
     found = F.when(F.col("text").rlike(HINT), F.regexp_extract_all("text", F.lit(VALUE), F.lit(0)))
     # steps: a column that is used often is computed once, in a step before
@@ -179,7 +193,7 @@ def pseudonymise(docs: DataFrame, *, key: str) -> DataFrame:
     joined = F.array_join(F.zip_with(F.split("text", VALUE), F.concat("new", F.array(F.lit(""))), lambda p, x: F.concat(p, x)), "")
     text = F.when(F.col("row")["text"].isNull(), F.lit(None)).otherwise(F.coalesce(joined, F.col("text")))
     count = lambda kind: F.coalesce(F.size(F.filter("kinds", lambda k: k == kind)), F.lit(0)).cast("long").alias(kind)
-    rows = rows.select("row", text.alias("text"), F.struct(*[count(k) for k in KINDS]).alias(report))
+    rows = rows.select("row", text.alias("text"), F.struct(*[count(k) for k in KINDS]).alias("counts"))
 
     def column(c):
         if c == "text":
@@ -188,4 +202,4 @@ def pseudonymise(docs: DataFrame, *, key: str) -> DataFrame:
             return F.coalesce(F.char_length("text").cast(docs.schema[c].dataType), F.col("row")[c]).alias(c)
         return F.col("row")[c].alias(c)
 
-    return rows.select(*[column(c) for c in docs.columns if c != report], report)
+    return rows.select(*[column(c) for c in docs.columns], F.col("counts").alias(report))

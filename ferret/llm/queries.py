@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import secrets
+
 import public_tokenizers
 
 from pyspark.sql import functions as F
@@ -16,6 +18,7 @@ ORACLE: dict[str, str] = {}
 WORD_TOKENIZER = "word_bpe_49k.json"
 BYTE_TOKENIZER = "byte_bpe_50k.json"
 PIECE_MODEL = "piece_bpe_32k.model"
+PII_KEY = "ferret.pii.key"  # set it to a secret; else a session draws its own
 
 
 def query(fn):
@@ -107,7 +110,10 @@ def op9_jaccard_join(spark, sf_dir):
 
 @query
 def op5_feistel_pseudonyms(spark, sf_dir):
-    key = spark.conf.get("ferret.pii.key", "key of this corpus")
+    key = spark.conf.get(PII_KEY, None)
+    if not key:  # pseudonyms of two sessions are linked only if both are given the same key
+        key = secrets.token_hex(32)
+        spark.conf.set(PII_KEY, key)
     out = pii.pseudonymise(table(spark, sf_dir, "documents"), key=key)
     return out.select("doc_id", "text", *[F.col("pii_counts")[k].alias(f"n_{k}") for k in pii.KINDS])
 
@@ -115,7 +121,7 @@ def op5_feistel_pseudonyms(spark, sf_dir):
 @query
 def op2_suffix_dedup(spark, sf_dir):
     out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), with_bytes=False)
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text")
 
 
 @query

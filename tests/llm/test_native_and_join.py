@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 from datetime import date, timedelta
 
 import duckdb
@@ -102,6 +103,116 @@ def test_dates_of_a_century_are_permuted(spark):
         assert x == (date(century * 100, 1, 1) + timedelta(v[0] * radices[1] + v[1])).isoformat()
 
 
+def plain_scramble(text, tag, key):
+    base = [48 if c in "0123456789" else 97 if "a" <= c <= "z" else 65 if "A" <= c <= "Z" else None for c in text]
+    radices = [10 if b == 48 else 26 if b else 1 for b in base]
+    moved = feistel([ord(c) - b if b else 0 for c, b in zip(text, base)], radices, tag, key)
+    return "".join(chr(b + v) if b else c for c, b, v in zip(text, base, moved))
+
+
+def plain_luhn(digits, doubled):
+    return sum(d if k % 2 != doubled else sum(divmod(2 * d, 10)) for k, d in enumerate(map(int, reversed(digits))))
+
+
+def plain_date(h, key):
+    parts = re.split("[-/.]", h)
+    at = (0, 1, 2) if len(parts[0]) == 4 else (2, 1, 0) if "." in h else (2, 0, 1)
+    try:
+        day = date(*(int(parts[k]) for k in at))
+    except ValueError:
+        return None
+    if not 1800 <= day.year <= 2199:
+        return None
+    start, radices = date(day.year // 100 * 100, 1, 1), (75, 487) if day.year // 100 % 4 == 0 else (92, 397)
+    past = (day - start).days
+    v = feistel((past // radices[1], past % radices[1]), radices, "date", key)
+    new = start + timedelta(v[0] * radices[1] + v[1])
+    width = "02d" if len(h) == 10 else "d"
+    out = [""] * 3
+    for k, x in zip(at, (f"{new.year:04d}", format(new.month, width), format(new.day, width))):
+        out[k] = x
+    return re.search("[-/.]", h)[0].join(out)
+
+
+def plain_pseudonym(h, key):
+    """(kind, pseudonym) of a matched string, (None, itself) if it isn't valid."""
+    digits = re.sub("[^0-9]", "", h)
+    into = lambda new: "".join(c if c not in "0123456789" else next(new) for c in h)
+    full = lambda kind: re.fullmatch(pii.SHAPES[kind], h)
+    if "@" in h:
+        at = h.index("@")
+        return "email", plain_scramble(h[:at], "email", key) + h[at:]
+    if full("date"):
+        new = plain_date(h, key)
+        return ("date", new) if new else (None, h)
+    if full("ssn"):
+        a, g, n = map(int, h.split("-"))
+        if a in (0, 666) or a >= 900 or not g or not n:
+            return None, h
+        v = feistel((a - 1 - (a > 666), g - 1, n - 1), (898, 99, 9999), "ssn", key)
+        return "ssn", f"{v[0] + 1 + (v[0] >= 665):03d}-{v[1] + 1:02d}-{v[2] + 1:04d}"
+    if full("ipv4"):
+        octets = h.split(".")
+        if any(int(o) > 255 for o in octets):
+            return None, h
+        span = [(0, 10 ** (len(o) - 1)) if len(o) > 1 and o[0] == "0" else {1: (0, 10), 2: (10, 90), 3: (100, 156)}[len(o)] for o in octets]
+        v = feistel([int(o) - low for o, (low, _) in zip(octets, span)], [n for _, n in span], "ipv4", key)
+        return "ipv4", ".".join(str(x + low).zfill(len(o)) for x, (low, _), o in zip(v, span, octets))
+    if full("phone"):
+        return "phone", into(iter(digits[:-10] + plain_scramble(digits[-10:], "phone", key)))
+    if plain_luhn(digits, 1) % 10:
+        return None, h
+    body = digits[0] + plain_scramble(digits[1:-1], "card", key)
+    return "card", into(iter(body + str(-plain_luhn(body, 0) % 10)))
+
+
+def test_query_equals_a_plain_version_on_whole_texts(spark):
+    spark.conf.set(queries.PII_KEY, "a key of this test")
+    try:
+        got = {r["doc_id"]: r.asDict() for r in queries.QUERIES["op5_feistel_pseudonyms"](spark, SF).collect()}
+    finally:
+        spark.conf.unset(queries.PII_KEY)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    hits = 0
+    for doc, text in docs:
+        counts = dict.fromkeys(pii.KINDS, 0)
+
+        def swap(m):
+            kind, new = plain_pseudonym(m[0], "a key of this test")
+            if kind:
+                counts[kind] += 1
+            return new
+
+        new = None if text is None else re.sub(pii.VALUE, swap, text)
+        hits += sum(counts.values())
+        assert got[doc] == {"doc_id": doc, "text": new} | {f"n_{k}": n for k, n in counts.items()}
+    assert len(got) == len(docs) and hits > 20
+
+
+def test_addresses_keep_their_lengths(spark):
+    texts = [f"{a}.{b}.{c}.7" for a in ("1", "10", "255", "010", "001", "00") for b in ("0", "99", "100") for c in ("8", "42")]
+    out = [t for t, _ in run(spark, texts)]
+    assert len(set(out)) == len(texts) and out == [plain_pseudonym(t, "k")[1] for t in texts]
+    assert all([len(x) for x in a.split(".")] == [len(x) for x in b.split(".")] for a, b in zip(texts, out))
+    assert all(0 <= int(x) <= 255 for t in out for x in t.split("."))
+
+
+def test_a_session_without_a_key_draws_one(spark):
+    spark.conf.unset(queries.PII_KEY)
+    first = queries.QUERIES["op5_feistel_pseudonyms"](spark, SF)
+    key = spark.conf.get(queries.PII_KEY)
+    assert len(key) == 64
+    queries.QUERIES["op5_feistel_pseudonyms"](spark, SF)
+    assert spark.conf.get(queries.PII_KEY) == key and first.columns[:2] == ["doc_id", "text"]
+    spark.conf.unset(queries.PII_KEY)
+
+
+def test_counts_beside_an_input_column_of_their_name(spark):
+    docs = documents(spark, ["10.1.2.3"]).selectExpr("*", "1 AS PII_counts")
+    out = pii.pseudonymise(docs, key="k")
+    assert out.columns == [*docs.columns, "pii_counts_2"] and out.first()["PII_counts"] == 1
+
+
 def test_pseudonym_edges(spark):
     out = run(spark, [*EDGE_TEXTS, "x" * 50_000 + " 10.1.2.3 " + "@" * 1000])
     assert [t for t, _ in out[:-1]] == EDGE_TEXTS and out[-1][1]["ipv4"] == 1
@@ -287,6 +398,16 @@ def test_tree_traversal_loses_no_pair(monkeypatch, leaf):
         assert want and want <= pairs and len(pairs) < 150 * 149 // 4
 
 
+def test_one_of_equal_rows_stays_beside_any_column(spark):
+    docs = spark.createDataFrame([(3, "a b c d e", 1), (3, "a b c d e", 1), (3, "a b c d e", 2), (9, "a b c d e", 1), (9, "a b c d e", 1),
+                                  (4, "other words stand here", 1), (None, "a b c d e", 1), (None, "a b c d e", 1)],
+                                 "doc_id long, text string, gone_id int").withColumn("own_id", F.lit("x"))
+    kept = jaccard_join.keep_one_each(docs)
+    assert kept.columns == docs.columns
+    got = sorted(((r["doc_id"] or 0), r["gone_id"], r["own_id"]) for r in kept.collect())
+    assert got == [(0, 1, "x"), (0, 1, "x"), (3, 1, "x"), (3, 2, "x"), (4, 1, "x")]
+
+
 def test_connected_components(spark):
     rng = random.Random(3)
     links = [(k, k + 1) for k in range(100, 130)] + [(rng.randrange(60), rng.randrange(60)) for _ in range(35)] + [(200, k) for k in range(201, 230)]
