@@ -36,6 +36,8 @@ TWO_CLASS = ("gradient_boosting", "ridge_classifier")  # above two classes: soft
 MOST_CLASSES = 1000
 MAX_TREE_DEPTH = 30  # the deepest tree that Spark grows
 FOREST_DEPTH = 15
+TREES = ("decision_tree", "random_forest", "gradient_boosting")
+ROWS_A_TASK = 12_288  # a smaller training table stays as it is
 DUMMY_CLASSIFIERS = ["dummy_most_frequent", "dummy_uniform", "dummy_stratified"]
 DUMMY_REGRESSORS = ["dummy_median", "dummy_mean"]
 
@@ -157,8 +159,9 @@ def estimator(spec: ModelSpec, label: str, label_std: float = 1.0):
         e = C.DecisionTreeClassifier if cls else R.DecisionTreeRegressor
         return e(maxDepth=p.get("maxDepth", MAX_TREE_DEPTH), seed=p.get("seed", 42), **common)
     if spec.name == "random_forest":
+        # a level goes on from the nodes that the rows had reached: the same trees, without descending each from its root
         e = C.RandomForestClassifier if cls else R.RandomForestRegressor
-        return e(numTrees=p.get("numTrees", 100), maxDepth=p.get("maxDepth", FOREST_DEPTH), seed=p.get("seed", 42), **common)
+        return e(numTrees=p.get("numTrees", 100), maxDepth=p.get("maxDepth", FOREST_DEPTH), seed=p.get("seed", 42), cacheNodeIds=True, **common)
     if spec.name == "gradient_boosting":
         e = C.GBTClassifier if cls else R.GBTRegressor
         return e(maxIter=p.get("maxIter", 100), maxDepth=p.get("maxDepth", 3), stepSize=p.get("stepSize", 0.1),
@@ -198,7 +201,27 @@ class FittedModel:
     svc: SquaredHinge | None = None
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """The rows dealt evenly over all cores.
+
+    As they come they stand in as many parts as the files have, which may be one, and each
+    pass of a fit, or a scoring by many trees, takes no more cores than that.
+    """
+    parts = min(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // ROWS_A_TASK))
+    return df.repartition(parts) if parts > 1 else df
+
+
 def fit_model(spec: ModelSpec, train: DataFrame, feature_cols: list[str], label: str) -> FittedModel:
+    if spec.custom is not None or spec.name not in TREES:
+        return _fit(spec, train, feature_cols, label)
+    train = dealt(train.select(label, *feature_cols)).cache()
+    try:
+        return _fit(spec, train, feature_cols, label)
+    finally:
+        train.unpersist()
+
+
+def _fit(spec: ModelSpec, train: DataFrame, feature_cols: list[str], label: str) -> FittedModel:
     fm = FittedModel(spec, feature_cols, label)
     if spec.name.startswith("dummy_"):
         return _fit_dummy(fm, train)
@@ -401,7 +424,7 @@ def predict_many(fitted: dict[str, FittedModel], df: DataFrame, key: str = "row_
 def fit_many(specs: list[ModelSpec], train: DataFrame, valid: DataFrame, feature_cols: list[str],
              label: str, key: str = "row_id", threads: int = 4) -> tuple[dict, DataFrame]:
     """Fit every spec (concurrent Spark jobs) and return (fitted by identifier, long predictions)."""
-    train = train.select(key, label, *feature_cols).cache()
+    train = dealt(train.select(key, label, *feature_cols)).cache()
 
     sc = train.sparkSession.sparkContext
 
@@ -409,7 +432,7 @@ def fit_many(specs: list[ModelSpec], train: DataFrame, valid: DataFrame, feature
         # one scheduler pool per model so FAIR mode interleaves the fits
         sc.setLocalProperty("spark.scheduler.pool", spec.name)
         try:
-            return spec.identifier, fit_model(spec, train, feature_cols, label)
+            return spec.identifier, _fit(spec, train, feature_cols, label)
         finally:
             sc.setLocalProperty("spark.scheduler.pool", None)
 
@@ -418,7 +441,7 @@ def fit_many(specs: list[ModelSpec], train: DataFrame, valid: DataFrame, feature
             fitted = dict(ex.map(one, specs))
     finally:
         train.unpersist()  # fitted models hold their parameters; the cached rows are done
-    return fitted, predict_many(fitted, valid, key)
+    return fitted, predict_many(fitted, dealt(valid), key)
 
 
 def gaussian_nb_params(fm: FittedModel) -> DataFrame:
