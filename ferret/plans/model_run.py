@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ferret.operators import metrics as M
 from ferret.operators import models as Mo
 from ferret.plans.cleaning_plan import CleaningPlan, problem_kind
+from ferret.session import stored
 
 NOT_FEATURES = {"split", "hbos_score", "HBOS"}
 
@@ -34,6 +35,7 @@ def compare_models(transformed: DataFrame, target: str, problem: str, key: str =
     if registry is None:
         registry = Mo.ModelRegistry(kind, train.count())
     fitted, preds = Mo.fit_many(registry.specs, train, valid, feats, target, key, threads)
+    preds, _ = stored(preds, "predictions")  # scored once by all models, read several times
     truth = valid.select(key, F.col(target).cast("double").alias("_y"))
     scored = preds.join(truth, key)
     scores = M.score_model(scored, "_y", "prediction", kind, "identifier")
