@@ -84,10 +84,11 @@ def sw_pvalue(w: float, n: int) -> float:
     return 1.0 - _ND.cdf((y - m) / s)
 
 
-def normality_test(df: DataFrame, cols: list[str], key: str, alpha: float = 0.05) -> DataFrame:
-    """(feature, n, w, p_value, normal, p_exact) per column."""
+def normality_test(df: DataFrame, cols: list[str], key: str, alpha: float = 0.05, ranked: DataFrame | None = None) -> DataFrame:
+    """(feature, n, w, p_value, normal, p_exact) per column; ``ranked``: their ``ranked_long``, if already there."""
     spark = df.sparkSession
-    rk = with_norm_ppf(ranked_long(df, cols, key).withColumn(
+    ranked = ranked_long(df, cols, key) if ranked is None else ranked
+    rk = with_norm_ppf(ranked.withColumn(
         "_p", (F.col("i") - F.lit(0.375)) / (F.col("n") + F.lit(0.25))), "_p", "m").cache()
     st = {r["feature"]: r for r in rk.groupBy("feature").agg(
         F.first("n").alias("n"), F.sum(F.col("m") * F.col("m")).alias("ssm"),
@@ -130,10 +131,11 @@ def _filliben():
             .otherwise((i - 0.3175) / (n + 0.365)))
 
 
-def probability_plot(df: DataFrame, cols: list[str], key: str) -> tuple[DataFrame, DataFrame]:
+def probability_plot(df: DataFrame, cols: list[str], key: str, ranked: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Normal probability plot: points (feature, i, osm, osr) and the least-squares fit
     (feature, slope, intercept, r) of ordered values on theoretical quantiles."""
-    rk = with_norm_ppf(ranked_long(df, cols, key).withColumn("_v", _filliben()), "_v", "osm")
+    ranked = ranked_long(df, cols, key) if ranked is None else ranked
+    rk = with_norm_ppf(ranked.withColumn("_v", _filliben()), "_v", "osm")
     pts = rk.select("feature", "i", "osm", F.col("value").alias("osr"))
     den = F.stddev_pop("osm") * F.stddev_pop("osr")  # both sides are present in every row
     fit = pts.groupBy("feature").agg(

@@ -35,9 +35,10 @@ def profile(tables: dict, key: str | None = None, predictions: DataFrame | None
         out |= {"skew_report": P.skew_report(raw, numeric), "histogram": P.histogram(raw, numeric), "box_stats": P.box_stats(raw, numeric)}
         for stage in ("untransformed", "imputed", "transformed"):
             t = nan_to_null(tables[stage])
-            points, fit = N.probability_plot(t, numeric, key)
+            ranked = N.ranked_long(t, numeric, key)  # one ranking for both reports
+            points, fit = N.probability_plot(t, numeric, key, ranked)
             out |= {f"correlation_{stage}": P.correlation_matrix(t, numeric, stage),
-                    f"normality_{stage}": N.normality_test(t, numeric, key),
+                    f"normality_{stage}": N.normality_test(t, numeric, key, ranked=ranked),
                     f"probability_points_{stage}": points, f"probability_fit_{stage}": fit}
     if categoric:
         out["category_counts"] = P.category_counts(raw, categoric)
