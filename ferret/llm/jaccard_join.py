@@ -5,22 +5,31 @@ lower-cased) as 64-bit hashes.  Documents link when the Jaccard similarity of
 their sets is at least ``percent``; linked documents form components.
 
 1. Documents with equal sets are one class (a 128-bit digest of the set).
-2. In any fixed order of shingles, two sets that link share one among their
+2. A class that links misses at most n - ceil(percent * n) of its n shingles in
+   the other one, so of its shingles with a hash in the lowest part of the range all
+   but so many are in a second class.  One aggregate over that part of all sets
+   says which are; classes with too few of them link with nothing and go on no further.
+3. In any fixed order of shingles, two sets that link share one among their
    first n - ceil(percent * n) + 1.  Those prefixes are the buckets; the order
    is by hash, with the frequent shingles (a bounded list) behind all others, so common passages
    make no buckets.  Shingles that only one class has in its prefix drop out by
    an aggregate.
-3. Classes are first compared with two others: the first and the last bucket owner with
+4. Classes are first compared with two others: the first and the last bucket owner with
    which they share most prefix shingles, if those are many.  Verified links are contracted to components, so a group of
    thousands of near copies is one component after about one comparison each.
-4. Buckets that still hold several components are joined by a signature tree: a
+5. Buckets that still hold several components are joined by a signature tree: a
    node holds the size range of its members and the OR of their token bitmaps,
    and a pair of nodes is dropped when its largest possible overlap is too
    small or all its members are connected already.  A pair counts only where the
    bucket's shingle stands early enough to be the first that a linked pair shares.  Buckets of a leaf's size are
-   compared many at once.  Pairs of classes that remain are verified on the
-   whole sets.  Large buckets are dealt out as pairs of blocks, so no task holds
+   compared many at once.  Bitmaps go only to rows that have a partner by sizes and
+   places.  Of the pairs that pass, those remain whose 16-bit marks of all
+   shingles agree far enough.  Large buckets are dealt out as pairs of blocks, so no task holds
    more than two blocks, and every pair of members meets in one of them.
+6. Pairs of classes that remain are verified on the whole sets, in two rounds.  In
+   the first a task gives a pair only if no others of its pairs connect the two, so fewer pairs than
+   it has members, and the links found are contracted.  Where one of them doesn't link, the second gives
+   every pair of classes that are still apart, which are few, as nearly all pairs that pass the marks link.
 
 No step has a chance of losing a link; hashes of 64 bits stand for shingles.
 
@@ -56,6 +65,10 @@ BLOCK = 2048
 OFTEN = 256
 MOST_FREQUENT = 1 << 20
 STAR_SHARE = 0.3  # of a prefix, shared with one owner, to be compared with it first
+SPARE = 10  # percent of all hashes that are counted beside those that a linked set may miss
+TOO_FULL = 0.5  # of the filter's bits: from here on classes are chosen by a join, as the filter passes too many others
+CHUNK = 1 << 12  # pairs whose marks are compared at once
+MOST_MARKS = 512  # shingles of a set that has marks; larger sets have their bitmaps only
 
 
 class ByteHashes(WordHashes):
@@ -110,7 +123,18 @@ def prefix(hashes: np.ndarray, percent: int, last: np.ndarray | None = None) ->
     return hashes[:n] if not late[:n].any() else np.concatenate([hashes[~late], hashes[late]])[:n]
 
 
-SETS = "doc_id long, n int, class long, prefix array<bigint>, bits binary"
+def marks(hashes: np.ndarray) -> bytes | None:
+    """A 16-bit mark of each shingle, sorted; none for large sets.  The bitmap follows from it."""
+    if len(hashes) > MOST_MARKS:
+        return None
+    return np.sort((hashes >> np.uint64(20) & np.uint64(0xFFFF)).astype(np.uint16)).tobytes()
+
+
+def bitmap_of_marks(marks: bytes) -> bytes:
+    return bitmap(np.frombuffer(marks, np.uint16).astype(np.uint64) << np.uint64(20)).tobytes()
+
+
+SETS = "doc_id long, n int, class long, sample array<bigint>"
 
 
 def class_of(hashes: np.ndarray) -> int:
@@ -127,43 +151,120 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
 
 
-def frequent_shingles(docs: DataFrame, *, size: int, percent: int, often: int = OFTEN, most: int = MOST_FREQUENT) -> np.ndarray:
-    """The hashes that more than ``often`` documents have in their prefix, sorted.
+def sample_limit(percent: int) -> np.uint64:
+    """Hashes up to this one are the sample: the same shingles in every set."""
+    return np.uint64(min(100, 100 - percent + SPARE) * ((1 << 64) - 1) // 100)
+
+
+def document_sets(docs: DataFrame, *, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """Size, class and sampled shingles of every document's set."""
+    limit = sample_limit(percent)
 
-    The limit rises with the corpus so that never more than ``most`` hashes
-    come to the driver: what n rows hold more than n / most times is at most that many.
-    """
     def make(rows):
         for batch in rows:
-            for part in batches(batch.column(0).to_pylist()):
-                flat = [prefix(s, percent) for s in shingle_sets(part, size) if len(s)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*flat, np.zeros(0, np.uint64)]).view(np.int64))], ["h"])
+            first = 0
+            keys = batch.column(0)
+            for part in batches(batch.column(1).to_pylist()):
+                sets = shingle_sets(part, size)
+                yield pa.RecordBatch.from_arrays(
+                    [keys.slice(first, len(part)), pa.array([len(s) for s in sets], pa.int32()),
+                     pa.array([class_of(s) if len(s) else None for s in sets], pa.int64()),
+                     _lists([s[:np.searchsorted(s, limit, "right")] for s in sets])], ["doc_id", "n", "class", "sample"])
+                first += len(part)
+
+    return _texts(docs).mapInArrow(forgetting(make, KNOWN), SETS)
+
+
+def frequent_shingles(shared: DataFrame, *, often: int = OFTEN, most: int = MOST_FREQUENT) -> np.ndarray:
+    """The hashes in ``shared`` (h, n) that more than ``often`` documents have, sorted.
 
-    counts = stored(_texts(docs).select("text").mapInArrow(forgetting(make, KNOWN), "h long").groupBy("h").agg(F.count("*").alias("n"))
-                    .where(F.col("n") > often), "prefix-counts")
+    The limit rises with the corpus so that never more than ``most`` hashes
+    come to the driver: what n rows hold more than n / most times is at most that many.
+    """
+    counts = shared.where(F.col("n") > often)
     rows = counts.agg(F.sum("n")).first()[0] or 0
     found = counts.where(F.col("n") > rows / most).select("h").toPandas()["h"].to_numpy(np.int64)
     return np.sort(found.view(np.uint64))
 
 
-def document_sets(docs: DataFrame, frequent: np.ndarray, *, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    last = docs.sparkSession.sparkContext.broadcast(frequent)
+def linkable_classes(usable: DataFrame, shared: DataFrame, flags: np.ndarray, percent: int) -> DataFrame:
+    """The classes of which so much of the sample is in ``shared`` that they may link with another one.
+
+    ``flags`` is the filter of ``shared``; what it passes beside members lets a
+    class pass, never fail.  Where it is too full to tell, the hashes are joined.
+    """
+    sent = usable.sparkSession.sparkContext.broadcast(flags)
+
+    def sift(rows):
+        for batch in rows:
+            parts, n = batch.column(2), batch.column(1).to_numpy().astype(np.int64)
+            values, sizes = parts.flatten().to_numpy(), parts.value_lengths().to_numpy().astype(np.int64)
+            keep = passing(sent.value, values.view(np.uint64))
+            hits = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[keep], minlength=len(sizes))
+            need = sizes - (n + -percent * n // 100)
+            ok = np.flatnonzero(hits >= need)
+            ends = np.cumsum(hits) - hits
+            found = [values[keep[ends[k]:ends[k] + hits[k]]].view(np.uint64) for k in ok.tolist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(ok)), pa.array(need[ok], pa.int64()), _lists(found)],
+                                             ["class", "need", "found"])
+
+    rows = usable.select("class", "n", "sample").mapInArrow(sift, "class long, need long, found array<bigint>")
+    if np.bitwise_count(flags).sum() <= TOO_FULL * 64 * len(flags):
+        return rows.select("class").distinct()
+    rows = stored(rows.dropDuplicates(["class"]), "sifted-classes")
+    hits = (rows.select("class", F.explode("found").alias("h")).join(shared.select("h"), "h", "left_semi")
+            .groupBy("class").agg(F.count("*").alias("hits")))
+    return rows.select("class", "need").join(hits, "class", "left").where(F.coalesce("hits", F.lit(0)) >= F.col("need")).select("class")
+
+
+def whole_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """class, n and the whole set of each class in ``wanted`` (class, first: a document of it).
+
+    The sets are made anew from the texts of one document a class: a filter of
+    fixed size picks them in the scan, so texts are not shuffled.
+    """
+    flags = docs.sparkSession.sparkContext.broadcast(build_filter(wanted.select(F.xxhash64("first").alias("h")), "h"))
 
     def make(rows):
         for batch in rows:
+            keep = passing(flags.value, batch.column(1).to_numpy().view(np.uint64))
+            picked = batch.take(pa.array(keep))
             first = 0
-            keys = batch.column(0)
-            for part in batches(batch.column(1).to_pylist()):
+            for part in batches(picked.column(2).to_pylist()):
                 sets = shingle_sets(part, size)
-                n = pa.array([len(s) for s in sets], pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [keys.slice(first, len(part)), n, pa.array([class_of(s) if len(s) else None for s in sets], pa.int64()),
-                     _lists([prefix(s, percent, last.value) if len(s) else s for s in sets]),
-                     pa.array([bitmap(s).tobytes() if len(s) else None for s in sets], pa.binary())],
-                    ["doc_id", "n", "class", "prefix", "bits"])
+                    [picked.column(0).slice(first, len(part)), pa.array([class_of(s) for s in sets], pa.int64()),
+                     pa.array([len(s) for s in sets], pa.int32()), pa.array([s.tobytes() for s in sets], pa.binary())],
+                    ["doc_id", "class", "n", "set"])
                 first += len(part)
 
-    return _texts(docs).mapInArrow(forgetting(make, KNOWN), SETS)
+    rows = _texts(docs).where(F.col("doc_id").isNotNull())
+    rows = rows.select("doc_id", F.xxhash64("doc_id").alias("h"), "text").mapInArrow(forgetting(make, KNOWN), "doc_id long, class long, n int, set binary")
+    # dealt by class alone, which then serves to drop repeated rows too
+    return (rows.join(wanted, "class").where(F.col("doc_id").bitwiseXOR(F.col("first")) == 0)
+            .dropDuplicates(["class"]).select("class", "n", "set"))
+
+
+def prefixes(sets: DataFrame, frequent: np.ndarray, flags: np.ndarray, percent: int) -> DataFrame:
+    """class, n, h and place of the prefix shingles of ``sets``; those in the sample that ``flags`` show to be in one class only are left out."""
+    sent, limit = sets.sparkSession.sparkContext.broadcast((frequent, flags)), sample_limit(percent)
+
+    def make(rows):
+        last, shared = sent.value
+        for batch in rows:
+            parts = [prefix(np.frombuffer(s, np.uint64), percent, last) for s in batch.column(2).to_pylist()]
+            sizes = np.array([len(p) for p in parts], np.int64)
+            values = np.concatenate([*parts, np.zeros(0, np.uint64)])
+            may = values > limit
+            may[passing(shared, values)] = True
+            keep = np.flatnonzero(may)
+            owner = np.repeat(np.arange(len(sizes)), sizes)[keep]
+            place = keep - (np.cumsum(sizes) - sizes)[owner]
+            at = pa.array(owner)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(values[keep].view(np.int64)),
+                                              pa.array(place.astype(np.int32))], ["class", "n", "h", "place"])
+
+    return sets.select("class", "n", "set").mapInArrow(make, "class long, n int, h long, place int")
 
 
 # ---- signature trees ------------------------------------------------------
@@ -232,15 +333,17 @@ def dual_traversal(a: Tree, b: Tree, percent: int, same: bool, step: int = 1 <<
 
 
 class Members:
-    """Columns of the rows of some buckets, row by row."""
+    """Columns of the rows of some buckets, row by row; bitmaps and marks where they are there."""
 
     def __init__(self, batch):
         col = lambda c: batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64)
         self.classes, self.groups, self.sizes, self.side = col("class"), col("component"), col("n"), col("own")
         self.across = col("block_a") != col("block_b")
-        self.bits = batch.column("bits").to_pylist()
+        signed = lambda c: batch.column(c).to_pylist() if c in batch.schema.names else [None] * len(self.classes)
+        self.marks = signed("marks")
+        self.bits = [bitmap_of_marks(x) if x is not None else b for x, b in zip(self.marks, signed("bits"), strict=True)]
         self.place = col("place")
-        self.widths = np.array([4 * len(b) for b in self.bits], np.int64)
+        self.widths = np.array([4 * len(b or b"") for b in self.bits], np.int64)
         keys = np.stack([col("h"), col("block_a"), col("block_b")])
         self.starts = np.flatnonzero(np.concatenate([[True], (np.diff(keys) != 0).any(axis=0)])) if len(self.bits) else np.zeros(0, np.int64)
 
@@ -300,17 +403,90 @@ def _possible(m: Members, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndar
     return ok
 
 
-def bucket_pairs(m: Members, percent: int) -> np.ndarray:
-    """Pairs of classes that share a bucket, may link and belong to different components."""
+def _agreeing(m: Members, i: np.ndarray, j: np.ndarray, percent: int, step: int = CHUNK) -> np.ndarray:
+    """Which pairs of rows may link by their marks; those without marks may."""
+    marked = np.array([x is not None for x in m.marks], bool)
+    ok = np.ones(len(i), bool)
+    both = np.flatnonzero(marked[i] & marked[j])
+    rows, inverse = np.unique(np.concatenate([i[both], j[both]]), return_inverse=True)
+    if not len(rows):
+        return ok
+    sizes = m.sizes[rows]
+    ends = np.cumsum(sizes)
+    flat = np.frombuffer(b"".join([m.marks[k] for k in rows.tolist()]), np.uint16).astype(np.int64)
+    # equal marks of a set get numbers, so that each counts once
+    new = np.ones(len(flat), bool)
+    new[1:] = flat[1:] != flat[:-1]
+    new[ends - sizes] = True
+    starts = np.flatnonzero(new)
+    number = np.arange(len(flat)) - np.repeat(starts, np.diff(np.append(starts, len(flat))))
+    value = flat << 16 | number
+    keys = np.repeat(np.arange(len(rows)), sizes) << 32 | value
+    a, b = inverse[:len(both)], inverse[len(both):]
+    a, b = np.where(sizes[a] <= sizes[b], a, b), np.where(sizes[a] <= sizes[b], b, a)
+    for c in range(0, len(both), step):
+        x, y = a[c:c + step], b[c:c + step]
+        n = sizes[x]
+        first = np.cumsum(n) - n
+        at = np.arange(n.sum()) - np.repeat(first, n) + np.repeat(ends[x] - n, n)
+        look = np.repeat(y, n) << 32 | value[at]
+        hit = keys[np.minimum(np.searchsorted(keys, look), len(keys) - 1)] == look
+        most = np.add.reduceat(hit, first, dtype=np.int64)
+        ok[both[c:c + step]] = (100 + percent) * most >= percent * (n + sizes[y])
+    return ok
+
+
+def bucket_pairs(m: Members, percent: int, forest: bool = False) -> np.ndarray:
+    """Pairs of classes that share a bucket, may link and belong to different components.
+
+    With ``forest`` only so many that they connect what all of them would.
+    """
     sizes = np.diff(np.append(m.starts, len(m.bits)))
     out = [np.zeros((0, 2), np.int64)]
     leaf = sizes <= LEAF
     for i, j in _leaf_pairs(m, m.starts[leaf], sizes[leaf], percent):
         ok = _possible(m, i, j, percent)
-        out.append(np.unique(np.stack([m.classes[i[ok]], m.classes[j[ok]]], axis=1), axis=0))
+        out.append(np.stack([i[ok], j[ok]], axis=1))
     for start, n in zip(m.starts[~leaf].tolist(), sizes[~leaf].tolist(), strict=True):
         out.append(_tree_pairs(m, np.arange(start, start + n), percent))
-    return np.concatenate(out)
+    rows = np.concatenate(out)
+    # a pair of classes that share several buckets counts once
+    _, once = np.unique(np.sort(m.classes[rows], axis=1), axis=0, return_index=True)
+    rows = rows[once]
+    if not forest:
+        return m.classes[rows[_agreeing(m, rows[:, 0], rows[:, 1], percent)]]
+    root: dict[int, int] = {}
+
+    def find(x):
+        while (up := root.setdefault(x, x)) != x:
+            root[x] = root[up]
+            x = up
+        return x
+
+    kept = [np.zeros((0, 2), np.int64)]
+    for k in range(0, len(rows), CHUNK):
+        part = rows[k:k + CHUNK]
+        apart = [find(a) != find(b) for a, b in m.groups[part].tolist()]
+        part = part[apart]
+        part = part[_agreeing(m, part[:, 0], part[:, 1], percent)]
+        tree = []
+        for at, (a, b) in enumerate(m.groups[part].tolist()):
+            a, b = find(a), find(b)
+            if a != b:
+                root[a] = b
+                tree.append(at)
+        kept.append(part[np.array(tree, np.int64)])
+    return m.classes[np.concatenate(kept)]
+
+
+def with_partner(m: Members, percent: int) -> np.ndarray:
+    """Which rows have another one in their bucket that may link by sizes and places; all rows of buckets above a leaf's size."""
+    sizes = np.diff(np.append(m.starts, len(m.classes)))
+    leaf = sizes <= LEAF
+    out = np.repeat(~leaf, sizes)
+    for i, j in _leaf_pairs(m, m.starts[leaf], sizes[leaf], percent):
+        out[i] = out[j] = True
+    return out
 
 
 def _tree_pairs(m: Members, rows: np.ndarray, percent: int) -> np.ndarray:
@@ -345,39 +521,26 @@ def _tree_pairs(m: Members, rows: np.ndarray, percent: int) -> np.ndarray:
             compare(own[0], near[0], w)
     pairs = np.concatenate(out)
     ok = (m.groups[pairs[:, 0]] != m.groups[pairs[:, 1]]) & m.early(pairs[:, 0], pairs[:, 1], percent)
-    return m.classes[pairs[ok]]
+    return pairs[ok]
 
 
 # ---- the join -------------------------------------------------------------
 
-def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose whole sets link.
+def _passes(wanted: DataFrame):
+    """A condition on ``class`` that holds for those in ``wanted`` and a few others: it spares sets the shuffle."""
+    flags = wanted.sparkSession.sparkContext.broadcast(build_filter(wanted, "class"))
 
-    The sets are made anew from the texts of one document a class: a filter of
-    fixed size picks them in the scan, so texts are not shuffled.
-    """
-    wanted = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
-    wanted = stored(wanted.join(classes.select("class", "first"), "class"), "wanted-classes")
-    flags = docs.sparkSession.sparkContext.broadcast(build_filter(wanted.select(F.xxhash64("first").alias("h")), "h"))
+    @F.pandas_udf("boolean")
+    def may_be(k):
+        out = np.zeros(len(k), bool)
+        out[passing(flags.value, k.to_numpy().view(np.uint64))] = True
+        return pd.Series(out)
 
-    def make(rows):
-        for batch in rows:
-            keep = passing(flags.value, batch.column(1).to_numpy().view(np.uint64))
-            picked = batch.take(pa.array(keep))
-            first = 0
-            for part in batches(picked.column(2).to_pylist()):
-                sets = shingle_sets(part, size)
-                yield pa.RecordBatch.from_arrays(
-                    [picked.column(0).slice(first, len(part)), pa.array([class_of(s) for s in sets], pa.int64()),
-                     pa.array([s.tobytes() for s in sets], pa.binary())], ["doc_id", "class", "set"])
-                first += len(part)
+    return may_be("class")
 
-    rows = _texts(docs).where(F.col("doc_id").isNotNull())
-    rows = rows.select("doc_id", F.xxhash64("doc_id").alias("h"), "text").mapInArrow(forgetting(make, KNOWN), "doc_id long, class long, set binary")
-    sets = (rows.join(wanted, (rows["class"] == wanted["class"]) & (rows["doc_id"] == wanted["first"]), "left_semi")
-            .dropDuplicates(["class"]).select("class", "set"))
-    sets = stored(sets, "class-sets")
 
+def _verified(pairs: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose whole sets link."""
     @F.pandas_udf("boolean")
     def links(x, y):
         out = []
@@ -387,6 +550,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int,
             out.append(100 * o >= percent * (len(s) + len(t) - o))
         return pd.Series(out, dtype=bool)
 
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("class"))
+    sets = whole.where(_passes(wanted)).select("class", "set")
     return (pairs.join(sets.select(F.col("class").alias("a"), F.col("set").alias("x")), "a")
             .join(sets.select(F.col("class").alias("b"), F.col("set").alias("y")), "b")
             .where(links("x", "y")).select("a", "b"))
@@ -399,56 +564,77 @@ def _with_component(rows: DataFrame, components: DataFrame) -> DataFrame:
 
 def join_components(docs: DataFrame, *, size: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK, often: int = OFTEN) -> DataFrame:
     """doc_id, n_shingles, class_id (hash of the set; null if empty), component_id: the smallest id reachable by links."""
-    frequent = frequent_shingles(docs, size=size, percent=percent, often=often)
-    sets = stored(document_sets(docs, frequent, size=size, percent=percent), "sets")
+    sets = stored(document_sets(docs, size=size, percent=percent), "sets")
     usable = sets.where(F.col("doc_id").isNotNull() & F.col("class").isNotNull())
     classes = stored(usable.groupBy("class").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")), "classes")
-    rows = usable.select("class", F.explode("prefix").alias("h"))
+    counted = usable.select("class", F.explode("sample").alias("h")).groupBy("h").agg(
+        F.min("class").alias("lo"), F.max("class").alias("hi"), F.count("*").alias("n"))
+    counted = stored(counted.where("lo <> hi").select("h", "n"), "shared-shingles")
+    flags = build_filter(counted, "h")
+    linkable = linkable_classes(usable, counted, flags, percent)
+    wanted = stored(linkable.join(classes.select("class", "first"), "class"), "linkable-classes")
+    whole = stored(whole_sets(docs, wanted, size), "whole-sets")
+    rows = stored(prefixes(whole, frequent_shingles(counted, often=often), flags, percent), "prefixes")
     ends = rows.groupBy("h").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi")
-    ends = stored(ends, "shared-shingles")
-    flags = docs.sparkSession.sparkContext.broadcast(build_filter(ends, "h"))
-
-    def sift(batches_):
-        for batch in batches_:
-            parts = batch.column(1)
-            values, sizes = parts.flatten().to_numpy(), parts.value_lengths().to_numpy()
-            keep = passing(flags.value, values.view(np.uint64))
-            owner = np.repeat(np.arange(len(sizes)), sizes)[keep]
-            place = keep - (np.cumsum(sizes) - sizes)[owner]
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner)), pa.array(values[keep]),
-                                              pa.array(place.astype(np.int32))], ["class", "h", "place"])
-
-    # most shingles are in one class only: the filter spares them the shuffle
-    rows = usable.select("class", "prefix").mapInArrow(sift, "class long, h long, place int")
-    shared = stored(rows.join(ends, "h").select("h", "lo", "hi", "class", "place").distinct(), "shared-prefixes")
+    shared = stored(rows.join(ends, "h").select("h", "lo", "hi", "class", "n", "place"), "shared-prefixes")
 
     # two comparisons a class, where there is much in common: with the first and with
     # the last owner with which it shares most shingles
     best = None
     for owner in ("lo", "hi"):
-        with_owner = shared.where(F.col("class") != F.col(owner)).groupBy("class", owner).agg(F.count("*").alias("n"))
-        most = with_owner.groupBy("class").agg(F.max(F.struct("n", owner)).alias("best")).select("class", "best.n", F.col(f"best.{owner}").alias("b"))
+        with_owner = shared.where(F.col("class") != F.col(owner)).groupBy("class", owner).agg(F.count("*").alias("m"), F.max("n").alias("n"))
+        most = with_owner.groupBy("class").agg(F.max(F.struct("m", owner, "n")).alias("best")).select(
+            "class", "best.m", "best.n", F.col(f"best.{owner}").alias("b"))
         best = most if best is None else best.unionByName(most)
-    sizes = usable.select("class", F.col("n").alias("size")).distinct()
-    best = (best.join(sizes, "class").where(F.col("n") * 100 >= (100 - percent) * STAR_SHARE * F.col("size"))
+    best = (best.where(F.col("m") * 100 >= (100 - percent) * STAR_SHARE * F.col("n"))
             .select(F.greatest("class", "b").alias("a"), F.least("class", "b").alias("b")).distinct())
-    links = stored(_verified(stored(best, "star-pairs"), docs, classes, size, percent), "star-links")
+    links = stored(_verified(stored(best, "star-pairs"), whole, percent), "star-links")
+    components = stored(connected_components(links), "components")
+    pairs = stored(_open_pairs(shared, whole, components, percent, block, True), "tree-pairs")
+    found = stored(_verified(pairs, whole, percent), "tree-links")
+    links = links.unionByName(found)
     components = stored(connected_components(links), "components")
+    failed = stored(pairs.join(found, ["a", "b"], "left_anti"), "failed-pairs")
+    if not failed.isEmpty():
+        # where all of a tree's pairs link, it is one component; the others are compared in full
+        trees = stored(connected_components(links.unionByName(failed)), "trees")
+        again = trees.join(failed.select(F.col("a").alias("node")), "node").select("component").distinct()
+        again = trees.join(again, "component").select(F.col("node").alias("class"))
+        pairs = stored(_open_pairs(shared.join(again, "class", "left_semi"), whole, components, percent, block, False), "last-pairs")
+        links = links.unionByName(stored(_verified(pairs, whole, percent), "last-links"))
+        components = stored(connected_components(links), "components")
+
+    members = _with_component(classes.select("class", "first"), components)
+    least = members.groupBy("component").agg(F.min("first").alias("component_id"))
+    members = members.join(least, "component").select(F.col("class").alias("class_id"), "component_id")
+    return (sets.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.col("class").alias("class_id"))
+            .join(members, "class_id", "left")
+            .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("class_id")).alias("class_id"),
+                    F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")))
+
 
-    # buckets with several components
-    rows = _with_component(shared.select("h", "class", "place"), components)
-    open_ = (rows.groupBy("h").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("members"))
-             .where("c0 <> c1").select("h", "members"))
+def _open_pairs(shared: DataFrame, whole: DataFrame, components: DataFrame, percent: int, block: int, forest: bool) -> DataFrame:
+    """Pairs (a, b) of classes in different components that share a bucket and may link."""
+    @F.pandas_udf("bits binary, marks binary")
+    def signed(sets):
+        sets = [np.frombuffer(s, np.uint64) for s in sets]
+        return pd.DataFrame({"bits": [bitmap(s).tobytes() if len(s) > MOST_MARKS else None for s in sets], "marks": [marks(s) for s in sets]})
+
+    rows = _with_component(shared.select("h", "class", "n", "place"), components)
+    open_ = rows.groupBy("h").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("members"),
+                                  F.bit_xor(F.xxhash64("class")).alias("s0"), F.bit_xor(F.xxhash64(F.lit(1), "class")).alias("s1"),
+                                  F.min(F.struct("class", "place")).alias("least")).where("c0 <> c1")
+    # of buckets with the same members (a passage has many) the first in order does for all: places are the smallest there
+    open_ = open_.groupBy("s0", "s1", "members").agg(F.min(F.struct("least.place", "h")).alias("one")).select("one.h", "members")
     rows = stored(rows.join(open_, "h"), "open-buckets")
-    info = (usable.join(rows.select("class").distinct(), "class", "left_semi").dropDuplicates(["class"]).select("class", "n", "bits"))
     # a bucket of more than one block is dealt out to pairs of blocks
     blocks = F.ceil(F.col("members") / block).cast("int")
-    rows = rows.select("h", "class", "place", "component", blocks.alias("blocks"), F.pmod(F.xxhash64("class", "h"), blocks).cast("int").alias("own"))
+    rows = rows.select("h", "class", "place", "component", "n", blocks.alias("blocks"), F.pmod(F.xxhash64("class", "h"), blocks).cast("int").alias("own"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    rows = rows.select("h", "class", "place", "component", "own", other.alias("other")).select(
-        "h", "class", "place", "component", "own", F.least("own", "other").alias("block_a"), F.greatest("own", "other").alias("block_b"))
+    rows = rows.select("h", "class", "place", "component", "n", "own", other.alias("other")).select(
+        "h", F.least("own", "other").alias("block_a"), F.greatest("own", "other").alias("block_b"), "own", "class", "place", "component", "n")
 
-    def compare(batches_):
+    def buckets(batches_):
         rest = None
         for batch in batches_:
             t = pa.Table.from_batches([batch] if rest is None else [*rest.to_batches(), batch]).combine_chunks()
@@ -458,27 +644,25 @@ def join_components(docs: DataFrame, *, size: int = SHINGLE, percent: int = PERC
                 (k != k[-1]).any() for k in keys) else 0
             rest = t.slice(n)
             if n:
-                yield pairs_of(t.slice(0, n))
+                yield t.slice(0, n).combine_chunks()
         if rest is not None and len(rest):
-            yield pairs_of(rest)
+            yield rest.combine_chunks()
 
-    def pairs_of(t):
-        pairs = np.unique(np.sort(bucket_pairs(Members(t.combine_chunks()), percent), axis=1), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 1]), pa.array(pairs[:, 0])], ["a", "b"])
+    def pick(batches_):
+        for t in buckets(batches_):
+            yield from t.filter(pa.array(with_partner(Members(t), percent))).to_batches()
 
-    key = ["h", "block_a", "block_b"]
-    pairs = rows.join(info, "class").repartition(*key).sortWithinPartitions(*key).select(
-        *key, "own", "class", "place", "component", "n", "bits").mapInArrow(compare, "a long, b long").distinct()
-    more = stored(_verified(stored(pairs, "tree-pairs"), docs, classes, size, percent), "tree-links")
-    components = stored(connected_components(links.unionByName(more)), "components")
+    def compare(batches_):
+        for t in buckets(batches_):
+            pairs = np.sort(bucket_pairs(Members(t), percent, forest), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 1]), pa.array(pairs[:, 0])], ["a", "b"])
 
-    members = _with_component(classes.select("class", "first"), components)
-    least = members.groupBy("component").agg(F.min("first").alias("component_id"))
-    members = members.join(least, "component").select(F.col("class").alias("class_id"), "component_id")
-    return (sets.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.col("class").alias("class_id"))
-            .join(members, "class_id", "left")
-            .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("class_id")).alias("class_id"),
-                    F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")))
+    # bitmaps and marks are many times as long as the rest of a row, so only rows with a partner get them
+    key = ["h", "block_a", "block_b"]
+    rows = stored(rows.repartition(*key).sortWithinPartitions(*key).mapInArrow(pick, rows.schema), "rows-with-partners")
+    info = whole.where(_passes(rows.select("class"))).select("class", signed("set").alias("s")).select("class", "s.*")
+    return rows.join(info, "class").repartition(*key).sortWithinPartitions(*key).select(
+        *rows.columns, "bits", "marks").mapInArrow(compare, "a long, b long").distinct()
 
 
 def keep_one_each(docs: DataFrame, **options) -> DataFrame:

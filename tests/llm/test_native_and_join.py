@@ -359,6 +359,84 @@ def test_components_equal_brute_force(spark, block, often):
     assert kept.columns == docs.columns
 
 
+def kept_tables(monkeypatch):
+    """The scratch tables of the join by name, as they are written."""
+    tables, plain = {}, jaccard_join.stored
+
+    def keep(df, name):
+        out = plain(df, name)
+        tables.setdefault(name, out)
+        return out
+
+    monkeypatch.setattr(jaccard_join, "stored", keep)
+    return tables
+
+
+@pytest.mark.parametrize("full", [-1, 2])
+def test_classes_that_cannot_link_go_first(spark, monkeypatch, full):
+    """With the filter alone and with the join for a full filter: no bucket is opened for texts that share a passage only."""
+    monkeypatch.setattr(jaccard_join, "TOO_FULL", full)
+    tables = kept_tables(monkeypatch)
+    rng = random.Random(43)
+    passage = prose(rng, 40, 3000)
+    texts = [*near_texts(rng, 60), *[f"{passage} {prose(rng, 400, 3000)}" for _ in range(60)]]
+    ids = rng.sample(range(1000), len(texts))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.join_components(documents(spark, texts, ids=ids)).collect()}
+    assert got == brute_components(ids, texts)
+    assert not {r["first"] for r in tables["linkable-classes"].collect()} & set(ids[-60:])
+
+
+@pytest.mark.parametrize("size", [60, 600])
+def test_pairs_in_a_group_of_near_copies_grow_with_the_group(spark, monkeypatch, size):
+    """Copies with similarities around the limit, of sets with and without marks: fewer pairs than rows are given and verified."""
+    tables = kept_tables(monkeypatch)
+    monkeypatch.setattr(jaccard_join, "STAR_SHARE", 100.0)  # no comparison with owners before
+    rng = random.Random(47)
+    first, texts = prose(rng, size, 10 ** 6).split(), []
+    for _ in range(150):
+        w = list(first)
+        for k in rng.sample(range(0, size - 4, 5), size // 100 + rng.randrange(2)):
+            w[k] = f"new{rng.randrange(10 ** 6)}"
+        texts.append(" ".join(w))
+    ids = rng.sample(range(1000), len(texts))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.join_components(documents(spark, texts, ids=ids)).collect()}
+    assert got == brute_components(ids, texts)
+    pairs = [tables[t].count() for t in ("tree-pairs", "last-pairs") if t in tables]
+    assert 0 < sum(pairs) < 2000  # of 11,175
+
+
+def test_marks_bound_the_overlap():
+    import numpy as np
+    import pyarrow as pa
+    rng = np.random.default_rng(9)
+    sets = [np.unique(rng.choice(1 << 12, rng.integers(1, 300)).astype(np.uint64) << np.uint64(24)) for _ in range(40)]  # many equal marks
+    sets += [np.unique(np.concatenate([s, rng.choice(1 << 62, 3).astype(np.uint64)])) for s in sets]
+    sets.append(np.arange(jaccard_join.MOST_MARKS + 1).astype(np.uint64))
+    m = len(sets)
+    zeros = np.zeros(m, np.int64)
+    table = pa.table({"h": zeros, "block_a": zeros, "block_b": zeros, "own": zeros, "place": zeros, "class": np.arange(m),
+                      "component": np.arange(m), "n": [len(s) for s in sets], "marks": [jaccard_join.marks(s) for s in sets],
+                      "bits": [jaccard_join.bitmap(s).tobytes() if len(s) > jaccard_join.MOST_MARKS else None for s in sets]})
+    rows = jaccard_join.Members(table)
+    assert rows.bits == [jaccard_join.bitmap(s).tobytes() for s in sets]
+    i, j = np.triu_indices(m, 1)
+    ok = jaccard_join._agreeing(rows, i, j, 85, 100)
+    linked = np.array([100 * (o := len(np.intersect1d(sets[a], sets[b]))) >= 85 * (len(sets[a]) + len(sets[b]) - o) for a, b in zip(i, j)])
+    assert linked.any() and ok[linked].all() and ok[j == m - 1].all() and not ok.all()
+    # the forest connects what all pairs connect
+    pairs, tree = jaccard_join.bucket_pairs(rows, 85), jaccard_join.bucket_pairs(rows, 85, True)
+    roots = [brute_roots(p, m) for p in (pairs, tree)]
+    assert roots[0] == roots[1] and len(tree) == m - len(set(roots[0])) < len(pairs) + 1
+
+
+def brute_roots(pairs, m):
+    root = list(range(m))
+    for _ in range(m):
+        for a, b in pairs:
+            root[a] = root[b] = min(root[a], root[b])
+    return root
+
+
 def test_components_of_the_given_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = docs.select("doc_id", "text").collect()
