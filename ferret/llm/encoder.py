@@ -133,10 +133,6 @@ class Encoder:
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def forget(self) -> None:
-        """Empty the cache; a worker process outlives its tasks and stages."""
-        self.known, self.older = {}, {}
-
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.type)
 

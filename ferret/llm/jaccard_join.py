@@ -208,7 +208,7 @@ def linkable_classes(usable: DataFrame, shared: DataFrame, flags: np.ndarray, pe
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(ok)), pa.array(need[ok], pa.int64()), _lists(found)],
                                              ["class", "need", "found"])
 
-    rows = usable.select("class", "n", "sample").mapInArrow(sift, "class long, need long, found array<bigint>")
+    rows = usable.select("class", "n", "sample").mapInArrow(forgetting(sift), "class long, need long, found array<bigint>")
     if np.bitwise_count(flags).sum() <= TOO_FULL * 64 * len(flags):
         return rows.select("class").distinct()
     rows = stored(rows.dropDuplicates(["class"]), "sifted-classes")
@@ -264,7 +264,7 @@ def prefixes(sets: DataFrame, frequent: np.ndarray, flags: np.ndarray, percent:
             yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(values[keep].view(np.int64)),
                                               pa.array(place.astype(np.int32))], ["class", "n", "h", "place"])
 
-    return sets.select("class", "n", "set").mapInArrow(make, "class long, n int, h long, place int")
+    return sets.select("class", "n", "set").mapInArrow(forgetting(make), "class long, n int, h long, place int")
 
 
 # ---- signature trees ------------------------------------------------------
@@ -659,10 +659,10 @@ def _open_pairs(shared: DataFrame, whole: DataFrame, components: DataFrame, perc
 
     # bitmaps and marks are many times as long as the rest of a row, so only rows with a partner get them
     key = ["h", "block_a", "block_b"]
-    rows = stored(rows.repartition(*key).sortWithinPartitions(*key).mapInArrow(pick, rows.schema), "rows-with-partners")
+    rows = stored(rows.repartition(*key).sortWithinPartitions(*key).mapInArrow(forgetting(pick), rows.schema), "rows-with-partners")
     info = whole.where(_passes(rows.select("class"))).select("class", signed("set").alias("s")).select("class", "s.*")
     return rows.join(info, "class").repartition(*key).sortWithinPartitions(*key).select(
-        *rows.columns, "bits", "marks").mapInArrow(compare, "a long, b long").distinct()
+        *rows.columns, "bits", "marks").mapInArrow(forgetting(compare), "a long, b long").distinct()
 
 
 def keep_one_each(docs: DataFrame, **options) -> DataFrame:

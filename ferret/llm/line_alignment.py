@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferret.llm.common import WORD_SPACE, free_name, stored, text_of
-from ferret.llm.words import mixed
+from ferret.llm.words import forgetting, mixed
 
 RARE_SHARE = 0.05
 RARE_LEAST = 20
@@ -219,7 +219,7 @@ def run_table(lines: DataFrame, least_words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(rows[:, 1])],
                                              ["doc_id", "text_key", "key"])
 
-    return lines.select("doc_id", "text_key", "keys", "words").mapInArrow(make, "doc_id long, text_key long, key long")
+    return lines.select("doc_id", "text_key", "keys", "words").mapInArrow(forgetting(make), "doc_id long, text_key long, key long")
 
 
 def _normalised(line: Column) -> Column:

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from ferret.llm.common import stored, text_of
 from ferret.llm.encoder import batches, encoder
+from ferret.llm.words import give_back
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -43,18 +44,18 @@ def encode_pieces(docs: DataFrame, tokenizer: str, *, capacity: int = 4096, end_
                   rule: str | None = "word_ends", with_ids: bool = False, forget: bool = False) -> DataFrame:
     """One row per piece of every document; ``ids`` (packed 32-bit) only when asked for.
 
-    ``forget`` empties the encoder's cache after each task: slower, but nothing stays in worker processes that later stages reuse.
+    ``forget`` drops the encoder after each task: slower, but nothing stays in worker processes that later stages reuse.
     """
     end = end_id.to_bytes(4, "little")
     schema = PIECES + (", ids binary" if with_ids else "")
 
     def encode(rows):
-        enc = encoder(tokenizer, rule)
         try:
-            yield from pieces(rows, enc)
+            yield from pieces(rows, encoder(tokenizer, rule))
         finally:
             if forget:
-                enc.forget()
+                encoder.cache_clear()
+                give_back()
 
     def pieces(rows, enc):
         for batch in rows:

@@ -1,3 +1,7 @@
+import os
+import subprocess
+import sys
+
 import public_tokenizers
 
 import corpus_pipeline
@@ -61,3 +65,28 @@ def test_near_duplicates_take_five_words_at_four_fifths(spark):
     parts = brute_components([0, 1, 2], texts, size=5, percent=80)
     kept = dict(corpus_pipeline.STAGES)["ngram_jaccard_join"](spark, documents(spark, texts), SF)
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(d for d in parts if parts[d][1] == d) == [0, 2]
+
+
+def test_a_task_returns_its_memory_to_the_system():
+    # blocks below one that lives on: the allocator keeps them unless it is told to return them
+    code = """
+from pathlib import Path
+from ferret.llm.words import forgetting
+
+def resident():
+    return int(Path("/proc/self/statm").read_text().split()[1]) * 4096 >> 20
+
+lives_on = []
+
+def task(batches):
+    blocks = [b"x" * 100_000 for _ in range(2000)]
+    lives_on.append(b"x" * 100_000)
+    yield from batches
+
+before = resident()
+assert list(forgetting(task)([1])) == [1]
+print(resident() - before)
+"""
+    root = os.path.dirname(corpus_pipeline.__file__)
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True).stdout
+    assert int(out) < 50  # MB, of some 200
