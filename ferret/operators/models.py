@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ferret.operators.boosting import SoftmaxBoosting, fit_softmax_boosting
+from ferret.operators.forest import SCHEMA as FOREST_SCHEMA
+from ferret.operators.forest import ROWS_A_SCORING, Forest, features_tried, fit_forest
 from ferret.operators.split import hash32
 from ferret.operators.squared_hinge import SquaredHinge, fit_squared_hinge
 
@@ -199,6 +201,7 @@ class FittedModel:
     classes: list[float] | None = None     # label values in order; the models see their places
     boosted: SoftmaxBoosting | None = None
     svc: SquaredHinge | None = None
+    forest: Forest | None = None           # of a training table of more than ``ROWS_A_TASK`` rows
 
 
 def dealt(df: DataFrame) -> DataFrame:
@@ -242,6 +245,11 @@ def _fit(spec: ModelSpec, train: DataFrame, feature_cols: list[str], label: str)
         return _fit_ridge_per_class(fm, data, classes)
     if spec.name == "ridge_classifier":
         data = data.withColumn("_pm1", F.when(F.col(label) > 0, 1.0).otherwise(-1.0))
+    if spec.custom is None and spec.name == "random_forest" and classes == 2 and train.count() > ROWS_A_TASK:
+        p, cls = spec.params, spec.problem == "classification"
+        fm.forest = fit_forest(data, feature_cols, label, p.get("numTrees", 100), p.get("maxDepth", FOREST_DEPTH),
+                               features_tried(len(feature_cols), cls), p.get("seed", 42), cls)
+        return fm
     label_std = 1.0
     if spec.custom is None and spec.name in LABEL_SCALED:
         lab = "_pm1" if spec.name == "ridge_classifier" else label
@@ -312,6 +320,8 @@ def predict(fm: FittedModel, df: DataFrame, key: str = "row_id") -> DataFrame:
         return _predict_dummy(fm, df, key)
     if fm.boosted is not None:
         return _predict_boosted(fm, df, key)
+    if fm.forest is not None:
+        return _predict_forest(fm, df, key)
     if fm.svc is not None:
         return df.select(key, label_at(fm.svc.place(), fm.classes).alias("prediction"), F.lit(None).cast("double").alias("probability"))
     out = fm.model.transform(df)
@@ -343,6 +353,33 @@ def _predict_boosted(fm: FittedModel, df: DataFrame, key: str) -> DataFrame:
     return rows.mapInArrow(score, f"`{key}` {rows.schema[key].dataType.simpleString()}, prediction double, probability double")
 
 
+def _predict_forest(fm: FittedModel, df: DataFrame, key: str) -> DataFrame:
+    model, cls, classes = fm.forest, fm.spec.problem == "classification", fm.classes
+
+    def score(batches):
+        held = []  # many rows at a time: more of them stand in the same intervals
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= ROWS_A_SCORING:
+                yield from scored(held)
+                held = []
+        yield from scored(held)
+
+    def scored(held):
+        if held:
+            x = np.concatenate([np.array(b.column(1).flatten().to_numpy(zero_copy_only=False), np.float64) for b in held])
+            s, a = model.scores(x.reshape(-1, len(model.features))), 0
+            for b in held:
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s[a:a + b.num_rows], pa.float64())], [key, "s"])
+                a += b.num_rows
+
+    rows = df.select(key, F.array(*[F.col(f"`{c}`").cast("double") for c in fm.feature_cols]).alias("x"))
+    out = rows.mapInArrow(score, f"`{key}` {rows.schema[key].dataType.simpleString()}, s double")
+    if not cls:
+        return out.select(key, F.col("s").alias("prediction"), F.lit(None).cast("double").alias("probability"))
+    return out.select(key, label_at((F.col("s") > 0.5).cast("double"), classes).alias("prediction"), F.col("s").alias("probability"))
+
+
 def _predict_dummy(fm: FittedModel, df: DataFrame, key: str) -> DataFrame:
     pred, prob = _dummy_columns(fm, key)
     return df.select(key, pred.alias("prediction"), prob.alias("probability"))
@@ -456,8 +493,7 @@ def gaussian_nb_params(fm: FittedModel) -> DataFrame:
 
 def feature_importances(fm: FittedModel) -> DataFrame:
     """(feature, importance) descending, for tree models."""
-    m = fm.model.stages[-1]
-    imp = m.featureImportances.toArray().tolist()
+    imp = fm.forest.importances() if fm.forest is not None else fm.model.stages[-1].featureImportances.toArray().tolist()
     rows = sorted(zip(fm.feature_cols, imp), key=lambda t: (-t[1], t[0]))
     return _spark().createDataFrame(rows, "feature string, importance double")
 
@@ -491,6 +527,8 @@ SVC_SCHEMA = "weights array<array<double>>, intercepts array<double>, classes ar
 def save_model(fm: FittedModel, path: str) -> None:
     if fm.model is not None:
         fm.model.write().overwrite().save(path)
+    if fm.forest is not None:
+        _spark().createDataFrame(fm.forest.rows(), FOREST_SCHEMA).write.mode("overwrite").parquet(path)
     if fm.svc is not None:
         row = [(fm.svc.weights.tolist(), fm.svc.intercepts.tolist(), fm.classes)]
         _spark().createDataFrame(row, SVC_SCHEMA).write.mode("overwrite").parquet(path)
@@ -501,4 +539,10 @@ def load_model(spec: ModelSpec, path: str, feature_cols: list[str], label: str)
         r = _spark().read.schema(SVC_SCHEMA).parquet(path).first()
         svc = SquaredHinge(list(feature_cols), np.array(r["weights"]), np.array(r["intercepts"]))
         return FittedModel(spec, feature_cols, label, classes=r["classes"], svc=svc)
+    if spec.name == "random_forest":
+        hadoop = _spark()._jvm.org.apache.hadoop.fs.Path(path + "/metadata")
+        if not hadoop.getFileSystem(_spark()._jsc.hadoopConfiguration()).exists(hadoop):  # not one of Spark's models
+            forest = Forest.of(list(feature_cols), _spark().read.schema(FOREST_SCHEMA).parquet(path).collect())
+            classes = [0.0, 1.0] if spec.problem == "classification" else None
+            return FittedModel(spec, feature_cols, label, classes=classes, forest=forest)
     return FittedModel(spec, feature_cols, label, PipelineModel.load(path))

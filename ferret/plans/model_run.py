@@ -48,7 +48,7 @@ def compare_models(transformed: DataFrame, target: str, problem: str, key: str =
                                                      "prediction", "probability"))
         store.append_row("scores", scores.select("identifier", F.lit("valid").alias("dataset"), "score"))
         for ident, fm in fitted.items():
-            if fm.model is not None or fm.svc is not None:
+            if fm.model is not None or fm.svc is not None or fm.forest is not None:
                 path = store.path("saved_models/" + hashlib.md5(ident.encode()).hexdigest())
                 Mo.save_model(fm, path)
                 store.append_row("fit_models", store.spark.createDataFrame(
