@@ -39,6 +39,7 @@ MOST_CLASSES = 1000
 MAX_TREE_DEPTH = 30  # the deepest tree that Spark grows
 FOREST_DEPTH = 15
 TREES = ("decision_tree", "random_forest", "gradient_boosting")
+LONGEST = ("gradient_boosting", "decision_tree", "random_forest", "logistic_regression", "linear_svc")  # of the fits, by their jobs
 ROWS_A_TASK = 12_288  # a smaller training table stays as it is
 DUMMY_CLASSIFIERS = ["dummy_most_frequent", "dummy_uniform", "dummy_stratified"]
 DUMMY_REGRESSORS = ["dummy_median", "dummy_mean"]
@@ -475,7 +476,9 @@ def fit_many(specs: list[ModelSpec], train: DataFrame, valid: DataFrame, feature
 
     try:
         with ThreadPoolExecutor(max_workers=threads) as ex:
-            fitted = dict(ex.map(one, specs))
+            # the longest first, so that none of them is left to run alone at the end
+            done = dict(ex.map(one, sorted(specs, key=lambda s: LONGEST.index(s.name) if s.name in LONGEST else len(LONGEST))))
+            fitted = {s.identifier: done[s.identifier] for s in specs}
     finally:
         train.unpersist()  # fitted models hold their parameters; the cached rows are done
     return fitted, predict_many(fitted, dealt(valid), key)

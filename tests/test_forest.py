@@ -108,3 +108,13 @@ def test_other_label_values_and_few_rows(spark, monkeypatch):
     monkeypatch.setattr(Mo, "ROWS_A_TASK", 100)
     fm = Mo.fit_model(spec, df, ["a", "b"], "c")
     assert {r["prediction"] for r in Mo.predict(fm, df).collect()} == {4.0, 9.0}
+
+
+def test_the_longest_fits_begin_first(spark, monkeypatch):
+    begun, fit = [], Mo._fit
+    monkeypatch.setattr(Mo, "_fit", lambda spec, *a: begun.append(spec.name) or fit(spec, *a))
+    names = ["dummy_mean", "ridge", "decision_tree", "gradient_boosting"]
+    specs = [Mo.ModelSpec(n, "regression", {"maxIter": 1, "maxDepth": 2, "regParam": 0.1}) for n in names]
+    fitted, _ = Mo.fit_many(specs, table(spark, 200), table(spark, 200), ["a", "b"], "y", threads=1)
+    assert begun == ["gradient_boosting", "decision_tree", "dummy_mean", "ridge"]
+    assert [fm.spec.name for fm in fitted.values()] == names
