@@ -6,7 +6,7 @@ the seed, the tree and the block, so a draw comes out alike in every pass and on
 retry.  Rows of a block that stand in the same intervals are one row of summed weights:
 no tree can tell them apart, so the sums are the same.
 
-A node of more than ``ROWS_A_GROUP`` rows is split by histograms that all tasks add up.  The
+A node of more than ``ROWS_A_GROUP`` rows (fewer, where so few trees would leave cores idle) is split by histograms that all tasks add up.  The
 rows of every other node go to one task each, which grows the rest of that branch; without it
 each level would send a histogram of every node from every task, which for the deep levels of a
 hundred trees is far more than the rows themselves.
@@ -33,6 +33,7 @@ from ferret.session import remove, stored
 BINS = 32
 ROWS_A_BLOCK = 1 << 20
 ROWS_A_GROUP = 1 << 21
+ROWS_A_BRANCH = 12_288   # no smaller node is split by all tasks
 ROWS_A_SCORING = 1 << 17
 BYTES_A_ROUND = 4 << 30  # of rows dealt to trees at a time
 NODES_AT_ONCE = 1 << 14
@@ -154,6 +155,8 @@ def _splits(hist: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def subsets(nodes: int, features: int, some: int, rng) -> np.ndarray:
+    if some >= features:
+        return np.tile(np.arange(features), (nodes, 1))
     return rng.random((nodes, features)).argsort(axis=1)[:, :some]
 
 
@@ -179,7 +182,7 @@ def grow(bins: np.ndarray, w: np.ndarray, s: np.ndarray, depth: int, some: int,
                 key = (node[at] - a) * BINS + flat[row[at] + tried[node[at], j]]
                 hist = np.stack([np.bincount(key, v, (b - a) * BINS).reshape(-1, BINS) for v in (w[at], s[at])], axis=-1)
                 gain, where = _splits(hist)
-                better = np.flatnonzero(gain > best[a:b])
+                better = np.flatnonzero(gain > best[a:b] * (1 + 1e-9))  # the first of equal gains
                 best[a + better], feature[a + better], cut[a + better] = gain[better], tried[a + better, j], where[better]
         split = best > 0
         k = 2 * int(split.sum())
@@ -224,14 +227,14 @@ def _blocks(rows: DataFrame, edges: list[list[float]]) -> DataFrame:
     return rows.mapInArrow(gather, "block long, n long, different long, bins binary, y binary")
 
 
-def _draws(batches, trees, features: int, mean: float, seed: int):
-    """(tree, bins, weights, sums of labels) of every block and tree, rows of no weight left out."""
+def _draws(batches, trees, features: int, mean: float, seed: int | None):
+    """(tree, bins, weights, sums of labels) of every block and tree, rows of no weight left out; no seed: each row once."""
     for batch in batches:
         for block, raw, ys in zip(batch.column("block").to_pylist(), batch.column("bins").to_pylist(), batch.column("y").to_pylist()):
             y = np.frombuffer(ys, np.float64) - mean
             bins, place = alike(np.frombuffer(raw, np.uint8).reshape(-1, features))
             for t in trees:
-                w = np.random.default_rng([seed, t, block]).poisson(1.0, len(y)).astype(np.float64)
+                w = np.ones(len(y)) if seed is None else np.random.default_rng([seed, t, block]).poisson(1.0, len(y)).astype(np.float64)
                 s = w * y
                 if place is not None:
                     w, s = np.bincount(place, w, len(bins)), np.bincount(place, s, len(bins))
@@ -240,7 +243,7 @@ def _draws(batches, trees, features: int, mean: float, seed: int):
 
 
 def _count_open(blocks: DataFrame, tops: dict[int, Tree], opened: list[tuple[int, int]], tried: np.ndarray, features: int,
-                mean: float, seed: int, levels: int) -> np.ndarray:
+                mean: float, seed: int | None, levels: int) -> np.ndarray:
     """(open node, feature tried, interval, [weight, sum of labels, rows]) added up over all blocks."""
     shape = (len(opened), tried.shape[1], BINS, 3)
     places = {t: np.full(len(top.left), -1) for t, top in tops.items()}
@@ -287,19 +290,23 @@ def _graft(top: Tree, node: int, branch: Tree) -> None:
     top.gain = top.gain + branch.gain
 
 
-def _grow_round(blocks: DataFrame, trees: list[int], items: int, features: int, some: int, depth: int, mean: float, seed: int) -> list[Tree]:
+def _grow_round(blocks: DataFrame, trees: list[int], items: int, features: int, some: int, depth: int, mean: float,
+                seed: int | None, most: int) -> list[Tree]:
+    first = 0 if seed is None else seed
     tops = {t: Tree(np.zeros(1, np.int16), np.full(1, 255, np.uint8), np.zeros(1, np.int32), np.zeros(1), np.zeros(features)) for t in trees}
     ready = {(t, 0): 0 for t in trees}  # nodes that a task grows, and their levels
-    opened = list(ready) if items > ROWS_A_GROUP else []
+    opened = list(ready) if items > most else []
     for level in range(depth):
         if not opened:
             break
         ready = {at: v for at, v in ready.items() if at not in set(opened)}
-        tried = subsets(len(opened), features, some, np.random.default_rng([seed, 1, trees[0], level]))
+        tried = subsets(len(opened), features, some, np.random.default_rng([first, 1, trees[0], level]))
         counts, after = _count_open(blocks, tops, opened, tried, features, mean, seed, level), []
         found = [_splits(counts[:, j, :, :2]) for j in range(some)]
         for k, (t, node) in enumerate(opened):
-            j = max(range(some), key=lambda j: found[j][0][k])
+            j = 0
+            for i in range(1, some):  # the first of equal gains
+                j = i if found[i][0][k] > found[j][0][k] * (1 + 1e-9) else j
             gain, cut = found[j][0][k], int(found[j][1][k])
             if not gain:
                 whole = counts[k, 0].sum(axis=0)
@@ -309,7 +316,7 @@ def _grow_round(blocks: DataFrame, trees: list[int], items: int, features: int,
             _with_children(tops[t], node, int(tried[k, j]), cut, [h[1] / h[0] for h in halves], gain)
             for side, h in enumerate(halves):
                 child = (t, int(tops[t].left[node]) + side)
-                if h[2] > ROWS_A_GROUP:
+                if h[2] > most:
                     after.append(child)
                 elif level + 1 < depth:
                     ready[child] = level + 1
@@ -334,7 +341,7 @@ def _grow_round(blocks: DataFrame, trees: list[int], items: int, features: int,
         bins, place = alike(bins)
         if place is not None:
             w, s = np.bincount(place, w, len(bins)), np.bincount(place, s, len(bins))
-        grown = grow(bins, w, s, depth - ready[t, v], some, np.random.default_rng([seed, 2, t, v]))
+        grown = grow(bins, w, s, depth - ready[t, v], some, np.random.default_rng([first, 2, t, v]))
         return pa.table([pa.array([t], pa.int32()), pa.array([v], pa.int32()), *[pa.array([b], pa.binary()) for b in grown.bytes()]],
                         names=["tree", "node", *COLUMNS])
 
@@ -350,9 +357,9 @@ def _grow_round(blocks: DataFrame, trees: list[int], items: int, features: int,
     return [tops[t] for t in trees]
 
 
-def fit_forest(train: DataFrame, features: list[str], label: str, trees: int, depth: int, some: int, seed: int,
+def fit_forest(train: DataFrame, features: list[str], label: str, trees: int, depth: int, some: int, seed: int | None,
                classes: bool = False) -> Forest:
-    """A forest of the mean of a numeric label; for two classes, the label is 0 or 1."""
+    """A forest of the mean of a numeric label; for two classes, the label is 0 or 1.  No seed: every row counts once."""
     x = [F.col(f"`{c}`").cast("double") for c in features]
     y = F.col(f"`{label}`").cast("double")
     finite = [F.coalesce(F.abs(c) < float("inf"), F.lit(False)) for c in (y, *x)]  # NaN is above infinity
@@ -364,11 +371,13 @@ def fit_forest(train: DataFrame, features: list[str], label: str, trees: int, de
     blocks, path = stored(_blocks(train.select(F.array(*x).alias("x"), y.alias("y")), edges), "forest")
     try:
         rows, items = blocks.agg(F.sum("n"), F.sum("different")).collect()[0]
+        # few trees are split into as many branches as keep all cores busy
+        most = max(ROWS_A_BRANCH, min(ROWS_A_GROUP, items * trees // (4 * train.sparkSession.sparkContext.defaultParallelism)))
         # an open node holds more rows than a group, so a round's histograms are bounded with its rows
         at_once = max(1, int(BYTES_A_ROUND / (items * (len(features) + 12))))
         grown: list[Tree] = []
         for a in range(0, trees, at_once):
-            grown += _grow_round(blocks, list(range(a, min(trees, a + at_once))), items, len(features), some, depth, mean, seed)
+            grown += _grow_round(blocks, list(range(a, min(trees, a + at_once))), items, len(features), some, depth, mean, seed, most)
     finally:
         remove(train.sparkSession, path)
     return Forest(list(features), edges, depth, grown)

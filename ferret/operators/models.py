@@ -39,7 +39,8 @@ MOST_CLASSES = 1000
 MAX_TREE_DEPTH = 30  # the deepest tree that Spark grows
 FOREST_DEPTH = 15
 TREES = ("decision_tree", "random_forest", "gradient_boosting")
-LONGEST = ("gradient_boosting", "decision_tree", "random_forest", "logistic_regression", "linear_svc")  # of the fits, by their jobs
+LONGEST = ("gradient_boosting", "random_forest", "decision_tree", "logistic_regression", "linear_svc")  # of the fits, by their jobs
+GROWN = ("decision_tree", "random_forest")  # by operators/forest.py, if the table is larger than this:
 ROWS_A_TASK = 12_288  # a smaller training table stays as it is
 DUMMY_CLASSIFIERS = ["dummy_most_frequent", "dummy_uniform", "dummy_stratified"]
 DUMMY_REGRESSORS = ["dummy_median", "dummy_mean"]
@@ -246,10 +247,13 @@ def _fit(spec: ModelSpec, train: DataFrame, feature_cols: list[str], label: str)
         return _fit_ridge_per_class(fm, data, classes)
     if spec.name == "ridge_classifier":
         data = data.withColumn("_pm1", F.when(F.col(label) > 0, 1.0).otherwise(-1.0))
-    if spec.custom is None and spec.name == "random_forest" and classes == 2 and train.count() > ROWS_A_TASK:
+    if spec.custom is None and spec.name in GROWN and classes == 2 and train.count() > ROWS_A_TASK:
         p, cls = spec.params, spec.problem == "classification"
-        fm.forest = fit_forest(data, feature_cols, label, p.get("numTrees", 100), p.get("maxDepth", FOREST_DEPTH),
-                               features_tried(len(feature_cols), cls), p.get("seed", 42), cls)
+        if spec.name == "decision_tree":  # one tree of all rows and features
+            fm.forest = fit_forest(data, feature_cols, label, 1, p.get("maxDepth", MAX_TREE_DEPTH), len(feature_cols), None, cls)
+        else:
+            fm.forest = fit_forest(data, feature_cols, label, p.get("numTrees", 100), p.get("maxDepth", FOREST_DEPTH),
+                                   features_tried(len(feature_cols), cls), p.get("seed", 42), cls)
         return fm
     label_std = 1.0
     if spec.custom is None and spec.name in LABEL_SCALED:
@@ -542,7 +546,7 @@ def load_model(spec: ModelSpec, path: str, feature_cols: list[str], label: str)
         r = _spark().read.schema(SVC_SCHEMA).parquet(path).first()
         svc = SquaredHinge(list(feature_cols), np.array(r["weights"]), np.array(r["intercepts"]))
         return FittedModel(spec, feature_cols, label, classes=r["classes"], svc=svc)
-    if spec.name == "random_forest":
+    if spec.name in GROWN:
         hadoop = _spark()._jvm.org.apache.hadoop.fs.Path(path + "/metadata")
         if not hadoop.getFileSystem(_spark()._jsc.hadoopConfiguration()).exists(hadoop):  # not one of Spark's models
             forest = Forest.of(list(feature_cols), _spark().read.schema(FOREST_SCHEMA).parquet(path).collect())

@@ -52,8 +52,10 @@ def table(spark, n=3000):
 def test_nodes_counted_by_all_tasks_give_the_same_trees(spark, monkeypatch):
     df = table(spark).cache()
     monkeypatch.setattr(Fo, "ROWS_A_BLOCK", 400)
+    monkeypatch.setattr(Fo, "ROWS_A_BRANCH", 5000)
     whole = Fo.fit_forest(df, ["a", "b", "seldom"], "y", 4, 6, 3, 1)
     monkeypatch.setattr(Fo, "ROWS_A_GROUP", 100)
+    monkeypatch.setattr(Fo, "ROWS_A_BRANCH", 100)
     monkeypatch.setattr(Fo, "BYTES_A_ROUND", 100_000)  # and in several rounds
     parted = Fo.fit_forest(df, ["a", "b", "seldom"], "y", 4, 6, 3, 1)
     x = np.array([[np.nan if r["row_id"] == 7 else r["a"], r["b"], r["seldom"]] for r in df.collect()], float)
@@ -118,3 +120,19 @@ def test_the_longest_fits_begin_first(spark, monkeypatch):
     fitted, _ = Mo.fit_many(specs, table(spark, 200), table(spark, 200), ["a", "b"], "y", threads=1)
     assert begun == ["gradient_boosting", "decision_tree", "dummy_mean", "ridge"]
     assert [fm.spec.name for fm in fitted.values()] == names
+
+
+@pytest.mark.parametrize("problem, label", [("regression", "y"), ("classification", "c")])
+def test_a_single_tree_of_a_larger_table_equals_sparks(spark, monkeypatch, problem, label):
+    df = table(spark).withColumn("a", F.col("a") % 29).cache()  # few values: both cut between all of them
+    df = df.withColumn("y", F.col("a") * 3.25 + F.col("b") * F.col("b") * 7 + F.col("seldom") * 500.5).withColumn("c", (F.col("y") > 60).cast("int"))
+    spec = Mo.ModelSpec("decision_tree", problem, {"maxDepth": 7, "seed": 42})
+    theirs = Mo.fit_model(spec, df, ["a", "b", "seldom"], label)
+    monkeypatch.setattr(Mo, "ROWS_A_TASK", 500)
+    monkeypatch.setattr(Fo, "ROWS_A_BRANCH", 200)
+    ours = Mo.fit_model(spec, df, ["a", "b", "seldom"], label)
+    assert ours.forest is not None and theirs.forest is None
+    both = Mo.predict(ours, df).join(Mo.predict(theirs, df).toDF("row_id", "p", "q"), "row_id").select(
+        F.max(F.abs(F.col("prediction") - F.col("p"))), F.max(F.abs(F.coalesce("probability", F.lit(0)) - F.coalesce("q", F.lit(0)))), F.count("*")).collect()[0]
+    assert both[0] < 1e-9 and both[1] < 1e-9 and both[2] == 3000
+    assert Mo.feature_importances(ours).select("feature").collect() == Mo.feature_importances(theirs).select("feature").collect()
